@@ -1,38 +1,48 @@
-"""Typed access to the parameters of an event."""
+"""Typed access to the parameters of an event, as SQL expression text.
+
+SQL text keeps plan building short: one expression is one call to the JVM, where the same tree built
+column by column takes dozens.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-
-def first_event(events: Column) -> Column:
-    """Only the first event of an activity is used; null when there is none."""
-    return F.get(events, F.lit(0))
-
-
-def _as_bool(p: Column) -> Column:
-    return F.coalesce(p["boolValue"], p["value"].try_cast("boolean"))
-
-
-def _as_long(p: Column) -> Column:
-    return F.coalesce(p["boolValue"].cast("bigint"), p["intValue"].try_cast("bigint"), p["value"].try_cast("bigint"))
-
-
-def as_text(p: Column) -> Column:
-    """Bool, then int, then value, as text."""
-    return F.coalesce(p["boolValue"].cast("string"), p["intValue"], p["value"])
-
-
-def _as_list(p: Column) -> Column:
+# How a parameter's fields are read as each wanted type; bool before int before value.
+_READERS = {
+    "string": "coalesce(cast(p.boolValue as string), p.intValue, p.value)",
+    "boolean": "coalesce(p.boolValue, try_cast(p.value as boolean))",
+    "bigint": "coalesce(cast(p.boolValue as bigint), try_cast(p.intValue as bigint), try_cast(p.value as bigint))",
     # a scalar becomes a one-element list
-    return F.coalesce(p["multiValue"], F.when(as_text(p).isNotNull(), F.array(as_text(p))))
-
-
-_READERS = {"string": as_text, "boolean": _as_bool, "bigint": _as_long, "array<string>": _as_list}
+    "array<string>": "coalesce(p.multiValue, nullif(array_compact(array(coalesce(cast(p.boolValue as string), p.intValue, p.value))), array()))",
+}
 
 
-def param(params: Column, name: str, as_type: str = "string", default=None) -> Column:
+def param_sql(name: str, as_type: str = "string", default: str | None = None, params: str = "_event.parameters") -> str:
     """A parameter by name as the wanted type; of repeated names the last one counts."""
-    values = F.transform(F.filter(params, lambda p: p["name"] == name), _READERS[as_type])
-    value = F.try_element_at(values, F.lit(-1))
-    return value if default is None else F.coalesce(value, F.lit(default))
+    found = f"try_element_at(transform(filter({params}, p -> p.name = '{name}'), p -> {_READERS[as_type]}), -1)"
+    return found if default is None else f"coalesce({found}, {default})"
+
+
+def param(name: str, as_type: str = "string", default: str | None = None, params: str = "_event.parameters") -> Column:
+    return F.expr(param_sql(name, as_type, default, params))
+
+
+def scope_list_sql(params: str) -> str:
+    """Array of (scope_name, product_bucket).
+
+    `scope_data` messages win; only when there is no message at all the plain `scope` list counts.
+    """
+    messages = f"flatten(transform(filter({params}, p -> p.name = 'scope_data' and size(p.multiMessageValue) > 0), p -> p.multiMessageValue))"
+    last = "try_element_at(filter(m.parameter, q -> q.name = '{}'), -1)"
+    pair = (
+        f"named_struct('scope_name', {last.format('scope_name')}.value, "
+        f"'product_bucket', get({last.format('product_bucket')}.multiValue, 0))"
+    )
+    from_messages = f"filter(transform({messages}, m -> {pair}), s -> s.scope_name <> '')"
+    names = f"flatten(transform(filter({params}, p -> p.name = 'scope' and size(p.multiValue) > 0), p -> p.multiValue))"
+    from_names = (
+        f"transform(array_compact({names}), n -> named_struct('scope_name', n, 'product_bucket', cast(null as string)))"
+    )
+    has_message = f"exists({params}, p -> p.name = 'scope_data' and size(p.multiMessageValue) > 0)"
+    return f"case when {has_message} then {from_messages} else {from_names} end"

@@ -1,145 +1,107 @@
 """Nested activities to flat, typed rows, one function per application.
 
-Everything is a built-in column expression, so a whole application flattens in one narrow stage
-without a shuffle.
+Everything is a built-in expression, so a whole application flattens in one narrow stage without a
+shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from watchspan.functions.params import first_event, param
+from watchspan.functions.params import param_sql, scope_list_sql
 from watchspan.functions.scopes import is_readonly, scope_family, scope_service
-from watchspan.functions.times import parse_ts
 from watchspan.schemas import EVENT_SCHEMAS, SCOPE_SCHEMA
 
-_EV = "_event"
-_PARAMS = F.col(f"{_EV}.parameters")
+_BASE = {
+    "timestamp": "try_to_timestamp(id.time)",
+    "unique_id": "id.uniqueQualifier",
+    "application_name": "id.applicationName",
+    "customer_id": "id.customerId",
+    "actor_email": "actor.email",
+    "actor_profile_id": "actor.profileId",
+    "caller_type": "actor.callerType",
+    "oauth_client_id": "actor.applicationInfo.oauthClientId",
+    "oauth_app_name": "actor.applicationInfo.applicationName",
+    "impersonation": "actor.applicationInfo.impersonation",
+    "ip_address": "ipAddress",
+    "asn": "get(networkInfo.ipAsn, 0)",
+    "asn_list": "case when size(networkInfo.ipAsn) > 0 then networkInfo.ipAsn end",
+    "region_code": "networkInfo.regionCode",
+    "subdivision_code": "networkInfo.subdivisionCode",
+    "event_type": "_event.type",
+    "event_name": "_event.name",
+    "resource_ids": "_event.resourceIds",
+    "resource_detail_count": "coalesce(size(resourceDetails), 0)",
+}
 
 
-def base_record(df: DataFrame) -> DataFrame:
-    """The columns all applications share; the first event stays in `_event` for the app's own columns."""
-    with_event = df.withColumn(_EV, first_event(F.col("events")))
-    asn = F.col("networkInfo.ipAsn")
-    has_asn = F.size(asn) > 0
-    return with_event.select(
-        parse_ts(F.col("id.time")).alias("timestamp"),
-        F.col("id.uniqueQualifier").alias("unique_id"),
-        F.col("id.applicationName").alias("application_name"),
-        F.col("id.customerId").alias("customer_id"),
-        F.col("actor.email").alias("actor_email"),
-        F.col("actor.profileId").alias("actor_profile_id"),
-        F.col("actor.callerType").alias("caller_type"),
-        F.col("actor.applicationInfo.oauthClientId").alias("oauth_client_id"),
-        F.col("actor.applicationInfo.applicationName").alias("oauth_app_name"),
-        F.col("actor.applicationInfo.impersonation").alias("impersonation"),
-        F.col("ipAddress").alias("ip_address"),
-        F.when(has_asn, F.get(asn, F.lit(0))).alias("asn"),
-        F.when(has_asn, asn).alias("asn_list"),
-        F.col("networkInfo.regionCode").alias("region_code"),
-        F.col("networkInfo.subdivisionCode").alias("subdivision_code"),
-        F.col(f"{_EV}.type").alias("event_type"),
-        F.col(f"{_EV}.name").alias("event_name"),
-        F.col(f"{_EV}.resourceIds").alias("resource_ids"),
-        _length("resourceDetails").alias("resource_detail_count"),
-        _EV,
-        "resourceDetails",
-    )
+def _first_event(df: DataFrame) -> DataFrame:
+    """Only the first event of an activity is used; it is null when there is none."""
+    return df.selectExpr("*", "get(events, 0) as _event")
 
 
-def _length(col: str) -> Column:
-    return F.coalesce(F.size(F.col(col)), F.lit(0)).cast("bigint")
+def _named(exprs: dict[str, str]) -> list[str]:
+    return [f"{sql} as {name}" for name, sql in exprs.items()]
 
 
-def _filled(array: Column) -> Column:
-    return F.when(F.size(array) > 0, array)
+def base_record(df: DataFrame) -> DataFrame:
+    """The columns all applications share, next to the nested activity."""
+    return _first_event(df).selectExpr(*_named(_BASE))
 
 
-def _sorted_distinct(array: Column) -> Column:
-    """Sorted distinct non-empty texts, null when nothing is left."""
-    kept = F.filter(array, lambda x: x.isNotNull() & (x != ""))
-    return _filled(F.array_sort(F.array_distinct(kept)))
+def project_app(df: DataFrame, app: str, own: dict[str, str]) -> DataFrame:
+    """The application's table: its columns in its order and types, and nothing else."""
+    exprs = {**_BASE, **own}
+    return _first_event(df).selectExpr(
+        *(f"cast({exprs[f.name]} as {f.dataType.simpleString()}) as {f.name}" for f in EVENT_SCHEMAS[app].fields)
+    )
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the schema's columns, in its order and types."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*(f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in schema.fields))
 
 
-def project_app(df: DataFrame, app: str) -> DataFrame:
-    """Drop what the application never fills: its table schema decides."""
-    return conform(df, EVENT_SCHEMAS[app])
+def _sorted_distinct(array: str) -> str:
+    """Sorted distinct non-empty texts; an empty array when nothing is left."""
+    return f"sort_array(array_distinct(filter({array}, x -> x <> '')))"
 
 
-def scope_list(params: Column) -> Column:
-    """Array of (scope_name, product_bucket).
+def _filled(array: str) -> str:
+    return f"case when size({array}) > 0 then {array} end"
 
-    `scope_data` messages win; only when there is no message at all the plain `scope` list counts.
-    """
-    messages = F.flatten(
-        F.transform(
-            F.filter(params, lambda p: (p["name"] == "scope_data") & (F.size(p["multiMessageValue"]) > 0)),
-            lambda p: p["multiMessageValue"],
-        )
-    )
 
-    def last(msg: Column, name: str) -> Column:
-        return F.try_element_at(F.filter(msg["parameter"], lambda q: q["name"] == name), F.lit(-1))
-
-    from_messages = F.filter(
-        F.transform(
-            messages,
-            lambda m: F.struct(
-                last(m, "scope_name")["value"].alias("scope_name"),
-                F.get(last(m, "product_bucket")["multiValue"], F.lit(0)).alias("product_bucket"),
-            ),
-        ),
-        lambda s: s["scope_name"].isNotNull() & (s["scope_name"] != ""),
-    )
-    names = F.flatten(
-        F.transform(
-            F.filter(params, lambda p: (p["name"] == "scope") & (F.size(p["multiValue"]) > 0)),
-            lambda p: p["multiValue"],
-        )
-    )
-    from_names = F.transform(
-        F.filter(names, lambda n: n.isNotNull()),
-        lambda n: F.struct(n.alias("scope_name"), F.lit(None).cast("string").alias("product_bucket")),
-    )
-    return F.when(F.size(messages) > 0, from_messages).otherwise(from_names)
+_TOKEN = {
+    "method_name": param_sql("method_name"),
+    "num_bytes": param_sql("num_response_bytes", "bigint", "0"),
+    "api_name": param_sql("api_name"),
+    "client_id": param_sql("client_id"),
+    "accessing_app_name": param_sql("app_name"),
+    "client_type": param_sql("client_type"),
+    "scope_count": "coalesce(size(_scopes), 0)",
+    "product_buckets": _filled("_buckets"),
+    "has_drive_scope": "coalesce(array_contains(_buckets, 'DRIVE'), false)",
+    "has_gmail_scope": "coalesce(array_contains(_buckets, 'GMAIL'), false)",
+    "has_admin_scope": "coalesce(array_contains(_buckets, 'GSUITE_ADMIN'), false)",
+}
 
 
 def flatten_token(df: DataFrame) -> DataFrame:
-    base = base_record(df).withColumn("_scopes", scope_list(_PARAMS))
-    from_scopes = _sorted_distinct(F.transform("_scopes", lambda s: s["product_bucket"]))
-    from_param = _sorted_distinct(F.array(F.upper(param(_PARAMS, "product_bucket"))))
-    buckets = F.when(F.size("_scopes") > 0, from_scopes).otherwise(from_param)
-
-    def has(bucket: str) -> Column:
-        return F.coalesce(F.array_contains("product_buckets", bucket), F.lit(False))
-
-    rolled = base.select(
-        "*",
-        param(_PARAMS, "method_name").alias("method_name"),
-        param(_PARAMS, "num_response_bytes", "bigint", 0).alias("num_bytes"),
-        param(_PARAMS, "api_name").alias("api_name"),
-        param(_PARAMS, "client_id").alias("client_id"),
-        param(_PARAMS, "app_name").alias("accessing_app_name"),
-        param(_PARAMS, "client_type").alias("client_type"),
-        _length("_scopes").alias("scope_count"),
-        buckets.alias("product_buckets"),
-    )
-    flags = {f"has_{n}_scope": has(b) for n, b in (("drive", "DRIVE"), ("gmail", "GMAIL"), ("admin", "GSUITE_ADMIN"))}
-    return project_app(rolled.withColumns(flags), "token")
+    """With the scope roll-up; without scopes the upper-cased `product_bucket` parameter stands in."""
+    scoped = df.selectExpr("*", f"{scope_list_sql('get(events, 0).parameters')} as _scopes")
+    from_scopes = _sorted_distinct("transform(_scopes, s -> s.product_bucket)")
+    from_param = _sorted_distinct(f"array(upper({param_sql('product_bucket', params='get(events, 0).parameters')}))")
+    buckets = f"case when size(_scopes) > 0 then {from_scopes} else {from_param} end"
+    return project_app(scoped.selectExpr("*", f"{buckets} as _buckets"), "token", _TOKEN)
 
 
 def explode_scopes(df: DataFrame) -> DataFrame:
     """One row per scope of a token activity, classified."""
-    rows = df.select(
-        parse_ts(F.col("id.time")).alias("timestamp"),
-        F.col("id.uniqueQualifier").alias("unique_id"),
-        F.inline(scope_list(F.get("events", F.lit(0))["parameters"])),
+    rows = df.selectExpr(
+        "try_to_timestamp(id.time) as timestamp",
+        "id.uniqueQualifier as unique_id",
+        f"inline({scope_list_sql('get(events, 0).parameters')})",
     )
     return conform(classify_scopes(rows), SCOPE_SCHEMA)
 
@@ -148,79 +110,65 @@ def classify_scopes(df: DataFrame, name: str = "scope_name", bucket: str = "prod
     """Add family, service and the read-only flag to rows that hold a scope name."""
     return df.withColumns(
         {
-            "scope_family": scope_family(F.col(name)),
-            "service": scope_service(F.col(name), F.col(bucket)),
-            "is_readonly": is_readonly(F.col(name)),
+            "scope_family": scope_family(df[name]),
+            "service": scope_service(df[name], df[bucket]),
+            "is_readonly": is_readonly(df[name]),
         }
     )
 
 
 def flatten_admin(df: DataFrame) -> DataFrame:
-    return project_app(base_record(df), "admin")
+    return project_app(df, "admin", {})
+
+
+_LOGIN = {
+    "login_type": param_sql("login_type"),
+    "login_challenge_methods": param_sql("login_challenge_method", "array<string>"),
+    "is_suspicious": param_sql("is_suspicious", "boolean"),
+}
 
 
 def flatten_login(df: DataFrame) -> DataFrame:
-    return project_app(
-        base_record(df).withColumns(
-            {
-                "login_type": param(_PARAMS, "login_type"),
-                "login_challenge_methods": param(_PARAMS, "login_challenge_method", "array<string>"),
-                "is_suspicious": param(_PARAMS, "is_suspicious", "boolean"),
-            }
-        ),
-        "login",
-    )
+    return project_app(df, "login", _LOGIN)
+
 
+_LABELS = "flatten(transform(resourceDetails, d -> coalesce(transform(d.appliedLabels, l -> coalesce(l.title, '')), array())))"
 
-def label_titles(details: Column) -> Column:
-    """Titles of all labels over all resources, one array, with repeats."""
-    labels = F.flatten(F.transform(details, lambda d: F.coalesce(d["appliedLabels"], F.array())))
-    return F.transform(labels, lambda x: x["title"])
+_DRIVE = {
+    **{n: param_sql(n) for n in ("user_query", "parsed_query", "originating_app_id")},
+    **{n: param_sql(n, "boolean") for n in ("primary_event", "billable", "actor_is_collaborator_account")},
+    "resource_id_count": "coalesce(size(_event.resourceIds), 0)",
+    "applied_label_count": "coalesce(size(_titles), 0)",
+    "applied_label_titles": _filled(_sorted_distinct("_titles")),
+}
 
 
 def flatten_drive(df: DataFrame) -> DataFrame:
-    texts = ("user_query", "parsed_query", "originating_app_id")
-    flags = ("primary_event", "billable", "actor_is_collaborator_account")
-    base = base_record(df).withColumn("_titles", label_titles(F.col("resourceDetails")))
-    return project_app(
-        base.withColumns(
-            {
-                **{n: param(_PARAMS, n) for n in texts},
-                **{n: param(_PARAMS, n, "boolean") for n in flags},
-                "resource_id_count": _length("resource_ids"),
-                "applied_label_count": _length("_titles"),
-                "applied_label_titles": _sorted_distinct(F.col("_titles")),
-            }
-        ),
-        "drive",
-    )
+    """Labels are counted over all resources, with their distinct titles."""
+    return project_app(df.selectExpr("*", f"{_LABELS} as _titles"), "drive", _DRIVE)
+
+
+_SAML = {
+    **{n: param_sql(n) for n in ("orgunit_path", "initiated_by", "saml_status_code", "saml_second_level_status_code")},
+    "saml_sp_name": param_sql("application_name"),
+    "saml_failure_type": param_sql("failure_type"),
+}
 
 
 def flatten_saml(df: DataFrame) -> DataFrame:
-    renamed = {"saml_sp_name": "application_name", "saml_failure_type": "failure_type"}
-    same = ("orgunit_path", "initiated_by", "saml_status_code", "saml_second_level_status_code")
-    wanted = {**renamed, **{n: n for n in same}}
-    return project_app(base_record(df).withColumns({to: param(_PARAMS, src) for to, src in wanted.items()}), "saml")
+    return project_app(df, "saml", _SAML)
 
 
 def flatten_generic(df: DataFrame) -> DataFrame:
     """All common columns plus the parameters as a name-to-text map, null when there are none."""
-    entries = F.transform(
-        _PARAMS,
-        lambda p: F.struct(
-            p["name"].alias("key"),
-            F.coalesce(
-                p["boolValue"].cast("string"),
-                p["intValue"],
-                F.to_json(p["multiValue"]),
-                F.to_json(p["multiMessageValue"]),
-                p["value"],
-            ).alias("value"),
-        ),
+    text = (
+        "coalesce(cast(p.boolValue as string), p.intValue, to_json(p.multiValue), "
+        "to_json(p.multiMessageValue), p.value)"
     )
     # repeated names: the session keeps the last (mapKeyDedupPolicy)
-    as_map = F.when(F.size(_PARAMS) > 0, F.map_from_entries(entries))
-    return base_record(df).withColumn("parameters", as_map).drop(_EV, "resourceDetails")
+    entries = f"map_from_entries(transform(_event.parameters, p -> struct(p.name, {text})))"
+    as_map = f"case when size(_event.parameters) > 0 then {entries} end"
+    return _first_event(df).selectExpr(*_named({**_BASE, "parameters": as_map}))
 
 
 FLATTENERS = {

@@ -7,75 +7,96 @@ from pyspark.sql import types as T
 APPS = ("token", "login", "saml", "admin", "drive")
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+S, B, L, I, TS = T.StringType(), T.BooleanType(), T.LongType(), T.IntegerType(), T.TimestampType()
 
 
+def _struct(**fields: T.DataType) -> T.StructType:
+    """All columns are nullable."""
+    return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
+
+
+def _texts(*names: str) -> dict[str, T.DataType]:
+    return dict.fromkeys(names, S)
+
+
+def _list(**fields: T.DataType) -> T.ArrayType:
+    return T.ArrayType(_struct(**fields))
+
+
+SL = T.ArrayType(S)
+_REASON = _struct(reasonType=S)
+_LABELS = _list(
+    **_texts("id", "title"),
+    reason=_REASON,
+    fieldValues=_list(
+        **_texts("id", "displayName", "type"),
+        selectionValue=_struct(id=S, displayName=S, badged=B),
+        reason=_REASON,
+    ),
+)
 # intValue arrives quoted or bare, so it is read as text and cast later.
+_PARAMETERS = _list(
+    name=S, value=S, boolValue=B, intValue=S, multiValue=SL,
+    multiMessageValue=_list(parameter=_list(name=S, value=S, multiValue=SL)),
+)
 RAW_ACTIVITY = _struct(
-    """
-    id STRUCT<time: STRING, uniqueQualifier: STRING, applicationName: STRING, customerId: STRING>,
-    actor STRUCT<callerType: STRING, email: STRING, profileId: STRING,
-        applicationInfo: STRUCT<oauthClientId: STRING, applicationName: STRING, impersonation: BOOLEAN>>,
-    events ARRAY<STRUCT<name: STRING, type: STRING, resourceIds: ARRAY<STRING>,
-        parameters: ARRAY<STRUCT<name: STRING, value: STRING, boolValue: BOOLEAN, intValue: STRING,
-            multiValue: ARRAY<STRING>,
-            multiMessageValue: ARRAY<STRUCT<parameter:
-                ARRAY<STRUCT<name: STRING, value: STRING, multiValue: ARRAY<STRING>>>>>>>>>,
-    ipAddress STRING,
-    networkInfo STRUCT<ipAsn: ARRAY<BIGINT>, regionCode: STRING, subdivisionCode: STRING>,
-    resourceDetails ARRAY<STRUCT<id: STRING, title: STRING, type: STRING, relation: STRING,
-        appliedLabels: ARRAY<STRUCT<id: STRING, title: STRING, reason: STRUCT<reasonType: STRING>,
-            fieldValues: ARRAY<STRUCT<id: STRING, displayName: STRING, type: STRING,
-                selectionValue: STRUCT<id: STRING, displayName: STRING, badged: BOOLEAN>,
-                reason: STRUCT<reasonType: STRING>>>>>>>,
-    kind STRING, etag STRING
-    """
+    id=_struct(**_texts("time", "uniqueQualifier", "applicationName", "customerId")),
+    actor=_struct(
+        **_texts("callerType", "email", "profileId"),
+        applicationInfo=_struct(oauthClientId=S, applicationName=S, impersonation=B),
+    ),
+    events=_list(name=S, type=S, resourceIds=SL, parameters=_PARAMETERS),
+    ipAddress=S,
+    networkInfo=_struct(ipAsn=T.ArrayType(L), regionCode=S, subdivisionCode=S),
+    resourceDetails=_list(**_texts("id", "title", "type", "relation"), appliedLabels=_LABELS),
+    kind=S,
+    etag=S,
 )
 
 CORRUPT = "_corrupt_record"
-RAW_ACTIVITY_CHECKED = T.StructType(RAW_ACTIVITY.fields + [T.StructField(CORRUPT, T.StringType())])
+RAW_ACTIVITY_CHECKED = T.StructType(RAW_ACTIVITY.fields + [T.StructField(CORRUPT, S)])
 
-_WHO = "timestamp TIMESTAMP, unique_id STRING, application_name STRING, customer_id STRING, actor_email STRING, actor_profile_id STRING"
-_WHERE = "ip_address STRING, asn BIGINT, asn_list ARRAY<BIGINT>, region_code STRING, subdivision_code STRING, event_type STRING, event_name STRING"
-_CLIENT = "oauth_client_id STRING, oauth_app_name STRING, impersonation BOOLEAN"
+_WHO = {"timestamp": TS, **_texts("unique_id", "application_name", "customer_id", "actor_email", "actor_profile_id")}
+_WHERE = {
+    "ip_address": S, "asn": L, "asn_list": T.ArrayType(L),
+    **_texts("region_code", "subdivision_code", "event_type", "event_name"),
+}
+_CLIENT = {"oauth_client_id": S, "oauth_app_name": S, "impersonation": B}
 
 EVENT_SCHEMAS = {
     "token": _struct(
-        f"{_WHO}, {_WHERE}, method_name STRING, num_bytes BIGINT, api_name STRING, client_id STRING, "
-        "accessing_app_name STRING, client_type STRING, scope_count BIGINT, product_buckets ARRAY<STRING>, "
-        "has_drive_scope BOOLEAN, has_gmail_scope BOOLEAN, has_admin_scope BOOLEAN"
+        **_WHO, **_WHERE, method_name=S, num_bytes=L, api_name=S, client_id=S, accessing_app_name=S, client_type=S,
+        scope_count=L, product_buckets=SL, has_drive_scope=B, has_gmail_scope=B, has_admin_scope=B,
     ),
-    "admin": _struct(f"{_WHO}, caller_type STRING, {_CLIENT}, {_WHERE}, resource_detail_count BIGINT"),
+    "admin": _struct(**_WHO, caller_type=S, **_CLIENT, **_WHERE, resource_detail_count=L),
     "login": _struct(
-        f"{_WHO}, {_WHERE}, resource_ids ARRAY<STRING>, resource_detail_count BIGINT, login_type STRING, "
-        "login_challenge_methods ARRAY<STRING>, is_suspicious BOOLEAN"
+        **_WHO, **_WHERE, resource_ids=SL, resource_detail_count=L, login_type=S, login_challenge_methods=SL, is_suspicious=B
     ),
     "drive": _struct(
-        f"{_WHO}, {_CLIENT}, {_WHERE}, resource_ids ARRAY<STRING>, resource_detail_count BIGINT, "
-        "user_query STRING, parsed_query STRING, primary_event BOOLEAN, billable BOOLEAN, "
-        "originating_app_id STRING, actor_is_collaborator_account BOOLEAN, resource_id_count BIGINT, "
-        "applied_label_count BIGINT, applied_label_titles ARRAY<STRING>"
+        **_WHO, **_CLIENT, **_WHERE, resource_ids=SL, resource_detail_count=L, user_query=S, parsed_query=S,
+        primary_event=B, billable=B, originating_app_id=S, actor_is_collaborator_account=B, resource_id_count=L,
+        applied_label_count=L, applied_label_titles=SL,
     ),
     "saml": _struct(
-        f"{_WHO}, {_WHERE}, saml_sp_name STRING, orgunit_path STRING, initiated_by STRING, "
-        "saml_status_code STRING, saml_second_level_status_code STRING, saml_failure_type STRING"
+        **_WHO, **_WHERE,
+        **_texts(
+            "saml_sp_name", "orgunit_path", "initiated_by", "saml_status_code", "saml_second_level_status_code",
+            "saml_failure_type",
+        ),
     ),
 }
 
 SCOPE_SCHEMA = _struct(
-    "timestamp TIMESTAMP, unique_id STRING, scope_name STRING, scope_family STRING, product_bucket STRING, "
-    "service STRING, is_readonly BOOLEAN"
+    timestamp=TS, **_texts("unique_id", "scope_name", "scope_family", "product_bucket", "service"), is_readonly=B
 )
 
 MANIFEST = _struct(
-    "start TIMESTAMP, end TIMESTAMP, run_id STRING, earliest_event_time TIMESTAMP, latest_event_time TIMESTAMP, "
-    "num_windows INT, num_events BIGINT, windows ARRAY<STRUCT<idx: INT, start: TIMESTAMP, end: TIMESTAMP>>"
+    start=TS, end=TS, run_id=S, earliest_event_time=TS, latest_event_time=TS, num_windows=I, num_events=L,
+    windows=_list(idx=I, start=TS, end=TS),
 )
 
 CONTROL = _struct(
-    "app STRING, stage STRING, cursor TIMESTAMP, last_run TIMESTAMP, run_id STRING, snapshot_path STRING, "
-    "status STRING, updated_at TIMESTAMP"
+    app=S, stage=S, cursor=TS, last_run=TS, run_id=S, snapshot_path=S, status=S, updated_at=TS
 )
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from watchspan.functions.params import scope_list_sql
 from watchspan.functions.scopes import is_readonly, scope_service_census
-from watchspan.operators.normalize import scope_list
 
 
 def scope_census(activities: DataFrame) -> DataFrame:
     """Occurrences per (scope, bucket, service, read-only), most frequent first."""
-    rows = activities.select(F.inline(scope_list(F.get("events", F.lit(0))["parameters"])))
+    rows = activities.selectExpr(f"inline({scope_list_sql('get(events, 0).parameters')})")
     name = F.col("scope_name")
     return (
         rows.groupBy(name, "product_bucket", scope_service_census(name).alias("service"), is_readonly(name).alias("is_readonly"))

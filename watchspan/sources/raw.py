@@ -49,32 +49,23 @@ def read_lines(
     return between_days(spark.read.text(_app_path(path, app)), start, end)
 
 
-def activity_error(act: Column) -> Column:
-    """Why an activity is unusable; null when it is fine."""
-    time = act["id"]["time"]
-
-    def all_set(array: Column, *fields: str) -> Column:
-        ok = F.forall(array, lambda x: F.lit(True) if not fields else _set(x, fields))
-        return F.coalesce(ok, F.lit(True))
-
-    def _set(x: Column, fields: tuple[str, ...]) -> Column:
-        good = F.lit(True)
-        for f in fields:
-            good = good & x[f].isNotNull()
-        return good
-
-    params_named = F.coalesce(F.forall(act["events"], lambda e: all_set(e["parameters"], "name")), F.lit(True))
-    labels_known = F.coalesce(F.forall(act["resourceDetails"], lambda d: all_set(d["appliedLabels"], "id")), F.lit(True))
-    return (
-        F.when(act.isNull() | act[CORRUPT].isNotNull(), "not an activity: malformed JSON or a field of the wrong type")
-        .when(time.isNull() | (time == ""), "missing activity timestamp")
-        .when(parse_ts(time).isNull(), "invalid activity timestamp")
-        .when(act["actor"].isNull(), "missing actor")
-        .when(~all_set(act["events"], "name", "type"), "event without name or type")
-        .when(~params_named, "parameter without name")
-        .when(~all_set(act["resourceDetails"], "id"), "resource without id")
-        .when(~labels_known, "label without id")
-    )
+# Rules in order; the first that holds names the error. A missing array fulfils its rules.
+_RULES = [
+    ("activity is null or activity._corrupt_record is not null", "not an activity: malformed JSON or a field of the wrong type"),
+    ("coalesce(activity.id.time, '') = ''", "missing activity timestamp"),
+    ("try_to_timestamp(activity.id.time) is null", "invalid activity timestamp"),
+    ("activity.actor is null", "missing actor"),
+    ("exists(activity.events, e -> e.name is null or e.type is null)", "event without name or type"),
+    ("exists(activity.events, e -> coalesce(exists(e.parameters, p -> p.name is null), false))", "parameter without name"),
+    ("exists(activity.resourceDetails, d -> d.id is null)", "resource without id"),
+    ("exists(activity.resourceDetails, d -> coalesce(exists(d.appliedLabels, l -> l.id is null), false))", "label without id"),
+]
+
+
+def activity_error() -> Column:
+    """Why the parsed `activity` is unusable; null when it is fine."""
+    cases = " ".join(f"when {rule} then '{text}'" for rule, text in _RULES)
+    return F.expr(f"case {cases} end")
 
 
 def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -86,7 +77,7 @@ def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     once = lines.filter(F.trim(F.col(col)) != "").select(
         F.col(col).alias("raw"), F.explode(F.array(parsed)).alias("activity")
     )
-    return once.withColumn("error", activity_error(F.col("activity")))
+    return once.withColumn("error", activity_error())
 
 
 def split_errors(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

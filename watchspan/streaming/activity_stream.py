@@ -65,3 +65,17 @@ def merge_sink(path: str, keys: list[str], newest: str = "timestamp") -> Callabl
         merge_days(batch.sparkSession, path, rows, keys, newest)
 
     return write
+
+
+def latest_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Store the updated rows of each micro-batch in its own directory, so a repeated batch replaces itself."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
+
+
+def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The newest stored row of each key."""
+    return dedup_latest(spark.read.parquet(path), keys, "batch").drop("batch")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def planned_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a frame; None where it cannot be asked."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return None
 
@@ -27,39 +27,50 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def lookup_join(
-    facts: DataFrame,
-    table: DataFrame,
-    on: list[str],
-    spread_by: str | Column,
-    hot_share: float = 0.001,
-    salts: int = 256,
+    facts: DataFrame, table: DataFrame, on: list[str], spread_by: str, count_on: DataFrame | None = None
 ) -> DataFrame:
     """Left join to a table unique on `on`; null keys never match.
 
-    A table within the broadcast limit is joined as it is and Catalyst broadcasts it. A larger one is
-    shuffled, and then no single key may fill a task: keys holding at least `hot_share` of the rows
-    (at most 1 / hot_share of them, a fixed bound) are spread over `salts` tasks and their table rows
-    repeated that often; rows with a null key are spread as well.
+    A table within the broadcast limit is joined as it is and Catalyst broadcasts it. A larger one goes
+    through `salted_lookup`. `count_on` is the frame to count hot keys on: of a chain of lookups, the one
+    before the chain, so that counting does not repeat the joins.
     """
     if fits_broadcast(table):
         return facts.join(table, on, "left")
-    return salted_lookup(facts, table, on, spread_by, hot_share, salts)
+    return salted_lookup(facts, table, on, spread_by, facts if count_on is None else count_on)
 
 
 def salted_lookup(
-    facts: DataFrame, table: DataFrame, on: list[str], spread_by: str | Column, hot_share: float, salts: int
+    facts: DataFrame,
+    table: DataFrame,
+    on: list[str],
+    spread_by: str,
+    count_on: DataFrame,
+    hot_share: float = 0.001,
+    salts: int = 256,
+    one_in: int = 64,
 ) -> DataFrame:
+    """Shuffled left join in which no single key fills a task.
+
+    Keys with at least `hot_share` of the rows, at most 1 / hot_share of them and so safe to broadcast,
+    are spread over `salts` tasks by the hash of `spread_by`, a column that varies inside a key; their
+    table rows are repeated once per salt. Rows with a null key are spread as well.
+
+    Which keys count as hot changes the balance only, never the rows, so they are looked for in every
+    `one_in`-th row. The choice is by hash of the row: both sides must see the same hot keys, also when
+    a lost task is run again.
+    """
     no_null = F.lit(True)
     for c in on:
         no_null = no_null & F.col(c).isNotNull()
-    counts = facts.filter(no_null).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_t"))
-    hot = counts.filter(F.col("_n") >= total.select(F.col("_t") * F.lit(hot_share)).scalar()).select(
-        *on, F.lit(True).alias("_hot")
-    )
+    picked = F.pmod(F.xxhash64(*on, spread_by), F.lit(one_in)) == 0
+    counts = count_on.filter(no_null & picked).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg((F.sum("_n") * F.lit(hot_share)).alias("_least"))
+    hot = counts.filter(F.col("_n") >= total.scalar()).select(*on, F.lit(True).alias("_hot"))
     hot = F.broadcast(hot)
-    spread = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    spread = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
     left = facts.join(hot, on, "left").withColumn("_salt", F.when(is_hot | ~no_null, spread).otherwise(0)).drop("_hot")
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = table.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")

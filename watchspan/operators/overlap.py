@@ -49,7 +49,7 @@ def estimate_overlap(
     wanted = F.ceil(F.col("head_gap_p") + F.lit(float(pad)))
     if cap is not None:
         wanted = F.least(wanted, F.lit(cap))
-    return per_app.withColumn("recommended_overlap_minutes", F.coalesce(wanted, F.lit(0)).cast("bigint"))
+    return per_app.withColumn("recommended_overlap_minutes", F.when(F.col("runs_used") > 0, wanted).otherwise(0).cast("bigint"))
 
 
 def estimate_overlap_total(per_app: DataFrame) -> DataFrame:

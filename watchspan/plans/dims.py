@@ -1,4 +1,8 @@
-"""Dimension tables, each one grouped aggregate over the staged sources."""
+"""Dimension tables over the staged sources.
+
+Rows are made distinct before the maxima are taken: a distinct is a hash aggregate that shrinks every
+task's rows at once, whereas a maximum of text sorts whatever it is given.
+"""
 
 from __future__ import annotations
 
@@ -16,11 +20,12 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
 
 
 def dim_user(stg: dict[str, DataFrame]) -> DataFrame:
-    """One row per (profile, email); the distinct of the sources is implied by the grouping."""
+    """One row per (profile, email)."""
     extra = {"drive": ["actor_is_collaborator_account"], "saml": ["orgunit_path"]}
     rows = _stack([stg[a].select("actor_profile_id", "actor_email", *extra.get(a, [])) for a in ("drive", "token", "admin", "saml", "login")])
     return (
-        rows.groupBy("actor_profile_id", "actor_email")
+        rows.distinct()
+        .groupBy("actor_profile_id", "actor_email")
         .agg(
             F.max("orgunit_path").alias("orgunit_path"),
             F.bool_or(F.coalesce("actor_is_collaborator_account", F.lit(False))).alias("is_collaborator"),
@@ -41,7 +46,7 @@ def dim_ip(stg: dict[str, DataFrame], keep_unknown: bool = False) -> DataFrame:
     address key; `keep_unknown` keeps them.
     """
     cols = ["ip_address", "asn", "asn_list", "region_code", "subdivision_code"]
-    rows = _stack([stg[a].select(*cols) for a in APPS]).filter(F.col("ip_address").isNotNull())
+    rows = _stack([stg[a].select(*cols) for a in APPS]).filter(F.col("ip_address").isNotNull()).distinct()
     spread = F.explode_outer if keep_unknown else F.explode
     one = rows.select(
         "ip_address", "region_code", "subdivision_code", F.col("asn").alias("primary_asn"),
@@ -70,6 +75,7 @@ def dim_application(stg: dict[str, DataFrame]) -> DataFrame:
     return (
         _stack([token, *others])
         .filter(F.col("app_id").isNotNull())
+        .distinct()
         .groupBy("app_id")
         .agg(*(F.max(c).alias(c) for c in ("app_name", "client_type", "api_name")))
         .select(surrogate_key("app_id").alias("app_key"), "*")
@@ -77,10 +83,13 @@ def dim_application(stg: dict[str, DataFrame]) -> DataFrame:
 
 
 def dim_scope(scopes: DataFrame) -> DataFrame:
+    attrs = ("scope_family", "product_bucket", "service")
     return (
-        scopes.groupBy("scope_name")
+        scopes.select("scope_name", *attrs, "is_readonly")
+        .distinct()
+        .groupBy("scope_name")
         .agg(
-            *(F.max(c).alias(c) for c in ("scope_family", "product_bucket", "service")),
+            *(F.max(c).alias(c) for c in attrs),
             F.bool_or("is_readonly").alias("is_readonly"),
         )
         .select(surrogate_key("scope_name").alias("scope_key"), "*")

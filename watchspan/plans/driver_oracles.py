@@ -657,7 +657,7 @@ for _app in APPS:
             for n, b in (("drive", "DRIVE"), ("gmail", "GMAIL"), ("admin", "GSUITE_ADMIN"))
         )
         ORACLES["flatten_token"] = typed(_cols_of, f"SELECT *, {_flags} FROM flat", EV, *STG, *SCOPE_CTES, _ROLLUP, _TOKEN_FLAT)
-ORACLES["ingested_table"] = ORACLES["flatten_token"]
+ORACLES["ingested_table"] = ORACLES["flatten_drive"]
 ORACLES["flatten_generic"] = typed(
     "unique_id:s actor_email:s asn:i n_parameters:i login_type:s is_suspicious:s",
     "SELECT unique_id, actor_email, asn, 1 + CASE WHEN login_challenge_methods IS NULL THEN 0 ELSE 1 END + "

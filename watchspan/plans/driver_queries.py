@@ -129,8 +129,11 @@ def high_risk_scopes(s: SparkSession, sf: str) -> DataFrame:
 
 
 def high_risk_pairs(s: SparkSession, sf: str) -> DataFrame:
-    rows = V.baskets(s, sf)
-    return R.high_risk_pairs(cooccurrence_daily(rows), D.dim_scope(rows), _ship_day(s, sf))
+    """On stored tables, as the report reads them: the day filter then prunes the pairs before the lookups."""
+    rows, path = V.baskets(s, sf), scratch(s)
+    cooccurrence_daily(rows).write.parquet(f"{path}/pairs")
+    D.dim_scope(rows).write.parquet(f"{path}/scopes")
+    return R.high_risk_pairs(s.read.parquet(f"{path}/pairs"), s.read.parquet(f"{path}/scopes"), _ship_day(s, sf))
 
 
 def admin_alerts(s: SparkSession, sf: str) -> DataFrame:
@@ -447,12 +450,11 @@ def mixed_shapes(s: SparkSession, sf: str) -> DataFrame:
 
 
 def ingested_table(s: SparkSession, sf: str) -> DataFrame:
-    """Raw files landed by day and hour, then parsed, deduplicated and stored by day."""
+    """Raw files landed by day, then parsed, deduplicated and stored by day."""
     path = scratch(s)
-    lines = V.raw_lines(s, sf, "token")
-    land_raw(split_errors(parse_lines(lines))[0], f"{path}/raw", "token", compress=True)
-    ingest(s, f"{path}/raw", f"{path}/processed", "token")
-    return read_processed(s, f"{path}/processed", "token").drop("event_date")
+    land_raw(_usable(s, sf, "drive"), f"{path}/raw", "drive", compress=True)
+    ingest(s, f"{path}/raw", f"{path}/processed", "drive")
+    return read_processed(s, f"{path}/processed", "drive").drop("event_date")
 
 
 def surrogate_keys(s: SparkSession, sf: str) -> DataFrame:

@@ -39,7 +39,7 @@ def _pick(index: str, *values: str) -> str:
 
 
 # Columns of every activity, over event_id, ts, user_id, event_type, value and k (from props).
-_REGION = f"case when event_id % 4 <> 0 then {_pick('user_id % 5', repr('US'), repr('DE'), repr('IN'), repr('BR'), 'null')} end"
+_REGION = f"case when event_id % 4 <> 0 then {_pick('(user_id + k % 7) % 5', repr('US'), repr('DE'), repr('IN'), repr('BR'), 'null')} end"
 _CLIENT = "case when k % 10 <> 9 then 'app' || k end"
 BASE = {
     "timestamp": "ts",
@@ -139,8 +139,8 @@ BASKET = {
     "scope_key": "p_brand",
     "scope_name": "p_brand",
     "scope_family": "substring(p_brand, 1, 7)",
-    "product_bucket": _pick("p_partkey % 5", "'GMAIL'", "'OTHER'"),
-    "service": _pick("p_size % 4", "'admin'", "'other'", "'sheets'"),
+    "product_bucket": _pick("cast(substring(p_brand, 7) as int) % 5", "'GMAIL'", "'OTHER'"),
+    "service": _pick("cast(substring(p_brand, 7) as int) % 4", "'admin'", "'other'", "'sheets'"),
     "is_readonly": "p_size % 2 = 0",
 }
 

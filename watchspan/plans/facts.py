@@ -35,8 +35,9 @@ _APP_COLUMN = {"token": "client_id", "admin": "oauth_client_id", "drive": "oauth
 
 
 def _keyed(base: DataFrame, dims: dict[str, DataFrame], spread_by: str) -> DataFrame:
-    with_user = lookup_join(base, dims["user"].select(*USER, "user_key"), USER, spread_by)
-    return lookup_join(with_user, dims["ip"].select("ip_address", "ip_key"), ["ip_address"], spread_by)
+    """Add user and address keys."""
+    rows = lookup_join(base, dims["user"].select(*USER, "user_key"), USER, spread_by)
+    return lookup_join(rows, dims["ip"].select("ip_address", "ip_key"), ["ip_address"], spread_by, base)
 
 
 def fact(
@@ -56,7 +57,10 @@ def fact(
         # the application's attributes come from the dimension, not from the event
         attrs = ["app_name", "client_type", "api_name"]
         rows = rows.withColumnRenamed(_APP_COLUMN[app], "app_id").drop("app_name", "client_type", "api_name")
-        rows = lookup_join(rows, dims["application"].select("app_id", *attrs), ["app_id"], "unique_id")
+        rows = lookup_join(
+            rows, dims["application"].select("app_id", *attrs), ["app_id"], "unique_id",
+            base.select("unique_id", F.col(_APP_COLUMN[app]).alias("app_id")),
+        )
         if app == "admin":
             rows = rows.withColumnRenamed("app_name", "oauth_app_name_dim")
     return rows.withColumn("hour_of_day", F.hour("timestamp")).select(*_TIME, "hour_of_day", *_KEYS, *_OWN[app])
@@ -73,8 +77,10 @@ def fact_scope(
     base = scopes if target is None else since_max(scopes, target, "timestamp", lookback)
     events = stg["token"].select("unique_id", *USER, "ip_address")
     rows = lookup_join(base, events, ["unique_id"], "scope_name")
-    rows = _keyed(rows, dims, "unique_id")
-    rows = lookup_join(rows, dims["scope"].select("scope_name", "scope_key"), ["scope_name"], "unique_id")
+    # scopes of one event share its user and address, so rows of a key differ by event or by scope
+    rows = rows.withColumn("_spread", F.xxhash64("unique_id", "scope_name"))
+    rows = _keyed(rows, dims, "_spread")
+    rows = lookup_join(rows, dims["scope"].select("scope_name", "scope_key"), ["scope_name"], "unique_id", base)
     return rows.select(
         surrogate_key("unique_id", "scope_name").alias("token_scope_key"),
         *_TIME,

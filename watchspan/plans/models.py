@@ -200,9 +200,10 @@ class Warehouse:
         self.view("agg_dq_dupes_30d", R.dq_dupes(t["dq_duplicate_events_daily"], today))
         self.view("agg_dq_gaps_30d", R.dq_gaps(t["dq_app_event_gaps"], today))
 
-    def checks(self) -> DataFrame:
-        """Every data-quality check over the built models."""
-        return dq_report({n: df for n, df in self.tables.items() if n in CHECKS})
+    @staticmethod
+    def checks_of(tables: dict[str, DataFrame]) -> DataFrame:
+        """Every data-quality check over built models."""
+        return dq_report({n: df for n, df in tables.items() if n in CHECKS})
 
 
 def _max_day(df: DataFrame) -> date | None:

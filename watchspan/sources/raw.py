@@ -100,13 +100,10 @@ def land_raw(df: DataFrame, path: str, app: str, compress: bool = False, level:
     if app == "token":
         out = out.withColumn("event_hour", F.date_format(ts, "HH"))
         parts.append("event_hour")
-    writer = out.write.mode("append").partitionBy(*parts)
+    # few large files per partition: AQE splits a busy one and joins small ones
+    writer = out.hint("rebalance", *parts).write.mode("append").partitionBy(*parts)
     if compress:
-        spark = df.sparkSession
-        key = "spark.hadoop.zlib.compress.level"
-        if spark.conf.get(key, None) is None:
-            writer = writer.option("zlib.compress.level", _ZLIB_LEVELS[level])
-        writer = writer.option("compression", "gzip")
+        writer = writer.option("compression", "gzip").option("zlib.compress.level", _ZLIB_LEVELS[level])
     writer.json(_app_path(path, app))
 
 
@@ -125,12 +122,12 @@ def read_raw_any(spark: SparkSession, path: str, layout: str = "lines") -> DataF
     if layout == "auto":
         lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
         broken = lines.filter((F.trim("value") != "") & F.try_parse_json("value").isNull()).select("file").distinct()
-        docs = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("file"))
+        docs = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
         text = lines.join(broken, "file", "left_anti").select("value").unionByName(
             docs.join(broken, "file", "left_semi").select("value")
         )
     else:
-        text = spark.read.option("wholetext", layout == "document").text(path)
+        text = spark.read.text(path, wholetext=layout == "document")
     return activities_of(text)
 
 

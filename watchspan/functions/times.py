@@ -32,8 +32,15 @@ def as_literal(value: str | date | datetime | Column, dtype: T.DataType) -> Colu
     return F.lit(str(value)).cast(dtype)
 
 
-def max_literal(df: DataFrame, col: str) -> Column:
-    """The column's maximum as a literal: one row reaches the driver, later filters push down."""
+def max_literal(df: DataFrame, col: str, day: str | None = None) -> Column:
+    """The column's maximum as a literal: one row reaches the driver, later filters push down.
+
+    `day` names the partition column that holds the column's date. The newest day is then found first
+    and the column is read in that partition only.
+    """
     dtype = df.schema[col].dataType
+    if day is not None:
+        newest = df.agg(F.max(day).alias("d")).first()["d"]
+        df = df.filter(F.col(day) == F.lit(newest))
     top = df.agg(F.max(col).cast("string").alias("m")).first()["m"]
     return F.lit(top).cast(dtype)

@@ -33,6 +33,15 @@ def dedup_any(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.dropDuplicates(keys)
 
 
+def fold_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows that stay distinct in the plan.
+
+    Below a maximum Catalyst drops a plain distinct as redundant. Of text a maximum is a sort aggregate,
+    so it should see the few distinct rows a hash aggregate leaves of a task's input, not all of them.
+    """
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0).drop("_n")
+
+
 def dedup_report(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows before and after removal, in one pass."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

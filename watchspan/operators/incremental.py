@@ -21,17 +21,23 @@ def with_overlap(cursor: Column, minutes: int = OVERLAP_MINUTES) -> Column:
     return cursor - F.expr(f"INTERVAL {minutes} MINUTES")
 
 
-def since_max(df: DataFrame, target: DataFrame, ts: str, lookback: str, target_ts: str | None = None) -> DataFrame:
+def since_max(
+    df: DataFrame, target: DataFrame, ts: str, lookback: str, target_ts: str | None = None, day: str | None = None
+) -> DataFrame:
     """Rows from the target's highest time minus the lookback on; all rows when it is empty.
 
-    The bound is fetched first and becomes a literal, so it reaches the scan and prunes partitions.
+    The bound is fetched first and becomes a literal, so it reaches the scan. With `day`, the date
+    partition of both tables, the bound is read from the target's newest partition and the source's
+    partitions are pruned.
     """
-    floor = high_water(target, target_ts or ts, df.schema[ts].dataType.simpleString())
-    return df.filter(F.col(ts) >= (floor - F.expr(f"INTERVAL {lookback}")))
+    floor = high_water(target, target_ts or ts, df.schema[ts].dataType.simpleString(), day) - F.expr(f"INTERVAL {lookback}")
+    rows = df if day is None else df.filter(F.col(day) >= F.to_date(floor))
+    return rows.filter(F.col(ts) >= floor)
 
 
-def high_water(target: DataFrame, ts: str, as_type: str) -> Column:
-    return F.coalesce(max_literal(target, ts), F.lit("1970-01-01").cast(target.schema[ts].dataType)).cast(as_type)
+def high_water(target: DataFrame, ts: str, as_type: str, day: str | None = None) -> Column:
+    lowest = F.lit("1970-01-01").cast(target.schema[ts].dataType)
+    return F.coalesce(max_literal(target, ts, day), lowest).cast(as_type)
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str], newest: str | None = None) -> DataFrame:

@@ -1,7 +1,7 @@
 """Dimension tables over the staged sources.
 
-Rows are made distinct before the maxima are taken: a distinct is a hash aggregate that shrinks every
-task's rows at once, whereas a maximum of text sorts whatever it is given.
+Rows are folded to distinct ones before the maxima are taken, so that what is sorted and shuffled grows
+with the dimension and not with the events.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from watchspan.functions.keys import surrogate_key
 from watchspan.functions.times import day_of_week
+from watchspan.operators.dedup import fold_rows
 from watchspan.schemas import APPS
 
 
@@ -24,7 +25,7 @@ def dim_user(stg: dict[str, DataFrame]) -> DataFrame:
     extra = {"drive": ["actor_is_collaborator_account"], "saml": ["orgunit_path"]}
     rows = _stack([stg[a].select("actor_profile_id", "actor_email", *extra.get(a, [])) for a in ("drive", "token", "admin", "saml", "login")])
     return (
-        rows.distinct()
+        fold_rows(rows)
         .groupBy("actor_profile_id", "actor_email")
         .agg(
             F.max("orgunit_path").alias("orgunit_path"),
@@ -46,7 +47,7 @@ def dim_ip(stg: dict[str, DataFrame], keep_unknown: bool = False) -> DataFrame:
     address key; `keep_unknown` keeps them.
     """
     cols = ["ip_address", "asn", "asn_list", "region_code", "subdivision_code"]
-    rows = _stack([stg[a].select(*cols) for a in APPS]).filter(F.col("ip_address").isNotNull()).distinct()
+    rows = fold_rows(_stack([stg[a].select(*cols) for a in APPS]).filter(F.col("ip_address").isNotNull()))
     spread = F.explode_outer if keep_unknown else F.explode
     one = rows.select(
         "ip_address", "region_code", "subdivision_code", F.col("asn").alias("primary_asn"),
@@ -73,9 +74,7 @@ def dim_application(stg: dict[str, DataFrame]) -> DataFrame:
     )
     others = [stg[a].select(F.col("oauth_client_id").alias("app_id"), F.col("oauth_app_name").alias("app_name")) for a in ("admin", "drive")]
     return (
-        _stack([token, *others])
-        .filter(F.col("app_id").isNotNull())
-        .distinct()
+        fold_rows(_stack([token, *others]).filter(F.col("app_id").isNotNull()))
         .groupBy("app_id")
         .agg(*(F.max(c).alias(c) for c in ("app_name", "client_type", "api_name")))
         .select(surrogate_key("app_id").alias("app_key"), "*")
@@ -85,8 +84,7 @@ def dim_application(stg: dict[str, DataFrame]) -> DataFrame:
 def dim_scope(scopes: DataFrame) -> DataFrame:
     attrs = ("scope_family", "product_bucket", "service")
     return (
-        scopes.select("scope_name", *attrs, "is_readonly")
-        .distinct()
+        fold_rows(scopes.select("scope_name", *attrs, "is_readonly"))
         .groupBy("scope_name")
         .agg(
             *(F.max(c).alias(c) for c in attrs),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from watchspan.operators.dedup import fold_rows
 from watchspan.plans.staging import stage
 from watchspan.schemas import APPS
 
@@ -194,6 +195,7 @@ def address_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses with place and network, in the shape of the address dimension."""
     rows = with_k(read(spark, sf_dir, "events")).selectExpr(*select_list(BASE, "array"))
     known = rows.filter(F.col("ip_address").isNotNull() & F.col("asn").isNotNull())
+    known = fold_rows(known.select("ip_address", "region_code", "subdivision_code", "asn"))
     return known.groupBy(F.col("ip_address").alias("ip_key")).agg(
         *(F.max(c).alias(c) for c in ("region_code", "subdivision_code", "asn"))
     )

@@ -51,7 +51,7 @@ def fact(
 
     Rows with a null profile or e-mail get no user key: equality never holds for them.
     """
-    base = stg[app] if target is None else since_max(stg[app], target, "timestamp", lookback)
+    base = stg[app] if target is None else since_max(stg[app], target, "timestamp", lookback, day="event_date")
     rows = _keyed(base, dims, "unique_id")
     if app in _APP_COLUMN:
         # the application's attributes come from the dimension, not from the event
@@ -74,7 +74,7 @@ def fact_scope(
     lookback: str = LATENESS,
 ) -> DataFrame:
     """Scope rows with the keys of the event they belong to."""
-    base = scopes if target is None else since_max(scopes, target, "timestamp", lookback)
+    base = scopes if target is None else since_max(scopes, target, "timestamp", lookback, day="event_date")
     events = stg["token"].select("unique_id", *USER, "ip_address")
     rows = lookup_join(base, events, ["unique_id"], "scope_name")
     # scopes of one event share its user and address, so rows of a key differ by event or by scope

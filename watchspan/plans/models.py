@@ -115,9 +115,8 @@ class Warehouse:
 
     def build_staging(self) -> None:
         for app in APPS:
-            rows = read_processed(self.spark, self.processed, app).drop("event_date")
-            self.view(f"stg_{app}_events", stage(rows, app))
-        scopes = read_processed(self.spark, self.processed, "token", "event_scopes").drop("event_date")
+            self.view(f"stg_{app}_events", stage(read_processed(self.spark, self.processed, app), app))
+        scopes = read_processed(self.spark, self.processed, "token", "event_scopes")
         self.view("stg_token_event_scopes", stage(scopes, "token_scopes"))
 
     def build_dims(self) -> None:
@@ -187,10 +186,10 @@ class Warehouse:
         as_of = self.as_of()
         today = F.to_date(as_of)
         token = t["fact_token_event"]
-        self.view("agg_token_top_users_48h", R.top_users(token))
-        self.view("agg_token_top_methods_48h", R.top_methods(token))
-        self.view("agg_token_top_apps_48h", R.top_apps(token))
-        self.view("agg_token_intensity_outliers_48h", R.intensity_outliers(token))
+        self.view("agg_token_top_users_48h", R.top_users(token, day="event_date"))
+        self.view("agg_token_top_methods_48h", R.top_methods(token, day="event_date"))
+        self.view("agg_token_top_apps_48h", R.top_apps(token, day="event_date"))
+        self.view("agg_token_intensity_outliers_48h", R.intensity_outliers(token, day="event_date"))
         self.view("agg_event_volume_spikes", R.volume_spikes(t["fact_event_volume_hourly"], as_of))
         self.view("agg_high_risk_scopes_7d", R.high_risk_summary(t["fact_scope_risk_daily"], today))
         self.view("agg_high_risk_scope_names_7d", R.high_risk_scopes(t["fact_token_scope"], t["dim_scope"], today))

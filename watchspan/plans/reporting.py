@@ -11,20 +11,27 @@ from watchspan.operators.joins import lookup_join
 from watchspan.operators.rank import global_rank
 
 
-def last_hours(df: DataFrame, hours: int = 48, ts: str = "timestamp") -> DataFrame:
-    """Rows of the last hours before the newest one."""
-    return df.filter(F.col(ts) >= _window(df, hours, ts)[0])
+def last_hours(df: DataFrame, hours: int = 48, ts: str = "timestamp", day: str | None = None) -> DataFrame:
+    """Rows of the last hours before the newest one; `day` is the table's date partition, if it has one."""
+    return _in_window(df, _window(df, hours, ts, day)[0], ts, day)
 
 
-def _window(df: DataFrame, hours: int, ts: str) -> tuple[Column, Column]:
-    end = max_literal(df, ts)
+def _window(df: DataFrame, hours: int, ts: str, day: str | None) -> tuple[Column, Column]:
+    end = max_literal(df, ts, day)
     return end - F.expr(f"INTERVAL {hours} HOURS"), end
 
 
-def _recent_totals(fact: DataFrame, by: list[str], hours: int, ts: str, average: bool, required: str | None = None) -> DataFrame:
+def _in_window(df: DataFrame, start: Column, ts: str, day: str | None) -> DataFrame:
+    rows = df if day is None else df.filter(F.col(day) >= F.to_date(start))
+    return rows.filter(F.col(ts) >= start)
+
+
+def _recent_totals(
+    fact: DataFrame, by: list[str], hours: int, ts: str, day: str | None, average: bool = False, required: str | None = None
+) -> DataFrame:
     """Events and bytes per group in the last hours, with the window's bounds."""
-    start, end = _window(fact, hours, ts)
-    rows = fact.filter(F.col(ts) >= start)
+    start, end = _window(fact, hours, ts, day)
+    rows = _in_window(fact, start, ts, day)
     if required:
         rows = rows.filter(F.col(required).isNotNull())
     measures = [F.count(F.lit(1)).alias("event_count"), F.sum("num_bytes").alias("total_bytes")]
@@ -43,26 +50,32 @@ def _ranked(totals: DataFrame, order: list[Column], name: str, limit: int | None
 USERS = ["actor_email", "actor_profile_id"]
 
 
-def top_users(fact: DataFrame, hours: int = 48, ts: str = "timestamp", by: list[str] = USERS, limit: int | None = None) -> DataFrame:
+def top_users(
+    fact: DataFrame, hours: int = 48, ts: str = "timestamp", by: list[str] = USERS, limit: int | None = None, day: str | None = None
+) -> DataFrame:
     """Users by events, then bytes; equal ones in the order of their names. `limit` for only the first ones."""
     order = [F.desc_nulls_last("event_count"), F.desc_nulls_last("total_bytes"), *(F.asc_nulls_last(c) for c in by)]
-    return _ranked(_recent_totals(fact, by, hours, ts, False), order, "rank_by_events", limit)
+    return _ranked(_recent_totals(fact, by, hours, ts, day), order, "rank_by_events", limit)
 
 
-def top_methods(fact: DataFrame, hours: int = 48, ts: str = "timestamp", method: str = "method_name", limit: int | None = None) -> DataFrame:
+def top_methods(
+    fact: DataFrame, hours: int = 48, ts: str = "timestamp", method: str = "method_name", limit: int | None = None, day: str | None = None
+) -> DataFrame:
     """Methods by bytes, then events."""
     order = [F.desc_nulls_last("total_bytes"), F.desc_nulls_last("event_count"), F.asc_nulls_last(method)]
-    return _ranked(_recent_totals(fact, [method], hours, ts, False, method), order, "rank_by_bytes", limit)
+    return _ranked(_recent_totals(fact, [method], hours, ts, day, required=method), order, "rank_by_bytes", limit)
 
 
-def top_apps(fact: DataFrame, hours: int = 48, ts: str = "timestamp", app: str = "app_id") -> DataFrame:
-    rows = _recent_totals(fact, [app], hours, ts, True)
+def top_apps(fact: DataFrame, hours: int = 48, ts: str = "timestamp", app: str = "app_id", day: str | None = None) -> DataFrame:
+    rows = _recent_totals(fact, [app], hours, ts, day, average=True)
     return rows.orderBy(F.desc_nulls_last("total_bytes"), F.desc_nulls_last("event_count"), F.asc_nulls_last(app))
 
 
-def intensity_outliers(fact: DataFrame, hours: int = 48, limit: int = 50, ts: str = "timestamp", app: str = "app_id") -> DataFrame:
+def intensity_outliers(
+    fact: DataFrame, hours: int = 48, limit: int = 50, ts: str = "timestamp", app: str = "app_id", day: str | None = None
+) -> DataFrame:
     """Applications with the most bytes per event."""
-    rows = _recent_totals(fact, [app], hours, ts, True)
+    rows = _recent_totals(fact, [app], hours, ts, day, average=True)
     return rows.orderBy(F.desc_nulls_last("avg_bytes_per_event"), F.asc_nulls_last(app)).limit(limit)
 
 

@@ -25,3 +25,17 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 
 def test_entry_has_rows(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["fact_token", "fact_token_scope", "geo_activity_daily", "client_scope_drift", "run_coverage"])
+def test_large_lookups_equal_sql(spark, sf_dir, con, name):
+    """The same with no table counted as small enough to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        query = QUERIES[name](spark, sf_dir)
+        assert "_salt" in query._jdf.queryExecution().analyzed().toString()
+        result = compare(query, con, ORACLES[name])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert result["ok"], result

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from watchspan.operators.incremental import resolve_start
 from watchspan.operators.quality import CHECKS
 from watchspan.plans import driver_views as V
-from watchspan.plans.ingest import ingest, processed_frames
+from watchspan.plans.ingest import ingest, load_recent, process_recent, processed_frames
 from watchspan.plans.models import Warehouse
 from watchspan.schemas import APPS, processed_schema
 from watchspan.sources import control as C
@@ -203,6 +203,31 @@ def test_stream_volume_drops_repeats(spark, tmp_path):
     assert [(r.source, r.event_hour, r.total_events) for r in got] == [("s", ts, 4)]
 
 
+def test_runs_go_from_cursor_to_cursor(spark, sf_dir, tmp_path):
+    control, raw, done, loaded = (str(tmp_path / n) for n in ("control", "raw", "processed", "loaded"))
+    good = split_errors(parse_lines(V.raw_lines(spark, sf_dir, "token")))[0]
+    cut, end = datetime(2024, 1, 12, 6), datetime(2024, 1, 31)
+
+    def run(now):
+        process_recent(spark, control, raw, done, "token", now)
+        load_recent(spark, control, done, loaded, "token", now)
+        return {r.app + "/" + r.stage: r.cursor for r in C.read_control(spark, control).collect() if r.cursor}
+
+    assert run(datetime(2024, 1, 1)) == {}
+    land_raw(good.filter(F.col("id.time") < cut.isoformat()), raw, "token")
+    first = run(cut)
+    assert set(first) == {"token/processor", "token/loader", "token_scopes/loader"}
+    land_raw(good.filter(F.col("id.time") >= (cut - timedelta(hours=5)).isoformat()), raw, "token")
+    second = run(end)
+    assert first["token/processor"] < cut < second["token/processor"]
+    for kind in ("events", "event_scopes"):
+        want = processed_frames(good, "token")[kind]
+        got = spark.read.parquet(table_path(loaded, "token", kind)).select(want.columns)
+        assert rows_of(got) == rows_of(want), kind
+    C.reset_stages(spark, control, ["token", "token_scopes"])
+    assert run(end) == second
+
+
 # --- the whole build ---
 
 

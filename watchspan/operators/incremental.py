@@ -55,7 +55,8 @@ def replace_tail(target: DataFrame, source: DataFrame, ts_col: str, start: datet
     """Target with everything after `start` taken from the source; on a first run `start` itself counts too."""
     bound = as_literal(start, target.schema[ts_col].dataType)
     ts = F.col(ts_col)
-    tail = ts >= bound if first_run else ts > bound
+    # rows without a time are never part of the tail
+    tail = F.coalesce(ts >= bound if first_run else ts > bound, F.lit(False))
     return target.filter(~tail).unionByName(source.filter(tail), allowMissingColumns=True)
 
 

@@ -1,16 +1,22 @@
-"""Raw files to processed daily tables for one application."""
+"""Raw files to processed daily tables to loaded tables, from cursor to cursor."""
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchspan.operators.dedup import dedup_latest
+from watchspan.operators.incremental import date_window, next_cursor, resolve_start
 from watchspan.operators.normalize import explode_scopes, normalize
-from watchspan.sources.processed import table_path, write_daily
+from watchspan.plans.models import Warehouse
+from watchspan.schemas import APPS, processed_schema
+from watchspan.sources import control as C
+from watchspan.sources.processed import earliest_partition, read_processed, table_path, write_daily
 from watchspan.sources.raw import parse_lines, read_lines, split_errors
+from watchspan.sources.warehouse import load, replace_days
 
 SCOPE_KEYS = ["unique_id", "scope_name", "product_bucket"]
 
@@ -35,3 +41,65 @@ def ingest(
         write_daily(df, table_path(processed, app, kind))
     good.unpersist()
     return bad
+
+
+def process_recent(
+    spark: SparkSession, control: str, raw: str, processed: str, app: str, as_of: datetime, run_id: str | None = None
+) -> DataFrame:
+    """Ingest the days since the processor's cursor and move the cursor to the newest event. Returns the dead letters.
+
+    The days read start one before the cursor, so that the days written are whole, and end with the
+    last day known to be fetched.
+    """
+    state = C.read_control(spark, control)
+    try:
+        first = earliest_partition(read_lines(spark, raw, app))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "error string, raw string")
+    start = resolve_start(state, app, "processor", as_of, first)
+    fetched = state.filter((F.col("app") == app) & (F.col("stage") == "fetcher")).agg(F.max("cursor").alias("c")).first()["c"]
+    last_event = None if fetched is None else F.lit(str(fetched)).cast("timestamp")
+    days = start.select(*date_window(F.col("start"), F.lit(str(as_of)).cast("timestamp"), last_event)).first()
+    bad = ingest(spark, raw, processed, app, *days)
+    newest = next_cursor(read_processed(spark, processed, app, since=days[0]))
+    if newest is not None:
+        C.update_control(spark, control, app, "processor", newest, run_id=run_id)
+    return bad
+
+
+def load_recent(
+    spark: SparkSession, control: str, processed: str, loaded: str, app: str, as_of: datetime, run_id: str | None = None
+) -> None:
+    """Replace the tail of the loaded tables from the loader's cursor on, with a cursor for each table.
+
+    Whole days are replaced, which covers the overlap and also the first moment of a first run.
+    """
+    for kind in ("events", "event_scopes") if app == "token" else ("events",):
+        source_path, name = table_path(processed, app, kind), app if kind == "events" else f"{app}_scopes"
+        source = load(spark, source_path, _stored_schema(app, kind))
+        if source is None:
+            continue
+        state = C.read_control(spark, control)
+        since = resolve_start(state, name, "loader", as_of, earliest_partition(source)).first()["start"].date()
+        tail = read_processed(spark, processed, app, kind, since)
+        replace_days(spark, table_path(loaded, app, kind), tail, since)
+        newest = next_cursor(tail)
+        if newest is not None:
+            C.update_control(spark, control, name, "loader", newest, run_id=run_id)
+
+
+def _stored_schema(app: str, kind: str):
+    return processed_schema(app, kind).add("event_date", "date")
+
+
+def rebuild(
+    spark: SparkSession, control: str, raw: str, processed: str, loaded: str, root: str, as_of: datetime, apps: tuple[str, ...] = APPS
+) -> dict[str, DataFrame]:
+    """Clear the processor's and loader's cursors and build everything again; the fetch cursor is kept."""
+    C.reset_stages(spark, control, [*apps, "token_scopes"])
+    for app in apps:
+        process_recent(spark, control, raw, processed, app, as_of)
+        load_recent(spark, control, processed, loaded, app, as_of)
+    return Warehouse(spark, root, loaded, full_refresh=True).build()

@@ -103,7 +103,7 @@ CONTROL = _struct(
 def processed_schema(app: str, kind: str = "events") -> T.StructType:
     """The fixed schema of a processed table."""
     if kind == "events":
-        return EVENT_SCHEMAS[app]
+        return T.StructType(list(EVENT_SCHEMAS[app].fields))
     if kind == "event_scopes" and app == "token":
-        return SCOPE_SCHEMA
+        return T.StructType(list(SCOPE_SCHEMA.fields))
     raise ValueError(f"no processed table {kind!r} for application {app!r}")

@@ -5,18 +5,17 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchspan.operators.dedup import dedup_latest
 from watchspan.operators.incremental import date_window, next_cursor, resolve_start
 from watchspan.operators.normalize import explode_scopes, normalize
 from watchspan.plans.models import Warehouse
-from watchspan.schemas import APPS, processed_schema
+from watchspan.schemas import APPS
 from watchspan.sources import control as C
-from watchspan.sources.processed import earliest_partition, read_processed, table_path, write_daily
-from watchspan.sources.raw import parse_lines, read_lines, split_errors
-from watchspan.sources.warehouse import load, replace_days
+from watchspan.sources.processed import read_processed, table_path, write_daily
+from watchspan.sources.raw import app_path, parse_lines, read_lines, split_errors
+from watchspan.sources.warehouse import replace_days, stored_days
 
 SCOPE_KEYS = ["unique_id", "scope_name", "product_bucket"]
 
@@ -52,13 +51,10 @@ def process_recent(
     last day known to be fetched.
     """
     state = C.read_control(spark, control)
-    try:
-        first = earliest_partition(read_lines(spark, raw, app))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    landed = stored_days(spark, app_path(raw, app))
+    if not landed:
         return spark.createDataFrame([], "error string, raw string")
-    start = resolve_start(state, app, "processor", as_of, first)
+    start = resolve_start(state, app, "processor", as_of, landed[0])
     fetched = state.filter((F.col("app") == app) & (F.col("stage") == "fetcher")).agg(F.max("cursor").alias("c")).first()["c"]
     last_event = None if fetched is None else F.lit(str(fetched)).cast("timestamp")
     days = start.select(*date_window(F.col("start"), F.lit(str(as_of)).cast("timestamp"), last_event)).first()
@@ -77,12 +73,12 @@ def load_recent(
     Whole days are replaced, which covers the overlap and also the first moment of a first run.
     """
     for kind in ("events", "event_scopes") if app == "token" else ("events",):
-        source_path, name = table_path(processed, app, kind), app if kind == "events" else f"{app}_scopes"
-        source = load(spark, source_path, _stored_schema(app, kind))
-        if source is None:
+        days = stored_days(spark, table_path(processed, app, kind))
+        if not days:
             continue
+        name = app if kind == "events" else f"{app}_scopes"
         state = C.read_control(spark, control)
-        since = resolve_start(state, name, "loader", as_of, earliest_partition(source)).first()["start"].date()
+        since = resolve_start(state, name, "loader", as_of, days[0]).first()["start"].date()
         tail = read_processed(spark, processed, app, kind, since)
         replace_days(spark, table_path(loaded, app, kind), tail, since)
         newest = next_cursor(tail)
@@ -90,10 +86,6 @@ def load_recent(
             C.update_control(spark, control, name, "loader", newest, run_id=run_id)
 
 
-def _stored_schema(app: str, kind: str):
-    return processed_schema(app, kind).add("event_date", "date")
-
-
 def rebuild(
     spark: SparkSession, control: str, raw: str, processed: str, loaded: str, root: str, as_of: datetime, apps: tuple[str, ...] = APPS
 ) -> dict[str, DataFrame]:

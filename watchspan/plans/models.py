@@ -18,7 +18,7 @@ from watchspan.plans.facts import all_events, fact, fact_scope
 from watchspan.plans.staging import stage
 from watchspan.schemas import APPS
 from watchspan.sources.processed import read_processed
-from watchspan.sources.warehouse import load, materialize, merge_days, replace_days
+from watchspan.sources.warehouse import load, materialize, merge_days, replace_days, stored_days
 
 FACT_ORDER = ("token", "admin", "login", "drive", "saml")
 
@@ -75,19 +75,19 @@ class Warehouse:
 
     def daily(
         self, name: str, build: Callable[[Column | None, Column | None], DataFrame], lookback: str = "daily",
-        newest_input: Callable[[], date | None] | None = None,
+        newest_input: Callable[[], date] | None = None,
     ) -> DataFrame:
         """A model keyed by day: recompute the days from the newest stored one less the lookback on.
 
         `newest_input` bounds the newest day where a model writes ahead of its input.
         """
         read_days, emit_days = LOOKBACK[lookback]
-        target = self.stored(name)
-        newest = None if target is None else _max_day(target)
-        if newest is None:
+        days = [] if self.full_refresh else stored_days(self.spark, self.path(name))
+        if not days:
             return self.table_by_day(name, build(None, None))
+        newest = days[-1]
         if newest_input is not None:
-            newest = min(newest, newest_input() or newest)
+            newest = min(newest, newest_input())
         emit_from = newest - timedelta(days=emit_days)
         read_from = newest - timedelta(days=read_days)
         replace_days(self.spark, self.path(name), build(F.lit(read_from), F.lit(emit_from)), emit_from)
@@ -175,7 +175,7 @@ class Warehouse:
                 first = None if e is None else F.date_sub(e, 1)
                 return build(app_scopes(tail(scopes, first), tail(token, first)), since=e)
 
-            self.daily(name, drift, "drift", lambda: _max_day(scopes))
+            self.daily(name, drift, "drift", lambda: stored_days(self.spark, self.path("fact_token_scope"))[-1])
         self.view("fact_geo_new_regions", A.new_regions(events, today))
         days = t["dim_time"].agg(F.min("date_day").alias("min_day"), F.max("date_day").alias("max_day"))
         self.view("dq_app_event_gaps", event_gaps(t["fact_app_activity_daily"], days, today))
@@ -203,7 +203,3 @@ class Warehouse:
     def checks_of(tables: dict[str, DataFrame]) -> DataFrame:
         """Every data-quality check over built models."""
         return dq_report({n: df for n, df in tables.items() if n in CHECKS})
-
-
-def _max_day(df: DataFrame) -> date | None:
-    return df.agg(F.max("event_date").alias("d")).first()["d"]

@@ -11,7 +11,7 @@ from watchspan.functions.times import parse_ts
 from watchspan.schemas import CORRUPT, RAW_ACTIVITY, RAW_ACTIVITY_CHECKED
 
 
-def _app_path(path: str, app: str | None) -> str:
+def app_path(path: str, app: str | None) -> str:
     return f"{path}/app={app}" if app else path
 
 
@@ -34,7 +34,7 @@ def read_raw(
     """Scan JSON lines (plain or gzip). Unparsable lines come as null rows; use read_lines to keep them."""
     partitions = [T.StructField("event_date", T.DateType())]
     schema = T.StructType(RAW_ACTIVITY.fields + partitions) if (start or end) else RAW_ACTIVITY
-    df = spark.read.schema(schema).json(_app_path(path, app))
+    df = spark.read.schema(schema).json(app_path(path, app))
     return between_days(df, start, end)
 
 
@@ -46,7 +46,7 @@ def read_lines(
     end: date | str | None = None,
 ) -> DataFrame:
     """The same files as text, one `value` per activity, for parsing that keeps bad lines."""
-    return between_days(spark.read.text(_app_path(path, app)), start, end)
+    return between_days(spark.read.text(app_path(path, app)), start, end)
 
 
 # Rules in order; the first that holds names the error. A missing array fulfils its rules.
@@ -104,7 +104,7 @@ def land_raw(df: DataFrame, path: str, app: str, compress: bool = False, level:
     writer = out.hint("rebalance", *parts).write.mode("append").partitionBy(*parts)
     if compress:
         writer = writer.option("compression", "gzip").option("zlib.compress.level", _ZLIB_LEVELS[level])
-    writer.json(_app_path(path, app))
+    writer.json(app_path(path, app))
 
 
 # Hadoop's names of the gzip levels.

@@ -49,6 +49,17 @@ def write_days(df: DataFrame, path: str, day: str = DAY) -> None:
     writer.parquet(path)
 
 
+def stored_days(spark: SparkSession, path: str, day: str = DAY) -> list[date]:
+    """The days a partitioned table holds, from its file listing; no file is opened."""
+    try:
+        files = spark.read.format("binaryFile").load(path).select("path", day)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return sorted(_days(files, day))
+
+
 def _days(df: DataFrame, day: str) -> set[date]:
     # one value per calendar day
     return {r[0] for r in df.select(day).distinct().collect()}
@@ -99,13 +110,12 @@ def replace_days(spark: SparkSession, path: str, df: DataFrame, since: date | No
     For aggregates whose key contains the day: every day in range is computed anew, so this equals a
     merge on the key, needs no read of the old rows, and leaves no outdated group behind.
     """
-    old = load(spark, path)
-    if old is None or since is None:
+    if since is None or load(spark, path) is None:
         write_days(df, path, day)
         return
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stale = _days(old.filter(F.col(day) >= F.lit(since)), day) - _days(df, day)
+        stale = {d for d in stored_days(spark, path, day) if d >= since} - _days(df, day)
         write_days(df, path, day)
         _drop_days(spark, path, stale, day)
     finally:

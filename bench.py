@@ -22,11 +22,11 @@ from watchspan.session import local_session  # noqa: E402
 from watchspan.sources.raw import parse_lines, split_errors  # noqa: E402
 
 HEADLINE = [
-    "top_users", "top_user", "top_methods", "top_method", "top_apps", "volume_spikes",
     "user_activity_daily", "app_activity_daily", "ip_activity_daily", "geo_activity_daily", "event_volume_hourly",
     "scope_usage_daily", "scope_risk_daily", "scope_cooccurrence", "high_risk_pairs",
     "app_baseline", "user_baseline", "scope_drift_daily", "event_gaps",
     "dim_user", "dim_ip", "fact_token", "fact_token_scope", "incremental_upsert", "latest_rows",
+    "volume_spikes", "top_apps", "top_users", "top_methods", "top_user", "top_method",
 ]
 
 

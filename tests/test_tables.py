@@ -54,6 +54,15 @@ def test_merge_days_moves_keys_and_drops_emptied_days(spark, tmp_path):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_merge_days_can_keep_the_newest(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge_days(spark, path, day_rows(spark, ("a", 3, 1), ("b", 0, 1)), ["k"], "timestamp", keep_newest=True)
+    merge_days(spark, path, day_rows(spark, ("a", 1, 2), ("b", 2, 2)), ["k"], "timestamp", keep_newest=True)
+    assert rows_of(spark.read.parquet(path), "k", "v") == [("a", 1), ("b", 2)]
+    merge_days(spark, path, day_rows(spark, ("a", 1, 2)), ["k"], "timestamp")
+    assert rows_of(spark.read.parquet(path), "k", "v") == [("a", 2), ("b", 2)]
+
+
 def test_merge_days_adds_columns(spark, tmp_path):
     path = str(tmp_path / "t")
     merge_days(spark, path, day_rows(spark, ("a", 0, 1)), ["k"])

@@ -74,13 +74,19 @@ def _drop_days(spark: SparkSession, path: str, days: set[date], day: str) -> Non
 
 
 def merge_days(
-    spark: SparkSession, path: str, updates: DataFrame, keys: list[str], newest: str | None = None, day: str = DAY
+    spark: SparkSession, path: str, updates: DataFrame, keys: list[str], newest: str | None = None,
+    keep_newest: bool = False, day: str = DAY,
 ) -> None:
     """Merge on unique keys: update every column of matching rows, insert the rest.
 
+    Of updates with the same key the one latest in `newest` counts. With `keep_newest` a stored row
+    that is later than its update stays, so the order of arrival does not matter.
+
     A key may move to another day, so the days that hold a matching key are looked up first (only the
     key columns are read); these and the days of the updates are rewritten, all others stay as they are.
     """
+    if keep_newest and newest is None:
+        raise ValueError("keep_newest needs the column to compare")
     old = load(spark, path, updates.schema)
     fresh = dedup_latest(updates, keys, newest)
     if old is None:
@@ -92,8 +98,12 @@ def merge_days(
         touched = _days(fresh.select(day).union(matched.select(day)), day)
         if not touched:
             return
-        kept = old.filter(F.col(day).isin(*touched)).join(fresh.select(*keys), keys, "left_anti")
-        merged = kept.unionByName(fresh).persist(StorageLevel.MEMORY_AND_DISK)
+        there = old.filter(F.col(day).isin(*touched))
+        if keep_newest:
+            merged = dedup_latest(there.unionByName(fresh), keys, newest)
+        else:
+            merged = there.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
+        merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             filled = _days(merged, day)
             write_days(merged, path, day)

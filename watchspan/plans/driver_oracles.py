@@ -152,13 +152,12 @@ ORACLES["event_volume_hourly"] = typed(
 )
 ORACLES["volume_spikes"] = typed(
     "source:s event_hour:t event_date:d total_events:i distinct_events:i mean_events:f std_events:f z_score:f",
-    "SELECT r.source, event_hour, event_date, total_events, distinct_events, mean_events, std_events, "
-    "(total_events - mean_events) / std_events AS z_score FROM base r JOIN stats s ON s.source = r.source "
+    "SELECT *, (total_events - mean_events) / std_events AS z_score FROM week "
     "WHERE event_hour >= (SELECT t FROM newest) - INTERVAL 48 HOUR AND std_events > 0 "
-    f"AND total_events > mean_events + {SPIKE_SIGMA} * std_events",
+    f"AND total_events - mean_events > {SPIKE_SIGMA} * std_events",
     EV, AUDIT_CTE, _HOURLY, "newest AS (SELECT max(ts) AS t FROM events)",
-    "base AS (SELECT * FROM hourly WHERE event_hour >= (SELECT t FROM newest) - INTERVAL 7 DAY)",
-    "stats AS (SELECT source, avg(total_events) AS mean_events, stddev_pop(total_events) AS std_events FROM base GROUP BY source)",
+    "week AS (SELECT *, avg(total_events) OVER own AS mean_events, stddev_pop(total_events) OVER own AS std_events FROM hourly "
+    "WHERE event_hour >= (SELECT t FROM newest) - INTERVAL 7 DAY WINDOW own AS (PARTITION BY source))",
 )
 
 _TODAY = "today AS (SELECT CAST(max(ts) AS DATE) AS d FROM events)"
@@ -247,8 +246,8 @@ _RISK = (
     f"risk AS (SELECT {key('event_date')} AS scope_risk_day_key, event_date, count(*) AS total_scope_usages, "
     "count(DISTINCT unique_id) AS distinct_events, count(DISTINCT user_key) AS distinct_users, "
     "count(*) FILTER (WHERE risky) AS high_risk_scope_usages, count(DISTINCT CASE WHEN risky THEN unique_id END) AS high_risk_events "
-    "FROM (SELECT *, CASE WHEN product_bucket IN ('GSUITE_ADMIN', 'DRIVE', 'GMAIL') THEN true "
-    "WHEN service IN ('admin', 'drive', 'gmail') THEN true ELSE false END AS risky FROM baskets) f GROUP BY event_date)"
+    "FROM (SELECT *, coalesce(product_bucket IN ('GSUITE_ADMIN', 'DRIVE', 'GMAIL'), false) "
+    "OR coalesce(service IN ('admin', 'drive', 'gmail'), false) AS risky FROM baskets) f GROUP BY event_date)"
 )
 ORACLES["scope_risk_daily"] = typed(
     "scope_risk_day_key:s event_date:d total_scope_usages:i distinct_events:i distinct_users:i high_risk_scope_usages:i high_risk_events:i",
@@ -260,8 +259,8 @@ ORACLES["high_risk_summary"] = typed(
     "SELECT sum(total_scope_usages) AS total_scope_usages, sum(distinct_events) AS distinct_events, "
     "sum(distinct_users) AS distinct_users, sum(high_risk_scope_usages) AS high_risk_scope_usages, "
     "sum(high_risk_events) AS high_risk_events, "
-    "CASE WHEN sum(total_scope_usages) = 0 THEN NULL ELSE CAST(sum(high_risk_scope_usages) AS DOUBLE) / sum(total_scope_usages) END AS pct_high_risk_scopes, "
-    "CASE WHEN sum(distinct_events) = 0 THEN NULL ELSE CAST(sum(high_risk_events) AS DOUBLE) / sum(distinct_events) END AS pct_high_risk_events, "
+    "CAST(sum(high_risk_scope_usages) AS DOUBLE) / nullif(sum(total_scope_usages), 0) AS pct_high_risk_scopes, "
+    "CAST(sum(high_risk_events) AS DOUBLE) / nullif(sum(distinct_events), 0) AS pct_high_risk_events, "
     "min(event_date) AS window_start, max(event_date) AS window_end FROM risk WHERE event_date >= (SELECT d FROM today) - INTERVAL 7 DAY",
     BASKETS, _RISK, _SHIP,
 )
@@ -311,7 +310,7 @@ def _windowed(entity: str, source: str) -> str:
         for col, many, one in _MEASURES:
             mean, std = f"mean_{many}_{n}d", f"std_{many}_{n}d"
             for den, name in ((std, "z_score"), (mean, "pct_change")):
-                scores.append(f"CASE WHEN {den} IS NULL OR {den} = 0 THEN NULL ELSE ({col} - {mean}) / {den} END AS {one}_{name}_{n}d")
+                scores.append(f"({col} - {mean}) / nullif({den}, 0) AS {one}_{name}_{n}d")
     return f"SELECT *, {', '.join(scores)} FROM (SELECT *, {frames} FROM {source}) w"
 
 
@@ -337,8 +336,11 @@ def _new(item: str, table: str, name: str) -> str:
     )
 
 
+_PARTS = ("volume", "apps_used", "scopes_used", "nets_used", "fresh_apps", "fresh_scopes", "fresh_nets")
+
+
 def _left(table: str) -> str:
-    return f"LEFT JOIN {table} ON {table}.user_key = u.user_key AND {table}.event_date = u.event_date"
+    return f"LEFT JOIN {table} USING (user_key, event_date)"
 
 
 ORACLES["novelty"] = typed(
@@ -352,42 +354,44 @@ ORACLES["user_baseline"] = typed(
     _windowed("user_key", "daily"), EV, AUDIT_CTE, _USER_DAILY, ADDRESS, _TODAY, *SCOPE_CTES,
     "user_scopes AS (SELECT a.user_key, a.event_date, s.scope_name FROM scope_rows s JOIN audit a ON a.unique_id = s.unique_id WHERE a.source = 'token')",
     "user_asns AS (SELECT a.user_key, a.event_date, d.asn FROM audit a JOIN address d ON d.ip_key = a.ip_key)",
-    "t AS (SELECT user_key, event_date, CAST(sum(coalesce(num_bytes, 0)) AS BIGINT) AS token_total_bytes, count(DISTINCT app_id) AS token_distinct_apps "
+    "volume AS (SELECT user_key, event_date, CAST(sum(coalesce(num_bytes, 0)) AS BIGINT) AS token_total_bytes, count(DISTINCT app_id) AS token_distinct_apps "
     "FROM audit WHERE source = 'token' AND user_key IS NOT NULL GROUP BY user_key, event_date)",
-    "p AS (SELECT user_key, event_date, count(DISTINCT app_id) AS n FROM audit WHERE user_key IS NOT NULL AND app_id IS NOT NULL GROUP BY user_key, event_date)",
-    "s AS (SELECT user_key, event_date, count(DISTINCT scope_name) AS n FROM user_scopes WHERE user_key IS NOT NULL GROUP BY user_key, event_date)",
-    "n AS (SELECT user_key, event_date, count(DISTINCT asn) AS n FROM user_asns WHERE user_key IS NOT NULL AND asn IS NOT NULL GROUP BY user_key, event_date)",
-    _new("app_id", "audit", "na"), _new("scope_name", "user_scopes", "ns"), _new("asn", "user_asns", "nx"),
-    f"daily AS (SELECT {key('u.user_key', 'u.event_date')} AS user_baseline_day_key, u.user_key, u.event_date, u.total_events, "
-    "coalesce(t.token_total_bytes, 0) AS token_total_bytes, coalesce(t.token_distinct_apps, 0) AS token_distinct_apps, "
-    "coalesce(p.n, 0) AS all_source_distinct_apps, coalesce(s.n, 0) AS token_distinct_scopes, coalesce(n.n, 0) AS all_source_distinct_asns, "
-    f"coalesce(na.n, 0) AS new_apps_count_{NOVELTY_DAYS}d, coalesce(ns.n, 0) AS new_scopes_count_{NOVELTY_DAYS}d, coalesce(nx.n, 0) AS new_asns_count_{NOVELTY_DAYS}d "
-    f"FROM (SELECT * FROM user_daily WHERE user_key IS NOT NULL) u {' '.join(_left(x) for x in ('t', 'p', 's', 'n', 'na', 'ns', 'nx'))})",
+    "apps_used AS (SELECT user_key, event_date, count(DISTINCT app_id) AS n FROM audit WHERE user_key IS NOT NULL AND app_id IS NOT NULL GROUP BY user_key, event_date)",
+    "scopes_used AS (SELECT user_key, event_date, count(DISTINCT scope_name) AS n FROM user_scopes WHERE user_key IS NOT NULL GROUP BY user_key, event_date)",
+    "nets_used AS (SELECT user_key, event_date, count(DISTINCT asn) AS n FROM user_asns WHERE user_key IS NOT NULL AND asn IS NOT NULL GROUP BY user_key, event_date)",
+    _new("app_id", "audit", "fresh_apps"), _new("scope_name", "user_scopes", "fresh_scopes"), _new("asn", "user_asns", "fresh_nets"),
+    f"daily AS (SELECT {key('user_key', 'event_date')} AS user_baseline_day_key, user_key, event_date, u.total_events, "
+    "coalesce(volume.token_total_bytes, 0) AS token_total_bytes, coalesce(volume.token_distinct_apps, 0) AS token_distinct_apps, "
+    "coalesce(apps_used.n, 0) AS all_source_distinct_apps, coalesce(scopes_used.n, 0) AS token_distinct_scopes, coalesce(nets_used.n, 0) AS all_source_distinct_asns, "
+    f"coalesce(fresh_apps.n, 0) AS new_apps_count_{NOVELTY_DAYS}d, coalesce(fresh_scopes.n, 0) AS new_scopes_count_{NOVELTY_DAYS}d, coalesce(fresh_nets.n, 0) AS new_asns_count_{NOVELTY_DAYS}d "
+    f"FROM (SELECT * FROM user_daily WHERE user_key IS NOT NULL) u {' '.join(_left(x) for x in _PARTS)})",
 )
 
 
 def _drift_ctes(days: str) -> list[str]:
+    def other_day(shift: str) -> str:
+        return (
+            "EXISTS (SELECT 1 FROM days o WHERE o.app_id = d.app_id AND o.scope_key = d.scope_key "
+            f"AND o.event_date = d.event_date {shift} INTERVAL 1 DAY)"
+        )
+
     return [
         days,
-        "added AS (SELECT c.* FROM days c LEFT JOIN days p ON p.app_id = c.app_id AND p.scope_key = c.scope_key "
-        "AND p.event_date = c.event_date - INTERVAL 1 DAY WHERE p.scope_key IS NULL)",
-        "removed AS (SELECT p.app_id, p.scope_key, CAST(p.event_date + INTERVAL 1 DAY AS DATE) AS event_date FROM days p LEFT JOIN days c ON c.app_id = p.app_id "
-        "AND c.scope_key = p.scope_key AND c.event_date = p.event_date + INTERVAL 1 DAY WHERE c.scope_key IS NULL)",
-        "sc AS (SELECT app_id, event_date, count(*) AS n FROM days GROUP BY ALL)",
-        "pc AS (SELECT app_id, CAST(event_date + INTERVAL 1 DAY AS DATE) AS event_date, n FROM sc)",
-        "ns AS (SELECT app_id, event_date, count(*) AS n FROM added GROUP BY ALL)",
-        "rs AS (SELECT app_id, event_date, count(*) AS n FROM removed GROUP BY ALL)",
+        "marked AS (SELECT d.*, CAST(d.event_date + INTERVAL 1 DAY AS DATE) AS next_date, "
+        f"NOT {other_day('-')} AS appears, NOT {other_day('+')} AS goes FROM days d)",
+        "cells AS (SELECT app_id, event_date FROM marked UNION SELECT app_id, next_date FROM marked WHERE goes)",
     ]
 
 
+def _count_of(day: str, flag: str = "true") -> str:
+    return f"(SELECT count(*) FROM marked m WHERE m.app_id = c.app_id AND m.{day} = c.event_date AND {flag})"
+
+
 _DRIFT_BODY = (
-    f"SELECT {key('app_id', 'event_date')} AS app_scope_drift_day_key, *, new_scopes_count - removed_scopes_count AS net_scope_change, "
-    "new_scopes_count > 0 OR removed_scopes_count > 0 AS has_scope_drift FROM ("
-    "SELECT coalesce(sc.app_id, ns.app_id, rs.app_id) AS app_id, coalesce(sc.event_date, ns.event_date, rs.event_date) AS event_date, "
-    "coalesce(sc.n, 0) AS total_scopes, coalesce(pc.n, 0) AS prior_day_scopes, coalesce(ns.n, 0) AS new_scopes_count, coalesce(rs.n, 0) AS removed_scopes_count "
-    "FROM sc FULL OUTER JOIN ns ON ns.app_id = sc.app_id AND ns.event_date = sc.event_date "
-    "FULL OUTER JOIN rs ON rs.app_id = coalesce(sc.app_id, ns.app_id) AND rs.event_date = coalesce(sc.event_date, ns.event_date) "
-    "LEFT JOIN pc ON pc.app_id = coalesce(sc.app_id, ns.app_id, rs.app_id) AND pc.event_date = coalesce(sc.event_date, ns.event_date, rs.event_date)) m"
+    f"SELECT {key('app_id', 'event_date')} AS app_scope_drift_day_key, *, total_scopes - prior_day_scopes AS net_scope_change, "
+    "new_scopes_count + removed_scopes_count > 0 AS has_scope_drift FROM (SELECT c.app_id, c.event_date, "
+    f"{_count_of('event_date')} AS total_scopes, {_count_of('next_date')} AS prior_day_scopes, "
+    f"{_count_of('event_date', 'appears')} AS new_scopes_count, {_count_of('next_date', 'goes')} AS removed_scopes_count FROM cells c) x"
 )
 _DRIFT_COLS = (
     "app_scope_drift_day_key:s app_id:s event_date:d total_scopes:i prior_day_scopes:i new_scopes_count:i removed_scopes_count:i "
@@ -400,8 +404,8 @@ ORACLES["scope_drift_daily"] = typed(_DRIFT_COLS, _DRIFT_BODY, EV, *_drift_ctes(
 ORACLES["scope_drift_items"] = typed(
     "app_scope_drift_scope_day_key:s app_id:s event_date:d scope_key:s change_type:s",
     f"SELECT {key('app_id', 'event_date', 'scope_key', 'change_type')} AS app_scope_drift_scope_day_key, * FROM ("
-    "SELECT app_id, event_date, scope_key, 'added' AS change_type FROM added UNION ALL "
-    "SELECT app_id, event_date, scope_key, 'removed' FROM removed) c",
+    "SELECT app_id, event_date, scope_key, 'added' AS change_type FROM marked WHERE appears UNION ALL "
+    "SELECT app_id, next_date, scope_key, 'removed' FROM marked WHERE goes) c",
     EV, *_drift_ctes(_TYPE_DAYS),
 )
 ORACLES["client_scope_drift"] = typed(
@@ -415,11 +419,10 @@ ORACLES["client_scope_drift"] = typed(
 # --- data quality ---
 
 _GAPS = (
-    "gaps AS (SELECT c.user_key, c.event_date, coalesce(o.total_events, 0) AS total_events FROM ("
-    "SELECT a.user_key, d.event_date FROM (SELECT DISTINCT user_key FROM user_daily) a CROSS JOIN ("
-    "SELECT CAST(unnest(generate_series((SELECT min(CAST(ts AS DATE)) FROM events), (SELECT max(CAST(ts AS DATE)) FROM events), INTERVAL 1 DAY)) AS DATE) AS event_date) d "
-    "WHERE d.event_date >= (SELECT d FROM today) - INTERVAL 30 DAY) c "
-    "LEFT JOIN user_daily o ON o.user_key = c.user_key AND o.event_date = c.event_date WHERE coalesce(o.total_events, 0) = 0)"
+    "gaps AS (SELECT u.user_key, d.event_date, 0 AS total_events FROM (SELECT user_key FROM user_daily GROUP BY user_key) u, "
+    "(SELECT CAST(unnest(generate_series((SELECT min(CAST(ts AS DATE)) FROM events), (SELECT d FROM today), INTERVAL 1 DAY)) AS DATE) AS event_date) d "
+    "WHERE d.event_date >= (SELECT d FROM today) - INTERVAL 30 DAY AND NOT EXISTS (SELECT 1 FROM user_daily o "
+    "WHERE o.user_key = u.user_key AND o.event_date = d.event_date AND o.total_events > 0))"
 )
 _GAP_COLS = "user_key:s event_date:d total_events:i"
 ORACLES["event_gaps"] = typed(_GAP_COLS, "SELECT * FROM gaps", EV, AUDIT_CTE, _USER_DAILY, _TODAY, _GAPS)
@@ -464,31 +467,29 @@ ORACLES["misplaced_rows"] = typed("event_id:i ts:t", "SELECT event_id, ts FROM e
 
 _DIM_USER = (
     f"dim_user AS (SELECT {key('actor_profile_id', 'actor_email')} AS user_key, actor_profile_id, actor_email, "
-    "max(orgunit_path) AS orgunit_path, bool_or(coalesce(collaborator, false)) AS is_collaborator FROM ("
-    + " UNION ".join(
-        f"SELECT actor_profile_id, actor_email, {o} AS orgunit_path, {c} AS collaborator FROM stg_{a}"
-        for a, o, c in (
-            ("drive", "CAST(NULL AS VARCHAR)", "actor_is_collaborator_account"),
-            ("token", "NULL", "NULL"), ("admin", "NULL", "NULL"), ("saml", "orgunit_path", "NULL"), ("login", "NULL", "NULL"),
+    "max(orgunit_path) AS orgunit_path, count(*) FILTER (WHERE actor_is_collaborator_account) > 0 AS is_collaborator FROM ("
+    + " UNION ALL BY NAME ".join(
+        f"SELECT actor_profile_id, actor_email{more} FROM stg_{a}"
+        for a, more in (
+            ("login", ""), ("token", ""), ("admin", ""), ("saml", ", orgunit_path"), ("drive", ", actor_is_collaborator_account"),
         )
     )
-    + ") u GROUP BY actor_profile_id, actor_email)"
+    + ") x GROUP BY actor_profile_id, actor_email)"
 )
+_ALL_IPS = " UNION ALL ".join(f"SELECT ip_address, asn, asn_list, region_code, subdivision_code FROM stg_{a}" for a in APPS)
 _DIM_IP = (
-    f"dim_ip AS (SELECT {key('ip_address')} AS ip_key, ip_address, "
-    "coalesce(max(CASE WHEN candidate <> 0 THEN candidate END), nullif(max(primary_asn), 0)) AS asn, "
+    f"seen AS ({_ALL_IPS}), dim_ip AS (SELECT {key('ip_address')} AS ip_key, ip_address, "
+    "CASE WHEN max(number) > 0 THEN max(number) WHEN max(asn) > 0 THEN max(asn) END AS asn, "
     "max(region_code) AS region_code, max(subdivision_code) AS subdivision_code, "
-    "bool_or(candidate = 0 OR primary_asn = 0 OR primary_asn IS NULL) AS has_unknown_asn FROM ("
-    "SELECT ip_address, region_code, subdivision_code, asn AS primary_asn, "
-    "unnest(CASE WHEN asn_list IS NOT NULL THEN asn_list WHEN asn IS NOT NULL THEN [asn] ELSE [] END) AS candidate FROM ("
-    + " UNION ".join(f"SELECT ip_address, asn, asn_list, region_code, subdivision_code FROM stg_{a}" for a in APPS)
-    + ") i) c WHERE ip_address IS NOT NULL GROUP BY ip_address)"
+    "count(*) FILTER (WHERE number = 0 OR coalesce(asn, 0) = 0) > 0 AS has_unknown_asn FROM ("
+    "SELECT *, unnest(asn_list) AS number FROM seen WHERE asn_list IS NOT NULL UNION ALL "
+    "SELECT *, asn AS number FROM seen WHERE asn_list IS NULL AND asn IS NOT NULL) x WHERE ip_address IS NOT NULL GROUP BY ip_address)"
 )
 _DIM_APP = (
     f"dim_app AS (SELECT {key('app_id')} AS app_key, app_id, max(app_name) AS app_name, max(client_type) AS client_type, max(api_name) AS api_name FROM ("
-    "SELECT client_id AS app_id, accessing_app_name AS app_name, client_type, api_name FROM stg_token UNION "
-    "SELECT oauth_client_id, oauth_app_name, NULL, NULL FROM stg_admin UNION "
-    "SELECT oauth_client_id, oauth_app_name, NULL, NULL FROM stg_drive) a WHERE app_id IS NOT NULL GROUP BY app_id)"
+    "SELECT client_id AS app_id, accessing_app_name AS app_name, client_type, api_name FROM stg_token UNION ALL BY NAME "
+    "SELECT oauth_client_id AS app_id, oauth_app_name AS app_name FROM stg_admin UNION ALL BY NAME "
+    "SELECT oauth_client_id AS app_id, oauth_app_name AS app_name FROM stg_drive) x WHERE app_id IS NOT NULL GROUP BY app_id)"
 )
 ORACLES["dim_user"] = typed(
     "user_key:s actor_profile_id:s actor_email:s orgunit_path:s is_collaborator:b", "SELECT * FROM dim_user", EV, *STG, _DIM_USER
@@ -502,11 +503,10 @@ ORACLES["dim_application"] = typed(
 ORACLES["dim_time"] = typed(
     "date_day:d year:i month:i day_of_month:i day_of_year:i week_of_year:i day_of_week:i day_name:s month_name:s is_weekend:b "
     "week_start:d month_start:d quarter_start:d is_month_start:b is_month_end:b",
-    "SELECT d AS date_day, extract(year FROM d) AS year, extract(month FROM d) AS month, extract(day FROM d) AS day_of_month, "
-    "extract(doy FROM d) AS day_of_year, extract(week FROM d) AS week_of_year, extract(dow FROM d) AS day_of_week, "
-    "strftime(d, '%A') AS day_name, strftime(d, '%B') AS month_name, extract(dow FROM d) IN (6, 0) AS is_weekend, "
-    "date_trunc('week', d) AS week_start, date_trunc('month', d) AS month_start, date_trunc('quarter', d) AS quarter_start, "
-    "d = date_trunc('month', d) AS is_month_start, d = date_trunc('month', d) + INTERVAL 1 MONTH - INTERVAL 1 DAY AS is_month_end "
+    "SELECT d AS date_day, year(d) AS year, month(d) AS month, day(d) AS day_of_month, dayofyear(d) AS day_of_year, "
+    "weekofyear(d) AS week_of_year, dayofweek(d) AS day_of_week, dayname(d) AS day_name, monthname(d) AS month_name, "
+    "isodow(d) > 5 AS is_weekend, d - CAST(isodow(d) - 1 AS INTEGER) AS week_start, make_date(year(d), month(d), 1) AS month_start, "
+    "make_date(year(d), 3 * quarter(d) - 2, 1) AS quarter_start, day(d) = 1 AS is_month_start, last_day(d) = d AS is_month_end "
     "FROM (SELECT CAST(unnest(generate_series((SELECT min(CAST(ts AS DATE)) FROM events), (SELECT max(CAST(ts AS DATE)) FROM events), INTERVAL 1 DAY)) AS DATE) AS d) x",
 )
 
@@ -515,8 +515,8 @@ _FACT_TIME_COLS = "unique_id:s timestamp:t event_date:d event_hour:t hour_of_day
 _FACT_WHO = "u.user_key, i.ip_key, b.actor_profile_id, b.actor_email, b.ip_address, b.customer_id"
 _FACT_WHO_COLS = " actor_profile_id:s actor_email:s ip_address:s customer_id:s"
 _FACT_JOINS = (
-    "LEFT JOIN dim_user u ON u.actor_profile_id = b.actor_profile_id AND u.actor_email = b.actor_email "
-    "LEFT JOIN dim_ip i ON i.ip_address = b.ip_address"
+    "LEFT JOIN (SELECT actor_profile_id, actor_email, user_key FROM dim_user) u USING (actor_profile_id, actor_email) "
+    "LEFT JOIN (SELECT ip_address, ip_key FROM dim_ip) i USING (ip_address)"
 )
 _KIND = {"string": "s", "bigint": "i", "boolean": "b", "timestamp": "t"}
 
@@ -556,9 +556,8 @@ ORACLES["incremental_upsert"] = ORACLES["fact_token"]
 ORACLES["fact_token_scope"] = typed(
     f"token_scope_key:s {_FACT_TIME_COLS} scope_key:s scope_name:s scope_family:s product_bucket:s service:s is_readonly:b",
     f"SELECT {key('b.unique_id', 'b.scope_name')} AS token_scope_key, {_FACT_TIME}, u.user_key, i.ip_key, {key('b.scope_name')} AS scope_key, "
-    "b.scope_name, b.scope_family, b.product_bucket, b.service, b.is_readonly FROM scope_rows b LEFT JOIN stg_token e ON e.unique_id = b.unique_id "
-    "LEFT JOIN dim_user u ON u.actor_profile_id = e.actor_profile_id AND u.actor_email = e.actor_email "
-    "LEFT JOIN dim_ip i ON i.ip_address = e.ip_address",
+    "b.scope_name, b.scope_family, b.product_bucket, b.service, b.is_readonly FROM scope_rows b "
+    f"LEFT JOIN (SELECT unique_id, actor_profile_id, actor_email, ip_address FROM stg_token) e USING (unique_id) {_FACT_JOINS}",
     EV, *STG, *SCOPE_CTES, _DIM_USER, _DIM_IP,
 )
 

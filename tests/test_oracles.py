@@ -5,7 +5,10 @@ from oracle import compare, connect
 
 import __spark_entry__ as entry_module
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+from watchspan.plans.driver_oracles import ORACLES
+from watchspan.plans.driver_queries import all_queries
+
+QUERIES = all_queries()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +20,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, con, name):
     result = compare(QUERIES[name](spark, sf_dir), con, ORACLES[name])

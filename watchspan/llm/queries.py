@@ -4,11 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchspan.llm.common import documents
+from watchspan.llm import language_id, sentencepiece_codec, toxicity
+from watchspan.llm.common import documents, fold
 from watchspan.llm.near_dedup import near_groups
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels of two thirds of them."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs.filter(fold("doc_id", 3) != 1), labels)
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", 3) == 1).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= 0.7).cast("int").alias("predicted"),
+        F.size("toxic_passages").alias("n_passages"),
+    )
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from three quarters of them."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = language_id.train(docs.filter(fold("doc_id", 4) != 2).select("text", "lang"))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents and the text they decode to, as digests."""
+    model = sentencepiece_codec.read_model(PIECES)
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    coded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model).select("doc_id", "ids"), model)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on four-word shingles."""
@@ -16,6 +56,9 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op4_language_id": op4_language_id,
+    "op6_sentencepiece": op6_sentencepiece,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 

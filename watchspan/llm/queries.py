@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchspan.llm import language_id, sentencepiece_codec, toxicity
+from watchspan.llm import fingerprints, language_id, sentencepiece_codec, toxicity
 from watchspan.llm.common import documents, fold
 from watchspan.llm.near_dedup import near_groups
 
@@ -55,11 +55,32 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir), words=4, percent=80)
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, compared with an edited version and with the next document."""
+    docs = fingerprints.with_next(documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    half = F.floor(F.length("text") / 2).cast("int")
+    docs = docs.withColumn("n_chars", F.length("text")).withColumn("half", half)
+    docs = docs.withColumn("edited", F.expr("concat(substring(text, 1, n_chars - half), substring(next_text, 1, half))"))
+    docs = docs.withColumn("edited_sha256", F.sha2("edited", 256)).drop("half")
+    edited = fingerprints.compare(docs, "text", "edited", "e_", digests=False).drop("edited")
+    both = fingerprints.compare(edited, "text", "next_text", "n_", digests=False)
+    return both.select(
+        "doc_id",
+        F.col("n_chars").cast("long").alias("n_chars"),
+        "edited_sha256",
+        F.col("e_fingerprint_left").alias("fingerprint"),
+        F.col("e_fingerprint_right").alias("edited_fingerprint"),
+        F.col("e_likeness").alias("near_edited"),
+        F.col("n_likeness").alias("near_next"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_language_id": op4_language_id,
     "op6_sentencepiece": op6_sentencepiece,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLES: dict[str, str] = {}

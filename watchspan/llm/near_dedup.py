@@ -5,12 +5,13 @@
    collapse to one class before anything else, so exact copies cost one row each.
 2. Two sets of Jaccard similarity J share a band with probability 1 - (1 - J^4)^32; a pair at exactly 0.8 is missed
    once in 2e7.
-3. Bands never emit all pairs. In each round every band with members of several components links them to one centre
-   only; the XOR population count of the odd sketches drops pairs that are clearly below the threshold and picks each
-   member's likeliest centre; the full sets confirm it. Members that join the centre's component need no further pair.
-4. When a round brings no link, a last sweep looks at all pairs of different components inside a band, in tiles of a
-   bounded number of rows. It compares sketches inside the task and emits only the pairs that look similar, so no link
-   depends on the choice of a centre.
+3. Bands never emit all pairs. In each round every band with members of several components pairs them with one drawn
+   centre only; the XOR population count of the odd sketches drops pairs that are clearly below the threshold and picks
+   each member's likeliest centre among its bands; the full sets confirm it. Members of one component need no further pair.
+4. A last sweep looks at all pairs of different components that are left inside a band, so that no link depends on the
+   choice of a centre. A band is cut into tiles of bounded size, and each pair of tiles is one group of rows with their
+   full sets. Sketches are compared in blocks, likely pairs are confirmed on the spot in the first band they share, most
+   similar first, and pairs that an earlier link has joined are skipped. Only links that join components leave the task.
 5. Components are the fixed point of minimum labels over confirmed links.
 """
 
@@ -26,7 +27,7 @@ from watchspan.llm.common import flat, mix, shingle_hashes, slices, stored, word
 
 SAMPLES, BANDS, SKETCH_WORDS = 128, 32, 4
 UNNAMED = 1 << 62  # nodes of texts without an id; they sort behind every id
-TILE = 1024
+TILE, TILE_SHINGLES = 512, 500_000
 
 _A = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 _B = mix(np.arange(1001, SAMPLES + 1001, dtype=np.uint64)).astype(np.uint32)
@@ -121,9 +122,7 @@ def _confirm(percent: int):
             keep = []
             for i, (a, b) in enumerate(zip(batch.column("set_a"), batch.column("set_b"), strict=True)):
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                both = np.concatenate([a, b])
-                both.sort(kind="stable")
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
+                shared = _shared(a, b)
                 if 100 * shared >= percent * (len(a) + len(b) - shared):
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
@@ -131,60 +130,80 @@ def _confirm(percent: int):
     return run
 
 
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
+def _joined(group: pa.Table, bits: int, percent: int) -> list[tuple[int, int]]:
+    """Links between different components of one pair of tiles that join what was apart."""
+    node, label, n, tile = (group.column(c).to_numpy() for c in ("node", "label", "n_shingles", "tile"))
+    sketch, bands = (group.column(c).combine_chunks().flatten().to_numpy().reshape(group.num_rows, -1) for c in ("sketch", "bands"))
+    sketch, band = sketch.view(np.uint64), group.column("band")[0].as_py()
+    first = np.flatnonzero(tile == group.column("left")[0].as_py())
+    second = np.flatnonzero(tile == group.column("right")[0].as_py())
+    found = []
+    for at in range(0, len(first), 128):
+        a = first[at : at + 128, None]
+        odd = np.bitwise_count(sketch[a[:, 0]][:, None, :] ^ sketch[second][None, :, :]).sum(axis=2)
+        near = (odd <= bits) & (label[a] != label[second][None, :])
+        near &= 100 * np.minimum(n[a], n[second][None, :]) >= percent * np.maximum(n[a], n[second][None, :])
+        x, y = np.nonzero(near)
+        odd, x, y = odd[x, y], a[x, 0], second[y]
+        own = np.argmax(bands[x] == bands[y], axis=1) == band
+        found.append((odd[own], x[own], y[own]))
+    odd, x, y = (np.concatenate([f[i] for f in found]) for i in range(3))
+    parent: dict[int, int] = {}
+
+    def root(v: int) -> int:
+        while (up := parent.get(v, v)) != v:
+            parent[v] = parent.get(up, up)
+            v = parent[v]
+        return v
+
+    sets, links = group.column("set"), []
+    for i in np.argsort(odd, kind="stable").tolist():
+        p, q = int(x[i]), int(y[i])
+        low, high = root(int(label[p])), root(int(label[q]))
+        if low == high:
+            continue
+        shared = _shared(np.frombuffer(sets[p].as_buffer(), np.uint64), np.frombuffer(sets[q].as_buffer(), np.uint64))
+        if 100 * shared >= percent * (int(n[p]) + int(n[q]) - shared):
+            parent[high] = low
+            links.append((int(node[p]), int(node[q])))
+    return links
+
+
 def _sweep(bits: int, percent: int):
-    """Pairs of different components with similar sketches, within (band, tile pair) groups that arrive sorted."""
-
-    def pairs(group: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        first = group["tile"] == group["left"]
-        second = group["tile"] == group["right"]
-        a, b = np.flatnonzero(first), np.flatnonzero(second)
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for at in range(0, len(a), 256):
-            rows = a[at : at + 256]
-            odd = np.bitwise_count(group["sketch"][rows][:, None, :] ^ group["sketch"][b][None, :, :]).sum(axis=2)
-            n, m = group["n_shingles"][rows][:, None], group["n_shingles"][b][None, :]
-            near = (odd <= bits) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-            near &= group["label"][rows][:, None] != group["label"][b][None, :]
-            x, y = np.nonzero(near)
-            found.append((group["node"][rows[x]], group["node"][b[y]]))
-        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    """Joining links of (band, key, left, right) groups, which arrive sorted; a group may span Arrow batches."""
+    groups = ["band", "key", "left", "right"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
-
-        def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            cols = {c: table.column(c).to_numpy() for c in ("band", "key", "left", "right", "tile", "node", "label", "n_shingles")}
-            cols["sketch"] = np.array(table.column("sketch").to_pylist(), np.int64).reshape(-1, SKETCH_WORDS).view(np.uint64)
-            change = np.zeros(table.num_rows, bool)
-            for c in ("band", "key", "left", "right"):
-                change[1:] |= cols[c][1:] != cols[c][:-1]
-            starts = np.append(np.flatnonzero(change), table.num_rows)
-            begin, got = 0, []
-            for end in starts:
-                got.append(pairs({c: v[begin:end] for c, v in cols.items()}))
-                begin = end
-            x, y = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
-
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
-            rest = table if rest is None else pa.concat_tables([rest, table])
-            last = rest.slice(rest.num_rows - 1).select(["band", "key", "left", "right"]).to_pylist()[0]
-            same = np.ones(rest.num_rows, bool)
-            for c, v in last.items():
-                same &= rest.column(c).to_numpy() == v
-            cut = rest.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
-            if cut:
-                yield from out(rest.slice(0, cut).combine_chunks())
-                rest = rest.slice(cut)
+            table = table if rest is None else pa.concat_tables([rest, table])
+            change = np.zeros(table.num_rows, bool)
+            for c in groups:
+                v = table.column(c).to_numpy()
+                change[1:] |= v[1:] != v[:-1]
+            starts = [0, *np.flatnonzero(change).tolist()]
+            links = [x for a, b in zip(starts, starts[1:]) for x in _joined(table.slice(a, b - a), bits, percent)]
+            rest = table.slice(starts[-1])
+            yield _pairs(links)
         if rest is not None:
-            yield from out(rest.combine_chunks())
+            yield _pairs(_joined(rest, bits, percent))
 
     return run
 
 
+def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable over links (a, b). Minimum labels spread over links and along labels until none changes."""
     ends = stored(links.select(F.col("a").alias("v"), F.col("b").alias("w")).union(links.select("b", "a")).distinct(), "ends")
@@ -200,7 +219,7 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select(F.col("v").alias("node"), "label")
 
 
-def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 4) -> DataFrame:
+def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id long, text string; other columns are ignored).
 
     Links: 100 * |A and B| >= percent * |A or B| on sets of `words`-word shingles. A text with fewer words has its
@@ -240,7 +259,7 @@ def _links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, rounds:
     if members.isEmpty():
         return None
     met = members.select("node").distinct()
-    sketches = stored(nodes.select("node", "n_shingles", "sketch").join(met, "node"), "sketches")
+    sketches = stored(nodes.join(met, "node"), "sketches")
     named = docs.filter("doc_id is not null").join(met.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
     unnamed = docs.filter("doc_id is null")
     sets = stored(named.unionByName(unnamed).mapInArrow(_full_sets(words), "node long, set binary"), "sets")
@@ -264,7 +283,7 @@ def _links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, rounds:
     labels: DataFrame | None = None
     for turn in range(rounds):
         mixed = _mixed_bands(members, labels)
-        mixed = mixed.withColumn("draw", F.xxhash64("label", F.lit(turn)))
+        mixed = mixed.withColumn("draw", F.xxhash64("node", "band", F.lit(turn)))
         pick = mixed.groupBy("band", "key").agg(F.min("draw").alias("draw"))
         centres = mixed.join(pick, ["band", "key", "draw"])
         centres = centres.groupBy("band", "key").agg(F.min("node").alias("centre"), F.min("label").alias("centre_label"))
@@ -276,8 +295,7 @@ def _links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, rounds:
             break
         links = fresh if links is None else links.union(fresh)
         labels = components(links)
-    mixed = _mixed_bands(members, labels)
-    fresh = stored(confirmed(_swept(mixed, sketches, bits, percent)), "links")
+    fresh = stored(_swept(_mixed_bands(members, labels), sketches.join(sets, "node"), bits, percent), "links")
     if fresh.isEmpty():
         return links
     return fresh if links is None else links.union(fresh)
@@ -292,15 +310,15 @@ def _mixed_bands(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return stored(labelled.join(mixed.select("band", "key"), ["band", "key"]).select("node", "band", "key", "label"), "mixed")
 
 
-def _swept(mixed: DataFrame, sketches: DataFrame, bits: int, percent: int) -> DataFrame:
-    """Pairs of different components that share a band and have similar sketches, from tiles of about TILE rows."""
-    sizes = mixed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"))
-    tiled = mixed.join(sizes, ["band", "key"]).withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
+def _swept(mixed: DataFrame, full: DataFrame, bits: int, percent: int) -> DataFrame:
+    """Links between components that share a band, from tiles of about TILE rows and TILE_SHINGLES shingles."""
+    sized = mixed.join(full.select("node", "n_shingles"), "node")
+    sizes = sized.groupBy("band", "key").agg(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n_shingles") / TILE_SHINGLES).alias("tiles"))
+    tiled = mixed.join(sizes, ["band", "key"]).withColumn("tiles", F.ceil("tiles").cast("int"))
     tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    tiled = tiled.select("band", "key", "node", "label", "tile", other.alias("other"))
+    tiled = tiled.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
     tiled = tiled.withColumn("left", F.least("tile", "other")).withColumn("right", F.greatest("tile", "other"))
-    held = tiled.join(sketches, "node").select("band", "key", "left", "right", "tile", "node", "label", "n_shingles", "sketch")
+    held = tiled.join(full, "node").select("band", "key", "left", "right", "tile", "node", "label", "n_shingles", "sketch", "bands", "set")
     groups = ["band", "key", "left", "right"]
     held = held.repartition(*groups).sortWithinPartitions(*groups)
-    return held.mapInArrow(_sweep(bits, percent), "a long, b long").filter("a < b").distinct()
+    return held.mapInArrow(_sweep(bits, percent), "a long, b long")

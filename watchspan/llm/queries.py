@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchspan.llm import fingerprints, language_id, sentencepiece_codec, toxicity
+from watchspan.llm import fingerprints, hmm, language_id, license_scan, mixing, sentencepiece_codec, sharding, topk, toxicity
 from watchspan.llm.common import documents, fold
 from watchspan.llm.near_dedup import near_groups
 
@@ -29,6 +29,20 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards by jump consistent hashing."""
+    return sharding.shard_by_key(documents(spark, sf_dir), 24)
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence passages of all documents: how many match, and the best licence (ties to the name first in order)."""
+    found = license_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    best = F.array_min(F.transform("license_matches", lambda m: F.struct((-m["score"]).alias("minus"), m["license"].alias("license"))))
+    return found.select("doc_id", F.size("license_matches").cast("long").alias("n_matches"), best.alias("best")).select(
+        "doc_id", "n_matches", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score")
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from three quarters of them."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -37,6 +51,24 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def quality_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, domain) of the labelled table: toxic, or by quality good or poor."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all documents for a mixture of 80 % good, 19 % poor and 1 % toxic tokens."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    mixed, model = mixing.mix(docs, quality_domains(spark, sf_dir), {"good": 0.8, "poor": 0.19, "toxic": 0.01})
+    top = F.array_position("mix_posteriors", F.array_max("mix_posteriors")).cast("int")
+    return mixed.select(
+        "doc_id", F.col("mix_tokens").alias("n_tokens"), F.element_at(F.lit(model.domains), top).alias("domain"),
+        F.array_max("mix_posteriors").alias("posterior"), F.col("mix_rate").alias("rate"), F.col("mix_copies").alias("copies"),
+    )
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents and the text they decode to, as digests."""
     model = sentencepiece_codec.read_model(PIECES)
@@ -50,6 +82,17 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best rows of the whole table for every row whose id is divisible by 100."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"), k=10, scale=1024)
+
+
+def op8_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of all documents, learned from four fifths of them."""
+    return hmm.score(documents(spark, sf_dir), fold("doc_id", 5) == 1)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on four-word shingles."""
     return near_groups(documents(spark, sf_dir), words=4, percent=80)
@@ -77,10 +120,30 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_sharding": op2_sharding,
+    "op3_license_scan": op3_license_scan,
     "op4_language_id": op4_language_id,
+    "op5_mixing": op5_mixing,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_exact_top_k": op7_exact_top_k,
+    "op8_hmm_scoring": op8_hmm_scoring,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLES: dict[str, str] = {}
+_TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+terms AS (SELECT vec_id, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM v),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM terms q JOIN terms c USING (i) WHERE q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id GROUP BY ALL)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scores QUALIFY rank <= 10"""
+
+ORACLES: dict[str, str] = {
+    "op2_sharding": sharding.sharding_sql(24),
+    "op3_license_scan": license_scan.license_sql(),
+    "op7_exact_top_k": _TOP_K_SQL,
+}

@@ -101,12 +101,12 @@ WITH RECURSIVE base AS (
          {_crc32_sql("encode(coalesce(doc_id::VARCHAR, ''))")} % {buckets} AS bucket,
          CASE WHEN coalesce(doc_id, 0) < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE coalesce(doc_id, 0)::HUGEINT END AS key
   FROM documents),
-walk(rid, key, at, nxt) AS (
+walk(rid, key, place, nxt) AS (
   SELECT rid, key, -1::BIGINT, 0::BIGINT FROM base
   UNION ALL
   SELECT rid, k, nxt, floor((nxt + 1) * (2147483648.0::DOUBLE / ((k // 8589934592) + 1)::DOUBLE))::BIGINT
   FROM (SELECT rid, nxt, ((key % 18446744073709551616) * {_MULTIPLIER}::HUGEINT + 1) % 18446744073709551616 AS k FROM walk WHERE nxt <= {shards})),
-ends AS (SELECT rid, max(at) FILTER (WHERE at < {shards}) AS shard, max(at) AS grown FROM walk WHERE at >= 0 GROUP BY rid)
+ends AS (SELECT rid, max(place) FILTER (WHERE place < {shards}) AS shard, max(place) AS grown FROM walk WHERE place >= 0 GROUP BY rid)
 SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
        (row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, text_crc32, size) - 1)::BIGINT AS slot, grown::INTEGER AS grown_shard
 FROM base JOIN ends USING (rid)"""

@@ -35,7 +35,7 @@ def compare(spark_df, con, sql: str) -> dict:
     if None in order or len(types) != len(cols):
         return {"ok": False, "columns": (cols, sorted(types))}
     want = Counter(tuple(_plain(r[i]) for i in order) for r in res.fetchall())
-    names = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+    names = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
     typed = {c: (t, types[c]) for c, t in spark_df.dtypes if names.get(t) != types[c]}
     missing, extra = want - got, got - want
     return {

@@ -49,7 +49,7 @@ def _templates(templates: dict[str, str], threshold: float) -> tuple[Column, int
     """Templates as a literal array, and the least and largest number of bigrams of a passage that any of them allows."""
     rows, sizes = [], []
     for name, text in sorted(templates.items()):
-        grams = tagged_bigrams(words_of(text))
+        grams = _bag_of(text)
         if not grams:
             raise ValueError(f"template {name} has fewer than two words")
         sizes.append(len(grams))
@@ -70,9 +70,13 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     blocks = F.transform(F.split(F.col("_clean"), r"\n ?(?:\n ?)+"), lambda s: F.when(F.instr(s, "\n") > 0, F.trim(F.regexp_replace(s, r"[\n ]+", " "))).otherwise(F.lit("")))
     base = docs.select(*(F.col(f"`{c}`") for c in names), clean.alias("_clean"))
     base = base.select(*(F.col(f"`{c}`") for c in names), F.flatten(F.array(_sized(lines, "line"), _sized(blocks, "block"))).alias("_units"))
-    # a passage's size comes before its bigrams: most passages go here
+    # size first, then one shared bigram at least: few passages are left to compare
     fit = F.filter("_units", lambda u: (u["n"] >= least) & (u["n"] <= most))
-    base = base.withColumn("_units", F.transform(fit, lambda u: F.struct(u["unit"].alias("unit"), u["place"].alias("place"), u["n"].alias("n"), _bag(u["text"], u["n"]).alias("grams"))))
+    paired = F.transform(fit, lambda u: F.struct(u["unit"].alias("unit"), u["place"].alias("place"), u["n"].alias("n"), _pairs(u["text"], u["n"]).alias("grams")))
+    every = F.lit(sorted({g for t in (templates or NOTICES).values() for g in _bag_of(t)}))
+    shared = F.filter(paired, lambda u: F.arrays_overlap(u["grams"], every))
+    bagged = F.transform(shared, lambda u: F.struct(u["unit"].alias("unit"), u["place"].alias("place"), u["n"].alias("n"), _bag(u["grams"]).alias("grams")))
+    base = base.select(*(F.col(f"`{c}`") for c in names), bagged.alias("_units"))
 
     def compared(u: Column) -> Column:
         allowed = F.filter(array, lambda t: 2 * F.least(t["n"], u["n"]) >= threshold * (t["n"] + u["n"]))
@@ -97,11 +101,21 @@ def _sized(passages: Column, unit: str) -> Column:
     return F.filter(rows, lambda r: r["n"] > 0)
 
 
-def _bag(text: Column, n: Column) -> Column:
-    """Bigrams of a passage of words, each with its occurrence number."""
-    words = F.split(text, " ")
-    pairs = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
-    return F.transform(pairs, lambda b, i: F.concat_ws(" ", b, F.size(F.filter(F.slice(pairs, F.lit(1), i + 1), lambda x: x == b)).cast("string")))
+def _pairs(text: Column, n: Column) -> Column:
+    """Bigrams of a passage of words; the words are cut once."""
+    cut = F.array(F.split(text, " "))
+    return F.flatten(F.transform(cut, lambda words: F.transform(F.sequence(F.lit(1), n), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))))
+
+
+def _bag(pairs: Column) -> Column:
+    """Bigrams, those met before with their occurrence number."""
+    tagged = F.transform(pairs, lambda b, i: F.when(F.array_position(pairs, b) == i + 1, b).otherwise(F.concat_ws(" ", b, F.size(F.filter(F.slice(pairs, F.lit(1), i + 1), lambda x: x == b)).cast("string"))))
+    return F.when(F.size(F.array_distinct(pairs)) == F.size(pairs), pairs).otherwise(tagged)
+
+
+def _bag_of(text: str) -> list[str]:
+    """A template's bag in the same form."""
+    return [g.removesuffix(" 1") for g in tagged_bigrams(words_of(text))]
 
 
 def license_sql(templates: dict[str, str] | None = None, threshold: float = 0.8) -> str:

@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from watchspan.llm.common import flat, mix, slices, stored, word_hashes
 
-STATES, OWN, PRIOR = 6, 5, 0.02
-PASSES = ((0,), (0, 1), (0, 1), (0, 1, 2))
+STATES, OWN, PRIOR = 4, 5, 0.02
+PASSES = ((0,), (0, 1), (0, 1, 2))
 # classes beside the words themselves: 0 is the unseen word, 1 to OWN - 1 the words of that count
 FIRST, MOVES, END = 100, 1000, np.uint64(0x656E64656E64656E)
 _SLICES = "slice long, part int, doc_ids array<long>, held array<boolean>, lengths array<long>, tokens binary, words array<long>, train array<long>"
@@ -59,6 +59,22 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 number += 1
 
 
+_ALIGNED = "slice long, part int, doc_ids array<long>, held array<boolean>, lengths array<long>, tokens binary, counts array<long>"
+
+
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The training count of each of a slice's words, in the slice's order; 0 for words that training has not met."""
+    kept = ["slice", "part", "doc_ids", "held", "lengths", "tokens"]
+    for batch in batches:
+        counts = []
+        for n, met, c in zip(batch.column("n_words").to_pylist(), batch.column("met"), batch.column("c"), strict=True):
+            row = np.zeros(n, np.int64)
+            if met.is_valid:
+                row[met.values.to_numpy(zero_copy_only=False)] = c.values.to_numpy(zero_copy_only=False)
+            counts.append(row)
+        yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), pa.array(counts, pa.list_(pa.int64()))], [*kept, "counts"])
+
+
 class Packed:
     """Texts of a slice side by side: tokens in the order of their place, longest text first."""
 
@@ -104,8 +120,12 @@ class Packed:
         return gamma, moves * (shares[self.before].T @ after[starts:]), gamma[:starts].sum(axis=0)
 
 
-def _classes(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    return np.where(counts >= OWN, words, counts)
+def _classes(row: dict) -> np.ndarray:
+    """Each word's class: itself if it has ratios of its own, its count otherwise."""
+    out = np.array(row["counts"], np.int64)
+    if row["at"] is not None:
+        out[row["at"]] = row["class"]
+    return out
 
 
 def _drawn(words: np.ndarray) -> np.ndarray:
@@ -116,17 +136,20 @@ def _drawn(words: np.ndarray) -> np.ndarray:
 
 def _ratios(row: dict, state: dict | None) -> np.ndarray:
     """Ratio of each of a slice's words to the base, by state."""
-    words, counts = np.asarray(row["words"], np.int64), np.asarray(row["counts"], np.int64)
-    if state is None:
-        return _drawn(words)
-    ratio = np.asarray(state["shared"])[np.minimum(counts, OWN)]  # words of their own are put in below
+    counts = np.asarray(row["counts"], np.int64)
+    # words of their own are put in below
+    ratio = np.ones((len(counts), STATES)) if state is None else np.asarray(state["shared"])[np.minimum(counts, OWN)]
     if row["at"] is not None and len(row["at"]):
-        ratio[np.asarray(row["at"])] = np.asarray(row["ratio"], np.float64).reshape(-1, STATES)
+        if state is None:
+            ratio[row["at"]] = _drawn(np.asarray(row["class"], np.int64))
+        else:
+            has = np.asarray(row["has"], bool)  # a word that the last pass did not meet keeps the shared ratio
+            ratio[row["at"][has]] = np.asarray(row["ratio"], np.float64).reshape(-1, STATES)
     return ratio
 
 
 def _texts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    kind = np.uint16 if len(row["words"]) <= 1 << 16 else np.uint32
+    kind = np.uint16 if len(row["counts"]) <= 1 << 16 else np.uint32
     return np.frombuffer(row["tokens"], kind), np.asarray(row["lengths"], np.int64), np.asarray(row["held"], bool)
 
 
@@ -141,7 +164,7 @@ def _rows(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[dic
             yield row
 
 
-_LOOKED_UP = ["words", "counts", "tokens", "lengths", "held", "at", "ratio"]
+_LOOKED_UP = ["counts", "tokens", "lengths", "held", "at", "class", "has", "ratio"]
 
 
 def _expect(state: dict | None):
@@ -155,8 +178,8 @@ def _expect(state: dict | None):
                 continue
             packed = Packed(tokens, lengths)
             gamma, moved, begun = packed.expected(_ratios(row, state), first, moves)
-            sums = np.stack([np.bincount(packed.tokens, gamma[:, k], len(row["words"])) for k in range(STATES)], axis=1)
-            names, ids = np.unique(_classes(row["words"], row["counts"]), return_inverse=True)
+            sums = np.stack([np.bincount(packed.tokens, gamma[:, k], len(row["counts"])) for k in range(STATES)], axis=1)
+            names, ids = np.unique(_classes(row), return_inverse=True)
             by_class = np.zeros((len(names), STATES))
             np.add.at(by_class, ids, sums)
             names = np.concatenate([names, [FIRST], MOVES + np.arange(STATES)])
@@ -204,18 +227,19 @@ def score(docs: DataFrame, held: Column, text: str = "text", key: str = "doc_id"
     part = F.when(held | (draw > 1), 2).otherwise(draw).cast("int")
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), held.alias("held"), part.alias("part"))
     cut = stored(rows.mapInArrow(_encode, _SLICES), "slices")
-    found = cut.select("slice", F.posexplode(F.arrays_zip("words", "train")).alias("at", "w")).select("slice", "at", F.col("w.words").alias("word"), F.col("w.train").alias("n"))
-    vocabulary = stored(found.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0"), "vocabulary")
-    known = found.join(vocabulary, "word", "left").select("slice", F.struct("at", F.coalesce("c", F.lit(0).cast("long")).alias("c")).alias("x"))
-    counts = known.groupBy("slice").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["c"]).alias("counts"))
-    counts = stored(cut.select("slice", "part", "words").join(counts, "slice"), "counts")
-    own = counts.select("slice", "part", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
-    own = own.select("slice", "part", "at", F.col("w.words").alias("class"), F.col("w.counts").alias("c")).filter(F.col("c") >= OWN).drop("c")
+    found = cut.select("slice", "part", F.posexplode(F.arrays_zip("words", "train")).alias("at", "w"))
+    found = found.select("slice", "part", "at", F.col("w.words").alias("word"), F.col("w.train").cast("int").alias("n"))
+    vocabulary = stored(found.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
+    known = stored(found.drop("n").join(vocabulary, "word"), "known")
+    counts = known.groupBy("slice").agg(F.collect_list("at").alias("met"), F.collect_list("c").alias("c"))
+    own = known.filter(F.col("c") >= OWN).select("slice", "part", "at", F.col("word").alias("class"))
+    cut = cut.select("slice", "part", "doc_ids", "held", "lengths", "tokens", F.size("words").alias("n_words"))
+    cut = stored(cut.join(counts, "slice", "left").mapInArrow(_aligned, _ALIGNED), "counts")
     sizes = {r.size: (r.n, r.c) for r in vocabulary.groupBy(F.least("c", F.lit(OWN)).alias("size")).agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")).collect()}
     v, n = sum(x for x, _ in sizes.values()), sum(c for _, c in sizes.values())
     state, ratio = None, None
     for parts in PASSES if n else ():
-        seen = _with_ratios(cut, counts, own, ratio, list(parts))
+        seen = _with_ratios(cut, own, ratio, list(parts))
         sums = seen.mapInArrow(_expect(state), "class long, " + ", ".join(f"e{k} double" for k in range(STATES)))
         sums = stored(sums.groupBy("class").agg(*(F.sum(f"e{k}").alias(f"e{k}") for k in range(STATES))), "expected")
         fresh = _maximised(sums, sizes, n, v)
@@ -224,21 +248,24 @@ def score(docs: DataFrame, held: Column, text: str = "text", key: str = "doc_id"
         state, ratio = fresh, _own_ratios(sums, vocabulary, fresh, n, v)
     if state is None:
         state = {"moves": _sticky(), "first": np.full(STATES, 1 / STATES), "shared": np.ones((OWN + 1, STATES))}
-    return _with_ratios(cut, counts, own, ratio, [0, 1, 2]).mapInArrow(
+    return _with_ratios(cut, own, ratio, [0, 1, 2]).mapInArrow(
         _score(state, n, v), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
 
 
-def _with_ratios(cut: DataFrame, counts: DataFrame, own: DataFrame, ratio: DataFrame | None, parts: list[int]) -> DataFrame:
-    """Slices of the parts, with their words' counts and the ratios of their own words."""
-    picked = cut.filter(F.col("part").isin(parts)).select("slice", "doc_ids", "tokens", "lengths", "held")
-    rows = picked.join(counts.filter(F.col("part").isin(parts)).select("slice", "words", "counts"), "slice")
+def _with_ratios(cut: DataFrame, own: DataFrame, ratio: DataFrame | None, parts: list[int]) -> DataFrame:
+    """Slices of the parts, with the places, classes and ratios of the words that have their own."""
+    picked = cut.filter(F.col("part").isin(parts)).drop("part")
+    mine = own.filter(F.col("part").isin(parts)).select("slice", "at", "class")
+    states = [f"r{k}" for k in range(STATES)]
     if ratio is None:
-        return rows.select("*", F.lit(None).cast("array<int>").alias("at"), F.lit(None).cast("array<float>").alias("ratio"))
-    by = own.filter(F.col("part").isin(parts)).join(ratio, "class").select("slice", F.struct("at", "ratio").alias("x"))
-    by = by.groupBy("slice").agg(F.collect_list("x").alias("x"))
-    by = by.select("slice", F.col("x.at").alias("at"), F.flatten("x.ratio").alias("ratio"))
-    return rows.join(by, "slice", "left")
+        mine = mine.withColumns({r: F.lit(None).cast("float") for r in states})
+    else:
+        mine = mine.join(ratio, "class", "left")
+    lists = [F.collect_list("at").alias("at"), F.collect_list("class").alias("class"), F.collect_list(F.col("r0").isNotNull()).alias("has"), *(F.collect_list(r).alias(r) for r in states)]
+    by = mine.groupBy("slice").agg(*lists)
+    by = by.select("slice", "at", "class", "has", F.flatten(F.transform("r0", lambda x, i: F.array(x, *(F.get(r, i) for r in states[1:])))).alias("ratio"))
+    return picked.join(by, "slice", "left")
 
 
 def _maximised(sums: DataFrame, sizes: dict[int, tuple[int, int]], n: int, v: int) -> dict | None:
@@ -270,10 +297,10 @@ def _maximised(sums: DataFrame, sizes: dict[int, tuple[int, int]], n: int, v: in
 
 
 def _own_ratios(sums: DataFrame, vocabulary: DataFrame, state: dict, n: int, v: int) -> DataFrame:
-    """(class, ratio array<float>) of words with a ratio of their own that the pass met; the others have shared[OWN]."""
+    """(class, r0, r1, ...) of words with a ratio of their own that the pass met; the others have shared[OWN]."""
     base = (F.col("c") + 0.5) / F.lit(float(n + 0.5 * (v + 1)))
     own = sums.join(vocabulary.filter(F.col("c") >= OWN).withColumnRenamed("word", "class"), "class")
     ratio = [
         (F.col(f"e{k}") / base + F.lit(float(state["prior"]))) * F.lit(float(state["kept"][k] / (state["totals"][k] + state["prior"]))) for k in range(STATES)
     ]
-    return stored(own.select("class", F.array(*ratio).cast("array<float>").alias("ratio")), "ratios")
+    return stored(own.select("class", *(r.cast("float").alias(f"r{k}") for k, r in enumerate(ratio))), "ratios")

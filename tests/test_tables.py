@@ -1,6 +1,8 @@
 """Sinks, stored tables, control rows, streaming, and the whole build carried on day by day."""
 
 import json
+import shutil
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -71,6 +73,23 @@ def test_merge_days_adds_columns(spark, tmp_path):
     assert rows_of(spark.read.schema(wider.schema).parquet(path), "k", "extra") == [("a", None), ("b", "x")]
 
 
+def test_merge_days_knows_null_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for v in (1, 2, 3):
+        merge_days(spark, path, day_rows(spark, (None, 0, v), ("a", 1, v)), ["k"])
+    assert [(r.k, r.v) for r in spark.read.parquet(path).orderBy("v", "k").collect()] == [(None, 3), ("a", 3)]
+
+
+def test_materialized_model_shows_new_columns_and_may_be_empty(spark, tmp_path):
+    path = str(tmp_path / "t")
+    materialize(day_rows(spark, ("a", 0, 1)), "m_wide", "incremental", path, ["k"])
+    wider = day_rows(spark, ("b", 0, 1)).withColumn("extra", F.lit("x"))
+    assert rows_of(materialize(wider, "m_wide", "incremental", path, ["k"]), "k", "extra") == [("a", None), ("b", "x")]
+    empty = day_rows(spark, ("a", 0, 1)).limit(0)
+    for kind in ("table", "incremental"):
+        assert materialize(empty, "m_empty", kind, str(tmp_path / kind), ["k"]).count() == 0
+
+
 def test_replace_days_leaves_no_old_group(spark, tmp_path):
     path = str(tmp_path / "t")
     write_days(day_rows(spark, ("a", 0, 1), ("b", 1, 1), ("c", 2, 1)), path)
@@ -239,6 +258,50 @@ def test_runs_go_from_cursor_to_cursor(spark, sf_dir, tmp_path):
     assert run(end) == second
 
 
+def events_at(spark, app, *times):
+    """Processed rows that hold an id and a time only."""
+    rows = spark.createDataFrame([(f"u{t}", t) for t in times], "unique_id string, timestamp string")
+    given = [F.col(f.name) if f.name in rows.columns else F.lit(None) for f in processed_schema(app).fields]
+    return rows.select(*(c.cast(f.dataType).alias(f.name) for c, f in zip(given, processed_schema(app).fields)))
+
+
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/Los_Angeles"])
+def test_loader_loses_no_row_in_any_zone_of_the_driver(spark, tmp_path, monkeypatch, zone):
+    control, done, loaded = (str(tmp_path / n) for n in ("control", "processed", "loaded"))
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        times = ["2024-01-09 23:30:00", "2024-01-10 20:00:00"]
+        write_daily(events_at(spark, "saml", *times), table_path(done, "saml"))
+        load_recent(spark, control, done, loaded, "saml", datetime(2024, 1, 11))
+        cursor = C.read_control(spark, control).select(F.col("cursor").cast("string")).first()[0]
+        assert cursor == "2024-01-10 20:00:00"
+        more = ["2024-01-10 19:00:00", "2024-01-10 20:00:00", "2024-01-10 21:00:00"]
+        write_daily(events_at(spark, "saml", *more), table_path(done, "saml"))
+        load_recent(spark, control, done, loaded, "saml", datetime(2024, 1, 11))
+        assert spark.read.parquet(table_path(loaded, "saml")).count() == 4
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_misplaced_rows_do_not_replace_a_whole_day(spark, tmp_path):
+    raw, done = str(tmp_path / "raw"), str(tmp_path / "processed")
+
+    def line(name, at):
+        return json.dumps({"id": {"time": at, "uniqueQualifier": name}, "actor": {}, "events": []}) + "\n"
+
+    for day, lines in (("2024-01-01", [line("a", "2024-01-01T01:00:00Z")]), ("2024-01-02", [line("b", "2024-01-02T01:00:00Z"), line("c", "2024-01-01T02:00:00Z")])):
+        folder = tmp_path / "raw" / "app=saml" / f"event_date={day}"
+        folder.mkdir(parents=True)
+        (folder / "part.json").write_text("".join(lines))
+    assert ingest(spark, raw, done, "saml").count() == 0
+    assert read_processed(spark, done, "saml").count() == 3
+    bad = ingest(spark, raw, done, "saml", "2024-01-02", "2024-01-02")
+    assert [r.error for r in bad.collect()] == ["activity of a day outside the days read"]
+    assert read_processed(spark, done, "saml").count() == 3
+
+
 # --- the whole build ---
 
 
@@ -256,6 +319,21 @@ def processed_parts(spark, sf_dir, tmp_path_factory):
     return root
 
 
+def test_build_without_rows_of_most_applications(spark, processed_parts, tmp_path):
+    """Only logins are there: all models exist, those of the other applications are empty."""
+    for part in ("early", "all"):
+        done = tmp_path / part / "login"
+        shutil.copytree(f"{processed_parts}/{part}/login", done)
+    for part in ("early", "all"):
+        tables = Warehouse(spark, str(tmp_path / "models"), str(tmp_path / part)).build()
+        assert len(tables) == 6 + 5 + 6 + 17 + 12
+        assert tables["fact_saml_event"].count() == tables["fact_token_scope"].count() == 0
+        want = spark.read.parquet(table_path(str(tmp_path / part), "login")).count()
+        assert tables["fact_login_event"].count() == want
+        for name in ("fact_app_scope_drift_daily", "agg_token_top_users_48h", "agg_scope_pairs_high_risk_7d"):
+            assert tables[name].count() == 0, name
+
+
 def test_carried_on_build_equals_full_build(spark, processed_parts):
     root = processed_parts
     full = Warehouse(spark, f"{root}/full", f"{root}/all").build()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from watchspan.functions.times import as_literal, max_literal
 from watchspan.operators.dedup import dedup_latest
-from watchspan.operators.joins import lookup_join
+from watchspan.operators.joins import lookup_join, without_keys
 
 OVERLAP_MINUTES = 3
 FIRST_RUN_HOURS = 48
@@ -47,7 +47,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], newest: str |
     new ones are null for old rows, dropped ones disappear.
     """
     fresh = dedup_latest(updates, keys, newest)
-    kept = target.join(fresh.select(*keys), keys, "left_anti")
+    kept = without_keys(target, fresh, keys)
     return kept.unionByName(fresh, allowMissingColumns=True).select(*updates.columns)
 
 
@@ -61,9 +61,12 @@ def replace_tail(target: DataFrame, source: DataFrame, ts_col: str, start: datet
 
 
 def next_cursor(*frames: DataFrame, ts: str = "timestamp") -> datetime | None:
-    """Highest time over the loaded slices; empty slices are skipped."""
-    tops = [f.agg(F.max(ts).alias("m")).first()["m"] for f in frames]
-    return max((t for t in tops if t is not None), default=None)
+    """Highest time over the loaded slices, in the session's zone; empty slices are skipped.
+
+    It travels as text, so the zone of the driver's machine plays no part.
+    """
+    tops = [f.agg(F.max(ts).cast("string").alias("m")).first()["m"] for f in frames]
+    return max((datetime.fromisoformat(t) for t in tops if t is not None), default=None)
 
 
 def resolve_start(

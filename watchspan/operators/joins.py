@@ -75,3 +75,19 @@ def salted_lookup(
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = table.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return left.join(right, [*on, "_salt"], "left").drop("_salt")
+
+
+def with_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of `df` whose keys occur in `other`; a null key equals a null key."""
+    return _by_keys(df, other, keys, "left_semi")
+
+
+def without_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of `df` whose keys do not occur in `other`; a null key equals a null key."""
+    return _by_keys(df, other, keys, "left_anti")
+
+
+def _by_keys(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
+    named = other.select(*(F.col(k).alias(f"_other_{i}") for i, k in enumerate(keys)))
+    same = [F.col(k).eqNullSafe(F.col(f"_other_{i}")) for i, k in enumerate(keys)]
+    return df.join(named, same, how)

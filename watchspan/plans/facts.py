@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from watchspan.functions.keys import surrogate_key
-from watchspan.operators.incremental import since_max
+from watchspan.operators.incremental import high_water, since_max
 from watchspan.operators.joins import lookup_join
 
 LATENESS = "5 minutes"
@@ -74,8 +74,13 @@ def fact_scope(
     lookback: str = LATENESS,
 ) -> DataFrame:
     """Scope rows with the keys of the event they belong to."""
-    base = scopes if target is None else since_max(scopes, target, "timestamp", lookback, day="event_date")
-    events = stg["token"].select("unique_id", *USER, "ip_address")
+    base, events = scopes, stg["token"]
+    if target is not None:
+        base = since_max(scopes, target, "timestamp", lookback, day="event_date")
+        # a scope row is never later than the row kept of its event, so older days of events are not needed
+        floor = high_water(target, "timestamp", scopes.schema["timestamp"].dataType.simpleString(), "event_date")
+        events = events.filter(F.col("event_date") >= F.to_date(floor - F.expr(f"INTERVAL {lookback}")))
+    events = events.select("unique_id", *USER, "ip_address")
     rows = lookup_join(base, events, ["unique_id"], "scope_name")
     # scopes of one event share its user and address, so rows of a key differ by event or by scope
     rows = rows.withColumn("_spread", F.xxhash64("unique_id", "scope_name"))

@@ -14,7 +14,7 @@ from watchspan.plans.models import Warehouse
 from watchspan.schemas import APPS
 from watchspan.sources import control as C
 from watchspan.sources.processed import read_processed, table_path, write_daily
-from watchspan.sources.raw import app_path, parse_lines, read_lines, split_errors
+from watchspan.sources.raw import app_path, misplaced_errors, parse_lines, read_lines, split_errors
 from watchspan.sources.warehouse import replace_days, stored_days
 
 SCOPE_KEYS = ["unique_id", "scope_name", "product_bucket"]
@@ -31,9 +31,13 @@ def processed_frames(activities: DataFrame, app: str) -> dict[str, DataFrame]:
 def ingest(
     spark: SparkSession, raw: str, processed: str, app: str, start: date | str | None = None, end: date | str | None = None
 ) -> DataFrame:
-    """Parse, flatten, deduplicate over the whole range and replace the days written. Returns the dead letters."""
+    """Parse, flatten, deduplicate over the whole range and replace the days written. Returns the dead letters.
+
+    An activity whose own day lies outside the range read is a dead letter: the rest of that day was not read, so
+    writing it would replace a whole day by a part of it.
+    """
     parsed = parse_lines(read_lines(spark, raw, app, start, end))
-    good, bad = split_errors(parsed)
+    good, bad = split_errors(misplaced_errors(parsed, start, end))
     if app == "token":
         good = good.persist(StorageLevel.DISK_ONLY)  # read by both tables, parsed once
     for kind, df in processed_frames(good, app).items():
@@ -55,8 +59,9 @@ def process_recent(
     if not landed:
         return spark.createDataFrame([], "error string, raw string")
     start = resolve_start(state, app, "processor", as_of, landed[0])
-    fetched = state.filter((F.col("app") == app) & (F.col("stage") == "fetcher")).agg(F.max("cursor").alias("c")).first()["c"]
-    last_event = None if fetched is None else F.lit(str(fetched)).cast("timestamp")
+    fetcher = state.filter((F.col("app") == app) & (F.col("stage") == "fetcher"))
+    fetched = fetcher.agg(F.max("cursor").cast("string").alias("c")).first()["c"]  # text: no part for the driver's own zone
+    last_event = None if fetched is None else F.lit(fetched).cast("timestamp")
     days = start.select(*date_window(F.col("start"), F.lit(str(as_of)).cast("timestamp"), last_event)).first()
     bad = ingest(spark, raw, processed, app, *days)
     newest = next_cursor(read_processed(spark, processed, app, since=days[0]))
@@ -78,7 +83,7 @@ def load_recent(
             continue
         name = app if kind == "events" else f"{app}_scopes"
         state = C.read_control(spark, control)
-        since = resolve_start(state, name, "loader", as_of, days[0]).first()["start"].date()
+        since = resolve_start(state, name, "loader", as_of, days[0]).select(F.to_date("start").alias("day")).first()["day"]
         tail = read_processed(spark, processed, app, kind, since)
         replace_days(spark, table_path(loaded, app, kind), tail, since)
         newest = next_cursor(tail)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from watchspan.operators import activity as A
 from watchspan.operators import baseline as B
@@ -14,7 +15,7 @@ from watchspan.operators.drift import app_scopes, set_drift_daily, set_drift_ite
 from watchspan.operators.quality import CHECKS, dq_report, duplicates_daily, event_gaps
 from watchspan.plans import dims as D
 from watchspan.plans import reporting as R
-from watchspan.plans.facts import all_events, fact, fact_scope
+from watchspan.plans.facts import LATENESS, all_events, fact, fact_scope
 from watchspan.plans.staging import stage
 from watchspan.schemas import APPS
 from watchspan.sources.processed import read_processed
@@ -33,8 +34,11 @@ class Warehouse:
     rewrite only the day partitions that change.
     """
 
-    def __init__(self, spark: SparkSession, root: str, processed: str, as_of=None, full_refresh: bool = False):
-        self.spark, self.root, self.processed, self.full_refresh = spark, root, processed, full_refresh
+    def __init__(
+        self, spark: SparkSession, root: str, processed: str, as_of=None, full_refresh: bool = False, lateness: str = LATENESS
+    ):
+        """`lateness` is how far behind a stored fact's newest time later rows still reach it."""
+        self.spark, self.root, self.processed, self.full_refresh, self.lateness = spark, root, processed, full_refresh, lateness
         self.tables: dict[str, DataFrame] = {}
         self._as_of = as_of
 
@@ -52,8 +56,9 @@ class Warehouse:
         self.tables[name] = materialize(df, name, "table", self.path(name))
         return self.tables[name]
 
-    def _keep(self, name: str) -> DataFrame:
-        return self.view(name, self.spark.read.parquet(self.path(name)))
+    def _keep(self, name: str, schema: T.StructType) -> DataFrame:
+        """The stored model with its own schema: an empty one has no file to tell it, and old files lack new columns."""
+        return self.view(name, self.spark.read.schema(schema).parquet(self.path(name)))
 
     def merged(self, name: str, build: Callable[[DataFrame | None], DataFrame], keys: list[str]) -> DataFrame:
         target = self.stored(name)
@@ -61,7 +66,7 @@ class Warehouse:
         if target is None:
             return self.table_by_day(name, df)
         merge_days(self.spark, self.path(name), df, keys, "timestamp")
-        return self._keep(name)
+        return self._keep(name, df.schema)
 
     def table_by_day(self, name: str, df: DataFrame) -> DataFrame:
         (
@@ -71,11 +76,11 @@ class Warehouse:
             .partitionBy("event_date")
             .parquet(self.path(name))
         )
-        return self._keep(name)
+        return self._keep(name, df.schema)
 
     def daily(
         self, name: str, build: Callable[[Column | None, Column | None], DataFrame], lookback: str = "daily",
-        newest_input: Callable[[], date] | None = None,
+        newest_input: Callable[[], date | None] | None = None,
     ) -> DataFrame:
         """A model keyed by day: recompute the days from the newest stored one less the lookback on.
 
@@ -87,11 +92,12 @@ class Warehouse:
             return self.table_by_day(name, build(None, None))
         newest = days[-1]
         if newest_input is not None:
-            newest = min(newest, newest_input())
+            newest = min(newest, newest_input() or newest)
         emit_from = newest - timedelta(days=emit_days)
         read_from = newest - timedelta(days=read_days)
-        replace_days(self.spark, self.path(name), build(F.lit(read_from), F.lit(emit_from)), emit_from)
-        return self._keep(name)
+        df = build(F.lit(read_from), F.lit(emit_from))
+        replace_days(self.spark, self.path(name), df, emit_from)
+        return self._keep(name, df.schema)
 
     # --- the build ---
 
@@ -102,8 +108,8 @@ class Warehouse:
             all_tops = tops[0]
             for t in tops[1:]:
                 all_tops = all_tops.union(t)
-            self._as_of = str(all_tops.agg(F.max("t").cast("string")).first()[0])
-        return F.lit(str(self._as_of)).cast("timestamp")
+            self._as_of = all_tops.agg(F.max("t").cast("string")).first()[0]
+        return F.lit(None if self._as_of is None else str(self._as_of)).cast("timestamp")
 
     def build(self) -> dict[str, DataFrame]:
         self.build_staging()
@@ -135,9 +141,9 @@ class Warehouse:
         names = {"user": "dim_user", "ip": "dim_ip_address", "application": "dim_application", "scope": "dim_scope"}
         dims = {k: self.tables[n] for k, n in names.items()}
         for app in FACT_ORDER:
-            self.merged(f"fact_{app}_event", lambda target, app=app: fact(app, stg, dims, target), ["unique_id"])
+            self.merged(f"fact_{app}_event", lambda target, app=app: fact(app, stg, dims, target, self.lateness), ["unique_id"])
         scopes = self.tables["stg_token_event_scopes"]
-        self.merged("fact_token_scope", lambda target: fact_scope(stg, scopes, dims, target), ["token_scope_key"])
+        self.merged("fact_token_scope", lambda target: fact_scope(stg, scopes, dims, target, self.lateness), ["token_scope_key"])
 
     def build_aggregates(self) -> None:
         t = self.tables
@@ -175,7 +181,7 @@ class Warehouse:
                 first = None if e is None else F.date_sub(e, 1)
                 return build(app_scopes(tail(scopes, first), tail(token, first)), since=e)
 
-            self.daily(name, drift, "drift", lambda: stored_days(self.spark, self.path("fact_token_scope"))[-1])
+            self.daily(name, drift, "drift", lambda: max(stored_days(self.spark, self.path("fact_token_scope")), default=None))
         self.view("fact_geo_new_regions", A.new_regions(events, today))
         days = t["dim_time"].agg(F.min("date_day").alias("min_day"), F.max("date_day").alias("max_day"))
         self.view("dq_app_event_gaps", event_gaps(t["fact_app_activity_daily"], days, today))

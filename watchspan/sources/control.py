@@ -43,14 +43,21 @@ def update_control(
     spark: SparkSession, path: str, app: str, stage: str, cursor: datetime | None, last_run: datetime | None = None,
     run_id: str | None = None, snapshot_path: str | None = None, status: str = "success", updated_at: datetime | None = None,
 ) -> None:
+    """Append a row. Times are wall-clock times of the session's zone, whatever the zone of the driver's machine."""
     if stage not in STAGES:
         raise ValueError(f"unknown stage {stage!r}")
-    row = (app, stage, cursor, last_run or cursor, run_id, snapshot_path, status, updated_at or datetime.now())
-    spark.createDataFrame([row], CONTROL).coalesce(1).write.mode("append").parquet(path)
+    _append(spark, path, [(app, stage, cursor, last_run or cursor, run_id, snapshot_path, status, updated_at)])
 
 
 def reset_stages(spark: SparkSession, path: str, apps: list[str], stages: tuple[str, ...] = ("processor", "loader")) -> None:
     """Clear cursors so that the stages run from the start; the fetch cursor stays."""
-    now = datetime.now()
-    rows = [(a, s, None, None, None, None, "reset", now) for a in apps for s in stages]
-    spark.createDataFrame(rows, CONTROL).coalesce(1).write.mode("append").parquet(path)
+    _append(spark, path, [(a, s, None, None, None, None, "reset", None) for a in apps for s in stages])
+
+
+def _append(spark: SparkSession, path: str, rows: list[tuple]) -> None:
+    """Store control rows; times travel as text, and a row without `updated_at` gets the present time."""
+    texts = [tuple(str(v) if isinstance(v, datetime) else v for v in row) for row in rows]
+    log = spark.createDataFrame(texts, ", ".join(f"{c} string" for c in CONTROL.names))
+    log = log.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in CONTROL.fields))
+    log = log.withColumn("updated_at", F.coalesce("updated_at", F.current_timestamp().cast(CONTROL["updated_at"].dataType)))
+    log.coalesce(1).write.mode("append").parquet(path)

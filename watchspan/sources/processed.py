@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from watchspan.schemas import APPS, processed_schema
+from watchspan.sources.warehouse import load
 
 
 def with_event_date(df: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -37,9 +38,11 @@ def write_daily(df: DataFrame, path: str, ts: str = "timestamp") -> None:
 def read_processed(
     spark: SparkSession, path: str, app: str, kind: str = "events", since: date | str | None = None
 ) -> DataFrame:
-    """Scan a processed table with its fixed schema; `since` prunes day directories."""
+    """Scan a processed table with its fixed schema; `since` prunes day directories. A missing table is empty."""
     schema = T.StructType(processed_schema(app, kind).fields + [T.StructField("event_date", T.DateType())])
-    df = spark.read.schema(schema).parquet(table_path(path, app, kind))
+    df = load(spark, table_path(path, app, kind), schema)
+    if df is None:
+        df = spark.createDataFrame([], schema)
     if since is not None:
         df = df.filter(F.col("event_date") >= F.lit(str(since)).cast("date"))
     return df

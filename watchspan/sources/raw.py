@@ -80,6 +80,18 @@ def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     return once.withColumn("error", activity_error())
 
 
+def misplaced_errors(parsed: DataFrame, start: date | str | None, end: date | str | None) -> DataFrame:
+    """Parsed rows with an error also where the activity's own day is outside the days [start, end] that were read."""
+    day = F.to_date(parse_ts(F.col("activity.id.time")))
+    outside = F.lit(False)
+    if start is not None:
+        outside |= day < F.lit(str(start)).cast("date")
+    if end is not None:
+        outside |= day > F.lit(str(end)).cast("date")
+    wrong = F.when(outside, F.lit("activity of a day outside the days read"))
+    return parsed.withColumn("error", F.coalesce("error", wrong))
+
+
 def split_errors(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable activities, dead letters as error and raw). No bad line stops the job."""
     good = parsed.filter(F.col("error").isNull()).select("activity.*").drop(CORRUPT)

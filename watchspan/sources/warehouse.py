@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from watchspan.operators.dedup import dedup_latest
+from watchspan.operators.joins import with_keys, without_keys
 
 DAY = "event_date"
 
@@ -52,12 +53,13 @@ def write_days(df: DataFrame, path: str, day: str = DAY) -> None:
 def stored_days(spark: SparkSession, path: str, day: str = DAY) -> list[date]:
     """The days a partitioned table holds, from its file listing; no file is opened."""
     try:
-        files = spark.read.format("binaryFile").load(path).select("path", day)
+        files = spark.read.format("binaryFile").load(path)
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
             return []
         raise
-    return sorted(_days(files, day))
+    # a table that was written without rows has no day folder
+    return sorted(_days(files.select("path", day), day)) if day in files.columns else []
 
 
 def _days(df: DataFrame, day: str) -> set[date]:
@@ -77,7 +79,7 @@ def merge_days(
     spark: SparkSession, path: str, updates: DataFrame, keys: list[str], newest: str | None = None,
     keep_newest: bool = False, day: str = DAY,
 ) -> None:
-    """Merge on unique keys: update every column of matching rows, insert the rest.
+    """Merge on unique keys: update every column of matching rows, insert the rest. Null keys match null keys.
 
     Of updates with the same key the one latest in `newest` counts. With `keep_newest` a stored row
     that is later than its update stays, so the order of arrival does not matter.
@@ -94,7 +96,7 @@ def merge_days(
         return
     fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        matched = old.select(*keys, day).join(fresh.select(*keys), keys, "left_semi")
+        matched = with_keys(old.select(*keys, day), fresh, keys)
         touched = _days(fresh.select(day).union(matched.select(day)), day)
         if not touched:
             return
@@ -102,7 +104,7 @@ def merge_days(
         if keep_newest:
             merged = dedup_latest(there.unionByName(fresh), keys, newest)
         else:
-            merged = there.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
+            merged = without_keys(there, fresh, keys).unionByName(fresh)
         merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             filled = _days(merged, day)
@@ -146,6 +148,7 @@ def materialize(df: DataFrame, name: str, kind: str, path: str | None = None, ke
         merge_days(spark, path, df, key)
     else:
         raise ValueError(f"unknown kind {kind!r}")
-    stored = spark.read.parquet(path)
+    # the model's own schema: an empty table has no footer to read it from, and an old footer lacks new columns
+    stored = spark.read.schema(df.schema).parquet(path)
     stored.createOrReplaceTempView(name)
     return stored

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from watchspan.operators.incremental import resolve_start
 from watchspan.operators.quality import CHECKS
 from watchspan.plans import driver_views as V
+from watchspan.plans import dims as D
+from watchspan.plans.facts import fact_scope
+from watchspan.plans.staging import stage
 from watchspan.plans.ingest import ingest, load_recent, process_recent, processed_frames
 from watchspan.plans.models import Warehouse
 from watchspan.schemas import APPS, processed_schema
@@ -319,6 +322,26 @@ def processed_parts(spark, sf_dir, tmp_path_factory):
     return root
 
 
+def test_later_scope_facts_read_only_recent_events(spark, sf_dir, tmp_path):
+    done = str(tmp_path)
+    good = split_errors(parse_lines(V.raw_lines(spark, sf_dir, "token")))[0].filter("id.time between '2024-01-16' and '2024-01-19'")
+    for kind, df in processed_frames(good, "token").items():
+        write_daily(df, table_path(done, "token", kind))
+    stg = {a: stage(read_processed(spark, done, a), a) for a in APPS}
+    scopes = stage(read_processed(spark, done, "token", "event_scopes"), "token_scopes")
+    dims = {"user": D.dim_user(stg), "ip": D.dim_ip(stg), "scope": D.dim_scope(scopes)}
+    dims = {n: materialize(df, n, "table", f"{done}/{n}") for n, df in dims.items()}
+    full = materialize(fact_scope(stg, scopes, dims), "f", "table", f"{done}/full").cache()
+    target = full.filter("timestamp < '2024-01-17 12:00:00'")
+    later = fact_scope(stg, scopes, dims, target)
+    newest = target.agg(F.max("timestamp")).first()[0] - timedelta(minutes=5)
+    want = full.filter(F.col("timestamp") >= F.lit(str(newest)))
+    assert want.count() and rows_of(later, *full.columns) == rows_of(want, *full.columns)
+    plan = later._jdf.queryExecution().executedPlan().toString().split("\n")
+    by_day = [x for x in plan if "FileScan" in x and "event_date#" in x]
+    assert len(by_day) >= 2 and all("event_date" in x.split("PartitionFilters: [")[1].split("]")[0] for x in by_day)
+
+
 def test_build_without_rows_of_most_applications(spark, processed_parts, tmp_path):
     """Only logins are there: all models exist, those of the other applications are empty."""
     for part in ("early", "all"):

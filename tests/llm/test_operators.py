@@ -10,7 +10,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from watchspan.llm import fingerprints, hmm, language_id, license_scan, mixing, sentencepiece_codec, sharding, topk, toxicity
+from watchspan.llm import fingerprints, hmm, language_id, license_scan, mixing, near_dedup, sentencepiece_codec, sharding, topk, toxicity
 from watchspan.llm.near_dedup import near_groups
 from watchspan.llm.queries import PIECES
 
@@ -298,6 +298,17 @@ def test_near_groups_equal_brute_force(spark, docs, empty):
     assert near_groups(empty).count() == 0
 
 
+def test_near_groups_of_nodes_spread_over_many_tiles(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "TILE_SHINGLES", 20)
+    rows = []
+    for g in range(15):  # two texts each that share bands but are less than 0.8 alike, and a copy of one
+        base = [f"g{g}x{i}" for i in range(60)]
+        other = [f"n{i}" if i in (10, 30, 50) else w for i, w in enumerate(base)]
+        rows += [(3 * g, " ".join(base)), (3 * g + 1, " ".join(other)), (3 * g + 2, " ".join(base[:-1]))]
+    got = {r.doc_id: r.component_id for r in near_groups(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()}
+    assert got == {i: i - i % 3 if i % 3 != 1 else i for i, _ in rows}
+
+
 def test_fingerprints(spark):
     a = "\n\n".join(f"paragraph number {i} with words" for i in range(40))
     b = a.replace("number 7 ", "number seven ")

@@ -143,6 +143,8 @@ def _joined(group: pa.Table, bits: int, percent: int) -> list[tuple[int, int]]:
     sketch, band = sketch.view(np.uint64), group.column("band")[0].as_py()
     first = np.flatnonzero(tile == group.column("left")[0].as_py())
     second = np.flatnonzero(tile == group.column("right")[0].as_py())
+    if not len(first) or not len(second):
+        return []  # tiles are chosen by hash, so either may hold no node
     found = []
     for at in range(0, len(first), 128):
         a = first[at : at + 128, None]

@@ -11,6 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from watchspan.llm import fingerprints, hmm, language_id, license_scan, mixing, near_dedup, sentencepiece_codec, sharding, topk, toxicity
+from watchspan.llm.common import word_hashes
 from watchspan.llm.near_dedup import near_groups
 from watchspan.llm.queries import PIECES
 
@@ -262,6 +263,66 @@ def test_hmm_beats_the_base(spark):
     assert got[1] > got[0] + 800  # telling two tongues apart is worth 963 at most
 
 
+def test_hmm_equals_full_training_until_the_likelihood_rests(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "ENTRIES", 40)  # several buckets
+    monkeypatch.setattr(hmm, "CLOSE", 0.02)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice([f"{'ab'[i % 2]}{j}" for j in range(30)], 12)) + f" rare{i}" for i in range(60)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in hmm.score(frame, F.col("doc_id") % 5 == 1).collect()}
+    k, train = hmm.STATES, [t for i, t in enumerate(texts) if i % 5 != 1]
+    count = Counter(w for t in train for w in [*t.split(), None])
+    n, v, once = sum(count.values()), len(count), sum(c == 1 for c in count.values())
+    unit = n + 0.5 * (v + 1)
+    base = {w: (c + 0.5) / unit for w, c in count.items()}
+    seen = [w for w in count if w]
+    raw = word_hashes(np.frombuffer(" ".join(seen).encode(), np.uint8), np.array([0, len(" ".join(seen))]))[0]
+    ratio = dict(zip([*seen, None], hmm._drawn(np.append(raw, hmm.END))))
+    first, moves, before, passes = np.full(k, 1 / k), hmm._sticky(), -np.inf, 0
+
+    def forward(words, r):
+        a, out, total = None, [], 0.0
+        for w in words:
+            a = (first if a is None else a @ moves) * r(w)
+            total += math.log(a.sum())
+            a = a / a.sum()
+            out.append(a)
+        return out, total
+
+    while True:
+        e, moved, begun, gain, passes = {w: np.zeros(k) for w in count}, np.zeros((k, k)), np.zeros(k), 0.0, passes + 1
+        for t in train:
+            words = [*t.split(), None]
+            shares, own = forward(words, ratio.get)
+            gain += own
+            b = np.ones(k)
+            for i in range(len(words) - 1, -1, -1):
+                g = shares[i] * b / (shares[i] @ b)
+                e[words[i]] += g
+                if i:
+                    x = shares[i - 1][:, None] * moves * (ratio[words[i]] * b)[None, :]
+                    moved += x / x.sum()
+                    b = moves @ (ratio[words[i]] * b)
+                    b /= b.sum()
+            begun += g
+        totals = sum(e.values())
+        prior = hmm.PRIOR * totals.sum() / k
+        kept = 1 / (1 - prior * 0.5 / unit / (totals + prior))
+        ratio = {w: (e[w] / base[w] + prior) / (totals + prior) * kept for w in count}
+        first, moves = (begun + 1 / k) / (begun + 1 / k).sum(), moved + hmm._sticky()
+        moves /= moves.sum(axis=1, keepdims=True)
+        if gain - before <= hmm.CLOSE * n:
+            break
+        before = gain
+    assert passes > 3
+    rare = sum(e[w] for w in count if count[w] == 1)
+    unseen = np.clip((rare + prior * once * 1.5 / unit) / (totals + prior), 0.5 / unit, 0.5)
+    for i, t in enumerate(texts):
+        words = [*t.split(), None]
+        _, own = forward(words, lambda w: ratio[w] * (1 - unseen) if w in ratio else unseen * unit / 0.5)
+        assert got[i] == pytest.approx(sum(math.log10(base.get(w, 0.5 / unit)) for w in words) + own / math.log(10), rel=1e-3)
+
+
 def shingles(text, k):
     w = words_of(text)
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())

@@ -40,6 +40,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a stored table that nothing reads any more."""
+    context = df.sparkSession.sparkContext
+    for folder in {x.rpartition("/")[0] for x in df.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of Arrow batches in slices of about `most` bytes of text, one row at least; null texts become empty."""
     for batch in batches:

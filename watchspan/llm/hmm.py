@@ -1,21 +1,22 @@
 """Hidden Markov language model: Baum-Welch counts summed across partitions, sequence likelihood by the scaled forward recursion.
 
-1. Each task turns its texts into slices: ids into the slice's own list of distinct words, and the training counts of
-   these. Words are 64-bit hashes. The sum over slices is the vocabulary with exact counts: all words of all training texts,
-   without a cap. It is a table, not a driver object; each slice gets the counts of its own words by a join.
-2. Base: p(w) = (c + 0.5) / (N + 0.5 (V + 1)). The model's emission is the base times a ratio per state. Words of `OWN`
-   training occurrences or more have ratios of their own; rarer ones share those of all words of their count. Every unseen
-   word is the same word; a state gives it the weight of its words that occur once, which comes off all others.
-3. A pass of Baum-Welch sends each slice the ratios of its words, runs the scaled forward and backward recursions over
-   all its training texts side by side, and sums the expected counts by word, transition and first state. The first passes
-   see an eighth or a quarter of the training texts and only break the symmetry; the last one counts all of them.
+1. Each task turns its texts into slices: ids into the slice's own sorted list of distinct words, and the training counts of
+   these. Words are 64-bit hashes. Ranges of the hash are buckets of about `ENTRIES` slice words. A bucket holds the words
+   that fall into it with exact counts, without a cap, and where each slice has them. It is a table, not a driver object.
+2. Base: p(w) = (c + 0.5) / (N + 0.5 (V + 1)). The model's emission is the base times a ratio per state. Every word of the
+   training texts has ratios of its own. Every unseen word is the same word; when scoring, a state gives it the weight of
+   its words that occur once, which comes off all others.
+3. A pass of Baum-Welch sends each slice the ratios of its words from the buckets, runs the scaled forward and backward
+   recursions over all its training texts side by side, and sums the expected counts by word in the buckets. Each pass
+   sees all training texts. Passes end when the log-likelihood of these rises by `CLOSE` or less per token.
 4. Scoring runs the forward recursion on every text. The log10 probability is the base score plus the logs of the scales.
 
-The parameters on the driver are those of the states: transitions, first states and totals, and the ratios of shared classes.
+The parameters on the driver are those of the states: transitions, first states, totals. Tables of a pass are removed after the next.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,56 +24,74 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from watchspan.llm.common import flat, mix, slices, stored, word_hashes
+from watchspan.llm.common import discard, flat, mix, slices, stored, word_hashes
 
-STATES, OWN, PRIOR = 4, 5, 0.02
-PASSES = ((0,), (0, 1), (0, 1, 2))
-# classes beside the words themselves: 0 is the unseen word, 1 to OWN - 1 the words of that count
-FIRST, MOVES, END = 100, 1000, np.uint64(0x656E64656E64656E)
-_SLICES = "slice long, part int, doc_ids array<long>, held array<boolean>, lengths array<long>, tokens binary, words array<long>, train array<long>"
+STATES, PRIOR, CLOSE = 6, 0.02, 1e-3
+END = np.uint64(0x656E64656E64656E)
+SLICE_BYTES, ENTRIES = 8 << 20, 1 << 17
+_SLICES = "slice long, doc_ids array<long>, held array<boolean>, lengths array<long>, n_words long, tokens binary, words binary, train binary"
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
-    for whole in batches:
-        part = np.array(whole.column("part"))
-        for p in (0, 1, 2):
-            at = np.flatnonzero(part == p)
-            if not len(at):
-                continue
-            for batch in slices(iter([whole.take(pa.array(at))])):
-                words, firsts = word_hashes(*flat(batch.column("text")))
-                lengths = np.diff(firsts)
-                words = np.insert(words, firsts[1:], END)  # one end behind each text's words
-                lengths = lengths + 1
-                held = np.array(batch.column("held"))
-                names, ids = np.unique(words, return_inverse=True)
-                train = np.bincount(ids[np.repeat(~held, lengths)], minlength=len(names))
-                ids = ids.astype(np.uint16 if len(names) <= 1 << 16 else np.uint32)
+    for batch in slices(batches, most=SLICE_BYTES):
+        words, firsts = word_hashes(*flat(batch.column("text")))
+        lengths = np.diff(firsts)
+        words = np.insert(words, firsts[1:], END)  # one end behind each text's words
+        lengths = lengths + 1
+        held = np.array(batch.column("held"))
+        names, ids = np.unique(words, return_inverse=True)
+        train = np.bincount(ids[np.repeat(~held, lengths)], minlength=len(names))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([number]), pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([held]), pa.array([lengths]), pa.array([len(names)]),
+                pa.array([ids.astype(_kind(len(names))).tobytes()], pa.binary()), pa.array([names.tobytes()], pa.binary()), pa.array([train.astype(np.int64).tobytes()], pa.binary()),
+            ],
+            ["slice", "doc_ids", "held", "lengths", "n_words", "tokens", "words", "train"],
+        )
+        number += 1
+
+
+def _kind(n: int) -> type:
+    return np.uint16 if n <= 1 << 16 else np.uint32
+
+
+def _dealt(buckets: int):
+    """A slice's words by bucket: ranges of the hash, so that the buckets' parts end to end are in the slice's order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, words, train in zip(*(batch.column(c).to_pylist() for c in ("slice", "words", "train")), strict=True):
+                words, train = np.frombuffer(words, np.uint64), np.frombuffer(train, np.int64)
+                bucket = ((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                at = np.flatnonzero(np.diff(bucket, prepend=-1))
+                parts = list(zip(at.tolist(), [*at[1:].tolist(), len(words)]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([number]), pa.array([p], pa.int32()), pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                        pa.array([held]), pa.array([lengths]), pa.array([ids.tobytes()], pa.binary()), pa.array([names.view(np.int64)]), pa.array([train]),
+                        pa.array(bucket[at]), pa.array(np.full(len(at), number, np.int64)),
+                        pa.array([words[a:b].tobytes() for a, b in parts], pa.binary()), pa.array([train[a:b].tobytes() for a, b in parts], pa.binary()),
                     ],
-                    ["slice", "part", "doc_ids", "held", "lengths", "tokens", "words", "train"],
+                    ["bucket", "slice", "words", "train"],
                 )
-                number += 1
+
+    return run
 
 
-_ALIGNED = "slice long, part int, doc_ids array<long>, held array<boolean>, lengths array<long>, tokens binary, counts array<long>"
+_BUCKETS = "bucket long, words binary, counts binary, slices array<long>, ends array<long>, ids binary, v long, n long, once long"
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The training count of each of a slice's words, in the slice's order; 0 for words that training has not met."""
-    kept = ["slice", "part", "doc_ids", "held", "lengths", "tokens"]
-    for batch in batches:
-        counts = []
-        for n, met, c in zip(batch.column("n_words").to_pylist(), batch.column("met"), batch.column("c"), strict=True):
-            row = np.zeros(n, np.int64)
-            if met.is_valid:
-                row[met.values.to_numpy(zero_copy_only=False)] = c.values.to_numpy(zero_copy_only=False)
-            counts.append(row)
-        yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), pa.array(counts, pa.list_(pa.int64()))], [*kept, "counts"])
+def _merged(group: pa.Table) -> pa.Table:
+    """One row for a bucket: its distinct words, their training counts, and the places of each slice's words among them."""
+    parts = [np.frombuffer(x, np.uint64) for x in group.column("words").to_pylist()]
+    words, ids = np.unique(np.concatenate(parts), return_inverse=True)
+    counts = np.zeros(len(words), np.int64)
+    np.add.at(counts, ids, np.concatenate([np.frombuffer(x, np.int64) for x in group.column("train").to_pylist()]))
+    row = {
+        "bucket": group.column("bucket")[0].as_py(), "words": words.tobytes(), "counts": counts.tobytes(), "slices": group.column("slice").to_pylist(),
+        "ends": np.cumsum([len(x) for x in parts]).tolist(), "ids": ids.astype(np.uint32).tobytes(),
+        "v": int((counts > 0).sum()), "n": int(counts.sum()), "once": int((counts == 1).sum()),
+    }
+    return pa.table({k: [x] for k, x in row.items()})
 
 
 class Packed:
@@ -106,8 +125,9 @@ class Packed:
         return scale, shares
 
     def expected(self, ratio: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """State shares of each token, expected moves, and expected first states."""
+        """State shares of each token, expected moves, and expected first states; `gain` becomes the sum of the scales' logs."""
         scale, shares = self.forward(ratio, first, moves, True)
+        self.gain = float(np.log(scale).sum())
         after, gamma = np.empty_like(shares), np.empty_like(shares)  # after: what a token and all behind it say to the one before
         edges, behind = self.edges, np.ones((0, len(first)))
         for lo, hi in zip(edges[-2::-1], edges[:0:-1]):
@@ -120,97 +140,147 @@ class Packed:
         return gamma, moves * (shares[self.before].T @ after[starts:]), gamma[:starts].sum(axis=0)
 
 
-def _classes(row: dict) -> np.ndarray:
-    """Each word's class: itself if it has ratios of its own, its count otherwise."""
-    out = np.array(row["counts"], np.int64)
-    if row["at"] is not None:
-        out[row["at"]] = row["class"]
-    return out
-
-
 def _drawn(words: np.ndarray) -> np.ndarray:
     """First ratios of the states: between a half and one and a half, by the word's hash."""
-    spread = [(mix(words.view(np.uint64) ^ np.uint64(k + 1)) >> np.uint64(11)).astype(np.float64) / (1 << 53) for k in range(STATES)]
+    spread = [(mix(words ^ np.uint64(k + 1)) >> np.uint64(11)).astype(np.float64) / (1 << 53) for k in range(STATES)]
     return np.stack(spread, axis=1) + 0.5
 
 
-def _ratios(row: dict, state: dict | None) -> np.ndarray:
-    """Ratio of each of a slice's words to the base, by state."""
-    counts = np.asarray(row["counts"], np.int64)
-    # words of their own are put in below
-    ratio = np.ones((len(counts), STATES)) if state is None else np.asarray(state["shared"])[np.minimum(counts, OWN)]
-    if row["at"] is not None and len(row["at"]):
-        if state is None:
-            ratio[row["at"]] = _drawn(np.asarray(row["class"], np.int64))
-        else:
-            has = np.asarray(row["has"], bool)  # a word that the last pass did not meet keeps the shared ratio
-            ratio[row["at"][has]] = np.asarray(row["ratio"], np.float64).reshape(-1, STATES)
+def _ratios(counts: np.ndarray, sums: np.ndarray, state: dict, last: bool) -> np.ndarray:
+    """Ratio of a bucket's words to the base, by state; unseen words only matter when scoring."""
+    base = (counts + 0.5) / state["unit"]
+    ratio = (sums / base[:, None] + state["prior"]) / (state["totals"] + state["prior"]) * state["scored" if last else "kept"]
+    ratio[counts == 0] = state["unseen"] if last else 1.0
     return ratio
 
 
-def _texts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    kind = np.uint16 if len(row["counts"]) <= 1 << 16 else np.uint32
-    return np.frombuffer(row["tokens"], kind), np.asarray(row["lengths"], np.int64), np.asarray(row["held"], bool)
+def _sent(state: dict | None, last: bool):
+    """(slice, bucket, ratio, counts): what each slice needs to know of its words in each bucket; counts for scoring only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                counts = np.frombuffer(row["counts"], np.int64)
+                if state is not None:
+                    ratio = _ratios(counts, np.frombuffer(row["sums"], np.float64).reshape(-1, STATES), state, last)
+                else:
+                    ratio = np.ones((len(counts), STATES)) if last else _drawn(np.frombuffer(row["words"], np.uint64))
+                ratio, ids = ratio.astype(np.float32), np.frombuffer(row["ids"], np.uint32)
+                for number, a, b in zip(row["slices"], [0, *row["ends"]], row["ends"]):
+                    at = ids[a:b]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([number]), pa.array([row["bucket"]]), pa.array([ratio[at].tobytes()], pa.binary()), pa.array([counts[at].tobytes() if last else None], pa.binary())],
+                        ["slice", "bucket", "ratio", "counts"],
+                    )
+
+    return run
+
+
+_SENT = "slice long, bucket long, ratio binary, counts binary"
+
+
+def _received(sent: pa.Table) -> tuple[list[int], list[int], np.ndarray, pa.Table]:
+    """Buckets in order, the number of a slice's words in each, the ratios of these words, and the sorted rows."""
+    sent = sent.sort_by("bucket")
+    parts = [np.frombuffer(x, np.float32).reshape(-1, STATES) for x in sent.column("ratio").to_pylist()]
+    return sent.column("bucket").to_pylist(), [len(x) for x in parts], np.concatenate(parts).astype(np.float64), sent
 
 
-def _rows(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[dict]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = {}
-            for c in columns:
-                v = batch.column(c)[i]
-                flat_list = isinstance(v, pa.ListScalar) and c != "doc_ids"
-                row[c] = (v.values.to_numpy(zero_copy_only=False) if v.is_valid else None) if flat_list else v.as_py()
-            yield row
+def _texts(cut: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    row = {c: cut.column(c)[0].as_py() for c in ("tokens", "lengths", "held", "n_words")}
+    return np.frombuffer(row["tokens"], _kind(row["n_words"])), np.asarray(row["lengths"], np.int64), np.asarray(row["held"], bool)
 
 
-_LOOKED_UP = ["counts", "tokens", "lengths", "held", "at", "class", "has", "ratio"]
+def _sticky() -> np.ndarray:
+    return np.full((STATES, STATES), 0.01 / (STATES - 1)) + np.eye(STATES) * (0.99 - 0.01 / (STATES - 1))
 
 
 def _expect(state: dict | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        moves = np.asarray(state["moves"]) if state else _sticky()
-        first = np.asarray(state["first"]) if state else np.full(STATES, 1 / STATES)
-        for row in _rows(batches, _LOOKED_UP):
-            tokens, lengths, held = _texts(row)
-            tokens, lengths = tokens[np.repeat(~held, lengths)], lengths[~held]
-            if not len(lengths):
-                continue
+    """(bucket, slice, sums, states): expected counts of a slice's words by bucket, with those of the states on its first row:
+    log-likelihood beside the base, first states, transitions."""
+    moves = state["moves"] if state else _sticky()
+    first = state["first"] if state else np.full(STATES, 1 / STATES)
+
+    def run(cut: pa.Table, sent: pa.Table) -> pa.Table:
+        buckets, sizes, ratio, _ = _received(sent)
+        tokens, lengths, held = _texts(cut)
+        tokens, lengths = tokens[np.repeat(~held, lengths)], lengths[~held]
+        sums, states = np.zeros((len(ratio), STATES)), np.zeros(1 + STATES + STATES * STATES)
+        if len(lengths):
             packed = Packed(tokens, lengths)
-            gamma, moved, begun = packed.expected(_ratios(row, state), first, moves)
-            sums = np.stack([np.bincount(packed.tokens, gamma[:, k], len(row["counts"])) for k in range(STATES)], axis=1)
-            names, ids = np.unique(_classes(row), return_inverse=True)
-            by_class = np.zeros((len(names), STATES))
-            np.add.at(by_class, ids, sums)
-            names = np.concatenate([names, [FIRST], MOVES + np.arange(STATES)])
-            by_class = np.concatenate([by_class, begun[None, :], moved])
-            yield pa.RecordBatch.from_arrays([pa.array(names), *(pa.array(by_class[:, k]) for k in range(STATES))], ["class", *(f"e{k}" for k in range(STATES))])
+            gamma, moved, begun = packed.expected(ratio, first, moves)
+            sums = np.stack([np.bincount(packed.tokens, gamma[:, k], len(ratio)) for k in range(STATES)], axis=1)
+            states = np.concatenate([[packed.gain], begun, moved.ravel()])
+        ends = np.cumsum(sizes).tolist()
+        raw = [sums[a:b].astype(np.float32).tobytes() for a, b in zip([0, *ends], ends)]
+        number = cut.column("slice")[0].as_py()
+        return pa.table({
+            "bucket": pa.array(buckets, pa.int64()), "slice": pa.array([number] * len(buckets), pa.int64()), "sums": pa.array(raw, pa.binary()),
+            "states": pa.array([states.tolist(), *[None] * (len(buckets) - 1)], pa.list_(pa.float64())),
+        })
 
     return run
 
 
-def _sticky() -> np.ndarray:
-    return np.full((STATES, STATES), 0.01 / (STATES - 1)) + np.eye(STATES) * (0.99 - 0.01 / (STATES - 1))
+def _summed(bucket: pa.Table, parts: pa.Table) -> pa.Table:
+    """A bucket with the expected counts of its words over all slices, and with the sums over these and over the states' rows:
+    totals by state, totals of words that occur once, then those of _expect."""
+    row = {c: bucket.column(c)[0].as_py() for c in ("bucket", "counts", "slices", "ends", "ids")}
+    counts, ids = np.frombuffer(row["counts"], np.int64), np.frombuffer(row["ids"], np.uint32)
+    where = {number: (a, b) for number, a, b in zip(row["slices"], [0, *row["ends"]], row["ends"])}
+    sums, states = np.zeros((len(counts), STATES)), np.zeros(1 + STATES + STATES * STATES)
+    for number, raw, own in zip(*(parts.column(c).to_pylist() for c in ("slice", "sums", "states")), strict=True):
+        a, b = where[number]
+        sums[ids[a:b]] += np.frombuffer(raw, np.float32).reshape(-1, STATES)  # a slice has each word once
+        if own is not None:
+            states += own
+    row["sums"] = sums.tobytes()
+    row["states"] = np.concatenate([sums.sum(axis=0), sums[counts == 1].sum(axis=0), states]).tolist()
+    return pa.table({k: [x] for k, x in row.items()})
 
 
-def _score(state: dict, n: int, v: int):
-    low = np.log10(n + 0.5 * (v + 1))
+_SUMMED = "bucket long, counts binary, slices array<long>, ends array<long>, ids binary, sums binary, states array<double>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, moves = np.asarray(state["first"]), np.asarray(state["moves"])
-        for row in _rows(batches, ["doc_ids", *_LOOKED_UP]):
-            tokens, lengths, held = _texts(row)
-            starts = np.cumsum(lengths) - lengths
-            base = np.add.reduceat((np.log10(row["counts"] + 0.5) - low)[tokens], starts)
-            known = np.add.reduceat((row["counts"] > 0).astype(np.int64)[tokens], starts)
-            packed = Packed(tokens, lengths)
-            scale, _ = packed.forward(_ratios(row, state), first, moves, False)
-            gain = np.empty(len(lengths))
-            gain[packed.order] = np.bincount(packed.text, np.log10(scale), len(lengths))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row["doc_ids"], pa.int64()), pa.array(held), pa.array(lengths), pa.array(known), pa.array(np.full(len(lengths), n, np.int64)), pa.array(base), pa.array(base + gain)],
-                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-            )
+
+def _maximised(expected: DataFrame, n: int, v: int, once: int) -> tuple[dict, float]:
+    """The states' parameters from expected counts, and the log-likelihood beside the base that the pass has met."""
+    rows = expected.select(F.posexplode("states").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
+    x = np.array([r.x for r in sorted(rows, key=lambda r: r.i)])
+    totals, rare, gain, first, moves = np.split(x, np.cumsum([STATES, STATES, 1, STATES]))
+    prior = PRIOR * totals.sum() / STATES
+    unit = n + 0.5 * (v + 1)
+    unseen = np.clip((rare + prior * once * 1.5 / unit) / (totals + prior), 0.5 / unit, 0.5)
+    # the base's unseen word is part of the prior's mass; what a state's words keep adds up to one, when scoring with the unseen word
+    kept = 1 / (1 - prior * 0.5 / unit / (totals + prior))
+    moves, first = moves.reshape(STATES, STATES) + _sticky(), first + 1 / STATES
+    state = {
+        "moves": moves / moves.sum(axis=1, keepdims=True), "first": first / first.sum(), "totals": totals, "prior": prior, "unit": unit,
+        "kept": kept, "scored": kept * (1 - unseen), "unseen": unseen * unit / 0.5,
+    }
+    return state, float(gain[0])
+
+
+def _score(state: dict | None, n: int, v: int):
+    low = np.log10(n + 0.5 * (v + 1))
+    first = state["first"] if state else np.full(STATES, 1 / STATES)
+    moves = state["moves"] if state else _sticky()
+
+    def run(cut: pa.Table, sent: pa.Table) -> pa.Table:
+        _, _, ratio, sent = _received(sent)
+        counts = np.concatenate([np.frombuffer(x, np.int64) for x in sent.column("counts").to_pylist()])
+        tokens, lengths, held = _texts(cut)
+        starts = np.cumsum(lengths) - lengths
+        base = np.add.reduceat((np.log10(counts + 0.5) - low)[tokens], starts)
+        known = np.add.reduceat((counts > 0).astype(np.int64)[tokens], starts)
+        packed = Packed(tokens, lengths)
+        scale, _ = packed.forward(ratio, first, moves, False)
+        gain = np.empty(len(lengths))
+        gain[packed.order] = np.bincount(packed.text, np.log10(scale), len(lengths))
+        ids = pa.array(cut.column("doc_ids")[0].as_py(), pa.int64())
+        return pa.table({
+            "doc_id": ids, "held_out": pa.array(held), "n_tokens": pa.array(lengths), "n_known": pa.array(known),
+            "train_tokens": pa.array(np.full(len(lengths), n, np.int64)), "base_score": pa.array(base), "score": pa.array(base + gain),
+        })
 
     return run
 
@@ -223,84 +293,32 @@ def score(docs: DataFrame, held: Column, text: str = "text", key: str = "doc_id"
     unseen and the score is the base score. Other columns are ignored.
     """
     held = F.coalesce(held, F.lit(False))
-    draw = F.pmod(F.xxhash64(F.lit("part"), F.col(f"`{key}`")), F.lit(8))
-    part = F.when(held | (draw > 1), 2).otherwise(draw).cast("int")
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), held.alias("held"), part.alias("part"))
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), held.alias("held"))
     cut = stored(rows.mapInArrow(_encode, _SLICES), "slices")
-    found = cut.select("slice", "part", F.posexplode(F.arrays_zip("words", "train")).alias("at", "w"))
-    found = found.select("slice", "part", "at", F.col("w.words").alias("word"), F.col("w.train").cast("int").alias("n"))
-    vocabulary = stored(found.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
-    known = stored(found.drop("n").join(vocabulary, "word"), "known")
-    counts = known.groupBy("slice").agg(F.collect_list("at").alias("met"), F.collect_list("c").alias("c"))
-    own = known.filter(F.col("c") >= OWN).select("slice", "part", "at", F.col("word").alias("class"))
-    cut = cut.select("slice", "part", "doc_ids", "held", "lengths", "tokens", F.size("words").alias("n_words"))
-    cut = stored(cut.join(counts, "slice", "left").mapInArrow(_aligned, _ALIGNED), "counts")
-    sizes = {r.size: (r.n, r.c) for r in vocabulary.groupBy(F.least("c", F.lit(OWN)).alias("size")).agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")).collect()}
-    v, n = sum(x for x, _ in sizes.values()), sum(c for _, c in sizes.values())
-    state, ratio = None, None
-    for parts in PASSES if n else ():
-        seen = _with_ratios(cut, own, ratio, list(parts))
-        sums = seen.mapInArrow(_expect(state), "class long, " + ", ".join(f"e{k} double" for k in range(STATES)))
-        sums = stored(sums.groupBy("class").agg(*(F.sum(f"e{k}").alias(f"e{k}") for k in range(STATES))), "expected")
-        fresh = _maximised(sums, sizes, n, v)
-        if fresh is None:
-            continue  # no training text fell into these parts
-        state, ratio = fresh, _own_ratios(sums, vocabulary, fresh, n, v)
-    if state is None:
-        state = {"moves": _sticky(), "first": np.full(STATES, 1 / STATES), "shared": np.ones((OWN + 1, STATES))}
-    return _with_ratios(cut, own, ratio, [0, 1, 2]).mapInArrow(
-        _score(state, n, v), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    )
-
-
-def _with_ratios(cut: DataFrame, own: DataFrame, ratio: DataFrame | None, parts: list[int]) -> DataFrame:
-    """Slices of the parts, with the places, classes and ratios of the words that have their own."""
-    picked = cut.filter(F.col("part").isin(parts)).drop("part")
-    mine = own.filter(F.col("part").isin(parts)).select("slice", "at", "class")
-    states = [f"r{k}" for k in range(STATES)]
-    if ratio is None:
-        mine = mine.withColumns({r: F.lit(None).cast("float") for r in states})
-    else:
-        mine = mine.join(ratio, "class", "left")
-    lists = [F.collect_list("at").alias("at"), F.collect_list("class").alias("class"), F.collect_list(F.col("r0").isNotNull()).alias("has"), *(F.collect_list(r).alias(r) for r in states)]
-    by = mine.groupBy("slice").agg(*lists)
-    by = by.select("slice", "at", "class", "has", F.flatten(F.transform("r0", lambda x, i: F.array(x, *(F.get(r, i) for r in states[1:])))).alias("ratio"))
-    return picked.join(by, "slice", "left")
-
-
-def _maximised(sums: DataFrame, sizes: dict[int, tuple[int, int]], n: int, v: int) -> dict | None:
-    """The states' parameters from expected counts: totals, transitions, first states, ratios of shared classes."""
-    e = [F.col(f"e{k}") for k in range(STATES)]
-    total = sums.filter(~F.col("class").between(FIRST, MOVES + STATES)).agg(*(F.coalesce(F.sum(x), F.lit(0.0)) for x in e)).first()
-    totals = np.array(list(total), float)
-    if not totals.sum():
-        return None
-    few = {r[0]: np.array(r[1:], float) for r in sums.filter(F.col("class").between(0, MOVES + STATES)).select("class", *e).collect()}
-    none = np.zeros(STATES)
-    moves = np.stack([few.get(MOVES + k, none) for k in range(STATES)]) + _sticky()
-    first = few.get(FIRST, none) + 1 / STATES
-    prior = PRIOR * totals.sum() / STATES
-    unit = n + 0.5 * (v + 1)
-    shared = np.ones((OWN + 1, STATES))
-    shared[OWN] = prior / (totals + prior)
-    for c in range(1, OWN):
-        words = sizes.get(c, (0, 0))[0]
-        base = words * (c + 0.5) / unit
-        shared[c] = (few.get(c, none) + prior * base) / (totals + prior) / base if base else 1.0
-    once = sizes.get(1, (0, 0))[0] * 1.5 / unit
-    unseen = np.clip(shared[1] * once, 0.5 / unit, 0.5)
-    # the base's unseen word is part of the prior's mass; what a state's words keep adds up with it to one
-    kept = (1 - unseen) / (1 - prior * 0.5 / unit / (totals + prior))
-    shared[1:] *= kept
-    shared[0] = unseen * unit / 0.5
-    return {"moves": moves / moves.sum(axis=1, keepdims=True), "first": first / first.sum(), "shared": shared, "totals": totals, "prior": prior, "kept": kept}
-
-
-def _own_ratios(sums: DataFrame, vocabulary: DataFrame, state: dict, n: int, v: int) -> DataFrame:
-    """(class, r0, r1, ...) of words with a ratio of their own that the pass met; the others have shared[OWN]."""
-    base = (F.col("c") + 0.5) / F.lit(float(n + 0.5 * (v + 1)))
-    own = sums.join(vocabulary.filter(F.col("c") >= OWN).withColumnRenamed("word", "class"), "class")
-    ratio = [
-        (F.col(f"e{k}") / base + F.lit(float(state["prior"]))) * F.lit(float(state["kept"][k] / (state["totals"][k] + state["prior"]))) for k in range(STATES)
-    ]
-    return stored(own.select("class", *(r.cast("float").alias(f"r{k}") for k, r in enumerate(ratio))), "ratios")
+    buckets = -(-(cut.agg(F.sum("n_words")).first()[0] or 1) // ENTRIES)
+    dealt = cut.select("slice", "words", "train").mapInArrow(_dealt(buckets), "bucket long, slice long, words binary, train binary")
+    table = stored(dealt.groupBy("bucket").applyInArrow(_merged, _BUCKETS), "buckets")
+    v, n, once = (x or 0 for x in table.agg(F.sum("v"), F.sum("n"), F.sum("once")).first())
+    cut = cut.drop("words", "train")
+    state, expected, before = None, None, -np.inf
+    while n:
+        sent = (table if expected is None else expected).mapInArrow(_sent(state, False), _SENT)
+        parts = _by_slice(cut, sent, _expect(state), "bucket long, slice long, sums binary, states array<double>")
+        fresh = stored(table.groupBy("bucket").cogroup(parts.groupBy("bucket")).applyInArrow(_summed, _SUMMED), "expected")
+        if expected is not None:
+            discard(expected)
+        expected, (state, gain) = fresh, _maximised(fresh, n, v, once)
+        # shuffle files of the pass go when nothing on the driver refers to them
+        del sent, parts, fresh
+        gc.collect()
+        docs.sparkSession.sparkContext._jvm.System.gc()
+        if gain - before <= CLOSE * n:
+            break
+        before = gain
+    sent = (table if expected is None else expected).mapInArrow(_sent(state, True), _SENT)
+    found = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return _by_slice(cut, sent, _score(state, n, v), found)
+
+
+def _by_slice(cut: DataFrame, sent: DataFrame, run, schema: str) -> DataFrame:
+    return cut.groupBy("slice").cogroup(sent.groupBy("slice")).applyInArrow(run, schema)

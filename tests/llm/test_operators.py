@@ -155,6 +155,35 @@ def test_mixing_reaches_targets(spark, docs, empty):
     assert {r.mix_rate for r in mixing.mix(docs, labels.limit(0), {"fruit": 1.0})[0].collect()} == {1.0}
 
 
+def soft_docs(spark):
+    """Posteriors with a domain below one hundredth in most documents."""
+    rng = np.random.default_rng(8)
+    rows = [(i, int(rng.integers(1, 400)), rng.dirichlet([6, 2, 0.02]).tolist()) for i in range(400)]
+    return spark.createDataFrame(rows, "doc_id long, mix_tokens long, mix_posteriors array<double>")
+
+
+def reached(held, model):
+    rows = mixing.apply_rates(held, model).collect()
+    sums = [sum(r.mix_rate * r.mix_tokens * r.mix_posteriors[d] for r in rows) for d in range(len(rows[0].mix_posteriors))]
+    return np.array(sums), rows
+
+
+def test_mixing_reaches_a_small_target_on_its_own_scale(spark):
+    names = mixing.DomainModel(["a", "b", "c"], [0.0] * 3, [[0.0]] * 3)
+    held = soft_docs(spark)
+    model = mixing.fit(held, names, {"a": 0.8, "b": 0.195, "c": 0.005})
+    sums, rows = reached(held, model)
+    assert sums == pytest.approx(np.array([0.8, 0.195, 0.005]) * sum(r.mix_tokens for r in rows), rel=1e-3)
+    with pytest.warns(UserWarning, match="no rates reach"):
+        assert mixing.fit(held, names, {"c": 1.0}).residuals["c"] < -0.1
+
+
+def test_posteriors_are_not_rounded(spark):
+    model = mixing.DomainModel(["a", "b"], [math.log(0.996), math.log(0.004)], [[0.0], [0.0]])
+    frame = spark.createDataFrame([(1, "word")], "doc_id long, text string")
+    assert mixing.with_posteriors(frame, model).first().mix_posteriors == pytest.approx([0.996, 0.004])
+
+
 def test_rates_equal_projected_gradient_in_numpy(spark):
     steps, momentum = [[0.3, -0.2], [0.1, 0.4], [-0.2, 0.9]], [0.0, 0.3, 0.4]
     p = spark.createDataFrame([([0.25, 0.75],), ([1.0, 0.0],), ([0.0, 1.0],)], "p array<double>")

@@ -5,21 +5,23 @@ model with smoothed counts gives each bucket a log-probability per domain. At mo
 those of the smallest hash, so that they can be broadcast and no text is shuffled.
 
 Membership. A document's log-odds are the domain's prior plus the word scores, weighed as if the text had as many
-independent words as the square root of its length. Posteriors are rounded to `grain` steps and add up to 1.
+independent words as the square root of its length.
 
-Fit. Rates r >= 0 shall bring the expected tokens of each domain, sum r t p, to its target. Least squares over relative
-residuals is solved by accelerated projected gradient steps from r = 1, in the metric of the documents' tokens. A
-document's step depends on its posterior only. So documents of one posterior keep one rate, and token totals per posterior,
-summed before any shuffle, are all that the steps need. A rate is a fold over the residuals of all steps; these few
-numbers are the model, and applying it needs neither a join nor a shuffle.
+Fit. Rates of `least` or more shall bring the expected tokens of each domain, sum r t p, to its target. Of all such rates
+those closest to 1, in the metric of the documents' tokens, are max(least, 1 + w p) with one weight w per domain. Damped
+Newton steps find the weights; a step takes one aggregate over the stored documents, of which only sums per domain and pair
+of domains reach the driver. Without a budget the shares alone are the target. The weights are the model, and applying it
+needs neither a join nor a shuffle. Residuals are kept with it, and targets that no rates reach give a warning.
 
 Everything is column expressions.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import warnings
+from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from watchspan.llm.common import stored
@@ -36,10 +38,12 @@ class DomainModel:
 
 @dataclass(frozen=True)
 class RateModel:
-    """Residual of every step and domain, already multiplied by the step's factors."""
+    """Steps of the rate and their momentum, as `rates` takes them, and what the fit left of each domain's target."""
 
     steps: list[list[float]]
     momentum: list[float]
+    least: float = 0.0
+    residuals: dict[str, float] = field(default_factory=dict)  # relative to the domain's own target, to all tokens where that is 0
 
 
 def words_of(text: Column) -> Column:
@@ -84,12 +88,10 @@ def _log(x: float) -> float:
     return math.log(x)
 
 
-def with_posteriors(docs: DataFrame, model: DomainModel, text: str = "text", grain: int = 100) -> DataFrame:
-    """docs with mix_tokens (words, long) and mix_posteriors (array of double in the order of model.domains, multiples of
-    1 / grain that add up to 1). A text without words has the prior. Columns of these names are replaced."""
-    if len(model.domains) > grain:
-        raise ValueError("more domains than grain steps")
-    names = [c for c in docs.columns if c not in (*_ADDED, "_words", "_buckets", "_odds", "_parts")]
+def with_posteriors(docs: DataFrame, model: DomainModel, text: str = "text") -> DataFrame:
+    """docs with mix_tokens (words, long) and mix_posteriors (array of double in the order of model.domains that add up
+    to 1). A text without words has the prior. Columns of these names are replaced."""
+    names = [c for c in docs.columns if c not in (*_ADDED, "_words", "_buckets", "_odds", "_likely")]
     buckets = len(model.weights[0])
     kept = [F.col(f"`{c}`") for c in names]
     base = docs.select(*kept, words_of(F.col(f"`{text}`")).alias("_words"))
@@ -103,54 +105,94 @@ def with_posteriors(docs: DataFrame, model: DomainModel, text: str = "text", gra
 
     base = base.select(*kept, "mix_tokens", F.array(F.lit(0.0), *(odds(d) for d in range(1, len(model.domains)))).alias("_odds"))
     likely = F.transform("_odds", lambda x: F.exp(x - F.array_max("_odds")))
-    total = F.aggregate(likely, F.lit(0.0), lambda s, x: s + x)
-    base = base.select(*kept, "mix_tokens", F.transform(likely, lambda x: F.floor(x / total * grain).cast("long")).alias("_parts"))
-    # what rounding down leaves goes to the likeliest domain
-    left = F.lit(grain) - F.aggregate("_parts", F.lit(0).cast("long"), lambda s, x: s + x)
-    top = F.array_position("_parts", F.array_max("_parts")) - 1
-    return base.select(*kept, "mix_tokens", F.transform("_parts", lambda x, i: (x + F.when(i == top, left).otherwise(0)) / F.lit(float(grain))).alias("mix_posteriors"))
+    base = base.select(*kept, "mix_tokens", likely.alias("_likely"))
+    total = F.aggregate("_likely", F.lit(0.0), lambda s, x: s + x)
+    return base.select(*kept, "mix_tokens", F.transform("_likely", lambda x: x / total).alias("mix_posteriors"))
 
 
-def fit(held: DataFrame, model: DomainModel, targets: dict[str, float], budget: float | None = None, lose_none: bool = False, steps: int = 60, close: float = 1e-4) -> RateModel:
+def fit(held: DataFrame, model: DomainModel, targets: dict[str, float], budget: float | None = None, lose_none: bool = False, close: float = 1e-4) -> RateModel:
     """Rates for docs with posteriors. targets: weight of each domain, at least 0, one above 0; a domain not named has 0, and
     a name that the model doesn't know is refused. budget: expected tokens of the mixture, by default those of docs.
-    lose_none: the least budget for which no domain must shrink, so that rates are about 1 or more.
-    At most `steps` steps, fewer when every domain is within `close` of the budget. Without tokens every rate stays 1.
+    lose_none: no rate is below 1, and without a budget the mixture is as large as its shares then need.
+    Ends when every domain is within `close` of its own target (of all tokens where that is 0), or warns of the residuals
+    when no rates come closer. Without tokens every rate stays 1.
     """
     unknown = [d for d, w in targets.items() if d not in model.domains and w > 0]
     weights = [max(0.0, float(targets.get(d, 0.0))) for d in model.domains]
     if unknown or not sum(weights):
         raise ValueError(f"no such domain: {unknown}" if unknown else "no weight above 0")
-    share = [w / sum(weights) for w in weights]
-    k = len(model.domains)
-    p = [F.get(F.col("p"), F.lit(d)) for d in range(k)]
-    cells = stored(held.groupBy(F.col("mix_posteriors").alias("p")).agg(F.sum("mix_tokens").cast("double").alias("t")).filter("t > 0"), "cells")
-    first = cells.agg(F.sum("t").alias("all"), *(F.sum(F.col("t") * p[d]).alias(f"d{d}") for d in range(k)), *(F.sum(F.col("t") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(k))).first()
-    if not first["all"]:
-        return RateModel([], [])
-    if lose_none:
-        budget = max(first[f"d{d}"] / share[d] for d in range(k) if share[d])
-    goal = [s * (budget or first["all"]) for s in share]
-    # residuals relative to the tokens a domain has and shall have, so that small domains count as much as large ones
-    scale = [1 / (goal[d] + first[f"d{d}"] + 1e-9 * first["all"]) for d in range(k)]
-    gram = [[first[f"g{i}_{j}"] * scale[i] * scale[j] for j in range(k)] for i in range(k)]
-    pace = 1 / max(sum(gram[i][i] for i in range(k)), 1e-300)
-    found, momentum, t = [], [], 1.0
-    total = sum(goal)
-    for _ in range(steps):
-        rate, ahead = rates(F.col("p"), found, momentum)
-        sums = cells.select("t", "p", rate.alias("rate"), ahead.alias("ahead"))
-        sums = sums.agg(*(F.sum(F.col("t") * F.col(r) * p[d]).alias(f"{r}{d}") for r in ("rate", "ahead") for d in range(k))).first()
-        if max(abs(sums[f"rate{d}"] - goal[d]) for d in range(k)) <= close * total:
+    share = np.array(weights) / sum(weights)
+    k, least = len(model.domains), 1.0 if lose_none else 0.0
+    free = lose_none and budget is None
+    rows = held.select(F.col("mix_tokens").cast("double").alias("t"), F.col("mix_posteriors").alias("p")).filter("t > 0")
+    every = rows.agg(F.sum("t")).first()[0]
+    if not every:
+        return RateModel([], [], least)
+    # with a free budget, each domain's tokens less its share of all shall be 0
+    q = [F.get("p", F.lit(d)) - F.lit(float(share[d]) if free else 0.0) for d in range(k)]
+    goal = np.zeros(k) if free else share * (budget or every) / every
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    ridge = 1e-3
+
+    def sums(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, float]:
+        """The convex function that the weights minimise, its gradient and curvature, and all tokens, per token of docs."""
+        line = sum((F.lit(float(w[d])) * q[d] for d in range(k)), F.lit(1.0))
+        at = rows.select("t", *(x.alias(f"q{d}") for d, x in enumerate(q)), line.alias("x"))
+        rate, loose = F.greatest(F.lit(least), F.col("x")), F.when(F.col("x") > least, F.col("t")).otherwise(0.0)
+        value = F.when(F.col("x") > least, F.col("x") * F.col("x") / 2).otherwise(least * F.col("x") - least * least / 2)
+        found = at.agg(
+            F.sum(F.col("t") * value), F.sum(F.col("t") * rate), *(F.sum(F.col("t") * rate * F.col(f"q{d}")) for d in range(k)),
+            *(F.sum(loose * F.col(f"q{i}") * F.col(f"q{j}")) for i, j in pairs),
+        ).first()
+        found = np.array(list(found), float) / every
+        curve = np.zeros((k, k))
+        for (i, j), x in zip(pairs, found[2 + k :], strict=True):
+            curve[i, j] = curve[j, i] = x
+        return found[0] - goal @ w + ridge / 2 * w @ w, found[2 : 2 + k] - goal + ridge * w, curve + ridge * np.eye(k), found[1]
+
+    def residual(w: np.ndarray, slope: np.ndarray, tokens: float) -> np.ndarray:
+        aim = share * (tokens if free else goal.sum())
+        return (slope - ridge * w) / np.where(aim > 0, aim, aim.sum())
+
+    w = np.zeros(k)
+    if least:
+        # at rates of 1 nothing is loose yet: a first step along the slope
+        value, slope, curve, tokens = sums(w)
+        if np.abs(residual(w, slope, tokens)).max() > close:
+            w = -slope / np.abs(slope).max()
+    # weak pull to rates of 1 first, then weaker; if no pull is weak enough, the first weights stand, whose rates stay moderate
+    first = None
+    for ridge in (1e-3, 1e-5, 1e-7, 1e-9):
+        value, slope, curve, tokens = sums(w)
+        while True:
+            step = -np.linalg.solve(curve, slope)
+            length, gain = 1.0, -(slope @ step)
+            if np.abs(residual(w, slope, tokens)).max() <= close or gain <= 1e-9 * max(1.0, abs(value)) * min(1.0, ridge * 1e3):
+                break
+            while length > 1e-6:
+                new = w + length * step
+                after = sums(new)
+                if after[0] <= value - 1e-4 * length * gain:
+                    break
+                length /= 4
+            else:
+                break  # the smallest value that numbers can tell
+            w, (value, slope, curve, tokens) = new, after
+        first = first or (w, residual(w, slope, tokens))
+        if np.abs(residual(w, slope, tokens)).max() <= close:
+            first = w, residual(w, slope, tokens)
             break
-        found.append([pace * scale[d] * scale[d] * (sums[f"ahead{d}"] - goal[d]) for d in range(k)])
-        after = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        momentum.append((t - 1) / after)
-        t = after
-    return RateModel(found, momentum)
+    w, left = first
+    residuals = dict(zip(model.domains, left.tolist(), strict=True))
+    if np.abs(left).max() > close:
+        warnings.warn(f"no rates reach the targets; residuals: {residuals}", stacklevel=2)
+    if not w.any():
+        return RateModel([], [], least, residuals)
+    # posteriors add up to 1, so what a share takes off is the same for all domains
+    return RateModel([(-(w - (w @ share if free else 0.0))).tolist()], [0.0], least, residuals)
 
 
-def rates(posteriors: Column, steps: list[list[float]], momentum: list[float]) -> tuple[Column, Column]:
+def rates(posteriors: Column, steps: list[list[float]], momentum: list[float], least: float = 0.0) -> tuple[Column, Column]:
     """The rate after the steps, and the point ahead of it where the next residual is taken."""
     if not steps:
         return F.lit(1.0), F.lit(1.0)
@@ -160,7 +202,7 @@ def rates(posteriors: Column, steps: list[list[float]], momentum: list[float]) -
 
     def step(s: Column, e: Column) -> Column:
         pull = sum((F.get(posteriors, F.lit(d)) * F.get(e, F.lit(d)) for d in range(k)), F.lit(0.0))
-        new = F.greatest(F.lit(0.0), s["ahead"] - pull)
+        new = F.greatest(F.lit(least), s["ahead"] - pull)
         # the point ahead may leave the allowed range, the rate never does
         return F.struct(new.alias("rate"), (new + F.get(e, F.lit(k)) * (new - s["rate"])).alias("ahead"))
 
@@ -170,7 +212,7 @@ def rates(posteriors: Column, steps: list[list[float]], momentum: list[float]) -
 
 def apply_rates(held: DataFrame, model: RateModel, key: str = "doc_id") -> DataFrame:
     """Rows with mix_rate, and mix_copies: the rate rounded up or down by the hash of key and tokens, right on average."""
-    rate = rates(F.col("mix_posteriors"), model.steps, model.momentum)[0]
+    rate = rates(F.col("mix_posteriors"), model.steps, model.momentum, model.least)[0]
     held = held.withColumn("mix_rate", rate)
     draw = F.xxhash64(F.lit("copies"), F.col(f"`{key}`"), F.col("mix_tokens")).bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
     whole = F.floor("mix_rate")

@@ -40,13 +40,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_to_shares(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated so that good and poor text have their shares; the budget is the least that loses no domain text."""
+    """Documents repeated so that good and poor text have their shares and no document is lost."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     domain = F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
     mixed, _ = mixing.mix(docs, labels.select("doc_id", domain.alias("domain")), SHARES, lose_none=True)
-    # a rate a little below 1 must not lose a clean document
-    copies = F.greatest("mix_copies", F.lit(1)).cast("int")
-    return mixed.select(*docs.columns, F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).drop("_copy")
+    return mixed.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("_copy")).drop("_copy")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

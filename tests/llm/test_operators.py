@@ -178,6 +178,14 @@ def test_mixing_reaches_a_small_target_on_its_own_scale(spark):
         assert mixing.fit(held, names, {"c": 1.0}).residuals["c"] < -0.1
 
 
+def test_mixing_reaches_shares_without_losing_documents(spark):
+    names = mixing.DomainModel(["a", "b", "c"], [0.0] * 3, [[0.0]] * 3)
+    held = soft_docs(spark)
+    sums, rows = reached(held, mixing.fit(held, names, {"a": 0.6, "b": 0.38, "c": 0.02}, lose_none=True))
+    assert sums / sums.sum() == pytest.approx([0.6, 0.38, 0.02], rel=1e-3)
+    assert all(r.mix_rate >= 1 and r.mix_copies >= 1 for r in rows)
+
+
 def test_posteriors_are_not_rounded(spark):
     model = mixing.DomainModel(["a", "b"], [math.log(0.996), math.log(0.004)], [[0.0], [0.0]])
     frame = spark.createDataFrame([(1, "word")], "doc_id long, text string")

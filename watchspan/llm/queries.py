@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchspan.llm import fingerprints, hmm, language_id, license_scan, mixing, sentencepiece_codec, sharding, topk, toxicity
+from watchspan.llm import fingerprints, hmm, language_id, license_scan, line_dedup, mixing, sentencepiece_codec, sharding, topk, toxicity
 from watchspan.llm.common import documents, fold
 from watchspan.llm.near_dedup import near_groups
 
@@ -118,6 +118,12 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that other documents keep, as digests."""
+    kept = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
@@ -129,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hmm_scoring": op8_hmm_scoring,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_fingerprints": op10_fingerprints,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 _TOP_K_SQL = """
@@ -146,4 +153,5 @@ ORACLES: dict[str, str] = {
     "op2_sharding": sharding.sharding_sql(24),
     "op3_license_scan": license_scan.license_sql(),
     "op7_exact_top_k": _TOP_K_SQL,
+    "op13_line_dedup": line_dedup.lines_sql(),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchspan.llm import fingerprints, hmm, language_id, license_scan, line_dedup, mixing, sentencepiece_codec, sharding, topk, toxicity
+from watchspan.llm import fingerprints, hmm, language_id, license_scan, line_dedup, mixing, periodic_runs, sentencepiece_codec, sharding, topk, toxicity
 from watchspan.llm.common import documents, fold
 from watchspan.llm.near_dedup import near_groups
 
@@ -118,6 +118,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic stretches of words of all documents, some of which are given one."""
+    return periodic_runs.digests(periodic_runs.find_runs(documents(spark, sf_dir), change=periodic_runs.planted))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that other documents keep, as digests."""
     kept = line_dedup.dedup_lines(documents(spark, sf_dir))
@@ -135,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hmm_scoring": op8_hmm_scoring,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_fingerprints": op10_fingerprints,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_line_dedup": op13_line_dedup,
 }
 

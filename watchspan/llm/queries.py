@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchspan.llm import fingerprints, hmm, language_id, license_scan, line_dedup, mixing, periodic_runs, sentencepiece_codec, sharding, topk, toxicity
+from watchspan.llm import fingerprints, hmm, language_id, license_scan, line_dedup, mixing, periodic_runs, prefix_trie, sentencepiece_codec, sharding, topk, toxicity
 from watchspan.llm.common import documents, fold
 from watchspan.llm.near_dedup import near_groups
 
@@ -118,6 +118,12 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt so that blocks of them share their first turns."""
+    turns = prefix_trie.ordered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.prefix_trie(*prefix_trie.with_shared_heads(turns))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic stretches of words of all documents, some of which are given one."""
     return periodic_runs.digests(periodic_runs.find_runs(documents(spark, sf_dir), change=periodic_runs.planted))
@@ -140,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hmm_scoring": op8_hmm_scoring,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_fingerprints": op10_fingerprints,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_line_dedup": op13_line_dedup,
 }
@@ -155,9 +162,38 @@ scores AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM scores QUALIFY rank <= 10"""
 
+_TRIE_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, md5(strlen(r) || ':' || r || x) AS m,
+         len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, m) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {sharding.crc32_sql("encode(conv_id::VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS own, t.p, t.m, t.words FROM convs c JOIN turns t ON t.conv_id = c.base AND t.p <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.p, t.m, t.words FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.p > c.h),
+steps AS (
+  SELECT conv_id, row_number() OVER w AS depth, words, md5(string_agg(m, ',') OVER w) AS name FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY own, p)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+sized AS (SELECT *, max(depth) OVER (PARTITION BY conv_id) AS size, min(conv_id) OVER (PARTITION BY depth, name) AS top FROM steps),
+nodes AS (
+  SELECT top, depth, count(*) AS n_convs, max(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+  FROM sized GROUP BY top, depth),
+linked AS (
+  SELECT n.*, s.top AS parent, (SELECT count(*) FROM nodes k JOIN sized q ON q.conv_id = k.top AND q.depth = k.depth - 1 WHERE q.top = n.top AND q.depth = n.depth) AS n_children
+  FROM nodes n LEFT JOIN sized s ON s.conv_id = n.top AND s.depth = n.depth - 1),
+under AS (
+  SELECT s.top, s.depth, sum((l.n_convs - 1) * l.words) AS saved_tokens, count_if(l.n_children = 0) AS n_leaves
+  FROM linked l JOIN sized s ON s.conv_id = l.top AND s.depth <= l.depth GROUP BY ALL)
+SELECT l.top AS conv_id, l.depth::BIGINT AS depth, l.parent AS parent_conv_id, l.n_convs, l.n_children, u.n_leaves::BIGINT AS n_leaves,
+       u.saved_tokens::BIGINT AS saved_tokens, l.ends_sha256
+FROM linked l JOIN under u ON u.top = l.top AND u.depth = l.depth"""
+
 ORACLES: dict[str, str] = {
     "op2_sharding": sharding.sharding_sql(24),
     "op3_license_scan": license_scan.license_sql(),
     "op7_exact_top_k": _TOP_K_SQL,
+    "op11_prefix_trie": _TRIE_SQL,
     "op13_line_dedup": line_dedup.lines_sql(),
 }

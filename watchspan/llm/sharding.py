@@ -81,7 +81,7 @@ def shard_by_key(docs: DataFrame, shards: int, key: str = "doc_id", text: str =
     return rows.select(key, "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("start") + F.col("inside")).cast("long").alias("slot"), "grown_shard")
 
 
-def _crc32_sql(bytes_sql: str) -> str:
+def crc32_sql(bytes_sql: str) -> str:
     """crc32 of a BLOB-valued expression in DuckDB, from its hexadecimal digits and the table of the reflected polynomial."""
     table = []
     for i in range(256):
@@ -97,8 +97,8 @@ def sharding_sql(shards: int, buckets: int = 4096) -> str:
     return f"""
 WITH RECURSIVE base AS (
   SELECT row_number() OVER () AS rid, doc_id, strlen(coalesce(text, '')) + 8 AS size,
-         {_crc32_sql("encode(coalesce(text, ''))")} AS text_crc32,
-         {_crc32_sql("encode(coalesce(doc_id::VARCHAR, ''))")} % {buckets} AS bucket,
+         {crc32_sql("encode(coalesce(text, ''))")} AS text_crc32,
+         {crc32_sql("encode(coalesce(doc_id::VARCHAR, ''))")} % {buckets} AS bucket,
          CASE WHEN coalesce(doc_id, 0) < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE coalesce(doc_id, 0)::HUGEINT END AS key
   FROM documents),
 walk(rid, key, place, nxt) AS (

@@ -88,6 +88,83 @@ _KINDS = {
 }
 
 
+def item_days(events: DataFrame, scopes: DataFrame, dim_ip: DataFrame) -> DataFrame:
+    """(user_key, kind, item, event_date, by_token): the days on which a user used an application, a scope or a network, once each."""
+    days = ["user_key", "event_date"]
+    known = F.col("user_key").isNotNull()
+    events, scopes = events.filter(known), scopes.filter(known)
+    networks = dim_ip.filter(F.col("asn").isNotNull()).select("ip_key", "asn")
+    with_asn = lookup_join(events.select(*days, "ip_key", "unique_id"), networks, ["ip_key"], "unique_id")
+    used = reduce(
+        DataFrame.unionByName,
+        [
+            events.filter(F.col("app_id").isNotNull()).select(
+                *days, F.lit("app").alias("kind"), F.col("app_id").cast("string").alias("item"),
+                (F.col("source") == "token").alias("by_token"),
+            ),
+            scopes.filter(F.col("scope_key").isNotNull()).select(
+                *days, F.lit("scope").alias("kind"), F.col("scope_key").alias("item"), F.lit(True).alias("by_token")
+            ),
+            with_asn.filter(F.col("asn").isNotNull()).select(
+                *days, F.lit("asn").alias("kind"), F.col("asn").cast("string").alias("item"), F.lit(False).alias("by_token")
+            ),
+        ],
+    )
+    return used.groupBy("user_key", "kind", "item", "event_date").agg(F.max("by_token").alias("by_token"))
+
+
+def breadth_counts() -> list[Column]:
+    """How many applications, scopes and networks a group of item days holds."""
+    counts = [F.count_if(F.col("kind") == kind).alias(distinct) for kind, (distinct, _) in _KINDS.items()]
+    return [*counts, F.count_if((F.col("kind") == "app") & F.col("by_token")).alias("token_distinct_apps")]
+
+
+def token_volume(events: DataFrame, by: list[str]) -> DataFrame:
+    return events.filter(F.col("source") == "token").groupBy(*by).agg(F.sum(F.coalesce("num_bytes", F.lit(0))).alias("token_total_bytes"))
+
+
+# --- states that carry baselines and novelty from one build to the next ---
+
+
+def recent_state(rows: DataFrame, key: str, day: str, measures: list[str], before: Column, most: int = max(SPANS)) -> DataFrame:
+    """(key, recent): the last `most` rows of each entity before a day, the newest first. What a frame of `most` rows can reach."""
+    entry = F.struct(F.col(day).alias("day"), *measures)
+    kept = rows.filter((F.col(day) < before) & F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(entry).alias("_all"))
+    return kept.select(key, F.slice(F.sort_array("_all", asc=False), 1, most).alias("recent"))
+
+
+def recent_rows(state: DataFrame, key: str, day: str) -> DataFrame:
+    """The rows a state holds."""
+    return state.select(key, F.inline("recent")).withColumnRenamed("day", day)
+
+
+def advance_items(state: DataFrame | None, fresh: DataFrame, first: Column, since: Column) -> DataFrame:
+    """(user_key, kind, item, days): the days of the novelty window on which a user used an item, in order.
+
+    `state` is that of the last build, `fresh` holds the item days from `since` on, `first` is the window's first day. Days
+    that left the window go, days from `since` on are taken from `fresh` only.
+    """
+    days = fresh.filter((F.col("event_date") >= since) & (F.col("event_date") >= first)).select("user_key", "kind", "item", "event_date")
+    if state is not None:
+        old = state.select("user_key", "kind", "item", F.explode("days").alias("event_date"))
+        days = days.unionByName(old.filter((F.col("event_date") < since) & (F.col("event_date") >= first)))
+    return days.groupBy("user_key", "kind", "item").agg(F.sort_array(F.collect_set("event_date")).alias("days"))
+
+
+def debut_counts(state: DataFrame, novelty_days: int = NOVELTY_DAYS) -> DataFrame:
+    """(user_key, event_date, new_..._count): items counted on the first day of the window on which their user used them."""
+    counts = [F.count_if(F.col("kind") == kind).alias(f"{new}_{novelty_days}d") for kind, (_, new) in _KINDS.items()]
+    return state.groupBy("user_key", F.get("days", F.lit(0)).alias("event_date")).agg(*counts)
+
+
+def moved_debuts(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The (user_key, event_date) whose counts of new items differ between two states' counts."""
+    keys, counts = ["user_key", "event_date"], [c for c in new.columns if c.startswith("new_")]
+    left = old.select(*keys, F.struct(*counts).alias("_old"))
+    right = new.select(*keys, F.struct(*counts).alias("_new"))
+    return left.join(right, keys, "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new"))).select(*keys)
+
+
 def user_baseline(
     user_daily: DataFrame,
     events: DataFrame,
@@ -114,40 +191,16 @@ def user_baseline(
         user_daily = user_daily.filter(F.col("event_date") >= since)
         events, scopes = (f.filter(F.col("event_date") >= reach) for f in (events, scopes))
 
-    networks = dim_ip.filter(F.col("asn").isNotNull()).select("ip_key", "asn")
-    with_asn = lookup_join(events.select(*days, "ip_key", "unique_id"), networks, ["ip_key"], "unique_id")
-    used = reduce(
-        DataFrame.unionByName,
-        [
-            events.filter(F.col("app_id").isNotNull()).select(
-                *days, F.lit("app").alias("kind"), F.col("app_id").cast("string").alias("item"),
-                (F.col("source") == "token").alias("by_token"),
-            ),
-            scopes.filter(F.col("scope_key").isNotNull()).select(
-                *days, F.lit("scope").alias("kind"), F.col("scope_key").alias("item"), F.lit(True).alias("by_token")
-            ),
-            with_asn.filter(F.col("asn").isNotNull()).select(
-                *days, F.lit("asn").alias("kind"), F.col("asn").cast("string").alias("item"), F.lit(False).alias("by_token")
-            ),
-        ],
-    )
-    per_item = used.groupBy("user_key", "kind", "item", "event_date").agg(F.max("by_token").alias("by_token"))
+    per_item = item_days(events, scopes, dim_ip)
     recent = F.col("event_date") >= F.date_sub(as_of, novelty_days)
     debut = F.min(F.when(recent, F.col("event_date"))).over(Window.partitionBy("user_key", "kind", "item"))
     per_item = per_item.withColumn("is_new", recent & (F.col("event_date") == debut))
 
-    breadth = []
-    for kind, (distinct, new) in _KINDS.items():
-        of_kind = F.col("kind") == kind
-        breadth.append(F.count_if(of_kind).alias(distinct))
-        breadth.append(F.count_if(of_kind & F.col("is_new")).alias(f"{new}_{novelty_days}d"))
-    breadth.append(F.count_if((F.col("kind") == "app") & F.col("by_token")).alias("token_distinct_apps"))
+    breadth = breadth_counts()
+    for kind, (_, new) in _KINDS.items():
+        breadth.append(F.count_if((F.col("kind") == kind) & F.col("is_new")).alias(f"{new}_{novelty_days}d"))
     breadth_daily = per_item.groupBy(*days).agg(*breadth)
-    volume = (
-        events.filter(F.col("source") == "token")
-        .groupBy(*days)
-        .agg(F.sum(F.coalesce("num_bytes", F.lit(0))).alias("token_total_bytes"))
-    )
+    volume = token_volume(events, days)
     daily = user_daily.select(*days, "total_events").join(volume, days, "left").join(breadth_daily, days, "left")
     measures = [c for c in (*volume.columns, *breadth_daily.columns) if c not in days]
     daily = daily.withColumns({c: F.coalesce(c, F.lit(0)) for c in measures})

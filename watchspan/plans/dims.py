@@ -6,7 +6,9 @@ with the dimension and not with the events.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,19 +22,30 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def dim_user(stg: dict[str, DataFrame]) -> DataFrame:
-    """One row per (profile, email)."""
+class Dimension(NamedTuple):
+    """A dimension as measures that can be merged: folding parts of the rows and then the parts gives the same as folding all rows."""
+
+    keys: list[str]
+    rows: Callable[..., DataFrame]  # (stg, by): rows with `by`, keys and measures
+    folds: dict[str, Callable[[str], Column]]
+    finish: Callable[[DataFrame], DataFrame]
+
+    def fold(self, rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+        return rows.groupBy(*by, *self.keys).agg(*(f(c).alias(c) for c, f in self.folds.items()))
+
+    def parts(self, stg: dict[str, DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
+        """The folded measures of each key, apart for each value of `by`."""
+        return self.fold(self.rows(stg, by), by)
+
+    def build(self, stg: dict[str, DataFrame]) -> DataFrame:
+        return self.finish(self.parts(stg))
+
+
+def _user_rows(stg: dict[str, DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
     extra = {"drive": ["actor_is_collaborator_account"], "saml": ["orgunit_path"]}
-    rows = _stack([stg[a].select("actor_profile_id", "actor_email", *extra.get(a, [])) for a in ("drive", "token", "admin", "saml", "login")])
-    return (
-        fold_rows(rows)
-        .groupBy("actor_profile_id", "actor_email")
-        .agg(
-            F.max("orgunit_path").alias("orgunit_path"),
-            F.bool_or(F.coalesce("actor_is_collaborator_account", F.lit(False))).alias("is_collaborator"),
-        )
-        .select(surrogate_key("actor_profile_id", "actor_email").alias("user_key"), "*")
-    )
+    rows = _stack([stg[a].select(*by, "actor_profile_id", "actor_email", *extra.get(a, [])) for a in ("drive", "token", "admin", "saml", "login")])
+    flag = F.coalesce("actor_is_collaborator_account", F.lit(False))
+    return fold_rows(rows).withColumn("is_collaborator", flag).drop("actor_is_collaborator_account")
 
 
 def asn_candidates(asn_list: Column, asn: Column) -> Column:
@@ -40,58 +53,75 @@ def asn_candidates(asn_list: Column, asn: Column) -> Column:
     return F.when(asn_list.isNotNull(), asn_list).when(asn.isNotNull(), F.array(asn)).otherwise(none)
 
 
-def dim_ip(stg: dict[str, DataFrame], keep_unknown: bool = False) -> DataFrame:
-    """One row per address with its canonical network number.
-
-    Addresses that never came with network information are left out, as the facts then carry no
-    address key; `keep_unknown` keeps them.
-    """
+def _ip_rows(stg: dict[str, DataFrame], by: tuple[str, ...] = (), keep_unknown: bool = False) -> DataFrame:
     cols = ["ip_address", "asn", "asn_list", "region_code", "subdivision_code"]
-    rows = fold_rows(_stack([stg[a].select(*cols) for a in APPS]).filter(F.col("ip_address").isNotNull()))
+    rows = fold_rows(_stack([stg[a].select(*by, *cols) for a in APPS]).filter(F.col("ip_address").isNotNull()))
     spread = F.explode_outer if keep_unknown else F.explode
     one = rows.select(
-        "ip_address", "region_code", "subdivision_code", F.col("asn").alias("primary_asn"),
+        *by, "ip_address", "region_code", "subdivision_code", F.col("asn").alias("primary_asn"),
         spread(asn_candidates(F.col("asn_list"), F.col("asn"))).alias("candidate"),
     )
-    known = F.max(F.when(F.col("candidate") != 0, F.col("candidate")))
-    return (
-        one.groupBy("ip_address")
-        .agg(
-            F.coalesce(known, F.nullif(F.max("primary_asn"), F.lit(0))).alias("asn"),
-            F.max("region_code").alias("region_code"),
-            F.max("subdivision_code").alias("subdivision_code"),
-            F.bool_or(
-                (F.col("candidate") == 0) | (F.col("primary_asn") == 0) | F.col("primary_asn").isNull()
-            ).alias("has_unknown_asn"),
-        )
-        .select(surrogate_key("ip_address").alias("ip_key"), "*")
-    )
+    unknown = (F.col("candidate") == 0) | (F.col("primary_asn") == 0) | F.col("primary_asn").isNull()
+    return one.withColumns({"known_asn": F.when(F.col("candidate") != 0, F.col("candidate")), "has_unknown_asn": unknown}).drop("candidate")
 
 
-def dim_application(stg: dict[str, DataFrame]) -> DataFrame:
+def _application_rows(stg: dict[str, DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
     token = stg["token"].select(
-        F.col("client_id").alias("app_id"), F.col("accessing_app_name").alias("app_name"), "client_type", "api_name"
-    )
-    others = [stg[a].select(F.col("oauth_client_id").alias("app_id"), F.col("oauth_app_name").alias("app_name")) for a in ("admin", "drive")]
-    return (
-        fold_rows(_stack([token, *others]).filter(F.col("app_id").isNotNull()))
-        .groupBy("app_id")
-        .agg(*(F.max(c).alias(c) for c in ("app_name", "client_type", "api_name")))
-        .select(surrogate_key("app_id").alias("app_key"), "*")
+        *by, F.col("client_id").alias("app_id"), F.col("accessing_app_name").alias("app_name"), "client_type", "api_name"
     )
+    others = [stg[a].select(*by, F.col("oauth_client_id").alias("app_id"), F.col("oauth_app_name").alias("app_name")) for a in ("admin", "drive")]
+    return fold_rows(_stack([token, *others]).filter(F.col("app_id").isNotNull()))
+
+
+def _scope_rows(stg: dict[str, DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
+    return fold_rows(stg["token_scopes"].select(*by, "scope_name", "scope_family", "product_bucket", "service", "is_readonly"))
+
+
+def _keyed_by(name: str, *cols: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: df.select(surrogate_key(*cols).alias(name), "*")
+
+
+def _finish_ip(df: DataFrame) -> DataFrame:
+    asn = F.coalesce("known_asn", F.nullif("primary_asn", F.lit(0))).alias("asn")
+    return df.select(surrogate_key("ip_address").alias("ip_key"), "ip_address", asn, "region_code", "subdivision_code", "has_unknown_asn")
+
+
+_IP_FOLDS = {c: F.max for c in ("known_asn", "primary_asn", "region_code", "subdivision_code")} | {"has_unknown_asn": F.bool_or}
+DIMENSIONS = {
+    "dim_user": Dimension(
+        ["actor_profile_id", "actor_email"], _user_rows, {"orgunit_path": F.max, "is_collaborator": F.bool_or},
+        _keyed_by("user_key", "actor_profile_id", "actor_email"),
+    ),
+    "dim_ip_address": Dimension(["ip_address"], _ip_rows, _IP_FOLDS, _finish_ip),
+    "dim_application": Dimension(["app_id"], _application_rows, {c: F.max for c in ("app_name", "client_type", "api_name")}, _keyed_by("app_key", "app_id")),
+    "dim_scope": Dimension(
+        ["scope_name"], _scope_rows, {c: F.max for c in ("scope_family", "product_bucket", "service")} | {"is_readonly": F.bool_or},
+        _keyed_by("scope_key", "scope_name"),
+    ),
+}
+
+
+def dim_user(stg: dict[str, DataFrame]) -> DataFrame:
+    """One row per (profile, email)."""
+    return DIMENSIONS["dim_user"].build(stg)
+
+
+def dim_ip(stg: dict[str, DataFrame], keep_unknown: bool = False) -> DataFrame:
+    """One row per address with its canonical network number.
+
+    Addresses that never came with network information are left out, as the facts then carry no
+    address key; `keep_unknown` keeps them.
+    """
+    dim = DIMENSIONS["dim_ip_address"]
+    return dim.finish(dim.fold(_ip_rows(stg, (), keep_unknown)))
+
+
+def dim_application(stg: dict[str, DataFrame]) -> DataFrame:
+    return DIMENSIONS["dim_application"].build(stg)
 
 
 def dim_scope(scopes: DataFrame) -> DataFrame:
-    attrs = ("scope_family", "product_bucket", "service")
-    return (
-        fold_rows(scopes.select("scope_name", *attrs, "is_readonly"))
-        .groupBy("scope_name")
-        .agg(
-            *(F.max(c).alias(c) for c in attrs),
-            F.bool_or("is_readonly").alias("is_readonly"),
-        )
-        .select(surrogate_key("scope_name").alias("scope_key"), "*")
-    )
+    return DIMENSIONS["dim_scope"].build({"token_scopes": scopes})
 
 
 def day_bounds(frames: list[DataFrame], ts: str = "timestamp") -> DataFrame:
@@ -103,8 +133,13 @@ def day_bounds(frames: list[DataFrame], ts: str = "timestamp") -> DataFrame:
 
 def dim_time(stg: dict[str, DataFrame], ts: str = "timestamp") -> DataFrame:
     """One row per calendar day between the first and the last event."""
+    return calendar(day_bounds(list(stg.values()), ts))
+
+
+def calendar(bounds: DataFrame) -> DataFrame:
+    """The days from min_day to max_day of a one-row frame, with their parts."""
     d = F.col("date_day")
-    days = day_bounds(list(stg.values()), ts).select(F.explode(F.sequence("min_day", "max_day")).alias("date_day"))
+    days = bounds.select(F.explode(F.sequence("min_day", "max_day")).alias("date_day"))
     return days.select(
         d,
         F.year(d).alias("year"),

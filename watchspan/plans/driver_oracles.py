@@ -697,3 +697,7 @@ ORACLES["stream_volume"] = typed(
 ORACLES["stream_merge"] = typed(
     "unique_id:s timestamp:t event_type:s value:f", "SELECT 'u' || event_id AS unique_id, ts AS \"timestamp\", event_type, \"value\" FROM events"
 )
+
+from watchspan.plans.driver_history_oracles import HISTORY  # noqa: E402  (it builds on the definitions above)
+
+ORACLES |= HISTORY

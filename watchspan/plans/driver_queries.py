@@ -511,4 +511,6 @@ def _checked(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    return {name: _checked(q) for name, q in QUERIES.items()}
+    from watchspan.plans.driver_history import QUERIES as history  # it uses helpers of this module
+
+    return {name: _checked(q) for name, q in (QUERIES | history).items()}

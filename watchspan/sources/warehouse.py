@@ -6,6 +6,7 @@ Spark's dynamic partition overwrite: new files are staged and moved in only afte
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark import StorageLevel
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from watchspan.operators.dedup import dedup_latest
 from watchspan.operators.joins import with_keys, without_keys
+from watchspan.session import ensure_checkpoint_dir
 
 DAY = "event_date"
 
@@ -116,6 +118,42 @@ def merge_days(
         fresh.unpersist()
 
 
+def write_whole(df: DataFrame, path: str, day: str = DAY) -> None:
+    """Replace a whole table, stored by day."""
+    df.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(day).parquet(path)
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """A copy of the rows in the shared checkpoint folder, read back: it does not change while the tables it was made from do.
+
+    Cached blocks would not do: those of a lost executor are computed again, from files that may be replaced by then.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(df: DataFrame) -> None:
+    """Remove a staged copy that nothing reads any more."""
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def replace_listed_days(spark: SparkSession, path: str, df: DataFrame, days: set[date], day: str = DAY) -> None:
+    """Replace exactly the given days with the rows of `df` of these days; a day without rows disappears."""
+    if not days:
+        return
+    fresh = staged(df.filter(F.col(day).isin(sorted(days))))
+    filled = _days(fresh, day)
+    if filled or load(spark, path) is None:
+        write_days(fresh, path, day)
+    _drop_days(spark, path, days - filled, day)
+    unstage(fresh)
+
+
 def replace_days(spark: SparkSession, path: str, df: DataFrame, since: date | None, day: str = DAY) -> None:
     """Replace all days from `since` on with the rows of `df`.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def planned_bytes(df: DataFrame) -> int | None:
@@ -26,17 +28,38 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and size <= broadcast_limit(df)
 
 
+HOT_SHARE = 0.001
+
+
+def heavy_hashes(frames: list[tuple[DataFrame, dict[str, list[str]]]], share: float = HOT_SHARE) -> dict[str, list[int]]:
+    """Hashes of the key values that hold at least `share` of the non-null rows, for many keys in one pass.
+
+    Each frame comes with its keys by name, a key being a list of columns. A sketch of frequent hashes, at most 10 / share per
+    key and merged over tasks, gives at most 1 / share candidates each; these few numbers reach the driver.
+    """
+    most = round(1 / share)
+    hashes = []
+    for df, keys in frames:
+        whole = {name: reduce(Column.__and__, (F.col(c).isNotNull() for c in cols)) for name, cols in keys.items()}
+        hashes.append(df.select(*(F.when(whole[name], F.xxhash64(*cols)).alias(name) for name, cols in keys.items())))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), hashes)
+    found = rows.agg(*(f for n in rows.columns for f in (F.expr(f"approx_top_k({n}, {most}, {10 * most})").alias(n), F.count(n).alias(f"{n}_rows")))).first()
+    return {n: [r["item"] for r in found[n] or [] if r["count"] >= share * found[f"{n}_rows"]] for n in rows.columns}
+
+
 def lookup_join(
-    facts: DataFrame, table: DataFrame, on: list[str], spread_by: str, count_on: DataFrame | None = None
+    facts: DataFrame, table: DataFrame, on: list[str], spread_by: str, count_on: DataFrame | None = None, hot: list[int] | None = None
 ) -> DataFrame:
     """Left join to a table unique on `on`; null keys never match.
 
     A table within the broadcast limit is joined as it is and Catalyst broadcasts it. A larger one goes
-    through `salted_lookup`. `count_on` is the frame to count hot keys on: of a chain of lookups, the one
-    before the chain, so that counting does not repeat the joins.
+    through `salted_lookup`. `hot` are the hashes of its hot keys from `heavy_hashes`; without them hot keys are counted on
+    `count_on`: of a chain of lookups, the frame before the chain, so that counting does not repeat the joins.
     """
     if fits_broadcast(table):
         return facts.join(table, on, "left")
+    if hot is not None:
+        return _spread_join(facts, table, on, spread_by, F.xxhash64(*on).isin(hot) if hot else F.lit(False))
     return salted_lookup(facts, table, on, spread_by, facts if count_on is None else count_on)
 
 
@@ -69,11 +92,19 @@ def salted_lookup(
     hot = counts.filter(F.col("_n") >= total.scalar()).select(*on, F.lit(True).alias("_hot"))
     hot = F.broadcast(hot)
 
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    marked = facts.join(hot, on, "left"), table.join(hot, on, "left")
+    return _spread_join(*marked, on, spread_by, F.coalesce(F.col("_hot"), F.lit(False)), salts)
+
+
+def _spread_join(facts: DataFrame, table: DataFrame, on: list[str], spread_by: str, is_hot: Column, salts: int = 256) -> DataFrame:
+    """Left join with hot keys dealt out by salts; `is_hot` tells the same of a key on both sides."""
+    no_null = reduce(Column.__and__, (F.col(c).isNotNull() for c in on))
     spread = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    left = facts.join(hot, on, "left").withColumn("_salt", F.when(is_hot | ~no_null, spread).otherwise(0)).drop("_hot")
+    left = facts.withColumn("_salt", F.when(is_hot | ~no_null, spread).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = table.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    right = table.withColumn("_salt", F.explode(copies))
+    if "_hot" in table.columns:
+        left, right = left.drop("_hot"), right.drop("_hot")
     return left.join(right, [*on, "_salt"], "left").drop("_salt")
 
 

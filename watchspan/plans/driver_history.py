@@ -16,13 +16,13 @@ from watchspan.operators import baseline as B
 from watchspan.plans import driver_views as V
 from watchspan.plans.carry import carry_app_baseline, carry_user_baseline
 from watchspan.plans.dims import DIMENSIONS
-from watchspan.plans.driver_queries import NOVELTY_DAYS, _dims, scratch
+from watchspan.plans.driver_queries import CUT, NOVELTY_DAYS, _dims, scratch
 from watchspan.plans.models import DIMS, Warehouse
 from watchspan.plans.staging import stage
 from watchspan.schemas import APPS
 from watchspan.sources.changes import BuildLog, Snapshots
 from watchspan.sources.processed import table_path, write_daily
-from watchspan.sources.warehouse import load, replace_listed_days, staged
+from watchspan.sources.warehouse import load, merge_days, replace_listed_days, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,7 +161,21 @@ def dims_incremental(s: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(days)
 
 
+def merged_with_moved_keys(s: SparkSession, sf: str) -> DataFrame:
+    """Events stored by day, then merged through the index of keys with new ones and with copies that move to other days."""
+    path = f"{scratch(s)}/events"
+    rows = V.read(s, sf, "events").select("event_id", F.col("ts").alias("timestamp"), "event_type", "value")
+    rows = rows.withColumn("event_date", F.to_date("timestamp"))
+    cut = F.lit(CUT).cast("timestamp_ntz")
+    early = rows.filter(F.col("timestamp") < cut)
+    moved = early.filter("event_id % 10 = 0").withColumns({"timestamp": F.col("timestamp") + F.expr("INTERVAL 4 DAYS"), "value": F.col("value") + 1})
+    moved = moved.withColumn("event_date", F.to_date("timestamp"))
+    for part in (early, rows.filter(F.col("timestamp") >= cut).unionByName(moved), moved.filter("event_id % 20 = 0")):
+        merge_days(s, path, part, ["event_id"], "timestamp", indexed=True)
+    return load(s, path)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (app_baseline_incremental, user_baseline_incremental, novelty_incremental, late_rows_reach_facts, dims_incremental)
+    for f in (app_baseline_incremental, user_baseline_incremental, novelty_incremental, late_rows_reach_facts, dims_incremental, merged_with_moved_keys)
 }

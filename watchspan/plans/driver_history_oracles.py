@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from watchspan.plans.driver_queries import CUT
 from watchspan.plans.driver_history import SPARSE, SPREAD_DAYS
 from watchspan.plans.driver_oracles import _TODAY, EV, ORACLES, typed
 
@@ -40,3 +41,10 @@ HISTORY["dims_incremental"] = typed(
         ]
     ),
 )
+
+HISTORY["merged_with_moved_keys"] = typed(
+    "event_id:i timestamp:t event_type:s value:f event_date:d",
+    'SELECT event_id, t AS "timestamp", event_type, CASE WHEN moves THEN value + 1 ELSE value END AS value, CAST(t AS DATE) AS event_date FROM ('
+    "SELECT *, CASE WHEN moves THEN ts + INTERVAL 4 DAY ELSE ts END AS t FROM ("
+    f"SELECT *, event_id % 10 = 0 AND ts < TIMESTAMP '{CUT}' AS moves FROM events) m) x",
+)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from watchspan.functions.keys import surrogate_key
 from watchspan.operators.incremental import high_water, since_max
-from watchspan.operators.joins import lookup_join
+from watchspan.operators.joins import fits_broadcast, heavy_hashes, lookup_join
 
 LATENESS = "5 minutes"
 USER = ["actor_profile_id", "actor_email"]
@@ -34,10 +34,17 @@ _OWN = {
 _APP_COLUMN = {"token": "client_id", "admin": "oauth_client_id", "drive": "oauth_client_id"}
 
 
-def _keyed(base: DataFrame, dims: dict[str, DataFrame], spread_by: str) -> DataFrame:
+def _keyed(base: DataFrame, dims: dict[str, DataFrame], spread_by: str, hot: dict[str, list[int]]) -> DataFrame:
     """Add user and address keys."""
-    rows = lookup_join(base, dims["user"].select(*USER, "user_key"), USER, spread_by)
-    return lookup_join(rows, dims["ip"].select("ip_address", "ip_key"), ["ip_address"], spread_by, base)
+    rows = lookup_join(base, dims["user"].select(*USER, "user_key"), USER, spread_by, hot=hot["user"])
+    return lookup_join(rows, dims["ip"].select("ip_address", "ip_key"), ["ip_address"], spread_by, hot=hot["ip"])
+
+
+def _hot_keys(tables: list[DataFrame], frames: list[tuple[DataFrame, dict[str, list[str]]]]) -> dict[str, list[int]]:
+    """Hot keys of all lookups from one pass over the narrow base rows; no pass where every table is small enough to broadcast."""
+    if all(fits_broadcast(t) for t in tables):
+        return {name: [] for _, keys in frames for name in keys}
+    return heavy_hashes(frames)
 
 
 def fact(
@@ -52,14 +59,16 @@ def fact(
     Rows with a null profile or e-mail get no user key: equality never holds for them.
     """
     base = stg[app] if target is None else since_max(stg[app], target, "timestamp", lookback, day="event_date")
-    rows = _keyed(base, dims, "unique_id")
+    names = {"user": USER, "ip": ["ip_address"]} | ({"app": [_APP_COLUMN[app]]} if app in _APP_COLUMN else {})
+    tables = [dims[n] for n in ("user", "ip", "application") if n != "application" or app in _APP_COLUMN]
+    hot = _hot_keys(tables, [(base, names)])
+    rows = _keyed(base, dims, "unique_id", hot)
     if app in _APP_COLUMN:
         # the application's attributes come from the dimension, not from the event
         attrs = ["app_name", "client_type", "api_name"]
         rows = rows.withColumnRenamed(_APP_COLUMN[app], "app_id").drop("app_name", "client_type", "api_name")
         rows = lookup_join(
-            rows, dims["application"].select("app_id", *attrs), ["app_id"], "unique_id",
-            base.select("unique_id", F.col(_APP_COLUMN[app]).alias("app_id")),
+            rows, dims["application"].select("app_id", *attrs), ["app_id"], "unique_id", hot=hot["app"],
         )
         if app == "admin":
             rows = rows.withColumnRenamed("app_name", "oauth_app_name_dim")
@@ -81,11 +90,13 @@ def fact_scope(
         floor = high_water(target, "timestamp", scopes.schema["timestamp"].dataType.simpleString(), "event_date")
         events = events.filter(F.col("event_date") >= F.to_date(floor - F.expr(f"INTERVAL {lookback}")))
     events = events.select("unique_id", *USER, "ip_address")
-    rows = lookup_join(base, events, ["unique_id"], "scope_name")
+    frames = [(events, {"user": USER, "ip": ["ip_address"]}), (base, {"event": ["unique_id"], "scope": ["scope_name"]})]
+    hot = _hot_keys([events, dims["user"], dims["ip"], dims["scope"]], frames)
+    rows = lookup_join(base, events, ["unique_id"], "scope_name", hot=hot["event"])
     # scopes of one event share its user and address, so rows of a key differ by event or by scope
     rows = rows.withColumn("_spread", F.xxhash64("unique_id", "scope_name"))
-    rows = _keyed(rows, dims, "_spread")
-    rows = lookup_join(rows, dims["scope"].select("scope_name", "scope_key"), ["scope_name"], "unique_id", base)
+    rows = _keyed(rows, dims, "_spread", hot)
+    rows = lookup_join(rows, dims["scope"].select("scope_name", "scope_key"), ["scope_name"], "unique_id", hot=hot["scope"])
     return rows.select(
         surrogate_key("unique_id", "scope_name").alias("token_scope_key"),
         *_TIME,

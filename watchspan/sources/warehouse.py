@@ -9,7 +9,6 @@ from __future__ import annotations
 import uuid
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -79,43 +78,47 @@ def _drop_days(spark: SparkSession, path: str, days: set[date], day: str) -> Non
 
 def merge_days(
     spark: SparkSession, path: str, updates: DataFrame, keys: list[str], newest: str | None = None,
-    keep_newest: bool = False, day: str = DAY,
+    keep_newest: bool = False, day: str = DAY, indexed: bool = False,
 ) -> None:
     """Merge on unique keys: update every column of matching rows, insert the rest. Null keys match null keys.
 
     Of updates with the same key the one latest in `newest` counts. With `keep_newest` a stored row
     that is later than its update stays, so the order of arrival does not matter.
 
-    A key may move to another day, so the days that hold a matching key are looked up first (only the
-    key columns are read); these and the days of the updates are rewritten, all others stay as they are.
+    A key may move to another day, so the days that hold a matching key are looked up first; these and the days of the
+    updates are rewritten, all others stay as they are. The lookup reads the key columns of all stored days, or, with
+    `indexed`, the touched buckets of an index of keys that is kept beside the table (`key_index.KeyIndex`).
+
+    Days are replaced by one job and emptied days removed after it. If that is cut short, a key that moved may be in its new
+    and in its old day; the same merge, run again, finds both days and repairs it.
     """
     if keep_newest and newest is None:
         raise ValueError("keep_newest needs the column to compare")
+    from watchspan.sources.key_index import KeyIndex
+
     old = load(spark, path, updates.schema)
-    fresh = dedup_latest(updates, keys, newest)
+    fresh = staged(dedup_latest(updates, keys, newest))
+    index = KeyIndex(spark, path, keys) if indexed else None
+    if index is not None and old is not None and not index.exists():
+        index.add(old, day)
     if old is None:
+        if index is not None:
+            index.add(fresh, day)
         write_days(fresh, path, day)
+        unstage(fresh)
         return
-    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        matched = with_keys(old.select(*keys, day), fresh, keys)
-        touched = _days(fresh.select(day).union(matched.select(day)), day)
-        if not touched:
-            return
-        there = old.filter(F.col(day).isin(*touched))
-        if keep_newest:
-            merged = dedup_latest(there.unionByName(fresh), keys, newest)
-        else:
-            merged = without_keys(there, fresh, keys).unionByName(fresh)
-        merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            filled = _days(merged, day)
-            write_days(merged, path, day)
-            _drop_days(spark, path, touched - filled, day)
-        finally:
-            merged.unpersist()
-    finally:
-        fresh.unpersist()
+    if index is not None:
+        touched = _days(fresh, day) | index.days_of(fresh)
+        index.add(fresh, day)
+    else:
+        touched = _days(fresh.select(day).union(with_keys(old.select(*keys, day), fresh, keys).select(day)), day)
+    there = old.filter(F.col(day).isin(sorted(touched)))
+    if keep_newest:
+        merged = dedup_latest(there.unionByName(fresh), keys, newest)
+    else:
+        merged = without_keys(there, fresh, keys).unionByName(fresh)
+    replace_listed_days(spark, path, merged, touched, day)
+    unstage(fresh)
 
 
 def write_whole(df: DataFrame, path: str, day: str = DAY) -> None:
@@ -163,13 +166,11 @@ def replace_days(spark: SparkSession, path: str, df: DataFrame, since: date | No
     if since is None or load(spark, path) is None:
         write_days(df, path, day)
         return
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stale = {d for d in stored_days(spark, path, day) if d >= since} - _days(df, day)
-        write_days(df, path, day)
-        _drop_days(spark, path, stale, day)
-    finally:
-        df.unpersist()
+    fresh = staged(df)
+    stale = {d for d in stored_days(spark, path, day) if d >= since} - _days(fresh, day)
+    write_days(fresh, path, day)
+    _drop_days(spark, path, stale, day)
+    unstage(fresh)
 
 
 def materialize(df: DataFrame, name: str, kind: str, path: str | None = None, key: list[str] | None = None) -> DataFrame:

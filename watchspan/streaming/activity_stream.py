@@ -57,13 +57,14 @@ def run_available(df: DataFrame, checkpoint: str, mode: str, sink: Callable[[Dat
 def merge_sink(path: str, keys: list[str], newest: str = "timestamp") -> Callable[[DataFrame, int], None]:
     """Merge each micro-batch into a day-partitioned table, keeping the latest row of a key.
 
+    An index of keys tells the days that may hold them, so a batch reads its own days and those of earlier copies only.
     A late older copy does not replace a newer stored row, and running a batch twice leaves the same
     table, so a restart after a failure is safe.
     """
 
     def write(batch: DataFrame, _: int) -> None:
         rows = batch.withColumn("event_date", F.to_date(F.col(newest)))
-        merge_days(batch.sparkSession, path, rows, keys, newest, keep_newest=True)
+        merge_days(batch.sparkSession, path, rows, keys, newest, keep_newest=True, indexed=True)
 
     return write
 

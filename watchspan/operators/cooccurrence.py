@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from watchspan.functions.keys import surrogate_key
 
@@ -14,10 +14,11 @@ def cooccurrence_daily(
     day: str = "event_date",
     who: str = "user_key",
     tile: int = 256,
+    since: Column | None = None,
 ) -> DataFrame:
     """Per day and item pair (a < b): joint rows, distinct events, distinct users.
 
-    Day and user are those of the smaller item's row. The pair counts are the result itself, so the
+    Day and user are those of the smaller item's row; `since` leaves out earlier days before anything is paired. The pair counts are the result itself, so the
     work is kept close to its size:
     - repeated rows of an event are first folded into one row with a multiplicity, so an event with
       very many rows shrinks to its distinct items;
@@ -36,8 +37,9 @@ def cooccurrence_daily(
     in_event = Window.partitionBy(id_)
     sized = folded.withColumn("_tiles", F.ceil(F.count(F.lit(1)).over(in_event) / F.lit(tile)).cast("int"))
     # an event counts once per pair and day, also when its rows name several users
+    named = sized if since is None else sized.filter(F.col("_day") >= since)
     first = F.row_number().over(Window.partitionBy(id_, "_item", "_day").orderBy(F.col("_who").asc_nulls_last()))
-    left = sized.select(
+    left = named.select(
         id_, F.col("_item").alias(a), "_day", "_who", "_n", "_tiles", (first == 1).cast("bigint").alias("_event")
     )
     right = sized.groupBy(id_, F.col("_item").alias(b)).agg(F.sum("_n").alias("_m"), F.max("_tiles").alias("_tiles"))

@@ -163,3 +163,28 @@ def run_coverage(events: DataFrame, windows: DataFrame, by: list[str], ts: str =
             F.max(ts).alias("latest_event_time"),
         )
     )
+
+
+def interval_coverage(events: DataFrame, windows: DataFrame, by: list[str], keys: list[str], ts: str = "timestamp", bin_seconds: int = 3600) -> DataFrame:
+    """Count, first and last event time per window, for windows of any length that may overlap or leave gaps.
+
+    Windows are [window_start, window_end), named by `by` and `keys`; those without events are left out. Windows and
+    events are cut into bins of time, and an event looks up the windows that touch its bin: a lookup on (by, bin)
+    that is unique on its key, so a busy bin is spread like any hot key. A bin lists the windows that touch it, whose
+    number is that of the runs at a time.
+    """
+    def bin_of(seconds: Column) -> Column:
+        return F.floor(seconds / F.lit(bin_seconds)).cast("bigint")
+
+    first, last = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("window_start", "window_end"))
+    touched = F.explode(F.sequence(bin_of(first / 1_000_000), bin_of((last - 1) / 1_000_000)))
+    window = F.struct(*keys, F.col("window_start").cast("timestamp").alias("window_start"), F.col("window_end").cast("timestamp").alias("window_end"))
+    listed = windows.filter(F.col("window_start") < F.col("window_end")).select(*by, window.alias("w"), touched.alias("_bin"))
+    listed = listed.groupBy(*by, "_bin").agg(F.collect_list("w").alias("_windows"))
+    at = F.col(ts).cast("timestamp")
+    placed = lookup_join(events.select(*by, ts, bin_of(F.unix_micros(at) / 1_000_000).alias("_bin")), listed, [*by, "_bin"], ts)
+    inside = F.filter("_windows", lambda w: (w["window_start"] <= at) & (at < w["window_end"]))
+    hits = placed.select(*by, ts, F.explode(inside).alias("w")).select(*by, *(F.col(f"w.{k}").alias(k) for k in keys), ts)
+    return hits.groupBy(*by, *keys).agg(
+        F.count(F.lit(1)).alias("num_events"), F.min(ts).alias("earliest_event_time"), F.max(ts).alias("latest_event_time")
+    )

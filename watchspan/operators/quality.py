@@ -50,6 +50,38 @@ def check_unique(df: DataFrame, cols: list[str], name: str) -> DataFrame:
     )
 
 
+def check_table(df: DataFrame, required: list[str], unique: list[str | list[str]], name: str) -> DataFrame:
+    """All null and uniqueness checks of a table from one scan and one shuffle: model, test, column_name, violations.
+
+    Every row gives one entry per check: for a uniqueness check a 128-bit hash of the value, for a null check whether the
+    value is missing. Entries are folded by check and hash in the task already, so a null check sends one row per task
+    and a value that occurs very often one as well.
+    """
+    no_hash = F.lit(0).cast("bigint")
+    entries = [
+        F.struct(F.lit("not_null").alias("test"), F.lit(c).alias("column_name"), no_hash.alias("high"), no_hash.alias("low"), F.col(c).isNull().cast("bigint").alias("missing"))
+        for c in required
+    ]
+    for cols in unique:
+        cols = [cols] if isinstance(cols, str) else cols
+        known = reduce(Column.__and__, (F.col(c).isNotNull() for c in cols))
+        entries.append(
+            F.when(known, F.struct(
+                F.lit("unique").alias("test"), F.lit(",".join(cols)).alias("column_name"),
+                F.xxhash64(*cols).alias("high"), F.xxhash64(F.lit(1), *cols).alias("low"), no_hash.alias("missing"),
+            ))
+        )
+    checks = [("not_null", c) for c in required] + [("unique", c if isinstance(c, str) else ",".join(c)) for c in unique]
+    rows = df.select(F.inline(F.array_compact(F.array(*entries))))
+    folded = rows.groupBy("test", "column_name", "high", "low").agg(F.count(F.lit(1)).alias("_n"), F.sum("missing").alias("_missing"))
+    broken = F.count_if((F.col("test") == "unique") & (F.col("_n") > 1)) + F.sum("_missing")
+    found = folded.groupBy("test", "column_name").agg(broken.alias("violations"))
+    # a table without rows fulfils every check
+    listed = df.sparkSession.createDataFrame(checks, "test string, column_name string")
+    out = listed.join(F.broadcast(found), ["test", "column_name"], "left")
+    return out.select(F.lit(name).alias("model"), "test", "column_name", F.coalesce("violations", F.lit(0)).alias("violations"))
+
+
 def misplaced_rows(df: DataFrame, ts: str, hour: str) -> DataFrame:
     """Rows whose time lies outside the hour partition they are stored in."""
     return df.filter(F.date_trunc("hour", F.col(ts)) != F.date_trunc("hour", F.col(hour)))
@@ -99,7 +131,5 @@ def dq_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Every listed check for the given models, one row each."""
     parts = []
     for name, df in tables.items():
-        required, unique = CHECKS[name]
-        parts.append(check_not_null(df, required, name))
-        parts += [check_unique(df, [c], name) for c in unique]
+        parts.append(check_table(df, *CHECKS[name], name))
     return reduce(DataFrame.unionByName, parts)

@@ -7,22 +7,33 @@ SQL says what a single build over all rows gives.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchspan.operators import activity as A
 from watchspan.operators import baseline as B
+from watchspan.operators.dedup import dedup_latest
+from watchspan.operators.incremental import date_batches, date_window, interval_coverage, next_cursor, resolve_start
+from watchspan.operators.normalize import classify_scopes, conform
+from watchspan.operators.quality import dq_report
 from watchspan.plans import driver_views as V
 from watchspan.plans.carry import carry_app_baseline, carry_user_baseline
 from watchspan.plans.dims import DIMENSIONS
 from watchspan.plans.driver_queries import CUT, NOVELTY_DAYS, _dims, scratch
+from watchspan.plans.ingest import SCOPE_KEYS, load_recent, process_recent, rebuild_tables
 from watchspan.plans.models import DIMS, Warehouse
 from watchspan.plans.staging import stage
-from watchspan.schemas import APPS
+from watchspan.schemas import APPS, SCOPE_SCHEMA, processed_schema
+from watchspan.sources import control as C
+from watchspan.sources.census import scope_census, write_scope_census
 from watchspan.sources.changes import BuildLog, Snapshots
-from watchspan.sources.processed import table_path, write_daily
-from watchspan.sources.warehouse import load, merge_days, replace_listed_days, staged
+from watchspan.sources.manifests import read_manifests, write_manifest
+from watchspan.sources.processed import earliest_partition, read_processed, register_sources, table_path, write_daily
+from watchspan.sources.raw import app_path, land_raw, parse_lines, read_raw, split_errors
+from watchspan.sources.warehouse import ensure_table, load, materialize, merge_days, replace_listed_days, staged, stored_days
+from watchspan.streaming import activity_stream as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -175,7 +186,241 @@ def merged_with_moved_keys(s: SparkSession, sf: str) -> DataFrame:
     return load(s, path)
 
 
+# --- coverage, checks, streams ---
+
+
+def manifest_coverage(s: SparkSession, sf: str) -> DataFrame:
+    """Events per window of the manifests of fetch runs, read back from their files; windows are of uneven length, overlap and leave gaps."""
+    path = f"{scratch(s)}/manifests"
+    events = V.audit_events(s, sf).select(F.col("source").alias("app"), "timestamp")
+    ranges = events.groupBy("app").agg(F.min("timestamp").cast("date").cast("timestamp").alias("start"), F.max("timestamp").cast("timestamp").alias("end"), F.count(F.lit(1)).alias("num_events"))
+    starts = F.sequence(F.lit(0), F.floor((F.unix_seconds("end") - F.unix_seconds("start")) / 18000).cast("int"))
+    window = F.transform(starts, lambda i: F.struct(
+        i.alias("idx"), (F.col("start") + F.make_dt_interval(F.lit(0), i * 5)).alias("start"),
+        (F.col("start") + F.make_dt_interval(F.lit(0), i * 5 + 2 * (1 + i % 7))).alias("end"),
+    ))
+    runs = ranges.withColumn("windows", window).withColumns({"run_id": F.concat(F.lit("run-"), "app"), "num_windows": F.size("windows")})
+    write_manifest(runs, path)
+    read = read_manifests(s, path).select("app", "run_id", F.inline("windows"))
+    windows = read.select("app", "run_id", "idx", F.col("start").alias("window_start"), F.col("end").alias("window_end"))
+    return interval_coverage(events, windows, ["app"], ["run_id", "idx"])
+
+
+# The registered query that stands for a checked model, and a column it has under another name.
+MODEL_QUERIES = {
+    "fact_token_event": "fact_token", "fact_admin_event": "fact_admin", "fact_drive_event": "fact_drive", "fact_login_event": "fact_login",
+    "fact_saml_event": "fact_saml", "fact_token_scope": "fact_token_scope", "fact_admin_actions_daily": "admin_actions_daily",
+    "fact_geo_activity_daily": "geo_activity_daily", "fact_scope_risk_daily": "scope_risk_daily", "dq_app_event_gaps": "event_gaps",
+    "fact_event_volume_hourly": "event_volume_hourly", "fact_scope_cooccurrence_daily": "scope_cooccurrence",
+    "fact_admin_action_breakdown_daily": "admin_breakdown_daily", "dq_duplicate_events_daily": "duplicate_events", "fact_geo_new_regions": "new_regions",
+    "fact_user_activity_baseline": "user_baseline", "fact_app_activity_baseline": "app_baseline", "agg_token_top_users_48h": "top_users",
+    "agg_token_top_methods_48h": "top_methods", "agg_event_volume_spikes": "volume_spikes", "agg_token_top_apps_48h": "top_apps",
+    "agg_high_risk_scopes_7d": "high_risk_summary", "agg_high_risk_scope_names_7d": "high_risk_scopes", "agg_scope_pairs_high_risk_7d": "high_risk_pairs",
+    "agg_admin_action_alerts_48h": "admin_alerts", "agg_geo_recent_48h": "geo_recent", "agg_dq_dupes_30d": "recent_duplicates",
+    "agg_dq_gaps_30d": "recent_gaps", "agg_token_intensity_outliers_48h": "intensity_outliers",
+}
+RENAMED = {"dq_app_event_gaps": ("user_key", "app_id"), "agg_dq_gaps_30d": ("user_key", "app_id")}
+
+
+def model_checks(s: SparkSession, sf: str) -> DataFrame:
+    """Every null and uniqueness check of every checked model, one scan of each."""
+    from watchspan.plans.driver_queries import QUERIES as plain
+
+    staged_views = V.staged(s, sf)
+    tables = {f"stg_{a}_events": df for a, df in staged_views.items()}
+    tables["stg_token_event_scopes"] = stage(V.token_scopes(s, sf), "token_scopes")
+    for model, query in MODEL_QUERIES.items():
+        tables[model] = plain[query](s, sf).withColumnsRenamed(dict([RENAMED[model]]) if model in RENAMED else {})
+    return dq_report(tables)
+
+
+def stream_raw_restart(s: SparkSession, sf: str) -> DataFrame:
+    """Lines of drive activities with all eight faults, streamed in two runs of several batches, the last batch replayed: what is stored and what is not."""
+    root = scratch(s)
+    lines = V.raw_lines(s, sf, "drive", broken=True)
+    sink = S.letter_sink("drive", f"{root}/events", f"{root}/letters", f"{root}/ledger")
+    for part in (0, 1):
+        lines.filter(F.col("event_id") % 2 == part).select("value").repartition(2).write.mode("append").text(f"{root}/raw")
+        S.run_available(S.stream_lines(s, f"{root}/raw", 1), f"{root}/checkpoint", "append", sink)
+    last = S.BatchLedger(s, f"{root}/ledger").last()
+    sink(lines.select("value"), last)
+    stored = load(s, f"{root}/events").select(F.lit("stored").alias("outcome"))
+    letters = s.read.parquet(f"{root}/letters").select(F.col("error").alias("outcome"))
+    return stored.unionByName(letters).groupBy("outcome").agg(F.count(F.lit(1)).alias("lines"))
+
+
+# --- cursors, windows of work, control ---
+
+AS_OF = "2024-03-01 00:00:00"
+OVERLAP = 3
+
+
+def _tops(s: SparkSession, sf: str) -> dict[str, datetime]:
+    """Newest event time of each application, one per application."""
+    rows = V.audit_events(s, sf).groupBy("source").agg(F.max("timestamp").cast("string").alias("t")).collect()
+    return {r["source"]: datetime.fromisoformat(r["t"]) for r in rows}
+
+
+def start_chain(s: SparkSession, sf: str) -> DataFrame:
+    """Where the processor and the loader of each application start, and the days they read, each from another step of the chain."""
+    path, tops = f"{scratch(s)}/control", _tops(s, sf)
+    C.update_control(s, path, "token", "processor", tops["token"])
+    C.update_control(s, path, "token", "loader", tops["token"])
+    C.update_control(s, path, "token", "fetcher", tops["token"])
+    C.update_control(s, path, "login", "fetcher", tops["login"])
+    C.update_control(s, path, "drive", "fetcher", None, last_run=tops["drive"])
+    earliest = {"admin": V.processed(s, sf, "admin").agg(F.min("timestamp").cast("date").alias("d")).first()["d"]}
+    control, out = C.read_control(s, path), []
+    for app in APPS:
+        for kind in ("processor", "loader"):
+            start = resolve_start(control, app, kind, AS_OF, earliest.get(app)).withColumns({"app": F.lit(app), "kind": F.lit(kind)})
+            last = F.lit(str(tops[app])).cast("timestamp") if app == "login" else None
+            first, end = date_window(F.col("start"), F.lit(AS_OF).cast("timestamp"), last)
+            out.append(start.select("app", "kind", "start", first.alias("first_day"), end.alias("last_day")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def cursor_after_load(s: SparkSession, sf: str) -> DataFrame:
+    """The cursor of each application after slices of events, scopes and nothing were loaded."""
+    rows = []
+    for app in APPS:
+        slices = [V.processed(s, sf, app).filter("event_type <> 'view'")]
+        if app == "token":
+            later = F.col("timestamp") + F.expr("INTERVAL 1 MINUTE")
+            slices.append(V.token_scopes(s, sf).withColumn("timestamp", later))
+        top = next_cursor(*slices)
+        rows.append((app, None if top is None else str(top)))
+    return s.createDataFrame(rows, "app string, cursor string").withColumn("cursor", F.col("cursor").cast("timestamp_ntz"))
+
+
+def control_log(s: SparkSession, sf: str) -> DataFrame:
+    """The control rows after several rounds of updates, with the log folded in between while another row is appended."""
+    path, tops = f"{scratch(s)}/control", _tops(s, sf)
+    for turn in (3, 2, 1, 0):
+        for app, top in sorted(tops.items()):
+            C.update_control(s, path, app, "processor", top - timedelta(hours=turn), run_id=f"r{turn}", updated_at=top + timedelta(days=3 - turn))
+        C.compact_control(s, path)
+    C.update_control(s, path, "saml", "loader", tops["saml"], updated_at=tops["saml"])
+    C.reset_stages(s, path, ["admin"], ("processor",))
+    C.compact_control(s, path)
+    return C.read_control(s, path).select("app", "stage", "cursor", "run_id", "status")
+
+
+def _landed(s: SparkSession, sf: str, root: str, apps: tuple[str, ...] = APPS) -> None:
+    for app in apps:
+        land_raw(split_errors(parse_lines(V.raw_lines(s, sf, app)))[0], f"{root}/raw", app, compress=app in ("token", "saml"))
+
+
+def rebuilt_tables(s: SparkSession, sf: str) -> DataFrame:
+    """Loaded rows by application and day after half the days were loaded from cursor to cursor and all was then rebuilt from the landed files."""
+    root, apps = scratch(s), ("token", "saml")
+    paths = [f"{root}/{n}" for n in ("control", "raw", "processed", "loaded")]
+    _landed(s, sf, root, apps)
+    control, raw, processed, loaded = paths
+    for app in apps:
+        C.update_control(s, control, app, "fetcher", datetime(2024, 1, 15))
+        process_recent(s, control, raw, processed, app, datetime(2024, 3, 1))
+        load_recent(s, control, processed, loaded, app, datetime(2024, 3, 1))
+        C.update_control(s, control, app, "fetcher", datetime(2024, 2, 28))
+    rebuild_tables(s, control, raw, processed, loaded, datetime(2024, 3, 1), apps)
+    kinds = [("token", "events"), ("token", "event_scopes"), ("saml", "events")]
+    rows = [read_processed(s, loaded, a, k).select(F.lit(a).alias("app"), F.lit(k).alias("kind"), "event_date") for a, k in kinds]
+    return reduce(DataFrame.unionByName, rows).groupBy("app", "kind", "event_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+def day_batches(s: SparkSession, sf: str) -> DataFrame:
+    """Closed ranges of seven days that cover the days of each application; the last may be shorter."""
+    out = []
+    for app in APPS:
+        days = V.processed(s, sf, app).agg(F.min("timestamp").cast("date").alias("a"), F.max("timestamp").cast("date").alias("b")).first()
+        if days["a"] is not None:
+            out.append(date_batches(s, days["a"], days["b"], 7).withColumn("app", F.lit(app)))
+    return reduce(DataFrame.unionByName, out)
+
+
+# --- scans, sinks, models ---
+
+DAYS = ("2024-01-08", "2024-01-17")
+
+
+def raw_days(s: SparkSession, sf: str) -> DataFrame:
+    """Landed activities of a closed range of days, from plain and compressed files by day and by day and hour."""
+    root = scratch(s)
+    _landed(s, sf, root)
+    parts = [read_raw(s, f"{root}/raw", a, *DAYS).select(F.lit(a).alias("app"), "event_date", F.col("id.uniqueQualifier").alias("unique_id")) for a in APPS]
+    return reduce(DataFrame.unionByName, parts).groupBy("app", "event_date").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("unique_id").alias("n_ids"))
+
+
+def processed_since(s: SparkSession, sf: str) -> DataFrame:
+    """Processed rows of recent days, by application and day."""
+    root = scratch(s)
+    for app in APPS:
+        write_daily(V.processed(s, sf, app), table_path(root, app))
+    parts = [read_processed(s, root, a, since=DAYS[1]).select(F.lit(a).alias("app"), "event_date", "ip_address") for a in APPS]
+    return reduce(DataFrame.unionByName, parts).groupBy("app", "event_date").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("ip_address").alias("n_addresses"))
+
+
+def earliest_days(s: SparkSession, sf: str) -> DataFrame:
+    """The first day of each application's landed and processed tables, from their partitions."""
+    root = scratch(s)
+    _landed(s, sf, root)
+    rows = []
+    for app in APPS:
+        write_daily(V.processed(s, sf, app).filter(F.col("timestamp") >= F.lit(DAYS[0]).cast("timestamp_ntz")), table_path(f"{root}/processed", app))
+        first = min(stored_days(s, app_path(f"{root}/raw", app)), default=None)
+        rows.append((app, first, earliest_partition(read_processed(s, f"{root}/processed", app))))
+    return s.createDataFrame(rows, "app string, raw_day date, processed_day date")
+
+
+def scope_dedup(s: SparkSession, sf: str) -> DataFrame:
+    """Scope rows with repeats, kept once per event, scope and bucket, where a missing bucket is one too; the latest counts."""
+    rows = V.token_scopes(s, sf)
+    later = rows.filter("crc32(cast(unique_id as binary)) % 3 = 0").withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))
+    bare = rows.filter("crc32(cast(unique_id as binary)) % 3 = 1").withColumn("product_bucket", F.lit(None).cast("string"))
+    return dedup_latest(rows.unionByName(later).unionByName(bare).unionByName(rows), SCOPE_KEYS)
+
+
+def merged_with_new_column(s: SparkSession, sf: str) -> DataFrame:
+    """A merged model that gets a new column and loses one: old rows have null there."""
+    path, name = f"{scratch(s)}/model", "watchspan_wider_model"
+    rows = V.read(s, sf, "events").select("event_id", F.col("ts").alias("timestamp"), F.to_date("ts").alias("event_date"), "event_type", "value")
+    materialize(rows.filter("event_id % 2 = 0 or event_id % 5 = 0"), name, "incremental", path, ["event_id"])
+    wider = rows.filter("event_id % 2 = 1").drop("event_type").withColumn("doubled", F.col("value") * 2)
+    return materialize(wider, name, "incremental", path, ["event_id"])
+
+
+def materialized_models(s: SparkSession, sf: str) -> DataFrame:
+    """Source views, an empty table made from a schema, and a view, a table and a merged model, read by their names."""
+    root = scratch(s)
+    for app in APPS:
+        write_daily(V.processed(s, sf, app), table_path(root, app))
+    write_daily(conform(classify_scopes(V.token_scopes(s, sf)), SCOPE_SCHEMA), table_path(root, "token", "event_scopes"))
+    names = register_sources(s, root)
+    s.sql("DROP TABLE IF EXISTS watchspan_empty")
+    ensure_table(s, "watchspan_empty", processed_schema("token"))
+    users = s.table("token_events").groupBy("actor_email").agg(F.count(F.lit(1)).alias("n"), F.max("timestamp").cast("date").alias("event_date"))
+    for kind in ("view", "table", "incremental"):
+        materialize(users, f"watchspan_users_{kind}", kind, f"{root}/{kind}", ["actor_email"])
+        names.append(f"watchspan_users_{kind}")
+    materialize(users.withColumn("n", F.col("n") + 1), "watchspan_users_incremental", "incremental", f"{root}/incremental", ["actor_email"])
+    counts = [s.table(n).select(F.lit(n).alias("model")).groupBy("model").agg(F.count(F.lit(1)).alias("rows")) for n in names]
+    empty = s.table("watchspan_empty").agg(F.count(F.lit(1)).alias("rows")).select(F.lit("watchspan_empty").alias("model"), "rows")
+    total = s.table("watchspan_users_incremental").agg(F.sum("n").alias("rows")).select(F.lit("sum of n").alias("model"), "rows")
+    return reduce(DataFrame.unionByName, [*counts, empty, total])
+
+
+def census_csv(s: SparkSession, sf: str) -> DataFrame:
+    """The census of scopes, written as CSV and read back as text fields."""
+    path = f"{scratch(s)}/census"
+    write_scope_census(scope_census(split_errors(parse_lines(V.raw_lines(s, sf, "token")))[0]), path)
+    return s.read.option("header", True).option("nullValue", "\0").csv(path).withColumn("count", F.col("count").cast("bigint")).fillna("", ["product_bucket"])
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (app_baseline_incremental, user_baseline_incremental, novelty_incremental, late_rows_reach_facts, dims_incremental, merged_with_moved_keys)
+    for f in (
+        app_baseline_incremental, user_baseline_incremental, novelty_incremental, late_rows_reach_facts, dims_incremental, merged_with_moved_keys,
+        manifest_coverage, model_checks, stream_raw_restart, start_chain, cursor_after_load, control_log, rebuilt_tables, day_batches,
+        raw_days, processed_since, earliest_days, scope_dedup, merged_with_new_column, materialized_models, census_csv,
+    )
 }

@@ -586,7 +586,7 @@ _COVER = [
     "spans AS (SELECT source, CAST(CAST(min(\"timestamp\") AS DATE) AS TIMESTAMP) AS lo, max(\"timestamp\") AS hi, "
     "CASE source WHEN 'admin' THEN 24 WHEN 'login' THEN 48 WHEN 'saml' THEN 48 WHEN 'drive' THEN 48 ELSE 6 END AS h FROM audit GROUP BY source)",
     "windows AS (SELECT source, idx, lo + to_hours(CAST(idx * h AS BIGINT)) AS window_start, least(lo + to_hours(CAST((idx + 1) * h AS BIGINT)), hi) AS window_end, lo, hi "
-    "FROM (SELECT *, unnest(range(0, 1000)) AS idx FROM spans) g WHERE lo + to_hours(CAST(idx * h AS BIGINT)) + INTERVAL 1 SECOND <= hi)",
+    "FROM (SELECT *, unnest(range(0, CAST(ceil(date_diff('second', lo, hi) / 3600.0 / h) AS BIGINT) + 1)) AS idx FROM spans) g WHERE lo + to_hours(CAST(idx * h AS BIGINT)) + INTERVAL 1 SECOND <= hi)",
     "covered AS (SELECT w.source, w.idx, w.window_start, w.window_end, count(a.unique_id) AS num_events, min(a.\"timestamp\") AS earliest_event_time, "
     "max(a.\"timestamp\") AS latest_event_time FROM windows w LEFT JOIN audit a ON a.source = w.source AND a.\"timestamp\" >= w.window_start "
     "AND a.\"timestamp\" < w.window_end GROUP BY ALL)",
@@ -656,18 +656,38 @@ for _app in APPS:
             for n, b in (("drive", "DRIVE"), ("gmail", "GMAIL"), ("admin", "GSUITE_ADMIN"))
         )
         ORACLES["flatten_token"] = typed(_cols_of, f"SELECT *, {_flags} FROM flat", EV, *STG, *SCOPE_CTES, _ROLLUP, _TOKEN_FLAT)
-ORACLES["ingested_table"] = ORACLES["flatten_drive"]
+
+
+def _given(*cols: str) -> str:
+    return " + ".join(f"({c} IS NOT NULL)::INTEGER" for c in cols)
+
+
+# the client's id, and scopes by one of three parameters
+_ID = "CAST(substring(unique_id, 2) AS BIGINT)"
+_TOKEN_EXTRA = f"(client_id IS NOT NULL OR {_ID} % 17 = 0)::INTEGER + ({_ID} % 5 > 0 OR {_ID} % 3 = 0)::INTEGER"
 ORACLES["flatten_generic"] = typed(
-    "unique_id:s actor_email:s asn:i n_parameters:i login_type:s is_suspicious:s",
-    "SELECT unique_id, actor_email, asn, 1 + CASE WHEN login_challenge_methods IS NULL THEN 0 ELSE 1 END + "
-    "CASE WHEN is_suspicious IS NULL THEN 0 ELSE 1 END AS n_parameters, login_type, CAST(is_suspicious AS VARCHAR) AS is_suspicious FROM stg_login",
+    "app:s unique_id:s actor_email:s asn:i n_parameters:i login_type:s is_suspicious:s",
+    " UNION ALL BY NAME ".join(
+        f"SELECT '{a}' AS app, unique_id, actor_email, asn, {n} AS n_parameters, {more} FROM stg_{a}"
+        for a, n, more in (
+            ("login", _given("login_type", "login_challenge_methods", "is_suspicious"), "login_type, CAST(is_suspicious AS VARCHAR) AS is_suspicious"),
+            ("drive", _given("user_query", "parsed_query", "originating_app_id", "primary_event", "billable", "actor_is_collaborator_account"), "NULL AS login_type"),
+            ("saml", _given("orgunit_path", "initiated_by", "saml_status_code", "saml_second_level_status_code", "saml_sp_name", "saml_failure_type"), "NULL AS login_type"),
+            ("admin", "0", "NULL AS login_type"),
+            ("token", "3 + " + _given("method_name", "nullif(num_bytes, 0)") + " + " + _TOKEN_EXTRA, "NULL AS login_type"),
+        )
+    ),
     EV, *STG,
 )
+FAULTS = (
+    f"faults AS (SELECT {BASE['application_name']} AS app, 'u' || event_id AS unique_id, CASE event_id % 19 WHEN 0 THEN 'missing activity timestamp' "
+    "WHEN 1 THEN 'invalid activity timestamp' WHEN 2 THEN 'not an activity: malformed JSON or a field of the wrong type' "
+    "WHEN 3 THEN 'missing actor' WHEN 4 THEN 'event without name or type' WHEN 5 THEN 'parameter without name' "
+    "WHEN 6 THEN CASE WHEN event_id % 3 > 0 THEN 'resource without id' END "
+    "WHEN 7 THEN CASE WHEN event_id % 3 > 0 AND event_type = 'signup' THEN 'label without id' END END AS error FROM ev)"
+)
 ORACLES["dead_letters"] = typed(
-    "error:s lines:i",
-    "SELECT error, count(*) AS lines FROM (SELECT CASE event_id % 19 WHEN 0 THEN 'missing activity timestamp' WHEN 1 THEN 'invalid activity timestamp' "
-    "WHEN 2 THEN 'not an activity: malformed JSON or a field of the wrong type' END AS error FROM events WHERE event_type = 'purchase') d "
-    "WHERE error IS NOT NULL GROUP BY error",
+    "app:s error:s lines:i", "SELECT app, error, count(*) AS lines FROM faults WHERE error IS NOT NULL GROUP BY app, error", EV, FAULTS,
 )
 _SCOPE_COLS = "timestamp:t unique_id:s scope_name:s scope_family:s product_bucket:s service:s is_readonly:b"
 ORACLES["scope_explode"] = typed(_SCOPE_COLS, "SELECT * FROM scope_rows", EV, *SCOPE_CTES)
@@ -683,8 +703,13 @@ ORACLES["census"] = typed(
     EV, *SCOPE_CTES,
 )
 ORACLES["mixed_shapes"] = typed(
-    "unique_id:s n:i",
-    "SELECT 'u' || event_id AS unique_id, CASE WHEN event_id % 3 = 1 THEN 2 ELSE 1 END AS n FROM events WHERE event_type = 'error'",
+    "app:s unique_id:s n:i",
+    f"SELECT {BASE['application_name']} AS app, 'u' || event_id AS unique_id, CASE WHEN event_id % 5 <> 4 AND event_id % 3 = 1 THEN 2 ELSE 1 END AS n FROM events",
+)
+_SHARED = [c for c in BASE if c != "application_name"]
+ORACLES["ingested_table"] = typed(
+    "app:s timestamp:t unique_id:s customer_id:s actor_email:s actor_profile_id:s ip_address:s asn:i asn_list:l region_code:s subdivision_code:s event_type:s event_name:s",
+    " UNION ALL ".join(f"SELECT '{a}' AS app, " + ", ".join(f'"{c}"' for c in _SHARED) + f" FROM stg_{a}" for a in APPS), EV, *STG,
 )
 ORACLES["surrogate_keys"] = typed(
     "unique_id:s row_key:s",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -29,8 +30,8 @@ from watchspan.session import configure, ensure_checkpoint_dir
 from watchspan.sources.census import scope_census
 from watchspan.sources.manifests import manifest_rows
 from watchspan.sources.processed import read_processed
-from watchspan.sources.raw import activities_of, land_raw, parse_lines, split_errors
-from watchspan.sources.warehouse import merge_days, replace_days, write_days
+from watchspan.sources.raw import land_raw, parse_lines, read_raw_any, split_errors
+from watchspan.sources.warehouse import merge_days, replace_days, staged, write_days
 from watchspan.streaming import activity_stream as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,11 +130,11 @@ def high_risk_scopes(s: SparkSession, sf: str) -> DataFrame:
 
 
 def high_risk_pairs(s: SparkSession, sf: str) -> DataFrame:
-    """On stored tables, as the report reads them: the day filter then prunes the pairs before the lookups."""
-    rows, path = V.baskets(s, sf), scratch(s)
-    cooccurrence_daily(rows).write.parquet(f"{path}/pairs")
+    """The pairs of the report's days only, stored by day as the report reads them."""
+    rows, path, today = V.baskets(s, sf), scratch(s), _ship_day(s, sf)
+    write_days(cooccurrence_daily(rows, since=F.date_sub(today, 7)), f"{path}/pairs")
     D.dim_scope(rows).write.parquet(f"{path}/scopes")
-    return R.high_risk_pairs(s.read.parquet(f"{path}/pairs"), s.read.parquet(f"{path}/scopes"), _ship_day(s, sf))
+    return R.high_risk_pairs(s.read.parquet(f"{path}/pairs"), s.read.parquet(f"{path}/scopes"), today)
 
 
 def admin_alerts(s: SparkSession, sf: str) -> DataFrame:
@@ -315,7 +316,7 @@ def fact_token_scope(s: SparkSession, sf: str) -> DataFrame:
 def incremental_upsert(s: SparkSession, sf: str) -> DataFrame:
     """A token fact built up to the cut and then carried on equals the fact built at once."""
     stg = V.staged(s, sf)
-    dims = _dims(stg)
+    dims = {k: staged(df) for k, df in _dims(stg).items()}
     before = {**stg, "token": stg["token"].filter(F.col("timestamp") < F.lit(CUT).cast("timestamp_ntz"))}
     target = fact("token", before, dims)
     return I.upsert(target, fact("token", stg, dims, target), ["unique_id"], "timestamp")
@@ -408,20 +409,25 @@ def _flatten(app: str) -> Query:
     return lambda s, sf: N.normalize(_usable(s, sf, app), app)
 
 
+def _all_apps(of_app: Callable[[str], DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, (of_app(a) for a in APPS))
+
+
 def flatten_generic(s: SparkSession, sf: str) -> DataFrame:
-    rows = N.flatten_generic(_usable(s, sf, "login"))
+    rows = _all_apps(lambda app: N.flatten_generic(_usable(s, sf, app)).withColumn("app", F.lit(app)))
     named = F.col("parameters")
     return rows.select(
-        "unique_id", "actor_email", "asn",
-        F.size(named).alias("n_parameters"),
+        "app", "unique_id", "actor_email", "asn",
+        F.coalesce(F.size(named), F.lit(0)).alias("n_parameters"),
         F.try_element_at(named, F.lit("login_type")).alias("login_type"),
         F.try_element_at(named, F.lit("is_suspicious")).alias("is_suspicious"),
     )
 
 
 def dead_letters(s: SparkSession, sf: str) -> DataFrame:
-    bad = split_errors(parse_lines(V.raw_lines(s, sf, "login", broken=True)))[1]
-    return bad.groupBy("error").agg(F.count(F.lit(1)).alias("lines"))
+    """Lines of all applications that break one of the eight rules."""
+    bad = _all_apps(lambda app: split_errors(parse_lines(V.raw_lines(s, sf, app, broken=True)))[1].withColumn("app", F.lit(app)))
+    return bad.groupBy("app", "error").agg(F.count(F.lit(1)).alias("lines"))
 
 
 def scope_explode(s: SparkSession, sf: str) -> DataFrame:
@@ -441,20 +447,31 @@ def census(s: SparkSession, sf: str) -> DataFrame:
 
 
 def mixed_shapes(s: SparkSession, sf: str) -> DataFrame:
-    """Activities packed as batches, arrays and single objects, unpacked again."""
-    packed = V.raw_lines(s, sf, "admin").selectExpr(
-        "case event_id % 3 when 0 then '{\"items\": [' || value || ']}' when 1 then '[' || value || ', ' || value || ']' "
-        "else value end as value"
-    )
-    return activities_of(packed).groupBy(F.col("id.uniqueQualifier").alias("unique_id")).agg(F.count(F.lit(1)).alias("n"))
+    """Activities of all applications in files of lines (batches, arrays, single objects) and in pretty-printed files, unpacked again."""
+    path = scratch(s)
+    for app in APPS:
+        rows = V.raw_lines(s, sf, app)
+        rows.filter("event_id % 5 <> 4").selectExpr(
+            "case event_id % 3 when 0 then '{\"items\": [' || value || ']}' when 1 then '[' || value || ', ' || value || ']' "
+            "else value end as value"
+        ).write.text(f"{path}/{app}/doc=-1")
+        # one document over many lines per file, of a fiftieth of the rows each
+        documents = rows.filter("event_id % 5 = 4").groupBy(F.expr("event_id % 50 as doc")).agg(
+            F.expr("'{\"items\": [\n' || array_join(sort_array(collect_list(value)), ',\n') || '\n]}'").alias("value")
+        )
+        documents.write.mode("append").partitionBy("doc").text(f"{path}/{app}")
+    files = _all_apps(lambda app: read_raw_any(s, f"{path}/{app}", "auto").select(F.lit(app).alias("app"), F.col("id.uniqueQualifier").alias("unique_id")))
+    return files.groupBy("app", "unique_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ingested_table(s: SparkSession, sf: str) -> DataFrame:
     """Raw files landed by day, then parsed, deduplicated and stored by day."""
     path = scratch(s)
-    land_raw(_usable(s, sf, "drive"), f"{path}/raw", "drive", compress=True)
-    ingest(s, f"{path}/raw", f"{path}/processed", "drive")
-    return read_processed(s, f"{path}/processed", "drive").drop("event_date")
+    for app in APPS:
+        land_raw(_usable(s, sf, app), f"{path}/raw", app, compress=app != "login")
+        ingest(s, f"{path}/raw", f"{path}/processed", app)
+    shared = [c for c in V.BASE if c != "application_name"]
+    return _all_apps(lambda app: read_processed(s, f"{path}/processed", app).select(F.lit(app).alias("app"), *shared))
 
 
 def surrogate_keys(s: SparkSession, sf: str) -> DataFrame:
@@ -472,11 +489,18 @@ def _stream(s: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_volume(s: SparkSession, sf: str) -> DataFrame:
+    """Hourly counts of a stream in six files, in which every tenth event comes twice and every seventh a file late."""
     path = scratch(s)
-    rows = _stream(s, sf).select(F.col("event_type").alias("source"), F.col("ts").alias("timestamp"), F.col("event_id").alias("unique_id"))
-    counted = S.stream_volume(S.dedup_stream(S.with_lateness(rows)))
-    S.run_available(counted, f"{path}/checkpoint", "update", S.latest_sink(f"{path}/volume"))
-    return S.read_latest(s, f"{path}/volume", ["source", "event_hour"])
+    rows = V.read(s, sf, "events").selectExpr("event_type as source", "ts as timestamp", "event_id as unique_id", "cast((extract(day from ts) - 1) / 5 as int) as file")
+    sent = rows.withColumn("file", F.least(F.col("file") + (F.col("unique_id") % 7 == 0).cast("int"), F.lit(5)))
+    again = sent.filter("unique_id % 10 = 0").withColumn("file", F.least(F.col("file") + 1, F.lit(5)))
+    sent = staged(sent.unionByName(again))
+    for i in range(6):
+        sent.filter(F.col("file") == i).drop("file").coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = s.readStream.schema(sent.drop("file").schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    counted = S.stream_volume(S.dedup_stream(S.with_lateness(stream, lateness="11 days")))
+    S.run_available(counted, f"{path}/checkpoint", "update", S.hourly_sink(f"{path}/volume"))
+    return s.read.parquet(f"{path}/volume").drop("event_date")
 
 
 def stream_merge(s: SparkSession, sf: str) -> DataFrame:

@@ -272,34 +272,41 @@ def _raw_params(app: str) -> list[str]:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str, app: str, broken: bool = False) -> DataFrame:
-    """One JSON text per activity. `broken` spoils some lines in a known way, for the dead letters."""
+    """One JSON text per activity. `broken` spoils some lines in a known way, for the dead letters: each of the eight faults."""
     base, own = BASE, OWN[app]
+
+    def spoilt(fault: int, value: str) -> str:
+        return f"case when event_id % 19 <> {fault} then {value} end" if broken else value
+
     time = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
     if broken:
         time = f"case event_id % 19 when 0 then null when 1 then 'not a time' else {time} end"
     params = _raw_params(app)
+    if broken:
+        unnamed = _p("x", "value", "'y'").replace("'name', 'x'", "'name', cast(null as string)")
+        params.append(f"case when event_id % 19 = 5 then {unnamed} end")
     param_list = f"array_compact(array({', '.join(params)}))" if params else "cast(null as array<int>)"
 
     def col(name: str, dtype: str) -> str:
         return f"cast({own.get(name, 'null').replace('{arr}', 'array')} as {dtype})"
 
-    label = "array(named_struct('id', 'l1', 'title', 'T' || (k % 4)), named_struct('id', 'l2', 'title', case when k % 2 = 1 then 'T9' end))"
+    label = f"array(named_struct('id', {spoilt(7, repr('l1'))}, 'title', 'T' || (k % 4)), named_struct('id', 'l2', 'title', case when k % 2 = 1 then 'T9' end))"
     labels = label if app == "drive" else f"case when false then {label} end"
     parts = {
         "id": f"named_struct('time', {time}, 'uniqueQualifier', {base['unique_id']}, "
         f"'applicationName', {base['application_name']}, 'customerId', {base['customer_id']})",
-        "actor": f"named_struct('callerType', {col('caller_type', 'string')}, 'email', {base['actor_email']}, "
+        "actor": spoilt(3, f"named_struct('callerType', {col('caller_type', 'string')}, 'email', {base['actor_email']}, "
         f"'profileId', {base['actor_profile_id']}, 'applicationInfo', named_struct("
         f"'oauthClientId', {col('oauth_client_id', 'string')}, 'applicationName', {col('oauth_app_name', 'string')}, "
-        f"'impersonation', {col('impersonation', 'boolean')}))",
-        "events": f"array(named_struct('name', {base['event_name']}, 'type', event_type, "
+        f"'impersonation', {col('impersonation', 'boolean')}))"),
+        "events": f"array(named_struct('name', {spoilt(4, base['event_name'])}, 'type', event_type, "
         f"'resourceIds', {col('resource_ids', 'array<string>')}, 'parameters', {param_list}))",
         "ipAddress": base["ip_address"],
         "networkInfo": "case when event_id % 4 <> 0 then named_struct("
         f"'ipAsn', case when event_id % 4 = 3 then cast(array() as array<bigint>) else {base['asn_list'].replace('{arr}', 'array')} end, "
         f"'regionCode', {base['region_code']}, 'subdivisionCode', {base['subdivision_code']}) end",
         "resourceDetails": "case when event_id % 3 > 0 then transform(sequence(1, cast(event_id % 3 as int)), "
-        f"i -> named_struct('id', 'd' || i, 'appliedLabels', {labels})) end",
+        f"i -> named_struct('id', {spoilt(6, repr('d') + ' || i')}, 'appliedLabels', {labels})) end",
     }
     text = "to_json(named_struct(" + ", ".join(f"'{n}', {sql}" for n, sql in parts.items()) + "))"
     if broken:

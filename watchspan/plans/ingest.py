@@ -91,12 +91,23 @@ def load_recent(
             C.update_control(spark, control, name, "loader", newest, run_id=run_id)
 
 
+def rebuild_tables(
+    spark: SparkSession, control: str, raw: str, processed: str, loaded: str, as_of: datetime, apps: tuple[str, ...] = APPS
+) -> None:
+    """Clear the processor's and loader's cursors and make the processed and loaded tables again from all landed days.
+
+    The control log is folded first, so that the runs after the reset read one file.
+    """
+    C.reset_stages(spark, control, [*apps, *(["token_scopes"] if "token" in apps else [])])
+    C.compact_control(spark, control)
+    for app in apps:
+        process_recent(spark, control, raw, processed, app, as_of)
+        load_recent(spark, control, processed, loaded, app, as_of)
+
+
 def rebuild(
     spark: SparkSession, control: str, raw: str, processed: str, loaded: str, root: str, as_of: datetime, apps: tuple[str, ...] = APPS
 ) -> dict[str, DataFrame]:
     """Clear the processor's and loader's cursors and build everything again; the fetch cursor is kept."""
-    C.reset_stages(spark, control, [*apps, "token_scopes"])
-    for app in apps:
-        process_recent(spark, control, raw, processed, app, as_of)
-        load_recent(spark, control, processed, loaded, app, as_of)
+    rebuild_tables(spark, control, raw, processed, loaded, as_of, apps)
     return Warehouse(spark, root, loaded, full_refresh=True).build()

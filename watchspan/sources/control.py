@@ -54,6 +54,23 @@ def reset_stages(spark: SparkSession, path: str, apps: list[str], stages: tuple[
     _append(spark, path, [(a, s, None, None, None, None, "reset", None) for a in apps for s in stages])
 
 
+def compact_control(spark: SparkSession, path: str) -> None:
+    """Fold the log's files into one that holds the latest rows.
+
+    Only the files that were listed first are removed, after the folded rows are stored. Rows appended meanwhile lie in other
+    files and stay; between the two steps, or if the second fails, rows are there twice, which a read does not notice.
+    """
+    log = load(spark, path, CONTROL)
+    files = [] if log is None else log.inputFiles()
+    if len(files) < 2:
+        return
+    rows = dedup_latest(spark.read.schema(CONTROL).parquet(*files), ["app", "stage"], "updated_at").collect()  # one per application and stage
+    _append(spark, path, [tuple(r) for r in rows])
+    for name in files:
+        old = spark._jvm.org.apache.hadoop.fs.Path(name)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, False)
+
+
 def _append(spark: SparkSession, path: str, rows: list[tuple]) -> None:
     """Store control rows; times travel as text, and a row without `updated_at` gets the present time."""
     texts = [tuple(str(v) if isinstance(v, datetime) else v for v in row) for row in rows]

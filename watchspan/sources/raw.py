@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -129,15 +130,19 @@ def read_raw_any(spark: SparkSession, path: str, layout: str = "lines") -> DataF
     """Activities from mixed JSON shapes: a batch `{"items": [...]}`, an array, or one object.
 
     `lines` parses every line on its own. `document` reads each file as one JSON text, for
-    pretty-printed files. `auto` reads whole only those files that have an unreadable line.
+    pretty-printed files. `auto` first looks which files have an unreadable line; those are read whole, the others
+    by line. The driver gets names of files only, which it lists anyway, and each scan opens its own files.
     """
     if layout == "auto":
-        lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-        broken = lines.filter((F.trim("value") != "") & F.try_parse_json("value").isNull()).select("file").distinct()
-        docs = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-        text = lines.join(broken, "file", "left_anti").select("value").unionByName(
-            docs.join(broken, "file", "left_semi").select("value")
-        )
+        name = F.col("_metadata.file_path")
+        unreadable = (F.trim("value") != "") & F.try_parse_json("value").isNull()
+        lines = spark.read.text(path)
+        by_file = lines.select(name.alias("file"), unreadable.alias("bad")).groupBy("file").agg(F.bool_or("bad").alias("whole"))
+        files = {True: [], False: []}
+        for r in by_file.collect():
+            files[r["whole"]].append(r["file"])
+        texts = [spark.read.text(paths, wholetext=whole) for whole, paths in files.items() if paths]
+        text = reduce(DataFrame.unionByName, [t.select("value") for t in texts]) if texts else lines.select("value").limit(0)
     else:
         text = spark.read.text(path, wholetext=layout == "document")
     return activities_of(text)

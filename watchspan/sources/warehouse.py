@@ -78,7 +78,7 @@ def _drop_days(spark: SparkSession, path: str, days: set[date], day: str) -> Non
 
 def merge_days(
     spark: SparkSession, path: str, updates: DataFrame, keys: list[str], newest: str | None = None,
-    keep_newest: bool = False, day: str = DAY, indexed: bool = False,
+    keep_newest: bool = False, day: str = DAY, indexed: bool = False, moves: bool = True,
 ) -> None:
     """Merge on unique keys: update every column of matching rows, insert the rest. Null keys match null keys.
 
@@ -89,6 +89,8 @@ def merge_days(
     updates are rewritten, all others stay as they are. The lookup reads the key columns of all stored days, or, with
     `indexed`, the touched buckets of an index of keys that is kept beside the table (`key_index.KeyIndex`).
 
+    `moves=False` says that a key never leaves its day, so that only the days of the updates are looked at.
+
     Days are replaced by one job and emptied days removed after it. If that is cut short, a key that moved may be in its new
     and in its old day; the same merge, run again, finds both days and repairs it.
     """
@@ -110,6 +112,8 @@ def merge_days(
     if index is not None:
         touched = _days(fresh, day) | index.days_of(fresh)
         index.add(fresh, day)
+    elif not moves:
+        touched = _days(fresh, day)
     else:
         touched = _days(fresh.select(day).union(with_keys(old.select(*keys, day), fresh, keys).select(day)), day)
     there = old.filter(F.col(day).isin(sorted(touched)))

@@ -44,7 +44,8 @@ def heavy_hashes(frames: list[tuple[DataFrame, dict[str, list[str]]]], share: fl
         hashes.append(df.select(*(F.when(whole[name], F.xxhash64(*cols)).alias(name) for name, cols in keys.items())))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), hashes)
     found = rows.agg(*(f for n in rows.columns for f in (F.expr(f"approx_top_k({n}, {most}, {10 * most})").alias(n), F.count(n).alias(f"{n}_rows")))).first()
-    return {n: [r["item"] for r in found[n] or [] if r["count"] >= share * found[f"{n}_rows"]] for n in rows.columns}
+    listed = {n: [r for r in found[n] or [] if r["item"] is not None] for n in rows.columns}  # null counts as an item of the sketch
+    return {n: [r["item"] for r in listed[n] if r["count"] >= share * found[f"{n}_rows"]] for n in rows.columns}
 
 
 def lookup_join(

@@ -11,13 +11,15 @@ def _minutes(later: Column, earlier: Column) -> Column:
 
 
 def estimate_overlap(
-    manifests: DataFrame, pct: int = 95, pad: float = 1.0, cap: int | None = 10, mode: str = "head"
+    manifests: DataFrame, pct: int = 95, pad: float = 1.0, cap: int | None = 10, mode: str = "head", apps: tuple[str, ...] = ()
 ) -> DataFrame:
     """Per application: distribution of the quiet time at both ends of its runs, and the overlap to use.
 
     A run counts when all four times are known. `head` measures from the run's start to its first
     event; `early` measures how far the first event lies before the start. A group holds one row per
     run, a number fixed by time and window length, so an exact percentile per group is safe.
+
+    An application of `apps` without any manifest gets a row of its own: no run, no gaps, no overlap needed.
     """
     times = ("start", "end", "earliest_event_time", "latest_event_time")
     usable = F.lit(True)
@@ -49,7 +51,12 @@ def estimate_overlap(
     wanted = F.ceil(F.col("head_gap_p") + F.lit(float(pad)))
     if cap is not None:
         wanted = F.least(wanted, F.lit(cap))
-    return per_app.withColumn("recommended_overlap_minutes", F.when(F.col("runs_used") > 0, wanted).otherwise(0).cast("bigint"))
+    out = per_app.withColumn("recommended_overlap_minutes", F.when(F.col("runs_used") > 0, wanted).otherwise(0).cast("bigint"))
+    if not apps:
+        return out
+    named = manifests.sparkSession.createDataFrame([(a,) for a in apps], "app string").join(out.select("app"), "app", "left_anti")
+    counts = {c: F.lit(0).cast("bigint") for c in ("files_considered", "runs_used", "recommended_overlap_minutes")}
+    return out.unionByName(named.withColumns(counts), allowMissingColumns=True)
 
 
 def estimate_overlap_total(per_app: DataFrame) -> DataFrame:

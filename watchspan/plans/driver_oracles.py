@@ -271,27 +271,31 @@ _DIM_SCOPE = (
 ORACLES["dim_scope"] = typed(
     "scope_key:s scope_name:s scope_family:s product_bucket:s service:s is_readonly:b", "SELECT * FROM dim_scope", BASKETS, _DIM_SCOPE
 )
+_RISKY_BUCKETS, _RISKY_SERVICES = "('GSUITE_ADMIN', 'DRIVE', 'GMAIL')", "('admin', 'drive', 'gmail')"
+_RISKY_NAMES = f"(SELECT scope_name FROM dim_scope WHERE product_bucket IN {_RISKY_BUCKETS} OR service IN {_RISKY_SERVICES})"
 ORACLES["high_risk_scopes"] = typed(
     "scope_name:s scope_usages:i active_days:i",
-    "SELECT s.scope_name, count(*) AS scope_usages, count(DISTINCT s.event_date) AS active_days FROM baskets s "
-    "JOIN dim_scope d ON d.scope_name = s.scope_name WHERE s.event_date >= (SELECT d FROM today) - INTERVAL 7 DAY "
-    "AND (d.product_bucket IN ('GSUITE_ADMIN', 'DRIVE', 'GMAIL') OR d.service IN ('admin', 'drive', 'gmail')) GROUP BY s.scope_name",
+    "SELECT scope_name, count(*) AS scope_usages, len(list_distinct(list(event_date))) AS active_days FROM baskets "
+    f"WHERE event_date >= (SELECT d FROM today) - INTERVAL 7 DAY AND scope_name IN {_RISKY_NAMES} GROUP BY scope_name",
     BASKETS, _DIM_SCOPE, _SHIP,
 )
+# an event's rows as a list, and for each of them the rows with a greater scope
 _PAIRS = (
-    f"pairs AS (SELECT {key('scope_a', 'scope_b', 'event_date')} AS scope_pair_day_key, event_date, scope_a, scope_b, "
-    "count(*) AS cooccurrence_count, count(DISTINCT unique_id) AS distinct_events, count(DISTINCT user_key) AS distinct_users "
-    "FROM (SELECT a.event_date, a.unique_id, a.user_key, a.scope_name AS scope_a, b.scope_name AS scope_b FROM baskets a "
-    "JOIN baskets b ON a.unique_id = b.unique_id AND a.scope_name < b.scope_name) p GROUP BY event_date, scope_a, scope_b)"
+    "held AS (SELECT unique_id, list({'s': scope_name, 'd': event_date, 'u': user_key}) AS items FROM baskets GROUP BY unique_id), "
+    "opened AS (SELECT unique_id, items, unnest(items) AS x FROM held), "
+    "paired AS (SELECT unique_id, x.d AS event_date, x.u AS user_key, x.s AS scope_a, "
+    "unnest(list_transform(list_filter(items, lambda y: y.s > x.s), lambda y: y.s)) AS scope_b FROM opened), "
+    f"pairs AS (SELECT {key('scope_a', 'scope_b', 'event_date')} AS scope_pair_day_key, event_date, scope_a, scope_b, count(*) AS cooccurrence_count, "
+    "count(DISTINCT unique_id) AS distinct_events, count(DISTINCT user_key) AS distinct_users FROM paired GROUP BY event_date, scope_a, scope_b)"
 )
 _PAIR_COLS = "event_date:d scope_a:s scope_b:s cooccurrence_count:i distinct_events:i distinct_users:i"
 ORACLES["scope_cooccurrence"] = typed("scope_pair_day_key:s " + _PAIR_COLS, "SELECT * FROM pairs", BASKETS, _PAIRS)
+_SERVICE_OF = "(SELECT max(service) FROM dim_scope d WHERE d.scope_name = c.{0}) AS service_{1}"
+_RISKY_BY_SERVICE = f"(SELECT scope_name FROM dim_scope WHERE service IN {_RISKY_SERVICES})"
 ORACLES["high_risk_pairs"] = typed(
     _PAIR_COLS + " service_a:s service_b:s",
-    "SELECT c.*, da.service AS service_a, db.service AS service_b FROM pairs c "
-    "LEFT JOIN dim_scope da ON da.scope_name = c.scope_a LEFT JOIN dim_scope db ON db.scope_name = c.scope_b "
-    "WHERE c.event_date >= (SELECT d FROM today) - INTERVAL 7 DAY "
-    "AND (da.service IN ('admin', 'drive', 'gmail') OR db.service IN ('admin', 'drive', 'gmail'))",
+    f"SELECT c.*, {_SERVICE_OF.format('scope_a', 'a')}, {_SERVICE_OF.format('scope_b', 'b')} FROM pairs c "
+    f"WHERE date_diff('day', event_date, (SELECT d FROM today)) <= 7 AND (scope_a IN {_RISKY_BY_SERVICE} OR scope_b IN {_RISKY_BY_SERVICE})",
     BASKETS, _PAIRS, _DIM_SCOPE, _SHIP,
 )
 
@@ -320,11 +324,9 @@ _SCORE_COLS = " ".join(
 ORACLES["app_baseline"] = typed(
     "app_baseline_day_key:s app_id:s event_date:d total_events:i distinct_users:i token_total_bytes:i " + _SCORE_COLS,
     _windowed("app_id", "daily"), EV, AUDIT_CTE, _APP_DAILY,
-    "volume AS (SELECT app_id, event_date, CAST(sum(coalesce(num_bytes, 0)) AS BIGINT) AS token_total_bytes FROM audit "
-    "WHERE source = 'token' AND app_id IS NOT NULL GROUP BY app_id, event_date)",
-    f"daily AS (SELECT {key('a.app_id', 'a.event_date')} AS app_baseline_day_key, a.app_id, a.event_date, a.total_events, a.distinct_users, "
-    "coalesce(t.token_total_bytes, 0) AS token_total_bytes FROM app_daily a "
-    "LEFT JOIN volume t ON t.app_id = a.app_id AND t.event_date = a.event_date)",
+    f"daily AS (SELECT {key('app_id', 'event_date')} AS app_baseline_day_key, app_id, event_date, total_events, distinct_users, "
+    "CAST(coalesce((SELECT sum(t.num_bytes) FROM audit t WHERE t.source = 'token' AND t.app_id = a.app_id AND t.event_date = a.event_date), 0) AS BIGINT) "
+    "AS token_total_bytes FROM app_daily a)",
 )
 _SINCE = f"(SELECT d FROM today) - INTERVAL {NOVELTY_DAYS} DAY"
 
@@ -336,13 +338,6 @@ def _new(item: str, table: str, name: str) -> str:
     )
 
 
-_PARTS = ("volume", "apps_used", "scopes_used", "nets_used", "fresh_apps", "fresh_scopes", "fresh_nets")
-
-
-def _left(table: str) -> str:
-    return f"LEFT JOIN {table} USING (user_key, event_date)"
-
-
 ORACLES["novelty"] = typed(
     "user_key:s event_date:d new_items:i", "SELECT user_key, event_date, n AS new_items FROM new_apps",
     EV, AUDIT_CTE, _TODAY, _new("app_id", "audit", "new_apps"),
@@ -351,20 +346,26 @@ ORACLES["user_baseline"] = typed(
     "user_baseline_day_key:s user_key:s event_date:d total_events:i token_total_bytes:i token_distinct_apps:i token_distinct_scopes:i "
     f"all_source_distinct_apps:i all_source_distinct_asns:i new_apps_count_{NOVELTY_DAYS}d:i new_scopes_count_{NOVELTY_DAYS}d:i "
     f"new_asns_count_{NOVELTY_DAYS}d:i " + _SCORE_COLS,
-    _windowed("user_key", "daily"), EV, AUDIT_CTE, _USER_DAILY, ADDRESS, _TODAY, *SCOPE_CTES,
-    "user_scopes AS (SELECT a.user_key, a.event_date, s.scope_name FROM scope_rows s JOIN audit a ON a.unique_id = s.unique_id WHERE a.source = 'token')",
-    "user_asns AS (SELECT a.user_key, a.event_date, d.asn FROM audit a JOIN address d ON d.ip_key = a.ip_key)",
-    "volume AS (SELECT user_key, event_date, CAST(sum(coalesce(num_bytes, 0)) AS BIGINT) AS token_total_bytes, count(DISTINCT app_id) AS token_distinct_apps "
-    "FROM audit WHERE source = 'token' AND user_key IS NOT NULL GROUP BY user_key, event_date)",
-    "apps_used AS (SELECT user_key, event_date, count(DISTINCT app_id) AS n FROM audit WHERE user_key IS NOT NULL AND app_id IS NOT NULL GROUP BY user_key, event_date)",
-    "scopes_used AS (SELECT user_key, event_date, count(DISTINCT scope_name) AS n FROM user_scopes WHERE user_key IS NOT NULL GROUP BY user_key, event_date)",
-    "nets_used AS (SELECT user_key, event_date, count(DISTINCT asn) AS n FROM user_asns WHERE user_key IS NOT NULL AND asn IS NOT NULL GROUP BY user_key, event_date)",
-    _new("app_id", "audit", "fresh_apps"), _new("scope_name", "user_scopes", "fresh_scopes"), _new("asn", "user_asns", "fresh_nets"),
-    f"daily AS (SELECT {key('user_key', 'event_date')} AS user_baseline_day_key, user_key, event_date, u.total_events, "
-    "coalesce(volume.token_total_bytes, 0) AS token_total_bytes, coalesce(volume.token_distinct_apps, 0) AS token_distinct_apps, "
-    "coalesce(apps_used.n, 0) AS all_source_distinct_apps, coalesce(scopes_used.n, 0) AS token_distinct_scopes, coalesce(nets_used.n, 0) AS all_source_distinct_asns, "
-    f"coalesce(fresh_apps.n, 0) AS new_apps_count_{NOVELTY_DAYS}d, coalesce(fresh_scopes.n, 0) AS new_scopes_count_{NOVELTY_DAYS}d, coalesce(fresh_nets.n, 0) AS new_asns_count_{NOVELTY_DAYS}d "
-    f"FROM (SELECT * FROM user_daily WHERE user_key IS NOT NULL) u {' '.join(_left(x) for x in _PARTS)})",
+    _windowed("user_key", "daily"), EV, AUDIT_CTE, ADDRESS, _TODAY, *SCOPE_CTES,
+    "uses AS (SELECT DISTINCT user_key, event_date, kind, item FROM ("
+    "SELECT user_key, event_date, 'app' AS kind, app_id AS item FROM audit UNION ALL "
+    "SELECT user_key, event_date, 'token app', app_id FROM audit WHERE source = 'token' UNION ALL "
+    "SELECT user_key, event_date, 'asn', (SELECT CAST(max(d.asn) AS VARCHAR) FROM address d WHERE d.ip_key = a.ip_key) FROM audit a UNION ALL "
+    "SELECT a.user_key, a.event_date, 'scope', s.scope_name FROM audit a, scope_rows s WHERE a.unique_id = s.unique_id AND a.source = 'token') x "
+    "WHERE user_key IS NOT NULL AND item IS NOT NULL)",
+    f"marked AS (SELECT u.*, event_date >= {_SINCE} AND NOT EXISTS (SELECT 1 FROM uses p WHERE p.user_key = u.user_key AND p.kind = u.kind "
+    f"AND p.item = u.item AND p.event_date >= {_SINCE} AND p.event_date < u.event_date) AS debut FROM uses u)",
+    f"daily AS (SELECT {key('user_key', 'event_date')} AS user_baseline_day_key, user_key, event_date, count(*) AS total_events, "
+    "CAST(coalesce(sum(num_bytes) FILTER (WHERE source = 'token'), 0) AS BIGINT) AS token_total_bytes, "
+    + ", ".join(
+        f"(SELECT count(*) FROM marked m WHERE m.user_key = a.user_key AND m.event_date = a.event_date AND m.kind = '{kind}'{more}) AS {name}"
+        for kind, more, name in (
+            ("app", "", "all_source_distinct_apps"), ("token app", "", "token_distinct_apps"), ("scope", "", "token_distinct_scopes"),
+            ("asn", "", "all_source_distinct_asns"), ("app", " AND debut", f"new_apps_count_{NOVELTY_DAYS}d"),
+            ("scope", " AND debut", f"new_scopes_count_{NOVELTY_DAYS}d"), ("asn", " AND debut", f"new_asns_count_{NOVELTY_DAYS}d"),
+        )
+    )
+    + " FROM audit a WHERE user_key IS NOT NULL GROUP BY user_key, event_date)",
 )
 
 
@@ -465,16 +466,19 @@ ORACLES["misplaced_rows"] = typed("event_id:i ts:t", "SELECT event_id, ts FROM e
 
 # --- dimensions and facts ---
 
+# users straight from the events, whatever their application
+_USER_PARTS = ", ".join(
+    f"{sql} AS {name}"
+    for name, sql in (
+        ("actor_profile_id", BASE["actor_profile_id"]), ("actor_email", BASE["actor_email"]),
+        ("unit", f"CASE event_type WHEN '{TYPE_OF_APP['saml']}' THEN {OWN['saml']['orgunit_path']} END"),
+        ("guest", f"CASE event_type WHEN '{TYPE_OF_APP['drive']}' THEN {OWN['drive']['actor_is_collaborator_account']} END"),
+    )
+)
 _DIM_USER = (
+    f"people AS (SELECT {_USER_PARTS} FROM ev), "
     f"dim_user AS (SELECT {key('actor_profile_id', 'actor_email')} AS user_key, actor_profile_id, actor_email, "
-    "max(orgunit_path) AS orgunit_path, count(*) FILTER (WHERE actor_is_collaborator_account) > 0 AS is_collaborator FROM ("
-    + " UNION ALL BY NAME ".join(
-        f"SELECT actor_profile_id, actor_email{more} FROM stg_{a}"
-        for a, more in (
-            ("login", ""), ("token", ""), ("admin", ""), ("saml", ", orgunit_path"), ("drive", ", actor_is_collaborator_account"),
-        )
-    )
-    + ") x GROUP BY actor_profile_id, actor_email)"
+    "list_max(list(unit)) AS orgunit_path, list_contains(list(coalesce(guest, false)), true) AS is_collaborator FROM people GROUP BY actor_profile_id, actor_email)"
 )
 _ALL_IPS = " UNION ALL ".join(f"SELECT ip_address, asn, asn_list, region_code, subdivision_code FROM stg_{a}" for a in APPS)
 _DIM_IP = (
@@ -626,6 +630,13 @@ ORACLES["overlap_estimate"] = typed(
     + " earliest_event_time:t latest_event_time:t recommended_overlap_minutes:i",
     "SELECT * FROM estimate", EV, AUDIT_CTE, *_COVER, *_ESTIMATE,
 )
+_GAP_NAMES = [f"{c}_gap_{k}" for c in ("head", "tail") for k in ("p", "min", "mean", "max")]
+ORACLES["overlap_of_all_apps"] = typed(
+    "app:s files_considered:i runs_used:i " + " ".join(f"{c}:f" for c in _GAP_NAMES) + " earliest_event_time:t latest_event_time:t recommended_overlap_minutes:i",
+    "SELECT * FROM estimate WHERE app IN ('token', 'admin', 'login') UNION ALL BY NAME "
+    "SELECT unnest(['drive', 'saml']) AS app, 0 AS files_considered, 0 AS runs_used, 0 AS recommended_overlap_minutes",
+    EV, AUDIT_CTE, *_COVER, *_ESTIMATE,
+)
 ORACLES["overlap_total"] = typed(
     "apps_considered:i apps_with_runs:i total_files_considered:i total_runs_used:i recommended_max_minutes:i total_duration_minutes:f",
     "SELECT count(*) AS apps_considered, count(*) FILTER (WHERE runs_used > 0) AS apps_with_runs, sum(files_considered) AS total_files_considered, "

@@ -24,6 +24,18 @@ def _list(**fields: T.DataType) -> T.ArrayType:
 
 
 SL = T.ArrayType(S)
+_TYPES = {
+    "string": S, "boolean": B, "bigint": L, "int": I, "timestamp": TS, "array<string>": SL, "array<bigint>": T.ArrayType(L),
+}
+
+
+def _columns(text: str) -> T.StructType:
+    """A flat table from `name type` pairs."""
+    pairs = (column.split() for column in text.split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+# The fields of a raw activity that are read.
 _REASON = _struct(reasonType=S)
 _LABELS = _list(
     **_texts("id", "title"),
@@ -56,47 +68,58 @@ RAW_ACTIVITY = _struct(
 CORRUPT = "_corrupt_record"
 RAW_ACTIVITY_CHECKED = T.StructType(RAW_ACTIVITY.fields + [T.StructField(CORRUPT, S)])
 
-_WHO = {"timestamp": TS, **_texts("unique_id", "application_name", "customer_id", "actor_email", "actor_profile_id")}
-_WHERE = {
-    "ip_address": S, "asn": L, "asn_list": T.ArrayType(L),
-    **_texts("region_code", "subdivision_code", "event_type", "event_name"),
-}
-_CLIENT = {"oauth_client_id": S, "oauth_app_name": S, "impersonation": B}
-
+# Names, order and types of the processed tables.
 EVENT_SCHEMAS = {
-    "token": _struct(
-        **_WHO, **_WHERE, method_name=S, num_bytes=L, api_name=S, client_id=S, accessing_app_name=S, client_type=S,
-        scope_count=L, product_buckets=SL, has_drive_scope=B, has_gmail_scope=B, has_admin_scope=B,
+    "token": _columns(
+        "timestamp timestamp, unique_id string, application_name string, customer_id string, actor_email string, "
+        "actor_profile_id string, ip_address string, asn bigint, asn_list array<bigint>, region_code string, "
+        "subdivision_code string, event_type string, event_name string, method_name string, num_bytes bigint, "
+        "api_name string, client_id string, accessing_app_name string, client_type string, scope_count bigint, "
+        "product_buckets array<string>, has_drive_scope boolean, has_gmail_scope boolean, has_admin_scope boolean"
     ),
-    "admin": _struct(**_WHO, caller_type=S, **_CLIENT, **_WHERE, resource_detail_count=L),
-    "login": _struct(
-        **_WHO, **_WHERE, resource_ids=SL, resource_detail_count=L, login_type=S, login_challenge_methods=SL, is_suspicious=B
+    "login": _columns(
+        "timestamp timestamp, unique_id string, application_name string, customer_id string, actor_email string, "
+        "actor_profile_id string, ip_address string, asn bigint, asn_list array<bigint>, region_code string, "
+        "subdivision_code string, event_type string, event_name string, resource_ids array<string>, "
+        "resource_detail_count bigint, login_type string, login_challenge_methods array<string>, "
+        "is_suspicious boolean"
     ),
-    "drive": _struct(
-        **_WHO, **_CLIENT, **_WHERE, resource_ids=SL, resource_detail_count=L, user_query=S, parsed_query=S,
-        primary_event=B, billable=B, originating_app_id=S, actor_is_collaborator_account=B, resource_id_count=L,
-        applied_label_count=L, applied_label_titles=SL,
+    "saml": _columns(
+        "timestamp timestamp, unique_id string, application_name string, customer_id string, actor_email string, "
+        "actor_profile_id string, ip_address string, asn bigint, asn_list array<bigint>, region_code string, "
+        "subdivision_code string, event_type string, event_name string, saml_sp_name string, orgunit_path string, "
+        "initiated_by string, saml_status_code string, saml_second_level_status_code string, saml_failure_type string"
     ),
-    "saml": _struct(
-        **_WHO, **_WHERE,
-        **_texts(
-            "saml_sp_name", "orgunit_path", "initiated_by", "saml_status_code", "saml_second_level_status_code",
-            "saml_failure_type",
-        ),
+    "admin": _columns(
+        "timestamp timestamp, unique_id string, application_name string, customer_id string, actor_email string, "
+        "actor_profile_id string, caller_type string, oauth_client_id string, oauth_app_name string, "
+        "impersonation boolean, ip_address string, asn bigint, asn_list array<bigint>, region_code string, "
+        "subdivision_code string, event_type string, event_name string, resource_detail_count bigint"
+    ),
+    "drive": _columns(
+        "timestamp timestamp, unique_id string, application_name string, customer_id string, actor_email string, "
+        "actor_profile_id string, oauth_client_id string, oauth_app_name string, impersonation boolean, "
+        "ip_address string, asn bigint, asn_list array<bigint>, region_code string, subdivision_code string, "
+        "event_type string, event_name string, resource_ids array<string>, resource_detail_count bigint, "
+        "user_query string, parsed_query string, primary_event boolean, billable boolean, originating_app_id string, "
+        "actor_is_collaborator_account boolean, resource_id_count bigint, applied_label_count bigint, "
+        "applied_label_titles array<string>"
     ),
 }
-
-SCOPE_SCHEMA = _struct(
-    timestamp=TS, **_texts("unique_id", "scope_name", "scope_family", "product_bucket", "service"), is_readonly=B
+SCOPE_SCHEMA = _columns(
+    "timestamp timestamp, unique_id string, scope_name string, scope_family string, product_bucket string, "
+    "service string, is_readonly boolean"
 )
 
+# Manifests of fetch runs and rows of the control log.
 MANIFEST = _struct(
     start=TS, end=TS, run_id=S, earliest_event_time=TS, latest_event_time=TS, num_windows=I, num_events=L,
     windows=_list(idx=I, start=TS, end=TS),
 )
 
-CONTROL = _struct(
-    app=S, stage=S, cursor=TS, last_run=TS, run_id=S, snapshot_path=S, status=S, updated_at=TS
+CONTROL = _columns(
+    "app string, stage string, cursor timestamp, last_run timestamp, run_id string, snapshot_path string, status string, "
+    "updated_at timestamp"
 )
 
 

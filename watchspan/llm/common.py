@@ -31,15 +31,39 @@ def fold(key: Column | str, mod: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % mod
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared checkpoint folder as Parquet and read back: cuts the lineage and outlives lost executors."""
+_inner: list[str] = []
+
+
+def stored(df: DataFrame, label: str, inner: bool = True) -> DataFrame:
+    """Write to the shared checkpoint folder as Parquet and read back: cuts the lineage and outlives lost executors.
+
+    `inner` tables are those an operator makes on its way; `discard_inner` removes them.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
+    if inner:
+        _inner.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard_inner(spark: SparkSession) -> None:
+    """Remove all inner tables made so far. Results that were not stored by then can no longer be read."""
+    for path in _inner:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _inner.clear()
+
+
+def unused(name: str, taken: list[str]) -> str:
+    """`name`, lengthened until no column has it, whatever the case."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name = f"_{name}"
+    return name
+
+
 def discard(df: DataFrame) -> None:
     """Remove the files of a stored table that nothing reads any more."""
     context = df.sparkSession.sparkContext

@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from watchspan.llm.common import flat, mix, shingle_hashes, slices, stored, word_hashes
+from watchspan.operators.joins import lookup_join
 
 SAMPLES, BANDS, SKETCH_WORDS = 128, 32, 4
-UNNAMED = 1 << 62  # nodes of texts without an id; they sort behind every id
 TILE, TILE_SHINGLES = 512, 500_000
 
 _A = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
@@ -75,7 +75,8 @@ def _lists(x: np.ndarray) -> pa.Array:
     return pa.FixedSizeListArray.from_arrays(_long(np.ascontiguousarray(x).ravel()), x.shape[1]).cast(pa.list_(pa.int64()))
 
 
-def _sets_of(batch: pa.RecordBatch, k: int):
+def _sets_of(batch: pa.RecordBatch, k: int, turn: int):
+    """Sets and nodes of a slice. A text without an id has a number drawn from its set as its node, in the `turn`th way."""
     words, firsts = word_hashes(*flat(batch.column("text")))
     sets, ends = shingle_hashes(words, firsts, k)
     full = np.flatnonzero(np.diff(ends) > 0)
@@ -84,14 +85,15 @@ def _sets_of(batch: pa.RecordBatch, k: int):
     ids = batch.column("doc_id")
     node = np.array(ids.fill_null(0), np.int64)
     unnamed = np.array(ids.is_null())[full]
-    node[full] = np.where(unnamed, UNNAMED + (one >> np.uint64(2)).astype(np.int64), node[full])
+    drawn = mix(one + np.uint64(turn) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+    node[full] = np.where(unnamed, drawn, node[full])
     return sets, ends, full, starts, one, node
 
 
-def _describe(k: int):
+def _describe(k: int, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets, ends, full, starts, one, node = _sets_of(batch, k)
+            sets, ends, full, starts, one, node = _sets_of(batch, k, turn)
             n = batch.num_rows
             key1, key2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
             sketches, bands = np.zeros((n, SKETCH_WORDS), np.uint64), np.zeros((n, BANDS), np.uint64)
@@ -106,10 +108,10 @@ def _describe(k: int):
     return run
 
 
-def _full_sets(k: int):
+def _full_sets(k: int, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets, ends, full, _, _, node = _sets_of(batch, k)
+            sets, ends, full, _, _, node = _sets_of(batch, k, turn)
             raw = [sets[ends[i] : ends[i + 1]].tobytes() for i in full]
             yield pa.RecordBatch.from_arrays([_long(node[full]), pa.array(raw, pa.binary())], ["node", "set"])
 
@@ -230,29 +232,44 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int
     component_id is the smallest id in its group, null if the group has none, and such a group keeps all its rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = stored(
-        docs.mapInArrow(_describe(words), "doc_id long, node long, n_shingles long, key1 long, key2 long, sketch array<long>, bands array<long>"),
-        "shingles",
-    )
-    full = rows.filter("n_shingles > 0")
-    classes = full.groupBy("key1", "key2", "n_shingles").agg(F.min("node").alias("class"))
-    named = full.select("key1", "key2", "n_shingles", F.col("node").alias("class"), "sketch", "bands")
-    nodes = stored(named.join(classes, ["key1", "key2", "n_shingles", "class"], "left_semi").dropDuplicates(["key1", "key2", "n_shingles", "class"]), "classes")
-    links = _links(docs, nodes.select(F.col("class").alias("node"), "n_shingles", "sketch", "bands"), words, percent, rounds)
-    groups = classes
+    keys = ["key1", "key2", "n_shingles"]
+    described = "doc_id long, node long, n_shingles long, key1 long, key2 long, sketch array<long>, bands array<long>"
+    turn = 0
+    while True:
+        rows = stored(docs.mapInArrow(_describe(words, turn), described), "shingles")
+        full = rows.filter("n_shingles > 0").withColumn("unnamed", F.col("doc_id").isNull())
+        # a drawn node must be neither an id nor that of another set
+        drawn = full.filter("unnamed").select("node", *keys).distinct()
+        if drawn.isEmpty():
+            break
+        taken = full.filter("not unnamed").join(drawn.select("node"), "node", "left_semi")
+        if taken.isEmpty() and drawn.groupBy("node").count().filter("count > 1").isEmpty():
+            break
+        turn += 1
+    any_unnamed = not drawn.isEmpty()
+    # a class goes by its smallest id, by a drawn node only if no row has one
+    classes = full.groupBy(*keys).agg(F.min(F.struct("unnamed", F.col("node").alias("class"))).alias("c")).select(*keys, "c.unnamed", "c.class")
+    named = full.select(*keys, "unnamed", F.col("node").alias("class"), "sketch", "bands")
+    nodes = stored(named.join(classes, [*keys, "unnamed", "class"], "left_semi").dropDuplicates([*keys, "class"]), "classes")
+    links = _links(docs, nodes.select(F.col("class").alias("node"), "n_shingles", "sketch", "bands"), words, percent, rounds, turn)
+    groups = classes.withColumn("group", F.col("class"))
     if links is not None:
-        groups = classes.join(components(links).withColumnRenamed("node", "class"), "class", "left")
-    else:
-        groups = classes.withColumn("label", F.col("class"))
-    groups = groups.select("key1", "key2", "n_shingles", F.coalesce("label", "class").alias("group"))
-    labelled = rows.select("doc_id", "n_shingles", "key1", "key2").join(groups, ["key1", "key2", "n_shingles"], "left")
-    group = F.when(F.col("group") < UNNAMED, F.col("group")).when(F.col("group").isNull(), F.col("doc_id"))
-    return labelled.select("doc_id", "n_shingles", group.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
-
-
-def _links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, rounds: int) -> DataFrame | None:
+        labels = components(links).withColumnsRenamed({"node": "class", "label": "group"})
+        groups = classes.join(labels, "class", "left").withColumn("group", F.coalesce("group", "class"))
+    if any_unnamed:
+        # components with a drawn node go by their smallest id, if they have one
+        groups = stored(groups, "groups")
+        mixed = groups.join(groups.filter("unnamed").select("group").distinct(), "group", "left_semi")
+        least = mixed.groupBy("group").agg(F.min(F.when(~F.col("unnamed"), F.col("class"))).alias("least"), F.lit(True).alias("mixed"))
+        groups = lookup_join(groups, least, ["group"], "class").withColumn("group", F.when(F.col("mixed"), F.col("least")).otherwise(F.col("group")))
+    groups = groups.select(*keys, "group")
+    labelled = lookup_join(rows.filter("n_shingles > 0").select("doc_id", *keys), groups, keys, "doc_id")
+    whole = labelled.select("doc_id", "n_shingles", F.col("group").alias("component_id"))
+    alone = rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return whole.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, rounds: int, turn: int) -> DataFrame | None:
     """Confirmed links (a, b) that connect all nodes of a component; None if no band has two members."""
     bits = most_odd_bits(percent / 100)
     banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
@@ -264,7 +281,7 @@ def _links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, rounds:
     sketches = stored(nodes.join(met, "node"), "sketches")
     named = docs.filter("doc_id is not null").join(met.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
     unnamed = docs.filter("doc_id is null")
-    sets = stored(named.unionByName(unnamed).mapInArrow(_full_sets(words), "node long, set binary"), "sets")
+    sets = stored(named.unionByName(unnamed).mapInArrow(_full_sets(words, turn), "node long, set binary"), "sets")
 
     def side(name: str) -> DataFrame:
         return sketches.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"sketch_{name}"))

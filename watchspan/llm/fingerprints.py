@@ -21,7 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from watchspan.llm.common import _BYTE, _SPACE, flat, mix, run_hashes, slices
+from watchspan.llm.common import _BYTE, _SPACE, flat, mix, run_hashes, slices, unused
+from watchspan.operators.rank import global_rank
 
 CELLS, GROWTH, PARTS = 24, 4, 3
 _CHECK = np.uint64(0x8EBC6AF09C88C6E3)
@@ -169,13 +170,14 @@ def compare(pairs: DataFrame, left: str, right: str, prefix: str = "", digests:
     """
     kinds = {"likeness": "double", "fingerprint_left": "string", "fingerprint_right": "string", "cells": "long"}
     kinds |= {"only_left": "array<long>", "only_right": "array<long>"} if digests else {}
-    names = [c for c in pairs.columns if c not in {prefix + k for k in kinds} | {"_left", "_right"}]
-    base = pairs.select(*(pairs[f"`{c}`"] for c in names), pairs[f"`{left}`"].alias("_left"), pairs[f"`{right}`"].alias("_right"))
+    names = [c for c in pairs.columns if c not in {prefix + k for k in kinds}]
+    one, other = unused("_left", names), unused("_right", names)
+    base = pairs.select(*(pairs[f"`{c}`"] for c in names), pairs[f"`{left}`"].alias(one), pairs[f"`{right}`"].alias(other))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_left", 2 << 20):
-            a = paragraph_keys(*flat(batch.column("_left")))
-            b = paragraph_keys(*flat(pc.fill_null(batch.column("_right"), "").cast(pa.large_string())))
+        for batch in slices(batches, one, 2 << 20):
+            a = paragraph_keys(*flat(batch.column(one)))
+            b = paragraph_keys(*flat(pc.fill_null(batch.column(other), "").cast(pa.large_string())))
             keys, owner, sign, used = difference(a, b)
             out = [pa.array(likeness(a[1], b[1], owner)), pa.array(printed(a)), pa.array(printed(b)), pa.array(used)]
             for s in (1, -1) if digests else ():
@@ -184,40 +186,51 @@ def compare(pairs: DataFrame, left: str, right: str, prefix: str = "", digests:
                 out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[mine].view(np.int64))))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *out], [*names, *(prefix + k for k in kinds)])
 
-    fields = [f for f in base.schema.fields if f.name not in ("_left", "_right")]
+    fields = [f for f in base.schema.fields if f.name not in (one, other)]
     added = StructType.fromDDL(", ".join(f"`{prefix}{k}` {t}" for k, t in kinds.items()))
     return base.mapInArrow(run, StructType([*fields, *added.fields]))
 
 
-def with_next(docs: DataFrame, rows: int = 2_000, most: int = 1 << 16, bins: int = 4096) -> DataFrame:
-    """docs (doc_id, text) with next_text: the text of the next document by descending doc_id; after the last comes the first.
+def with_next(docs: DataFrame, rows: int = 2_000, most: int = 1 << 16) -> DataFrame:
+    """docs (doc_id long, text) with next_text: the text of the next document by descending doc_id; after the last comes the first.
 
-    Documents go to buckets of neighbouring ids, about `rows` in each and about `most` buckets at most; the ids alone are read for that. The
-    first document of each bucket is also sent to the bucket before it, so texts are shuffled once and no sort is global.
-    Rows that repeat a doc_id follow each other in the order of a hash of their text, and rows without id come last; both
-    are expected to be few, as equal ids share a bucket. A table of one row has itself as the next.
+    Documents go to buckets of about `rows` neighbours, at most `most` buckets. Their bounds are every so manieth of all (id, hash
+    of the text) in order, so ids may lie anywhere, and rows without id or with the same id are split as well; only rows equal in
+    both stay together. The first document of each bucket is also sent to the bucket before it, so texts are shuffled once
+    and no sort of texts is global. Rows that repeat a doc_id follow each other by the hash of their text, rows without id
+    come last. A table of one row has itself as the next.
     """
-    bounds = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).first()
-    low = (bounds.low or 0) - 1
-    width = max(((bounds.high or 0) - low) // bins + 1, 1)
-    key = F.coalesce("doc_id", F.lit(low))
-    spot = ((key - F.lit(low)) / F.lit(width)).cast("int")
-    held = docs.groupBy(spot.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
-    share = max(rows, bounds.n // most + 1)
-    parts, starts, total = [1] * (bins + 1), [0] * (bins + 1), 0
-    sizes = {r["bin"]: r.n for r in held}
-    for i in range(bins + 1):
-        parts[i] = max(1, -(-sizes.get(i, 0) // share))
-        starts[i], total = total, total + parts[i]
-    of = lambda values: F.element_at(F.lit(values), spot + 1)
-    inside = F.floor((key - F.lit(low) - spot * F.lit(width)) * of(parts) / F.lit(width)).cast("int")
-    placed = docs.select("doc_id", "text", key.alias("_key"), (of(starts) + inside).alias("_bucket"))
-    heads = sorted((r._bucket, r.head) for r in placed.groupBy("_bucket").agg(F.max("_key").alias("head")).collect())
-    guests = [(head, heads[i + 1][0] if i + 1 < len(heads) else heads[0][0]) for i, (_, head) in enumerate(heads)]
-    guests = F.broadcast(docs.sparkSession.createDataFrame(guests, "_key long, _host int"))
-    placed = placed.join(guests, "_key", "left")
-    both = F.array(F.struct(F.lit(False).alias("guest"), F.col("_bucket").alias("bucket")), F.struct(F.lit(True).alias("guest"), F.col("_host").alias("bucket")))
-    own = F.filter(both, lambda x: x["bucket"].isNotNull())
-    placed = placed.select("doc_id", "text", "_key", F.explode(own).alias("_at")).select("doc_id", "text", "_key", "_at.*")
-    order = Window.partitionBy("bucket").orderBy("guest", F.desc("_key"), F.xxhash64(F.coalesce("text", F.lit(""))))
-    return placed.withColumn("next_text", F.lead("text").over(order)).filter(~F.col("guest")).select("doc_id", "text", "next_text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("tie")]
+    ranked = global_rank(docs.select("doc_id", "tie"), order, "rank")
+    step = max(rows, docs.count() // most + 1)
+    heads = ranked.filter(F.col("rank") % step == 1).orderBy("rank").select("doc_id", "tie").distinct().collect()
+    heads = sorted({(r.doc_id is None, -(r.doc_id or 0), r.tie) for r in heads})
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds = _ordered(np.array([h[0] for h in heads], bool), np.array([-h[1] for h in heads], np.int64), np.array([h[2] for h in heads], np.int64))
+        for batch in batches:
+            ids = batch.column("doc_id")
+            mine = _ordered(np.array(ids.is_null()), np.array(ids.fill_null(0), np.int64), np.array(batch.column("tie"), np.int64))
+            both = [np.concatenate([b, m]) for b, m in zip(bounds, mine, strict=True)]
+            n = len(heads)
+            row = np.arange(len(both[0])) >= n
+            by = np.lexsort((row, *both[::-1]))  # a head goes before the rows equal to it
+            before = np.cumsum(by < n)
+            bucket = np.empty(len(both[0]), np.int32)
+            bucket[by] = before - 1
+            bucket = bucket[n:]
+            first = np.logical_and.reduce([b[bucket] == m for b, m in zip(bounds, mine, strict=True)]) if n else np.zeros(0, bool)
+            host = pa.array((bucket - 1) % max(n, 1), pa.int32(), mask=~first)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bucket), host], [*batch.schema.names, "bucket", "host"])
+
+    placed = docs.mapInArrow(place, "doc_id long, text string, tie long, bucket int, host int")
+    both = F.array(F.struct(F.lit(False).alias("guest"), F.col("bucket").alias("at")), F.struct(F.lit(True).alias("guest"), F.col("host").alias("at")))
+    placed = placed.select("doc_id", "text", "tie", F.inline(F.filter(both, lambda x: x["at"].isNotNull())))
+    inside = Window.partitionBy("at").orderBy("guest", *order)
+    return placed.withColumn("next_text", F.lead("text").over(inside)).filter(~F.col("guest")).select("doc_id", "text", "next_text")
+
+
+def _ordered(missing: np.ndarray, ids: np.ndarray, ties: np.ndarray) -> list[np.ndarray]:
+    """Columns to sort by, the most significant first: rows without id last, others by falling id, then by the tie."""
+    return [missing, np.where(missing, 0, ~ids), ties]

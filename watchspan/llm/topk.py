@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from watchspan.llm.common import stored
 
@@ -31,13 +31,21 @@ _NONE = np.iinfo(np.int64).min
 
 
 def integers(vectors: DataFrame, scale: int, key: str, vector: str) -> DataFrame:
-    """(id, v): floor(scale * x) of each component as long, of rows whose id and vector are there and hold only finite numbers."""
+    """(id, v): floor(scale * x) of each component as long, of rows whose id and vector are there and hold only finite numbers.
+
+    A component that a long cannot hold stops the job: no score could be told.
+    """
     v = F.col(f"`{vector}`")
-    limit = float(1 << 52)
+    limit = float(1 << 63)
+    too_large = F.raise_error(F.lit("a vector's component times the scale does not fit into 64 bits")).cast("long")
     named = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), v.alias("_v")).filter("id is not null and _v is not null")
-    return named.filter(F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < limit))).select(
-        "id", F.transform("_v", lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")
-    )
+    finite = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+
+    def whole(x: Column) -> Column:
+        wide = x.cast("double") * scale
+        return F.when(F.abs(wide) < limit, F.floor(wide).cast("long")).otherwise(too_large)
+
+    return named.filter(finite).select("id", F.transform("_v", whole).alias("v"))
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -89,11 +97,23 @@ def _packed(dims: int, rows: int):
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact a @ b.T of integers: as doubles while every partial sum fits their 53 bits."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+    """Exact a @ b.T of integers: as doubles while every partial sum fits their 53 bits, as long numbers beyond 63 bits.
+
+    A product that 64 bits cannot hold is an error.
+    """
+    most = _largest(a) * _largest(b) * a.shape[1]
     if most < 1 << 53:
         return np.rint(a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    return a @ b.T
+    if most < 1 << 63:
+        return a @ b.T
+    exact = a.astype(object) @ b.T.astype(object)
+    if exact.size and not (-(1 << 63) < exact.min() and exact.max() < 1 << 63):
+        raise OverflowError("a score does not fit into 64 bits")
+    return exact.astype(np.int64)
+
+
+def _largest(x: np.ndarray) -> int:
+    return max(int(x.max(initial=0)), -int(x.min(initial=0)))
 
 
 def search(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -104,7 +124,10 @@ def search(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, rows: np.ndarray,
         order = np.argsort(ids[at : at + BLOCK], kind="stable")
         blocks.append((ids[at : at + BLOCK][order], rows[at : at + BLOCK][order]))
     up, down = np.maximum(q, 0), np.minimum(q, 0)
-    bounds = product(up, np.stack([r.max(axis=0) for _, r in blocks])) + product(down, np.stack([r.min(axis=0) for _, r in blocks]))
+    if _largest(q) * _largest(rows) * q.shape[1] < 1 << 62:
+        bounds = product(up, np.stack([r.max(axis=0) for _, r in blocks])) + product(down, np.stack([r.min(axis=0) for _, r in blocks]))
+    else:  # sums of such numbers may leave 64 bits where no score does: no block is left out
+        bounds = np.full((len(q), len(blocks)), np.iinfo(np.int64).max)
     order = np.argsort(-bounds, axis=1, kind="stable")
     best_id = np.full((len(q), k), np.iinfo(np.int64).max)
     best = np.full((len(q), k), _NONE)
@@ -149,8 +172,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024
     """query_id, rank (from 1), vec_id, score: the k best rows of vectors for each row of queries, by the inner product of
     floor(scale * component), ties to the smaller id; a query's own id is no candidate.
 
-    Rows whose id or vector is null, or whose vector holds null or non-finite components (or such beyond 2^52 / scale), take no
-    part. Shorter vectors end in zeros. Queries that repeat an id count once, with the first vector in order; candidates
+    Rows whose id or vector is null, or whose vector holds null or non-finite components, take no part. Components and scores
+    that a long cannot hold are an error. Shorter vectors end in zeros. Queries that repeat an id count once, with the first vector in order; candidates
     that repeat an id stay one row each. No queries or no candidates give no rows. Other columns are ignored.
     """
     rows = integers(vectors, scale, key, vector)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from watchspan.llm.common import counted, slices, stored
+from watchspan.llm.common import counted, slices, stored, unused
 
 _WORD = re.compile(r"\w+")
 HEAD = 4
@@ -108,18 +108,27 @@ def decay_of(shares: dict[float, float]) -> float:
     return high
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with one label each: toxic if any label row of the document says so; null labels are ignored."""
-    marks = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    return docs.select("doc_id", "text").join(marks, "doc_id").select("text", "toxic")
+def _labelled(docs: DataFrame, labels: DataFrame, most_labels: int) -> DataFrame:
+    """Texts with one label each: toxic if any label row of the document says so; null labels are ignored.
+
+    At most `most_labels` labelled ids count, those of the smallest hash, so that they can be broadcast and no text is shuffled.
+    """
+    known = labels.filter("doc_id is not null and toxic is not null")
+    draw = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 30) - 1))
+    # about the right number by a bound on the hash first, so that few rows reach the exact cut
+    share = min(1.0, 1.5 * most_labels / max(known.count(), 1))
+    marks = known.filter(draw < int((1 << 30) * share)).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    marks = stored(marks.orderBy(draw, "doc_id").limit(most_labels), "labels")
+    return docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").select("text", "toxic")
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, gap: float = 0.5, prior: float = 0.1, least_z: float = 3.0, most_features: int = 50_000
+    docs: DataFrame, labels: DataFrame, gap: float = 0.5, prior: float = 0.1, least_z: float = 3.0, most_features: int = 50_000,
+    most_labels: int = 50_000,
 ) -> ToxicModel:
     """Learn from the documents (doc_id, text) that labels (doc_id, toxic 0/1) covers. Without a labelled document, or
     without one of both classes, nothing scores and every probability is the share of toxic labels (one half without any)."""
-    rows = _labelled(docs, labels)
+    rows = _labelled(docs, labels, most_labels)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def items():
@@ -220,14 +229,14 @@ def fit_logistic(points: list[tuple[float, int, int]]) -> tuple[float, float]:
     return a, max(b, 0.0)
 
 
-def _scan_with(frame: DataFrame, model: ToxicModel, keep: list[str], most_expected: float = 0.05):
+def _scan_with(frame: DataFrame, model: ToxicModel, keep: list[str], of: str = "text", most_expected: float = 0.05):
     held = frame.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = ToxicModel(**held.value)
-        for batch in slices(batches, "_text" if "_text" in keep else "text"):
+        for batch in slices(batches, of):
             evidence, passages = [], []
-            for text in batch.column("_text" if "_text" in keep else "text").to_pylist():
+            for text in batch.column(of).to_pylist():
                 words = _WORD.findall(text.lower())
                 hits = word_scores(m.weights, words)
                 if not hits:
@@ -239,8 +248,8 @@ def _scan_with(frame: DataFrame, model: ToxicModel, keep: list[str], most_expect
                 found = [x for x in found if x[3] <= most_expected]
                 passages.append(_places(text, words, found) if found else [])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep if c != "_text"), pa.array(evidence, pa.float64()), pa.array(passages, _PASSAGES)],
-                [*(c for c in keep if c != "_text"), "toxic_evidence", "toxic_passages"],
+                [*(batch.column(c) for c in keep), pa.array(evidence, pa.float64()), pa.array(passages, _PASSAGES)],
+                [*keep, "toxic_evidence", "toxic_passages"],
             )
 
     return run
@@ -262,9 +271,10 @@ def score(docs: DataFrame, model: ToxicModel, text: str = "text") -> DataFrame:
     expected) for each significant passage, in characters. Null and empty texts have no evidence and get the curve's
     lowest value. Columns of these names are replaced; all others pass unchanged.
     """
-    names = [c for c in docs.columns if c not in ("toxic_score", "toxic_evidence", "toxic_passages", "_text")]
-    base = docs.select(*(docs[f"`{c}`"] for c in names), docs[f"`{text}`"].alias("_text"))
-    fields = [f for f in base.schema.fields if f.name != "_text"]
-    scored = base.mapInArrow(_scan_with(docs, model, [*names, "_text"]), StructType([*fields, *StructType.fromDDL(f"toxic_evidence double, toxic_passages {PASSAGES}").fields]))
+    names = [c for c in docs.columns if c not in ("toxic_score", "toxic_evidence", "toxic_passages")]
+    of = unused("_text", names)
+    base = docs.select(*(docs[f"`{c}`"] for c in names), docs[f"`{text}`"].alias(of))
+    fields = base.schema.fields[:-1]
+    scored = base.mapInArrow(_scan_with(docs, model, names, of), StructType([*fields, *StructType.fromDDL(f"toxic_evidence double, toxic_passages {PASSAGES}").fields]))
     x = F.lit(model.intercept) + F.lit(model.slope) * F.log1p("toxic_evidence")
     return scored.withColumn("toxic_score", 1 / (1 + F.exp(-x)))

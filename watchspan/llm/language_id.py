@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from watchspan.llm.common import counted, slices, stored
+from watchspan.llm.common import counted, slices, stored, unused
 
 UNKNOWN = "und"
 _RUN = re.compile(r"[^\W\d_]+")
@@ -133,14 +133,15 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     language. Columns of these names are replaced; all others pass unchanged.
     """
     held = docs.sparkSession.sparkContext.broadcast(vars(model))
-    names = [c for c in docs.columns if c not in ("lang_pred", "lang_score", "_text")]
-    base = docs.select(*(docs[f"`{c}`"] for c in names), docs[f"`{text}`"].alias("_text"))
+    names = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
+    of = unused("_text", names)
+    base = docs.select(*(docs[f"`{c}`"] for c in names), docs[f"`{text}`"].alias(of))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = LanguageModel(**held.value)
         scores = WordScores(m)
-        for batch in slices(batches, "_text"):
-            runs = [letter_runs(t) for t in batch.column("_text").to_pylist()]
+        for batch in slices(batches, of):
+            runs = [letter_runs(t) for t in batch.column(of).to_pylist()]
             sizes = np.array([len(r) for r in runs], np.int64)
             best, share = np.full(len(runs), -1), np.zeros(len(runs))
             full = np.flatnonzero(sizes)
@@ -154,5 +155,5 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
             langs = [m.langs[b] if b >= 0 else UNKNOWN for b in best.tolist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(langs, pa.string()), pa.array(share)], [*names, "lang_pred", "lang_score"])
 
-    fields = [f for f in base.schema.fields if f.name != "_text"]
+    fields = base.schema.fields[:-1]
     return base.mapInArrow(run, StructType([*fields, *StructType.fromDDL("lang_pred string, lang_score double").fields]))

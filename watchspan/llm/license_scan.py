@@ -12,6 +12,8 @@ from collections import Counter
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from watchspan.llm.common import unused
+
 # Customary licence notices.
 NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -65,18 +67,19 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     """
     array, least, most = _templates(templates or NOTICES, threshold)
     clean = F.regexp_replace(F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), r"[^a-z0-9\n]+", " ")
-    names = [c for c in docs.columns if c not in ("license_matches", "_lines", "_blocks")]
-    lines = F.transform(F.split(F.col("_clean"), "\n"), lambda s: F.trim(s))
-    blocks = F.transform(F.split(F.col("_clean"), r"\n ?(?:\n ?)+"), lambda s: F.when(F.instr(s, "\n") > 0, F.trim(F.regexp_replace(s, r"[\n ]+", " "))).otherwise(F.lit("")))
-    base = docs.select(*(F.col(f"`{c}`") for c in names), clean.alias("_clean"))
-    base = base.select(*(F.col(f"`{c}`") for c in names), F.flatten(F.array(_sized(lines, "line"), _sized(blocks, "block"))).alias("_units"))
+    names = [c for c in docs.columns if c != "license_matches"]
+    cleaned, units = unused("_clean", names), unused("_units", names)
+    lines = F.transform(F.split(F.col(cleaned), "\n"), lambda s: F.trim(s))
+    blocks = F.transform(F.split(F.col(cleaned), r"\n ?(?:\n ?)+"), lambda s: F.when(F.instr(s, "\n") > 0, F.trim(F.regexp_replace(s, r"[\n ]+", " "))).otherwise(F.lit("")))
+    base = docs.select(*(F.col(f"`{c}`") for c in names), clean.alias(cleaned))
+    base = base.select(*(F.col(f"`{c}`") for c in names), F.flatten(F.array(_sized(lines, "line"), _sized(blocks, "block"))).alias(units))
     # size first, then one shared bigram at least: few passages are left to compare
-    fit = F.filter("_units", lambda u: (u["n"] >= least) & (u["n"] <= most))
+    fit = F.filter(units, lambda u: (u["n"] >= least) & (u["n"] <= most))
     paired = F.transform(fit, lambda u: F.struct(u["unit"].alias("unit"), u["place"].alias("place"), u["n"].alias("n"), _pairs(u["text"], u["n"]).alias("grams")))
     every = F.lit(sorted({g for t in (templates or NOTICES).values() for g in _bag_of(t)}))
     shared = F.filter(paired, lambda u: F.arrays_overlap(u["grams"], every))
     bagged = F.transform(shared, lambda u: F.struct(u["unit"].alias("unit"), u["place"].alias("place"), u["n"].alias("n"), _bag(u["grams"]).alias("grams")))
-    base = base.select(*(F.col(f"`{c}`") for c in names), bagged.alias("_units"))
+    base = base.select(*(F.col(f"`{c}`") for c in names), bagged.alias(units))
 
     def compared(u: Column) -> Column:
         allowed = F.filter(array, lambda t: 2 * F.least(t["n"], u["n"]) >= threshold * (t["n"] + u["n"]))
@@ -88,7 +91,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
             ),
         )
 
-    found = F.filter(F.flatten(F.transform("_units", compared)), lambda m: m["score"] >= threshold)
+    found = F.filter(F.flatten(F.transform(units, compared)), lambda m: m["score"] >= threshold)
     return base.select(*(F.col(f"`{c}`") for c in names), found.alias("license_matches"))
 
 

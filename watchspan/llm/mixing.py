@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from watchspan.llm.common import stored
+from watchspan.llm.common import stored, unused
 
 _ADDED = ("mix_tokens", "mix_posteriors", "mix_rate", "mix_copies")
 
@@ -91,23 +91,24 @@ def _log(x: float) -> float:
 def with_posteriors(docs: DataFrame, model: DomainModel, text: str = "text") -> DataFrame:
     """docs with mix_tokens (words, long) and mix_posteriors (array of double in the order of model.domains that add up
     to 1). A text without words has the prior. Columns of these names are replaced."""
-    names = [c for c in docs.columns if c not in (*_ADDED, "_words", "_buckets", "_odds", "_likely")]
+    names = [c for c in docs.columns if c not in _ADDED]
     buckets = len(model.weights[0])
     kept = [F.col(f"`{c}`") for c in names]
-    base = docs.select(*kept, words_of(F.col(f"`{text}`")).alias("_words"))
-    base = base.select(*kept, F.size("_words").cast("long").alias("mix_tokens"), F.transform("_words", lambda w: _bucket(w, buckets)).alias("_buckets"))
+    words, places, odds_of, likely_of = (unused(c, names) for c in ("_words", "_buckets", "_odds", "_likely"))
+    base = docs.select(*kept, words_of(F.col(f"`{text}`")).alias(words))
+    base = base.select(*kept, F.size(words).cast("long").alias("mix_tokens"), F.transform(words, lambda w: _bucket(w, buckets)).alias(places))
     first = model.weights[0]
 
     def odds(d: int) -> Column:
         table = F.lit([x - y for x, y in zip(model.weights[d], first, strict=True)])
-        evidence = F.aggregate("_buckets", F.lit(0.0), lambda s, b: s + F.get(table, b))
+        evidence = F.aggregate(places, F.lit(0.0), lambda s, b: s + F.get(table, b))
         return F.lit(model.priors[d] - model.priors[0]) + evidence / F.sqrt(F.greatest(F.col("mix_tokens"), F.lit(1)))
 
-    base = base.select(*kept, "mix_tokens", F.array(F.lit(0.0), *(odds(d) for d in range(1, len(model.domains)))).alias("_odds"))
-    likely = F.transform("_odds", lambda x: F.exp(x - F.array_max("_odds")))
-    base = base.select(*kept, "mix_tokens", likely.alias("_likely"))
-    total = F.aggregate("_likely", F.lit(0.0), lambda s, x: s + x)
-    return base.select(*kept, "mix_tokens", F.transform("_likely", lambda x: x / total).alias("mix_posteriors"))
+    base = base.select(*kept, "mix_tokens", F.array(F.lit(0.0), *(odds(d) for d in range(1, len(model.domains)))).alias(odds_of))
+    likely = F.transform(odds_of, lambda x: F.exp(x - F.array_max(odds_of)))
+    base = base.select(*kept, "mix_tokens", likely.alias(likely_of))
+    total = F.aggregate(likely_of, F.lit(0.0), lambda s, x: s + x)
+    return base.select(*kept, "mix_tokens", F.transform(likely_of, lambda x: x / total).alias("mix_posteriors"))
 
 
 def fit(held: DataFrame, model: DomainModel, targets: dict[str, float], budget: float | None = None, lose_none: bool = False, close: float = 1e-4) -> RateModel:

@@ -20,7 +20,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from watchspan.llm.common import slices
+from watchspan.llm.common import slices, unused
 
 MARK = "▁"
 _CHUNK = re.compile(" +[^ ]*")
@@ -74,14 +74,15 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids",
     held = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c != into]
     docs = docs.select(*(docs[f"`{c}`"] for c in names))
+    extra = unused("_filled", names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = sentencepiece.SentencePieceProcessor(model_proto=held.value)
         table = WordTable(sp, most) if separable(sp) else None
         for whole in batches:
-            filled = whole.append_column("_filled", whole.column(text))
-            for batch in slices(iter([filled]), "_filled"):
-                texts = batch.column("_filled").to_pylist()
+            filled = whole.append_column(extra, whole.column(text))
+            for batch in slices(iter([filled]), extra):
+                texts = batch.column(extra).to_pylist()
                 ids = table.ids(texts) if table is not None else sp.encode(texts, num_threads=1)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), _lists(ids)], [*names, into])
 

@@ -1,11 +1,13 @@
 """Toxicity by maximum-scoring segments.
 
 Learning. Features are words and four-letter heads of longer words, counted once per labelled document and class. Their
-log-odds between the classes are shrunk by an informative Dirichlet prior in proportion to the feature's count in both
-classes; only features whose log-odds lie `least_z` deviations above zero score, at most `most_features` of them, so the
-model has a fixed bound. Every other word costs `gap`.
+log-odds between the classes have an informative Dirichlet prior in proportion to the feature's count in both classes. A
+head's log-odds are drawn towards zero as far as they are uncertain, a word's towards those of its head. Every feature of the
+labelled documents is kept, those that speak for clean text too; the model is bounded by the number of labels that are
+used (`most_labels`). A token scores its word's log-odds, those of its head if the word is unknown, or zero, less `gap`, the
+log-odds that a token has in advance.
 
-Search. A linear-time scan finds all maximal scoring segments of a text's word scores. Under random clean text the number
+Search. A linear-time scan finds all maximal scoring segments of a text's token scores. Under random clean text the number
 of segments of score S in n words is about K n exp(-lambda S), an extreme-value law: lambda solves
 sum p(s) exp(lambda s) = 1 over the word scores of clean documents, K comes from the segments found in them. Segments
 with an expectation of at most `most_expected` are significant passages.
@@ -21,6 +23,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
@@ -41,21 +44,34 @@ class ToxicModel:
     intercept: float
     slope: float
 
-    def scores(self, words: list[str]) -> list[tuple[int, float]]:
-        """Place and score of the words that score."""
-        return word_scores(self.weights, words)
+    def segments(self, words: list[str]) -> list[tuple[int, int, float]]:
+        hits, lost = scored_hits(token_scores(self.weights, self.gap, words))
+        return maximal_segments(hits, self.gap, lost)
 
     def probability(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-(self.intercept + self.slope * math.log1p(evidence))))
 
 
-def word_scores(weights: dict[str, float], words: list[str]) -> list[tuple[int, float]]:
-    hits = []
-    for i, w in enumerate(words):
-        s = weights.get(w) or (weights.get(w[:HEAD] + "*") if len(w) > HEAD else None)
-        if s:
+def token_scores(weights: dict[str, float], gap: float, words: list[str]) -> list[float]:
+    own = {w: weights.get(w) for w in set(words)}
+    for w, s in own.items():
+        if s is None:
+            s = weights.get(w[:HEAD] + "*", 0.0) if len(w) > HEAD else 0.0
+        own[w] = s - gap
+    return [own[w] for w in words]
+
+
+def scored_hits(scores: list[float]) -> tuple[list[tuple[int, float]], list[float]]:
+    """Place and score of the tokens above zero, and what the tokens between each and the one before it sum up to."""
+    hits, lost, sum_ = [], [], 0.0
+    for i, s in enumerate(scores):
+        if s > 0:
             hits.append((i, s))
-    return hits
+            lost.append(sum_)
+            sum_ = 0.0
+        else:
+            sum_ += s
+    return hits, lost
 
 
 def features(text: str) -> set[str]:
@@ -63,9 +79,9 @@ def features(text: str) -> set[str]:
     return words | {w[:HEAD] + "*" for w in words if len(w) > HEAD}
 
 
-def maximal_segments(hits: list[tuple[int, float]], gap: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first word, last word, score) of a text whose words score `gap` below zero but for
-    the hits (place, positive score), in one scan over the hits.
+def maximal_segments(hits: list[tuple[int, float]], gap: float, lost: list[float] | None = None) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments (first word, last word, score) of a text in one scan over its hits (place, positive score).
+    The words before each hit sum up to `lost`; without it, each of them scores `gap` below zero.
 
     A segment is kept with the running total before it and after it. A new one reaches back over earlier segments as
     long as one of them began from a lower total; it swallows them if it also ends higher.
@@ -73,8 +89,8 @@ def maximal_segments(hits: list[tuple[int, float]], gap: float) -> list[tuple[in
     kept: list[tuple[int, int, float, float]] = []  # first, last, total before, total after
     below: list[int] = []  # for each kept segment, the last earlier one that began from a lower total
     total, after = 0.0, -1
-    for place, score in hits:
-        total -= gap * (place - after - 1)
+    for i, (place, score) in enumerate(hits):
+        total += -gap * (place - after - 1) if lost is None else lost[i]
         first, last, low, high = place, place, total, total + score
         total, after = high, place
         j = len(kept) - 1
@@ -123,8 +139,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, most_labels: int) -> DataFrame
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, gap: float = 0.5, prior: float = 0.1, least_z: float = 3.0, most_features: int = 50_000,
-    most_labels: int = 50_000,
+    docs: DataFrame, labels: DataFrame, gap: float = 1.5, prior: float = 0.1, most_labels: int = 50_000
 ) -> ToxicModel:
     """Learn from the documents (doc_id, text) that labels (doc_id, toxic 0/1) covers. Without a labelled document, or
     without one of both classes, nothing scores and every probability is the share of toxic labels (one half without any)."""
@@ -160,13 +175,14 @@ def train(
     a = prior * (F.col("y1") + F.col("y0"))
     a0 = prior * (totals.n1 + totals.n0)
     odds = [F.log((F.col(y) + a) / (F.lit(float(n)) + F.lit(a0) - F.col(y) - a)) for y, n in (("y1", totals.n1), ("y0", totals.n0))]
-    scored = counts.filter("feature <> '' and y1 > 0").select(
-        "feature", "y1", "y0", (odds[0] - odds[1]).alias("weight"), F.sqrt(1 / (F.col("y1") + a) + 1 / (F.col("y0") + a)).alias("deviation")
-    )
-    chosen = scored.filter(F.col("weight") >= least_z * F.col("deviation"))
-    chosen = chosen.orderBy(F.desc(F.col("weight") / F.col("deviation")), "feature").limit(most_features).collect()
-    weights = {r.feature: r.weight for r in chosen}
-    if not weights:
+    variance = 1 / (F.col("y1") + a) + 1 / (F.col("y0") + a)
+    rows_of = counts.filter("feature <> ''").select("feature", (odds[0] - odds[1]).alias("weight"), variance.alias("variance")).toArrow()
+    names, raw, spread = (rows_of.column(c) for c in ("feature", "weight", "variance"))
+    names, raw, spread = names.to_pylist(), raw.to_numpy(), spread.to_numpy()
+    weights = dict(zip(names, (raw / (1 + spread)).tolist(), strict=True))
+    heads = np.array([weights.get(f[:HEAD] + "*", 0.0) if len(f) > HEAD and f[HEAD:] != "*" else 0.0 for f in names])
+    weights = dict(zip(names, ((raw + heads * spread) / (1 + spread)).tolist(), strict=True))
+    if max(weights.values()) <= gap:
         return flat_model
     return _calibrated(rows, weights, gap)
 
@@ -180,12 +196,10 @@ def _calibrated(rows: DataFrame, weights: dict[str, float], gap: float) -> Toxic
         def items():
             for batch in slices(batches):
                 for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                    words = _WORD.findall(text.lower())
-                    hits = word_scores(held.value, words)
-                    found = [("word", toxic, math.ceil(s / step)) for _, s in hits]
-                    found += [("segment", toxic, math.ceil(s / step)) for *_, s in maximal_segments(hits, gap)]
-                    yield "all", found
-                    yield "all", {("word", toxic, 0): len(words) - len(hits)}
+                    scores = token_scores(held.value, gap, _WORD.findall(text.lower()))
+                    hits, lost = scored_hits(scores)
+                    yield "all", [("word", toxic, math.ceil(s / step)) for s in scores]
+                    yield "all", [("segment", toxic, math.ceil(s / step)) for *_, s in maximal_segments(hits, gap, lost)]
 
         def emit(group) -> pa.RecordBatch:
             c = group["all"]
@@ -196,9 +210,8 @@ def _calibrated(rows: DataFrame, weights: dict[str, float], gap: float) -> Toxic
     parts = rows.mapInArrow(scan, "kind string, toxic int, bin int, n long").groupBy("kind", "toxic", "bin").agg(F.sum("n").alias("n"))
     table = {(r.kind, r.bin): r.n for r in parts.filter("toxic = 0").collect()}
     words = sum(n for (kind, _), n in table.items() if kind == "word")
-    shares = {b * step if b else -gap: n / max(words, 1) for (kind, b), n in table.items() if kind == "word"}
-    decay = decay_of(shares)
-    least = max(min(weights.values()), step)
+    decay = decay_of({b * step: n / max(words, 1) for (kind, b), n in table.items() if kind == "word"})
+    least = 2.0  # the law holds for high scores; segments from here on tell its rate
     found = sum(n for (kind, b), n in table.items() if kind == "segment" and b * step >= least)
     rate = (found + 0.5) / (words + 1) * math.exp(min(decay * least, 500))
     model = ToxicModel(weights, gap, decay, rate, 0.0, 1.0)
@@ -238,12 +251,7 @@ def _scan_with(frame: DataFrame, model: ToxicModel, keep: list[str], of: str = "
             evidence, passages = [], []
             for text in batch.column(of).to_pylist():
                 words = _WORD.findall(text.lower())
-                hits = word_scores(m.weights, words)
-                if not hits:
-                    evidence.append(0.0)
-                    passages.append([])
-                    continue
-                found = [(f, l, s, m.rate * len(words) * math.exp(-m.decay * s)) for f, l, s in maximal_segments(hits, m.gap)]
+                found = [(f, l, s, m.rate * len(words) * math.exp(-m.decay * s)) for f, l, s in m.segments(words)]
                 evidence.append(sum(max(0.0, -math.log(max(e, 1e-300))) for *_, e in found))
                 found = [x for x in found if x[3] <= most_expected]
                 passages.append(_places(text, words, found) if found else [])

@@ -2,9 +2,11 @@
 
 A word seen in training scores by its relative log frequency in each language. A word not seen scores by the mean of its
 n-grams (with a blank at both ends) of the longest length of which any is known. A language that lacks the word or n-gram
-gets a fixed penalty. A text's value in a language is the mean over its words. Counts cover all training texts; the model
-keeps the `words` most frequent words and the `grams` most frequent n-grams of each length and language, so its size has
-a bound, and all other words take the way of unseen ones.
+gets a fixed penalty. A text's value in a language is the mean over its words.
+
+The model is fitted to about `most_docs` labelled texts at most, shared evenly among the languages, and keeps every word and
+n-gram of them; so its size has a bound that does not depend on the corpus, and a word it has seen is never scored as unseen.
+Items are held as 64-bit hashes in order, with the languages that know them.
 """
 
 from __future__ import annotations
@@ -17,7 +19,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from watchspan.llm.common import counted, slices, stored, unused
@@ -31,7 +35,27 @@ class LanguageModel:
     langs: list[str]
     lengths: int
     penalty: float
-    table: dict[str, list[float]]  # word as it is, or n-gram with "\t" before it -> negative log10 frequency by language
+    items: np.ndarray  # hashes of words and n-grams, in order
+    first: np.ndarray  # where the entries of each item begin, and the last end
+    lang: np.ndarray  # by entry: the language
+    value: np.ndarray  # by entry: negative log10 frequency
+
+    def rows(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values by language of items, and which of them are known."""
+        out = np.full((len(hashes), len(self.langs)), self.penalty)
+        if not len(self.items) or not len(hashes):
+            return out, np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.items, hashes), len(self.items) - 1)
+        known = self.items[at] == hashes
+        row = np.flatnonzero(known)
+        begin, size = self.first[at[row]], np.diff(self.first)[at[row]]
+        entry = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        out[np.repeat(row, size), self.lang[entry]] = self.value[entry]
+        return out, known
+
+
+def _hashes(items: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(x) for x in items), np.uint64, len(items))
 
 
 def letter_runs(text: str) -> list[str]:
@@ -58,9 +82,24 @@ def _emit(held) -> pa.RecordBatch:
     )
 
 
-def train(docs: DataFrame, words: int = 20_000, grams: int = 10_000, lengths: int = 4, most_langs: int = 400) -> LanguageModel:
-    """Learn from docs (text, lang). Rows without language or text are left out. More than `most_langs` languages are refused,
-    as the model travels to every task."""
+def _drawn(texts: DataFrame, most_docs: int) -> DataFrame:
+    """About `most_docs` texts at most, drawn by a hash of the row: each language an even share, or all it has."""
+    sizes = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().orderBy("count").limit(most_docs).collect()}
+    left, share = most_docs, {}
+    for i, (lang, n) in enumerate(sizes.items()):
+        part = min(n, left // (len(sizes) - i))
+        left -= part
+        share[lang] = part / n
+    if all(x == 1 for x in share.values()):
+        return texts
+    limit = F.element_at(F.create_map(*(F.lit(x) for pair in share.items() for x in pair)), F.col("lang"))
+    draw = F.xxhash64(*texts.columns).bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
+    return texts.filter(F.coalesce(draw < limit, F.lit(False)))
+
+
+def train(docs: DataFrame, lengths: int = 4, most_docs: int = 40_000, key: str = "doc_id") -> LanguageModel:
+    """Learn from docs (text, lang). Rows without language or text are left out. A column `key`, if there is one, lets equal texts
+    be drawn apart."""
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def items():
@@ -80,50 +119,46 @@ def train(docs: DataFrame, words: int = 20_000, grams: int = 10_000, lengths: in
         yield from counted(items(), _emit, 200_000)
 
     schema = "lang string, item string, n long"
-    texts = docs.select("text", "lang").filter("lang is not null and text is not null")
+    columns = [c for c in ("text", "lang", key) if c in docs.columns]
+    texts = _drawn(docs.select(*columns).filter("lang is not null and text is not null"), most_docs).select("text", "lang")
     by_word = stored(texts.mapInArrow(count_words, schema).groupBy("lang", "item").agg(F.sum("n").alias("n")), "words")
     by_gram = by_word.mapInArrow(count_grams, schema).groupBy("lang", "item").agg(F.sum("n").alias("n"))
-    counts = stored(by_word.withColumn("size", F.lit(0)).union(by_gram.withColumn("size", F.length("item") - 1)), "counts")
-    totals = {(r.lang, r["size"]): r.total for r in counts.groupBy("lang", "size").agg(F.sum("n").alias("total")).limit(most_langs * (lengths + 1) + 1).collect()}
-    langs = sorted({lang for lang, _ in totals})
-    if len(langs) > most_langs:
-        raise ValueError(f"more than {most_langs} languages")
-    order = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "item")
-    top = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= F.when(F.col("size") == 0, words).otherwise(grams))
-    rows = top.select("lang", "size", "item", "n").collect()
-    penalty = 1 + max([math.log10(t) for t in totals.values()], default=0.0)
-    table: dict[str, list[float]] = {}
-    for r in rows:
-        table.setdefault(r.item, [penalty] * len(langs))[langs.index(r.lang)] = math.log10(totals[r.lang, r["size"]]) - math.log10(r.n)
-    return LanguageModel(langs, lengths, penalty, table)
-
-
-class WordScores:
-    """Rows of scores by word; unseen words are worked out once and held, `most` at a time."""
-
-    def __init__(self, model: LanguageModel, most: int = 300_000):
-        self.model, self.most = model, most
-        seen = [w for w in model.table if w[0] != "\t"]
-        self.base = {w: i for i, w in enumerate(seen)}
-        self.fixed = np.array([model.table[w] for w in seen], np.float64).reshape(len(seen), len(model.langs))
-        self.place, self.extra = dict(self.base), []
-
-    def unseen(self, word: str) -> np.ndarray:
-        m = self.model
-        for n in range(min(m.lengths, len(word) + 2), 0, -1):
-            if found := [x for g in grams_of(word, n) if (x := m.table.get(f"\t{g}"))]:
-                return np.mean(found, axis=0)
-        return np.full(len(m.langs), m.penalty)
-
-    def rows(self, words: list[str]) -> np.ndarray:
-        if len(self.extra) > self.most:
-            self.place, self.extra = dict(self.base), []
-        for w in set(words).difference(self.place):
-            self.place[w] = len(self.place)
-            self.extra.append(self.unseen(w))
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        table = np.concatenate([self.fixed, np.array(self.extra).reshape(len(self.extra), len(self.model.langs))]) if self.extra else self.fixed
-        return table[at]
+    counts = by_word.unionByName(by_gram)
+    found = counts.toArrow()  # as large as the drawn texts at most
+    langs = sorted(pc.unique(found.column("lang")).to_pylist())
+    if not langs:
+        none = np.zeros(0)
+        return LanguageModel([], lengths, 1.0, none.astype(np.uint64), np.zeros(1, np.int64), none.astype(np.int32), none)
+    lang = np.array(pc.index_in(found.column("lang"), pa.array(langs)), np.int32)
+    n = np.array(found.column("n"), np.float64)
+    is_gram = np.array(pc.starts_with(found.column("item"), "\t"))
+    size = np.where(is_gram, np.array(pc.utf8_length(found.column("item"))) - 1, 0)
+    totals = np.zeros((len(langs), lengths + 1))
+    np.add.at(totals, (lang, size), n)
+    hashes = _hashes(found.column("item").to_pylist())
+    order = np.lexsort((lang, hashes))
+    items, first = np.unique(hashes[order], return_index=True)
+    value = np.log10(totals[lang, size]) - np.log10(n)
+    return LanguageModel(langs, lengths, 1 + math.log10(totals.max()), items, np.append(first, len(order)), lang[order], value[order])
+
+
+def word_rows(model: LanguageModel, words: list[str]) -> np.ndarray:
+    """Values by language of distinct words; unseen ones back off to the longest n-grams of which any is known."""
+    out, known = model.rows(_hashes(words))
+    unseen = np.flatnonzero(~known)
+    for size in range(model.lengths, 0, -1):
+        if not len(unseen):
+            break
+        grams = [[f"\t{g}" for g in grams_of(words[i], size)] for i in unseen.tolist()]
+        owner = np.repeat(np.arange(len(unseen)), [len(g) for g in grams])
+        values, met = model.rows(_hashes([g for row in grams for g in row]))
+        hits = np.bincount(owner[met], minlength=len(unseen))
+        sums = np.zeros((len(unseen), len(model.langs)))
+        np.add.at(sums, owner[met], values[met])
+        done = hits > 0
+        out[unseen[done]] = sums[done] / hits[done, None]
+        unseen = unseen[~done]
+    return out
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
@@ -139,14 +174,16 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = LanguageModel(**held.value)
-        scores = WordScores(m)
-        for batch in slices(batches, of):
+        bytes_ = max(1 << 16, (16 << 20) // max(4, len(m.langs)))
+        for batch in slices(batches, of, bytes_):
             runs = [letter_runs(t) for t in batch.column(of).to_pylist()]
             sizes = np.array([len(r) for r in runs], np.int64)
             best, share = np.full(len(runs), -1), np.zeros(len(runs))
             full = np.flatnonzero(sizes)
             if len(full) and m.langs:
-                rows = scores.rows([w for r in runs for w in r])
+                place: dict[str, int] = {}
+                at = np.fromiter((place.setdefault(w, len(place)) for r in runs for w in r), np.int64, int(sizes.sum()))
+                rows = word_rows(m, list(place))[at]
                 starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
                 mean = np.add.reduceat(rows, starts, axis=0) / sizes[full, None]
                 likely = np.exp((mean.min(axis=1, keepdims=True) - mean) * math.log(10) * np.sqrt(sizes[full, None]))

@@ -46,7 +46,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from three quarters of them."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
-    model = language_id.train(docs.filter(fold("doc_id", 4) != 2).select("text", "lang"))
+    model = language_id.train(docs.filter(fold("doc_id", 4) != 2))
     found = language_id.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 

@@ -7,11 +7,16 @@ those of the smallest hash, so that they can be broadcast and no text is shuffle
 Membership. A document's log-odds are the domain's prior plus the word scores, weighed as if the text had as many
 independent words as the square root of its length.
 
-Fit. Rates of `least` or more shall bring the expected tokens of each domain, sum r t p, to its target. Of all such rates
-those closest to 1, in the metric of the documents' tokens, are max(least, 1 + w p) with one weight w per domain. Damped
-Newton steps find the weights; a step takes one aggregate over the stored documents, of which only sums per domain and pair
-of domains reach the driver. Without a budget the shares alone are the target. The weights are the model, and applying it
-needs neither a join nor a shuffle. Residuals are kept with it, and targets that no rates reach give a warning.
+Fit. Rates of `least` or more shall bring the expected tokens of each domain, sum r t p, to its target: least squares over as many
+rates as there are documents. Projected gradient steps solve it. A step moves every rate against the residuals, weighed by the
+document's posteriors, and back to `least` where it went below. Residuals are measured in the metric of the domains'
+covariance, in which one step would do if no rate met its bound; so a few steps suffice, with momentum that starts anew when
+the error grows. If the error rests above zero, no rates reach the targets; steps in plain tokens then find those that come
+closest. A rate is told by its document's posteriors and the residuals of all steps, so these are the model: a step
+takes one aggregate over the stored documents, of which k sums reach the driver, and applying the model needs neither a join
+nor a shuffle. Without a budget and with `lose_none` the shares alone are the target. Steps end when every domain is within
+`close` of its own target or when the error rests; residuals are kept, and a warning tells that no rates reach the targets.
+Every few steps the documents' rates are stored, so that a step need not go back to the first one.
 
 Everything is column expressions.
 """
@@ -24,8 +29,9 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from watchspan.llm.common import stored, unused
+from watchspan.llm.common import discard, stored, unused
 
+REST, STORE = 12, 8  # steps over which an error that does not fall by a tenth rests, and after which rates are stored
 _ADDED = ("mix_tokens", "mix_posteriors", "mix_rate", "mix_copies")
 
 
@@ -130,76 +136,68 @@ def fit(held: DataFrame, model: DomainModel, targets: dict[str, float], budget:
     if not every:
         return RateModel([], [], least)
     # with a free budget, each domain's tokens less its share of all shall be 0
-    q = [F.get("p", F.lit(d)) - F.lit(float(share[d]) if free else 0.0) for d in range(k)]
+    shift = share if free else np.zeros(k)
     goal = np.zeros(k) if free else share * (budget or every) / every
+    p = [F.get("p", F.lit(d)) for d in range(k)]
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    ridge = 1e-3
-
-    def sums(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, float]:
-        """The convex function that the weights minimise, its gradient and curvature, and all tokens, per token of docs."""
-        line = sum((F.lit(float(w[d])) * q[d] for d in range(k)), F.lit(1.0))
-        at = rows.select("t", *(x.alias(f"q{d}") for d, x in enumerate(q)), line.alias("x"))
-        rate, loose = F.greatest(F.lit(least), F.col("x")), F.when(F.col("x") > least, F.col("t")).otherwise(0.0)
-        value = F.when(F.col("x") > least, F.col("x") * F.col("x") / 2).otherwise(least * F.col("x") - least * least / 2)
-        found = at.agg(
-            F.sum(F.col("t") * value), F.sum(F.col("t") * rate), *(F.sum(F.col("t") * rate * F.col(f"q{d}")) for d in range(k)),
-            *(F.sum(loose * F.col(f"q{i}") * F.col(f"q{j}")) for i, j in pairs),
-        ).first()
-        found = np.array(list(found), float) / every
-        curve = np.zeros((k, k))
-        for (i, j), x in zip(pairs, found[2 + k :], strict=True):
-            curve[i, j] = curve[j, i] = x
-        return found[0] - goal @ w + ridge / 2 * w @ w, found[2 : 2 + k] - goal + ridge * w, curve + ridge * np.eye(k), found[1]
-
-    def residual(w: np.ndarray, slope: np.ndarray, tokens: float) -> np.ndarray:
-        aim = share * (tokens if free else goal.sum())
-        return (slope - ridge * w) / np.where(aim > 0, aim, aim.sum())
-
-    w = np.zeros(k)
-    if least:
-        # at rates of 1 nothing is loose yet: a first step along the slope
-        value, slope, curve, tokens = sums(w)
-        if np.abs(residual(w, slope, tokens)).max() > close:
-            w = -slope / np.abs(slope).max()
-    # weak pull to rates of 1 first, then weaker; if no pull is weak enough, the first weights stand, whose rates stay moderate
-    first = None
-    for ridge in (1e-3, 1e-5, 1e-7, 1e-9):
-        value, slope, curve, tokens = sums(w)
+    found = rows.agg(*(F.sum(F.col("t") * (p[i] - F.lit(float(shift[i]))) * (p[j] - F.lit(float(shift[j])))) for i, j in pairs)).first()
+    cover = np.zeros((k, k))
+    for (i, j), x in zip(pairs, found, strict=True):
+        cover[i, j] = cover[j, i] = x / every
+    scale = max(float(np.trace(cover)), 1e-300)
+    whole = rows.select("t", "p", F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+
+    def descend(metric: np.ndarray) -> tuple[list[list[float]], list[float], np.ndarray]:
+        """Steps and their momentum up to the smallest error, and the residuals there."""
+        steps: list[list[float]] = []
+        momentum: list[float] = []
+        t, errors, best, state, done = 1.0, [], None, whole, 0
         while True:
-            step = -np.linalg.solve(curve, slope)
-            length, gain = 1.0, -(slope @ step)
-            if np.abs(residual(w, slope, tokens)).max() <= close or gain <= 1e-9 * max(1.0, abs(value)) * min(1.0, ridge * 1e3):
-                break
-            while length > 1e-6:
-                new = w + length * step
-                after = sums(new)
-                if after[0] <= value - 1e-4 * length * gain:
-                    break
-                length /= 4
-            else:
-                break  # the smallest value that numbers can tell
-            w, (value, slope, curve, tokens) = new, after
-        first = first or (w, residual(w, slope, tokens))
-        if np.abs(residual(w, slope, tokens)).max() <= close:
-            first = w, residual(w, slope, tokens)
-            break
-    w, left = first
-    residuals = dict(zip(model.domains, left.tolist(), strict=True))
-    if np.abs(left).max() > close:
+            if len(steps) - done == STORE:
+                moved = rates(F.col("p"), steps[done:], momentum[done:], least, (F.col("rate"), F.col("ahead")))
+                older, state, done = state, stored(state.select("t", "p", moved[0].alias("rate"), moved[1].alias("ahead")), "rates"), len(steps)
+                if older is not whole:
+                    discard(older)
+            moved = rates(F.col("p"), steps[done:], momentum[done:], least, (F.col("rate"), F.col("ahead")))
+            at = state.select("t", "p", moved[0].alias("rate"), moved[1].alias("ahead"))
+            sums = np.array(list(at.agg(*(F.sum(F.col("t") * F.col(r) * x) for r in ("rate", "ahead") for x in p)).first()), float) / every
+            left, slope = (x - shift * x.sum() - goal for x in (sums[:k], sums[k:]))
+            aim = share * (sums[:k].sum() if free else goal.sum())
+            residual = left / np.where(aim > 0, aim, max(aim.sum(), 1e-300))
+            error = float(left @ metric @ left)
+            if best is None or error < best[0]:
+                best = error, residual, len(steps)
+            if np.abs(residual).max() <= close or len(errors) >= REST and best[0] > 0.9 * min(errors[: len(errors) - REST + 1]):
+                return steps[: best[2]], momentum[: best[2]], best[1]
+            if errors and error > errors[-1]:
+                t = 1.0
+            errors.append(error)
+            pull = metric @ slope
+            # posteriors add up to 1, so what a share takes off is the same for all domains
+            steps.append((pull - pull @ shift).tolist())
+            after = (1 + (1 + 4 * t * t) ** 0.5) / 2
+            momentum.append((t - 1) / after)
+            t = after
+
+    steps, momentum, residual = descend(np.linalg.inv(cover + 1e-9 * scale * np.eye(k)))
+    if np.abs(residual).max() > close:
+        steps, momentum, residual = descend(np.eye(k) / max(float(np.linalg.eigvalsh(cover).max()), 1e-300))
+    residuals = dict(zip(model.domains, residual.tolist(), strict=True))
+    if np.abs(residual).max() > close:
         warnings.warn(f"no rates reach the targets; residuals: {residuals}", stacklevel=2)
-    if not w.any():
-        return RateModel([], [], least, residuals)
-    # posteriors add up to 1, so what a share takes off is the same for all domains
-    return RateModel([(-(w - (w @ share if free else 0.0))).tolist()], [0.0], least, residuals)
+    return RateModel(steps, momentum, least, residuals)
 
 
-def rates(posteriors: Column, steps: list[list[float]], momentum: list[float], least: float = 0.0) -> tuple[Column, Column]:
-    """The rate after the steps, and the point ahead of it where the next residual is taken."""
+def rates(
+    posteriors: Column, steps: list[list[float]], momentum: list[float], least: float = 0.0, begin: tuple[Column, Column] | None = None
+) -> tuple[Column, Column]:
+    """The rate after the steps, and the point ahead of it where the next residual is taken; both begin at 1 unless given."""
+    begin = begin or (F.lit(1.0), F.lit(1.0))
     if not steps:
-        return F.lit(1.0), F.lit(1.0)
+        return begin
     moves = F.lit([[*s, m] for s, m in zip(steps, momentum, strict=True)])
     k = len(steps[0])
-    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+    start = F.struct(begin[0].alias("rate"), begin[1].alias("ahead"))
 
     def step(s: Column, e: Column) -> Column:
         pull = sum((F.get(posteriors, F.lit(d)) * F.get(e, F.lit(d)) for d in range(k)), F.lit(0.0))

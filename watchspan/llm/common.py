@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -31,29 +32,45 @@ def fold(key: Column | str, mod: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % mod
 
 
-_inner: list[str] = []
+_made: list[str] = []
 
 
-def stored(df: DataFrame, label: str, inner: bool = True) -> DataFrame:
-    """Write to the shared checkpoint folder as Parquet and read back: cuts the lineage and outlives lost executors.
-
-    `inner` tables are those an operator makes on its way; `discard_inner` removes them.
-    """
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared checkpoint folder as Parquet and read back: cuts the lineage and outlives lost executors."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
-    if inner:
-        _inner.append(path)
+    _made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard_inner(spark: SparkSession) -> None:
-    """Remove all inner tables made so far. Results that were not stored by then can no longer be read."""
-    for path in _inner:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    _inner.clear()
+def tidied(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """`make`, which afterwards removes the tables that it stored on its way and that its result does not read."""
+
+    @wraps(make)
+    def tidy(*args, **kwargs) -> DataFrame:
+        first = len(_made)
+        out = make(*args, **kwargs)
+        read = {f.rpartition("/")[0].rpartition("/")[2] for f in out.inputFiles()}
+        for path in _made[first:]:
+            if path.rpartition("/")[2] not in read:
+                _remove(out.sparkSession, path)
+        del _made[first:]
+        return out
+
+    return tidy
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a stored table that nothing reads any more."""
+    for folder in {x.rpartition("/")[0] for x in df.inputFiles()}:
+        _remove(df.sparkSession, folder)
 
 
 def unused(name: str, taken: list[str]) -> str:
@@ -64,14 +81,6 @@ def unused(name: str, taken: list[str]) -> str:
     return name
 
 
-def discard(df: DataFrame) -> None:
-    """Remove the files of a stored table that nothing reads any more."""
-    context = df.sparkSession.sparkContext
-    for folder in {x.rpartition("/")[0] for x in df.inputFiles()}:
-        path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of Arrow batches in slices of about `most` bytes of text, one row at least; null texts become empty."""
     for batch in batches:

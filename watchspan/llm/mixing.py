@@ -224,5 +224,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], text: s
     model = train(docs, labelled, text, key)
     targets = {d: w for d, w in targets.items() if d in model.domains}
     targets = targets if sum(targets.values()) > 0 else dict.fromkeys(model.domains, 1.0)
-    held = stored(with_posteriors(docs, model, text), "posteriors")
-    return apply_rates(held, fit(held, model, targets, budget, lose_none), key), model
+    told = with_posteriors(docs, model, text)
+    # the fit reads tokens and posteriors only; the documents get theirs again, so that no text is stored
+    held = stored(told.select("mix_tokens", "mix_posteriors"), "posteriors")
+    return apply_rates(told, fit(held, model, targets, budget, lose_none), key), model

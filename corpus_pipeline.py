@@ -1,6 +1,7 @@
 """From raw documents to encoded training text: five stages, each stored before the next one reads it.
 
-A stage returns the columns of documents; the last one adds the ids and the text they decode to.
+A stage returns the columns of documents; the last one adds the ids and the text they decode to. Tables that a stage stores on its
+way are removed at its end, but for those its result reads.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchspan.llm import language_id, mixing, sentencepiece_codec, toxicity
-from watchspan.llm.common import stored
+from watchspan.llm.common import discard, stored, tidied
 from watchspan.llm.near_dedup import near_groups
 from watchspan.llm.queries import PIECES
 
@@ -18,12 +19,14 @@ LEAST_TOXIC, LEAST_LANGUAGE = 0.7, 0.5
 SHARES = {"good": 0.85, "poor": 0.15}
 
 
+@tidied
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity, learned from the labelled ones, is below LEAST_TOXIC."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model).filter(F.col("toxic_score") < LEAST_TOXIC).select(*docs.columns)
 
 
+@tidied
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language that is told with a share of LEAST_LANGUAGE or more; it fills the column lang where that is null."""
     found = language_id.identify(docs, language_id.train(docs))
@@ -31,6 +34,7 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
+@tidied
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies. Rows that repeat an id are one document; rows without an id stay."""
     kept = near_groups(docs.select("doc_id", "text")).filter("kept").select("doc_id").distinct()
@@ -39,6 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return named.unionByName(unnamed).select(*docs.columns)
 
 
+@tidied
 def mix_to_shares(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that good and poor text have their shares and no document is lost."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -47,6 +52,7 @@ def mix_to_shares(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixed.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("_copy")).drop("_copy")
 
 
+@tidied
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document and the text they decode to."""
     model = sentencepiece_codec.read_model(PIECES)
@@ -66,6 +72,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before: list[DataFrame] = []
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
+        for old in before:
+            discard(old)
+        before = [docs]
     return docs

@@ -190,10 +190,27 @@ SELECT l.top AS conv_id, l.depth::BIGINT AS depth, l.parent AS parent_conv_id, l
        u.saved_tokens::BIGINT AS saved_tokens, l.ends_sha256
 FROM linked l JOIN under u ON u.top = l.top AND u.depth = l.depth"""
 
+_NEAR_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM words),
+named AS (SELECT doc_id, s, len(s) AS n, md5(array_to_string(s, chr(10))) AS class FROM sets),
+classes AS (SELECT class, any_value(s) AS s, any_value(n) AS n, min(doc_id) AS low FROM named WHERE n > 0 GROUP BY class),
+held AS (SELECT class, n, unnest(s) AS g FROM classes),
+shared AS (SELECT a.class AS a, b.class AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k FROM held a JOIN held b ON a.g = b.g AND a.class <> b.class GROUP BY ALL),
+links AS (SELECT a, b FROM shared WHERE 100 * k >= 80 * (na + nb - k)),
+reach(class, other) AS (SELECT class, class FROM classes UNION SELECT r.class, l.b FROM reach r JOIN links l ON l.a = r.other),
+lowest AS (SELECT r.class, min(c.low) AS low FROM reach r JOIN classes c ON c.class = r.other GROUP BY r.class)
+SELECT doc_id, n::BIGINT AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE low END AS component_id, doc_id = CASE WHEN n = 0 THEN doc_id ELSE low END AS kept
+FROM named LEFT JOIN lowest USING (class)"""
+
 ORACLES: dict[str, str] = {
     "op2_sharding": sharding.sharding_sql(24),
     "op3_license_scan": license_scan.license_sql(),
     "op7_exact_top_k": _TOP_K_SQL,
+    "op9_minhash_near_dedup": _NEAR_SQL,
     "op11_prefix_trie": _TRIE_SQL,
     "op13_line_dedup": line_dedup.lines_sql(),
 }

@@ -10,13 +10,12 @@ independent words as the square root of its length.
 Fit. Rates of `least` or more shall bring the expected tokens of each domain, sum r t p, to its target: least squares over as many
 rates as there are documents. Projected gradient steps solve it. A step moves every rate against the residuals, weighed by the
 document's posteriors, and back to `least` where it went below. Residuals are measured in the metric of the domains'
-covariance, in which one step would do if no rate met its bound; so a few steps suffice, with momentum that starts anew when
-the error grows. If the error rests above zero, no rates reach the targets; steps in plain tokens then find those that come
-closest. A rate is told by its document's posteriors and the residuals of all steps, so these are the model: a step
-takes one aggregate over the stored documents, of which k sums reach the driver, and applying the model needs neither a join
-nor a shuffle. Without a budget and with `lose_none` the shares alone are the target. Steps end when every domain is within
-`close` of its own target or when the error rests; residuals are kept, and a warning tells that no rates reach the targets.
-Every few steps the documents' rates are stored, so that a step need not go back to the first one.
+covariance over the rates that are not at their bound, in which one step would do if no further rate met it; so a dozen steps
+suffice. A rate is told by its document's posteriors and the weighed residuals of all steps, so these are the model: a step
+takes one aggregate over the stored documents, of which sums per domain and pair of domains reach the driver, and applying the
+model needs neither a join nor a shuffle. Every few steps the documents' rates are stored, so that a step need not go back to the
+first one. Without a budget and with `lose_none` the shares alone are the target. Steps end when every domain is within `close`
+of its own target or when the residuals rest; they are kept, and a warning tells that no rates reach the targets.
 
 Everything is column expressions.
 """
@@ -31,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from watchspan.llm.common import discard, stored, unused
 
-REST, STORE = 12, 8  # steps over which an error that does not fall by a tenth rests, and after which rates are stored
+REST, STORE = 12, 8  # steps over which the largest residual shall fall by a quarter, and after which rates are stored
 _ADDED = ("mix_tokens", "mix_posteriors", "mix_rate", "mix_copies")
 
 
@@ -140,52 +139,40 @@ def fit(held: DataFrame, model: DomainModel, targets: dict[str, float], budget:
     goal = np.zeros(k) if free else share * (budget or every) / every
     p = [F.get("p", F.lit(d)) for d in range(k)]
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    found = rows.agg(*(F.sum(F.col("t") * (p[i] - F.lit(float(shift[i]))) * (p[j] - F.lit(float(shift[j])))) for i, j in pairs)).first()
-    cover = np.zeros((k, k))
-    for (i, j), x in zip(pairs, found, strict=True):
-        cover[i, j] = cover[j, i] = x / every
-    scale = max(float(np.trace(cover)), 1e-300)
-    whole = rows.select("t", "p", F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
-
-    def descend(metric: np.ndarray) -> tuple[list[list[float]], list[float], np.ndarray]:
-        """Steps and their momentum up to the smallest error, and the residuals there."""
-        steps: list[list[float]] = []
-        momentum: list[float] = []
-        t, errors, best, state, done = 1.0, [], None, whole, 0
-        while True:
-            if len(steps) - done == STORE:
-                moved = rates(F.col("p"), steps[done:], momentum[done:], least, (F.col("rate"), F.col("ahead")))
-                older, state, done = state, stored(state.select("t", "p", moved[0].alias("rate"), moved[1].alias("ahead")), "rates"), len(steps)
-                if older is not whole:
-                    discard(older)
-            moved = rates(F.col("p"), steps[done:], momentum[done:], least, (F.col("rate"), F.col("ahead")))
-            at = state.select("t", "p", moved[0].alias("rate"), moved[1].alias("ahead"))
-            sums = np.array(list(at.agg(*(F.sum(F.col("t") * F.col(r) * x) for r in ("rate", "ahead") for x in p)).first()), float) / every
-            left, slope = (x - shift * x.sum() - goal for x in (sums[:k], sums[k:]))
-            aim = share * (sums[:k].sum() if free else goal.sum())
-            residual = left / np.where(aim > 0, aim, max(aim.sum(), 1e-300))
-            error = float(left @ metric @ left)
-            if best is None or error < best[0]:
-                best = error, residual, len(steps)
-            if np.abs(residual).max() <= close or len(errors) >= REST and best[0] > 0.9 * min(errors[: len(errors) - REST + 1]):
-                return steps[: best[2]], momentum[: best[2]], best[1]
-            if errors and error > errors[-1]:
-                t = 1.0
-            errors.append(error)
-            pull = metric @ slope
-            # posteriors add up to 1, so what a share takes off is the same for all domains
-            steps.append((pull - pull @ shift).tolist())
-            after = (1 + (1 + 4 * t * t) ** 0.5) / 2
-            momentum.append((t - 1) / after)
-            t = after
-
-    steps, momentum, residual = descend(np.linalg.inv(cover + 1e-9 * scale * np.eye(k)))
-    if np.abs(residual).max() > close:
-        steps, momentum, residual = descend(np.eye(k) / max(float(np.linalg.eigvalsh(cover).max()), 1e-300))
-    residuals = dict(zip(model.domains, residual.tolist(), strict=True))
-    if np.abs(residual).max() > close:
+    whole = rows.select("t", "p", F.lit(1.0).alias("rate"))
+    state, done, steps, best, worst = whole, 0, [], None, []
+
+    def at_now() -> DataFrame:
+        rate = rates(F.col("p"), steps[done:], [0.0] * (len(steps) - done), least, (F.col("rate"), F.col("rate")))[0]
+        return state.select("t", "p", rate.alias("rate"))
+
+    while True:
+        if len(steps) - done == STORE:
+            older, state, done = state, stored(at_now(), "rates"), len(steps)
+            if older is not whole:
+                discard(older)
+        loose = F.when((F.col("rate") > least) | F.lit(not steps), F.col("t")).otherwise(0.0)
+        q = [x - F.lit(float(y)) for x, y in zip(p, shift, strict=True)]
+        found = at_now().agg(*(F.sum(F.col("t") * F.col("rate") * x) for x in p), *(F.sum(loose * q[i] * q[j]) for i, j in pairs)).first()
+        found = np.array(list(found), float) / every
+        left = found[:k] - shift * found[:k].sum() - goal
+        cover = np.zeros((k, k))
+        for (i, j), x in zip(pairs, found[k:], strict=True):
+            cover[i, j] = cover[j, i] = x
+        aim = share * (found[:k].sum() if free else goal.sum())
+        residual = left / np.where(aim > 0, aim, max(aim.sum(), 1e-300))
+        worst.append(float(np.abs(residual).max()))
+        if best is None or worst[-1] < best[0]:
+            best = worst[-1], residual, len(steps)
+        if worst[-1] <= close or not cover.any() or len(worst) > REST and best[0] > 0.75 * min(worst[:-REST]):
+            break
+        pull = np.linalg.solve(cover + 1e-9 * np.trace(cover) * np.eye(k), left)
+        # posteriors add up to 1, so what a share takes off is the same for all domains
+        steps.append((pull - pull @ shift).tolist())
+    residuals = dict(zip(model.domains, best[1].tolist(), strict=True))
+    if best[0] > close:
         warnings.warn(f"no rates reach the targets; residuals: {residuals}", stacklevel=2)
-    return RateModel(steps, momentum, least, residuals)
+    return RateModel(steps[: best[2]], [0.0] * best[2], least, residuals)
 
 
 def rates(

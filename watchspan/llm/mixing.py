@@ -15,7 +15,8 @@ suffice. A rate is told by its document's posteriors and the weighed residuals o
 takes one aggregate over the stored documents, of which sums per domain and pair of domains reach the driver, and applying the
 model needs neither a join nor a shuffle. Every few steps the documents' rates are stored, so that a step need not go back to the
 first one. Without a budget and with `lose_none` the shares alone are the target. Steps end when every domain is within `close`
-of its own target or when the residuals rest; they are kept, and a warning tells that no rates reach the targets.
+of its own target or when the residuals rest. If they rest above that, no moderate rates reach the targets: steps in plain
+tokens from rates of 1 on then tell the rates. Residuals are kept with the model, and a warning tells of them.
 
 Everything is column expressions.
 """
@@ -140,39 +141,47 @@ def fit(held: DataFrame, model: DomainModel, targets: dict[str, float], budget:
     p = [F.get("p", F.lit(d)) for d in range(k)]
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     whole = rows.select("t", "p", F.lit(1.0).alias("rate"))
-    state, done, steps, best, worst = whole, 0, [], None, []
-
-    def at_now() -> DataFrame:
-        rate = rates(F.col("p"), steps[done:], [0.0] * (len(steps) - done), least, (F.col("rate"), F.col("rate")))[0]
-        return state.select("t", "p", rate.alias("rate"))
-
-    while True:
-        if len(steps) - done == STORE:
-            older, state, done = state, stored(at_now(), "rates"), len(steps)
-            if older is not whole:
-                discard(older)
-        loose = F.when((F.col("rate") > least) | F.lit(not steps), F.col("t")).otherwise(0.0)
-        q = [x - F.lit(float(y)) for x, y in zip(p, shift, strict=True)]
-        found = at_now().agg(*(F.sum(F.col("t") * F.col("rate") * x) for x in p), *(F.sum(loose * q[i] * q[j]) for i, j in pairs)).first()
-        found = np.array(list(found), float) / every
-        left = found[:k] - shift * found[:k].sum() - goal
-        cover = np.zeros((k, k))
-        for (i, j), x in zip(pairs, found[k:], strict=True):
-            cover[i, j] = cover[j, i] = x
-        aim = share * (found[:k].sum() if free else goal.sum())
-        residual = left / np.where(aim > 0, aim, max(aim.sum(), 1e-300))
-        worst.append(float(np.abs(residual).max()))
-        if best is None or worst[-1] < best[0]:
-            best = worst[-1], residual, len(steps)
-        if worst[-1] <= close or not cover.any() or len(worst) > REST and best[0] > 0.75 * min(worst[:-REST]):
-            break
-        pull = np.linalg.solve(cover + 1e-9 * np.trace(cover) * np.eye(k), left)
-        # posteriors add up to 1, so what a share takes off is the same for all domains
-        steps.append((pull - pull @ shift).tolist())
-    residuals = dict(zip(model.domains, best[1].tolist(), strict=True))
-    if best[0] > close:
+
+    def descend(plain: bool) -> tuple[float, np.ndarray, list[list[float]]]:
+        """The smallest largest residual, all residuals there, and the steps to it."""
+        state, done, steps, best, worst, pace = whole, 0, [], None, [], 0.0
+
+        def at_now() -> DataFrame:
+            rate = rates(F.col("p"), steps[done:], [0.0] * (len(steps) - done), least, (F.col("rate"), F.col("rate")))[0]
+            return state.select("t", "p", rate.alias("rate"))
+
+        while True:
+            if len(steps) - done == STORE:
+                older, state, done = state, stored(at_now(), "rates"), len(steps)
+                if older is not whole:
+                    discard(older)
+            loose = F.when((F.col("rate") > least) | F.lit(not steps), F.col("t")).otherwise(0.0)
+            q = [x - F.lit(float(y)) for x, y in zip(p, shift, strict=True)]
+            found = at_now().agg(*(F.sum(F.col("t") * F.col("rate") * x) for x in p), *(F.sum(loose * q[i] * q[j]) for i, j in pairs)).first()
+            found = np.array(list(found), float) / every
+            left = found[:k] - shift * found[:k].sum() - goal
+            cover = np.zeros((k, k))
+            for (i, j), x in zip(pairs, found[k:], strict=True):
+                cover[i, j] = cover[j, i] = x
+            aim = share * (found[:k].sum() if free else goal.sum())
+            residual = left / np.where(aim > 0, aim, max(aim.sum(), 1e-300))
+            worst.append(float(np.abs(residual).max()))
+            if best is None or worst[-1] < best[0]:
+                best = worst[-1], residual, steps[:]
+            if worst[-1] <= close or not cover.any() or len(worst) > REST and best[0] > 0.75 * min(worst[:-REST]):
+                return best
+            pace = pace or 1 / max(float(np.linalg.eigvalsh(cover).max()), 1e-300)
+            pull = pace * left if plain else np.linalg.solve(cover + 1e-9 * np.trace(cover) * np.eye(k), left)
+            # posteriors add up to 1, so what a share takes off is the same for all domains
+            steps.append((pull - pull @ shift).tolist())
+
+    largest, residual, steps = descend(plain=False)
+    if largest > close:
+        largest, residual, steps = descend(plain=True)
+    residuals = dict(zip(model.domains, residual.tolist(), strict=True))
+    if largest > close:
         warnings.warn(f"no rates reach the targets; residuals: {residuals}", stacklevel=2)
-    return RateModel(steps[: best[2]], [0.0] * best[2], least, residuals)
+    return RateModel(steps, [0.0] * len(steps), least, residuals)
 
 
 def rates(

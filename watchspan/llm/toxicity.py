@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -35,30 +36,62 @@ HEAD = 4
 PASSAGES = "array<struct<start:int,end:int,score:double,expected:double>>"
 
 
+@dataclass(frozen=True)
+class Weights:
+    """Log-odds by feature; features are held as 64-bit hashes in order."""
+
+    hashes: np.ndarray
+    values: np.ndarray
+
+    @staticmethod
+    def of(features: list[str], values: np.ndarray) -> Weights:
+        hashes = _hashes(features)
+        order = np.argsort(hashes)
+        return Weights(hashes[order], np.asarray(values, np.float64)[order])
+
+    def find(self, features: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-odds (0 where unknown) and which are known."""
+        if not len(self.hashes) or not features:
+            return np.zeros(len(features)), np.zeros(len(features), bool)
+        asked = _hashes(features)
+        at = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
+        known = self.hashes[at] == asked
+        return np.where(known, self.values[at], 0.0), known
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Log-odds of words: their own, else those of their head, else 0."""
+        own, known = self.find(words)
+        rest = [i for i in np.flatnonzero(~known).tolist() if len(words[i]) > HEAD]
+        own[rest] = self.find([words[i][:HEAD] + "*" for i in rest])[0]
+        return own
+
+
+def _hashes(items: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(x) for x in items), np.uint64, len(items))
+
+
+NO_WEIGHTS = Weights(np.zeros(0, np.uint64), np.zeros(0))
+
+
 @dataclass(frozen=True)
 class ToxicModel:
-    weights: dict[str, float]
+    weights: Weights
     gap: float
     decay: float  # lambda
     rate: float  # K
     intercept: float
     slope: float
 
-    def segments(self, words: list[str]) -> list[tuple[int, int, float]]:
-        hits, lost = scored_hits(token_scores(self.weights, self.gap, words))
-        return maximal_segments(hits, self.gap, lost)
-
     def probability(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-(self.intercept + self.slope * math.log1p(evidence))))
 
 
-def token_scores(weights: dict[str, float], gap: float, words: list[str]) -> list[float]:
-    own = {w: weights.get(w) for w in set(words)}
-    for w, s in own.items():
-        if s is None:
-            s = weights.get(w[:HEAD] + "*", 0.0) if len(w) > HEAD else 0.0
-        own[w] = s - gap
-    return [own[w] for w in words]
+def token_scores(weights: Weights, gap: float, texts: list[list[str]]) -> Iterator[list[float]]:
+    """The scores of each text's words; every distinct word of the texts is looked up once."""
+    distinct = list({w for words in texts for w in words})
+    score = dict(zip(distinct, (weights.words(distinct) - gap).tolist(), strict=True))
+    for words in texts:
+        yield [score[w] for w in words]
 
 
 def scored_hits(scores: list[float]) -> tuple[list[tuple[int, float]], list[float]]:
@@ -159,14 +192,14 @@ def train(
                 ["feature", "y1", "y0"],
             )
 
-        yield from counted(items(), emit)
+        yield from counted(items(), emit, 150_000)
 
     parts = rows.mapInArrow(count, "feature string, y1 long, y0 long")
     counts = stored(parts.groupBy("feature").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")), "features")
     docs_of = counts.filter("feature = ''").first()
     toxic, clean = (docs_of.y1, docs_of.y0) if docs_of else (0, 0)
     base = (toxic + 0.5) / (toxic + clean + 1)
-    flat_model = ToxicModel({}, gap, 1.0, 1.0, math.log(base / (1 - base)), 0.0)
+    flat_model = ToxicModel(NO_WEIGHTS, gap, 1.0, 1.0, math.log(base / (1 - base)), 0.0)
     if not toxic or not clean:
         return flat_model
     totals = counts.filter("feature <> ''").agg(F.sum("y1").alias("n1"), F.sum("y0").alias("n0")).first()
@@ -179,24 +212,25 @@ def train(
     rows_of = counts.filter("feature <> ''").select("feature", (odds[0] - odds[1]).alias("weight"), variance.alias("variance")).toArrow()
     names, raw, spread = (rows_of.column(c) for c in ("feature", "weight", "variance"))
     names, raw, spread = names.to_pylist(), raw.to_numpy(), spread.to_numpy()
-    weights = dict(zip(names, (raw / (1 + spread)).tolist(), strict=True))
-    heads = np.array([weights.get(f[:HEAD] + "*", 0.0) if len(f) > HEAD and f[HEAD:] != "*" else 0.0 for f in names])
-    weights = dict(zip(names, ((raw + heads * spread) / (1 + spread)).tolist(), strict=True))
-    if max(weights.values()) <= gap:
+    alone = Weights.of(names, raw / (1 + spread))
+    long_ = np.array([len(f) > HEAD and f[HEAD:] != "*" for f in names])
+    heads = np.where(long_, alone.find([f[:HEAD] + "*" for f in names])[0], 0.0)
+    weights = Weights.of(names, (raw + heads * spread) / (1 + spread))
+    if weights.values.max() <= gap:
         return flat_model
     return _calibrated(rows, weights, gap)
 
 
-def _calibrated(rows: DataFrame, weights: dict[str, float], gap: float) -> ToxicModel:
+def _calibrated(rows: DataFrame, weights: Weights, gap: float) -> ToxicModel:
     """Decay, rate and logistic curve from a scan over all labelled documents."""
-    held = rows.sparkSession.sparkContext.broadcast(weights)
+    held = rows.sparkSession.sparkContext.broadcast(vars(weights))
     step = 0.25  # scores are binned for the moment equation and the curve
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def items():
             for batch in slices(batches):
-                for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                    scores = token_scores(held.value, gap, _WORD.findall(text.lower()))
+                texts = [_WORD.findall(t.lower()) for t in batch.column("text").to_pylist()]
+                for scores, toxic in zip(token_scores(Weights(**held.value), gap, texts), batch.column("toxic").to_pylist(), strict=True):
                     hits, lost = scored_hits(scores)
                     yield "all", [("word", toxic, math.ceil(s / step)) for s in scores]
                     yield "all", [("segment", toxic, math.ceil(s / step)) for *_, s in maximal_segments(hits, gap, lost)]
@@ -243,15 +277,17 @@ def fit_logistic(points: list[tuple[float, int, int]]) -> tuple[float, float]:
 
 
 def _scan_with(frame: DataFrame, model: ToxicModel, keep: list[str], of: str = "text", most_expected: float = 0.05):
-    held = frame.sparkSession.sparkContext.broadcast(vars(model))
+    held = frame.sparkSession.sparkContext.broadcast(vars(model) | {"weights": vars(model.weights)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = ToxicModel(**held.value)
+        m = ToxicModel(**held.value | {"weights": Weights(**held.value["weights"])})
         for batch in slices(batches, of):
             evidence, passages = [], []
-            for text in batch.column(of).to_pylist():
-                words = _WORD.findall(text.lower())
-                found = [(f, l, s, m.rate * len(words) * math.exp(-m.decay * s)) for f, l, s in m.segments(words)]
+            raw = batch.column(of).to_pylist()
+            cut = [_WORD.findall(t.lower()) for t in raw]
+            for text, words, scores in zip(raw, cut, token_scores(m.weights, m.gap, cut), strict=True):
+                hits, lost = scored_hits(scores)
+                found = [(f, l, s, m.rate * len(words) * math.exp(-m.decay * s)) for f, l, s in maximal_segments(hits, m.gap, lost)]
                 evidence.append(sum(max(0.0, -math.log(max(e, 1e-300))) for *_, e in found))
                 found = [x for x in found if x[3] <= most_expected]
                 passages.append(_places(text, words, found) if found else [])

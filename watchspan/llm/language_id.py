@@ -27,6 +27,7 @@ from pyspark.sql.types import StructType
 from watchspan.llm.common import counted, slices, stored, unused
 
 UNKNOWN = "und"
+SLICE = 1 << 20  # bytes of text whose words a task holds at a time
 _RUN = re.compile(r"[^\W\d_]+")
 
 
@@ -103,11 +104,11 @@ def train(docs: DataFrame, lengths: int = 4, most_docs: int = 40_000, key: str =
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def items():
-            for batch in slices(batches):
+            for batch in slices(batches, most=SLICE):
                 for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                     yield lang, letter_runs(text)
 
-        yield from counted(items(), _emit)
+        yield from counted(items(), _emit, 150_000)
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def items():
@@ -116,7 +117,7 @@ def train(docs: DataFrame, lengths: int = 4, most_docs: int = 40_000, key: str =
                     found = Counter(f"\t{g}" for k in range(1, lengths + 1) for g in grams_of(word, k))
                     yield lang, {g: c * n for g, c in found.items()}
 
-        yield from counted(items(), _emit, 200_000)
+        yield from counted(items(), _emit, 100_000)
 
     schema = "lang string, item string, n long"
     columns = [c for c in ("text", "lang", key) if c in docs.columns]
@@ -174,7 +175,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = LanguageModel(**held.value)
-        bytes_ = max(1 << 16, (16 << 20) // max(4, len(m.langs)))
+        bytes_ = max(1 << 16, 4 * SLICE // max(4, len(m.langs)))
         for batch in slices(batches, of, bytes_):
             runs = [letter_runs(t) for t in batch.column(of).to_pylist()]
             sizes = np.array([len(r) for r in runs], np.int64)

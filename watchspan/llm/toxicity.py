@@ -33,6 +33,7 @@ from watchspan.llm.common import counted, slices, stored, unused
 
 _WORD = re.compile(r"\w+")
 HEAD = 4
+SLICE = 1 << 20  # bytes of text whose words a task holds at a time
 PASSAGES = "array<struct<start:int,end:int,score:double,expected:double>>"
 
 
@@ -180,7 +181,7 @@ def train(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def items():
-            for batch in slices(batches):
+            for batch in slices(batches, most=SLICE):
                 for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                     yield toxic, [*features(text), ""]
 
@@ -228,7 +229,7 @@ def _calibrated(rows: DataFrame, weights: Weights, gap: float) -> ToxicModel:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def items():
-            for batch in slices(batches):
+            for batch in slices(batches, most=SLICE):
                 texts = [_WORD.findall(t.lower()) for t in batch.column("text").to_pylist()]
                 for scores, toxic in zip(token_scores(Weights(**held.value), gap, texts), batch.column("toxic").to_pylist(), strict=True):
                     hits, lost = scored_hits(scores)
@@ -281,7 +282,7 @@ def _scan_with(frame: DataFrame, model: ToxicModel, keep: list[str], of: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = ToxicModel(**held.value | {"weights": Weights(**held.value["weights"])})
-        for batch in slices(batches, of):
+        for batch in slices(batches, of, SLICE):
             evidence, passages = [], []
             raw = batch.column(of).to_pylist()
             cut = [_WORD.findall(t.lower()) for t in raw]

@@ -92,7 +92,7 @@ def _sets_of(batch: pa.RecordBatch, k: int, turn: int):
 
 def _describe(k: int, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=1 << 20):
             sets, ends, full, starts, one, node = _sets_of(batch, k, turn)
             n = batch.num_rows
             key1, key2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
@@ -110,7 +110,7 @@ def _describe(k: int, turn: int):
 
 def _full_sets(k: int, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=1 << 20):
             sets, ends, full, _, _, node = _sets_of(batch, k, turn)
             raw = [sets[ends[i] : ends[i + 1]].tobytes() for i in full]
             yield pa.RecordBatch.from_arrays([_long(node[full]), pa.array(raw, pa.binary())], ["node", "set"])

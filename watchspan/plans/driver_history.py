@@ -6,6 +6,7 @@ SQL says what a single build over all rows gives.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from functools import reduce
@@ -396,15 +397,16 @@ def materialized_models(s: SparkSession, sf: str) -> DataFrame:
         write_daily(V.processed(s, sf, app), table_path(root, app))
     write_daily(conform(classify_scopes(V.token_scopes(s, sf)), SCOPE_SCHEMA), table_path(root, "token", "event_scopes"))
     names = register_sources(s, root)
-    s.sql("DROP TABLE IF EXISTS watchspan_empty")
-    ensure_table(s, "watchspan_empty", processed_schema("token"))
+    # a name of its own: the folder of an earlier session's table may still be in the warehouse
+    made = f"watchspan_empty_{uuid.uuid4().hex}"
+    ensure_table(s, made, processed_schema("token"))
     users = s.table("token_events").groupBy("actor_email").agg(F.count(F.lit(1)).alias("n"), F.max("timestamp").cast("date").alias("event_date"))
     for kind in ("view", "table", "incremental"):
         materialize(users, f"watchspan_users_{kind}", kind, f"{root}/{kind}", ["actor_email"])
         names.append(f"watchspan_users_{kind}")
     materialize(users.withColumn("n", F.col("n") + 1), "watchspan_users_incremental", "incremental", f"{root}/incremental", ["actor_email"])
     counts = [s.table(n).select(F.lit(n).alias("model")).groupBy("model").agg(F.count(F.lit(1)).alias("rows")) for n in names]
-    empty = s.table("watchspan_empty").agg(F.count(F.lit(1)).alias("rows")).select(F.lit("watchspan_empty").alias("model"), "rows")
+    empty = s.table(made).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("watchspan_empty").alias("model"), "rows")
     total = s.table("watchspan_users_incremental").agg(F.sum("n").alias("rows")).select(F.lit("sum of n").alias("model"), "rows")
     return reduce(DataFrame.unionByName, [*counts, empty, total])
 

@@ -1,6 +1,7 @@
 """The training-data operators against brute force on small tables with nulls, empty and long texts, ties and repeats."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -103,25 +104,77 @@ def test_sharding(spark, docs, empty):
     assert sharding.shard_by_key(empty, 5).count() == 0
 
 
+def license_windows(text, templates, threshold):
+    """All windows of a text by definition: the best from each word, without those that overlap a better one."""
+    words, out = license_scan.words_of(text or ""), set()
+    pairs = list(zip(words, words[1:]))
+    for name, template in templates.items():
+        t = license_scan.words_of(template)
+        t = Counter(zip(t, t[1:]))
+        size, best = sum(t.values()), []
+        for a in range(len(pairs)):
+            bag, top = Counter(), (0.0, a)
+            for b in range(a, len(pairs)):
+                bag[pairs[b]] += 1
+                score = 2 * sum((bag & t).values()) / (b - a + 1 + size)
+                if score > top[0]:
+                    top = (score, b)
+            # a window that does not begin with a bigram of the template is worse than the one without its first word
+            if top[0] >= threshold and pairs[a] in t:
+                best.append((a, top[1], top[0]))
+        for a, b, s in best:
+            if not any(c <= b and a <= d and (r > s or (r == s and c < a)) for c, d, r in best):
+                out.add((name, a + 1, b - a + 2, round(s, 9)))
+    return out
+
+
 def test_license_scan(spark, docs, empty):
-    mit = "Released under the MIT License."
-    texts = [f"Intro words here\n{mit}\nmore", "released UNDER the mit licence", f"{mit} {mit}", mit, None, "", "the the the the the the"]
+    mit, apache = "Released under the MIT License.", license_scan.NOTICES["Apache-2.0"]
+    texts = [
+        f"Intro words here\n{mit}\nmore", "released UNDER the mit licence", f"{mit} {mit}", f"{mit} {mit} " * 6, mit, None, "", " \n ", "license", "the " * 40,
+        "This file is licensed under the Apache License, Version 2.0. See NOTICE for more of it.",
+        "// Licensed under the\n//   Apache License,\n// Version 2.0. And on it goes", f"{apache[:-1]} or so {apache}", "a b a b a b a b a b a b a b", "x a b a b a y b a b a b",
+        "Licensed under\u00a0the APACHE\u0130 license version 2 0 \u212a",
+    ]
+    rng = random.Random(5)
+    notices = [n for n in license_scan.NOTICES.values() if len(n) < 300]
+    for _ in range(60):
+        words = " ".join(rng.choices(notices, k=2)).split()
+        for _ in range(rng.randrange(8)):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randrange(2)] = rng.choice((["odd"], [], [rng.choice(words)], ["the", "license"]))
+        texts.append(rng.choice((" ", "\n", "\n # ")).join(words))
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    short = {n: t for n, t in license_scan.NOTICES.items() if len(t) < 300} | {"loop": "a b a b a b a b", "pair": "odd word"}
+    for threshold in (0.8, 0.6, 1.0):
+        found = 0
+        for r in license_scan.scan(frame, short, threshold).collect():
+            got = [(m.license, m.place, m.words, round(m.score, 9)) for m in r.license_matches]
+            assert len(set(got)) == len(got) and set(got) == license_windows(r.text, short, threshold), r.text
+            found += len(got)
+        assert found > 60
+    assert license_scan.scan(docs).count() == len(ROWS)
+    assert license_scan.scan(empty).count() == 0
+    assert license_scan.scan(frame, {}).filter("size(license_matches) > 0").count() == 0
+    with pytest.raises(ValueError, match="two words"):
+        license_scan.scan(frame, {"one": "license"})
 
-    def dice(a, b):
-        a, b = Counter(zip(a, a[1:])), Counter(zip(b, b[1:]))
-        return 2 * sum((a & b).values()) / max(sum(a.values()) + sum(b.values()), 1)
 
+def test_whole_licenses_in_long_texts(spark):
+    whole = {n: t for n, t in license_scan.NOTICES.items() if n.endswith("full")}
+    rows = []
+    for i, (name, t) in enumerate(sorted(whole.items())):
+        words = t.split()
+        del words[10::30]
+        lines = [" ".join(words[k : k + 9]) for k in range(0, len(words), 9)]
+        rows.append((i, "some code here; " * 3000 + "\n * ".join(lines) + " other text" * 3000, name))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, name string")
     for r in license_scan.scan(frame).collect():
-        want = {
-            ("line", p + 1, name)
-            for p, line in enumerate((r.text or "").split("\n"))
-            for name, t in license_scan.NOTICES.items()
-            if dice(license_scan.words_of(line), license_scan.words_of(t)) >= 0.8
-        }
-        assert {(m.unit, m.place, m.license) for m in r.license_matches if m.unit == "line"} == want
-    assert license_scan.scan(docs).count() == len(ROWS)
-    assert license_scan.scan(empty).count() == 0
+        own = [m for m in r.license_matches if m.license == r.name]
+        assert len(own) == 1 and 9000 <= own[0].place <= 9002 + 40 and own[0].score >= 0.8, r.name
+    clean = spark.createDataFrame([(1, "the software is provided for use of the license " * 2000)], "doc_id long, text string")
+    assert not license_scan.scan(clean).first().license_matches
+
 
 
 def test_language_id(spark, docs, empty):

@@ -32,6 +32,14 @@ def fold(key: Column | str, mod: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % mod
 
 
+def small_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Let Arrow batches of the session hold `most` bytes, unless it has its own setting: Spark's 64 MB are held by the JVM's
+    buffers and by Python several times each, in every task."""
+    name, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+    if spark.conf.get(name) == default:
+        spark.conf.set(name, most)
+
+
 _made: list[str] = []
 
 

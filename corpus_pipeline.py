@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchspan.llm import language_id, mixing, sentencepiece_codec, toxicity
-from watchspan.llm.common import discard, stored, tidied
+from watchspan.llm.common import discard, small_batches, stored, tidied
 from watchspan.llm.near_dedup import near_groups
 from watchspan.llm.queries import PIECES
 
@@ -22,6 +22,7 @@ SHARES = {"good": 0.85, "poor": 0.15}
 @tidied
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity, learned from the labelled ones, is below LEAST_TOXIC."""
+    small_batches(spark)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model).filter(F.col("toxic_score") < LEAST_TOXIC).select(*docs.columns)
 
@@ -29,6 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @tidied
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language that is told with a share of LEAST_LANGUAGE or more; it fills the column lang where that is null."""
+    small_batches(spark)
     found = language_id.identify(docs, language_id.train(docs))
     found = found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("lang_score") >= LEAST_LANGUAGE))
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
@@ -37,6 +39,7 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 @tidied
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies. Rows that repeat an id are one document; rows without an id stay."""
+    small_batches(spark)
     kept = near_groups(docs.select("doc_id", "text")).filter("kept").select("doc_id").distinct()
     named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
     unnamed = docs.filter("doc_id is null")
@@ -55,6 +58,7 @@ def mix_to_shares(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 @tidied
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document and the text they decode to."""
+    small_batches(spark)
     model = sentencepiece_codec.read_model(PIECES)
     return sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model), model)
 

@@ -83,6 +83,15 @@ def test_equals_brute_force(spark, monkeypatch, bits):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("bits", [10, 12])
+def test_false_estimates_inside_tails(spark, monkeypatch, bits):
+    """A sketch that proves most tails and takes some of their inner prefixes for shared ones."""
+    monkeypatch.setattr(prefix_trie, "_LEAST_BITS", bits)
+    monkeypatch.setattr(prefix_trie, "_MOST_BITS", bits)
+    rows = [(c, t, "user", f"turn {t} of {c}") for c in range(60) for t in range(8)]
+    assert nodes(spark, rows) == brute(rows)
+
+
 def test_small_tables(spark):
     assert nodes(spark, []) == []
     assert nodes(spark, [(None, 1, "user", "x")]) == []

@@ -303,6 +303,7 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame) -> DataFrame:
             one.alias("n_leaves"), F.lit(0).cast("bigint").alias("saved_tokens"), F.when(last, F.sha2(F.col("conv").cast("string"), 256)).otherwise(_NOTHING).alias("ends_sha256"),
         )
 
-    heads = lone(lookup_join(edge.select("conv", "depth", "size", *up), parents, up, "conv"), F.col("parent"))
+    # a false estimate inside a tail begins another edge, whose parent lies in the tail
+    heads = lone(lookup_join(edge.select("conv", "depth", "size", *up), parents, up, "conv"), F.coalesce("parent", "conv"))
     tails = lone(known.filter("parent_alone"), F.col("conv"))
     return shared.unionByName(heads).unionByName(tails)

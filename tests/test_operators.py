@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from watchspan.operators import baseline as B
+from watchspan.operators import cooccurrence
 from watchspan.operators import incremental as I
 from watchspan.operators.activity import scope_risk_daily
 from watchspan.operators.cooccurrence import cooccurrence_daily
@@ -121,6 +122,17 @@ def test_cooccurrence_equals_pairing_by_hand(spark, data, tile):
     assert got == {k: (n, len(e), len(u)) for k, (n, e, u) in want.items()}
 
 
+def test_cooccurrence_deals_more_rows_to_more_tasks(spark, monkeypatch):
+    rows = spark.range(600).selectExpr("id % 150 as unique_id", "'s' || id % 7 as scope_name", "date'2024-01-01' as event_date", "id % 9 as user_key")
+    plain = cooccurrence_daily(rows)
+    monkeypatch.setattr(cooccurrence, "TASK_ROWS", 20)
+    dealt = cooccurrence_daily(rows)
+    assert cooccurrence.tasks_for(spark, 80) is None and cooccurrence.tasks_for(spark, 600) == 30 and cooccurrence.tasks_for(spark, 6000) == 300
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "_id" in plan and plan.count(", 30), REPARTITION_BY_NUM") >= 3
+    assert sorted(dealt.collect()) == sorted(plain.collect())
+
+
 @few
 @given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 3), st.integers(0, 4)), max_size=15))
 def test_drift_balances(spark, data):

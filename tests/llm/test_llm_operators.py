@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from watchspan.llm import fingerprints, hmm, language_id, license_scan, mixing, near_dedup, sentencepiece_codec, sharding, topk, toxicity
 from watchspan.llm.common import word_hashes
 from watchspan.llm.near_dedup import near_groups
-from watchspan.llm.queries import PIECES
+from watchspan.llm.queries import PIECES, QUERIES
 
 LONG = " ".join(f"w{i % 977}" for i in range(20_000))
 ROWS = [
@@ -469,3 +469,13 @@ def test_fingerprints(spark):
     assert got[1].f_fingerprint_left == got[1].f_fingerprint_right and got[1].f_likeness == got[3].f_likeness == 1
     assert got[2].f_fingerprint_left != got[2].f_fingerprint_right and 0.8 < got[2].f_likeness < 1
     assert got[4].f_likeness < 0.1
+
+
+def test_fingerprints_query_bounds_arrow_batches(spark, sf_dir):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    try:
+        QUERIES["op10_fingerprints"](spark, sf_dir)
+        assert spark.conf.get(name) == "4m" and fingerprints.SLICE_BYTES <= 1 << 20
+    finally:
+        spark.conf.unset(name)

@@ -25,6 +25,7 @@ from watchspan.llm.common import _BYTE, _SPACE, flat, mix, run_hashes, slices, u
 from watchspan.operators.rank import global_rank
 
 CELLS, GROWTH, PARTS = 24, 4, 3
+SLICE_BYTES = 1 << 20
 _CHECK = np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -175,7 +176,7 @@ def compare(pairs: DataFrame, left: str, right: str, prefix: str = "", digests:
     base = pairs.select(*(pairs[f"`{c}`"] for c in names), pairs[f"`{left}`"].alias(one), pairs[f"`{right}`"].alias(other))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, one, 2 << 20):
+        for batch in slices(batches, one, SLICE_BYTES):
             a = paragraph_keys(*flat(batch.column(one)))
             b = paragraph_keys(*flat(pc.fill_null(batch.column(other), "").cast(pa.large_string())))
             keys, owner, sign, used = difference(a, b)

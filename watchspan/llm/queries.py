@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchspan.llm import fingerprints, hmm, language_id, license_scan, line_dedup, mixing, periodic_runs, prefix_trie, sentencepiece_codec, sharding, topk, toxicity
-from watchspan.llm.common import documents, fold
+from watchspan.llm.common import documents, fold, small_batches
 from watchspan.llm.near_dedup import near_groups
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -100,6 +100,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, compared with an edited version and with the next document."""
+    small_batches(spark)
     docs = fingerprints.with_next(documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     half = F.floor(F.length("text") / 2).cast("int")
     docs = docs.withColumn("n_chars", F.length("text")).withColumn("half", half)

@@ -380,3 +380,15 @@ def test_carried_on_build_equals_full_build(spark, processed_parts):
     for name in stored:
         cols = sorted(full[name].columns)
         assert rows_of(full[name], *cols) == rows_of(step[name], *cols), name
+
+
+def test_lines_are_made_in_all_tasks(spark, sf_dir):
+    """Filters on the text stay behind the dealing of a row group's rows, so that one task does not make all of it."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parsed = parse_lines(V.raw_lines(spark, sf_dir, "token"))
+        assert parsed.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+        before, _, after = split_errors(parsed)[0]._jdf.queryExecution().executedPlan().toString().partition("Exchange")
+        assert "named_struct" in before and "named_struct" not in after
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -269,6 +270,16 @@ def test_sentencepiece_equals_library(spark, docs, empty):
     assert sentencepiece_codec.encode(empty, model).count() == 0
 
 
+def test_sentencepiece_ids_are_laid_as_arrays():
+    sp = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_codec.read_model(PIECES))
+    texts = ["a b  c", "", " lead and trail ", "b a", "   ", "▁ a▁b", "ünï\tcode\nlines"]
+    table = sentencepiece_codec.WordTable(sp, 4)  # starts anew
+    for part in (texts, texts[:1], texts[3:4], texts[1:2], []):
+        ids = table.ids(part)
+        assert isinstance(ids, pa.ListArray) and ids.to_pylist() == [sp.encode(t) for t in part]
+    assert sentencepiece_codec._rows(pa.array([[1], None, [], [2, 3]], pa.list_(pa.int32())).slice(1)) == [[], [], [2, 3]]
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(7)
     vectors = rng.normal(0, 0.2, (900, 8)).tolist()

@@ -4,7 +4,7 @@ The model writes a space as a marker at the head of the next word. If none of it
 character, no merge can cross from one marked word to the next, so the ids of a text are those of its marked words, end
 to end. Each task keeps a table of the distinct marked words it has met: a word is segmented by the library once, and
 its ids are joined back at every position where it occurs. The table starts anew when it holds `most` words, which
-bounds memory. Texts never leave their task, so there is no shuffle; one table for the whole corpus would mean to shuffle
+bounds memory. Words of a text are numbers, and their ids are laid end to end as arrays, not one by one. Texts never leave their task, so there is no shuffle; one table for the whole corpus would mean to shuffle
 every position of every word, several times the input. A model that does not meet the condition encodes whole texts.
 """
 
@@ -16,6 +16,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -45,21 +46,39 @@ def marked_words(text: str) -> list[str]:
 
 
 class WordTable:
-    """Ids by marked word (without its first marker; a lone marker stands for itself)."""
+    """Ids by marked word (without its first marker; a lone marker stands for itself): words are numbered, and the ids of a
+    number lie in `flat` from `firsts`, `sizes` of them."""
 
     def __init__(self, sp: sentencepiece.SentencePieceProcessor, most: int):
-        self.sp, self.most, self.held = sp, most, {}
+        self.sp, self.most = sp, most
+        self._clear()
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
+    def _clear(self) -> None:
+        self.held, self.flat, self.firsts, self.sizes = {}, np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _add(self, fresh: list[str]) -> None:
+        found = [[self.sp.piece_to_id(MARK)] if w == MARK else ids for w, ids in zip(fresh, self.sp.encode(fresh, num_threads=1), strict=True)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.held.update(zip(fresh, range(len(self.held), len(self.held) + len(fresh))))
+        self.firsts = np.concatenate([self.firsts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))])
+        self.sizes = np.concatenate([self.sizes, sizes])
+
+    def ids(self, texts: list[str]) -> pa.ListArray:
         words = [marked_words(t) for t in texts]
         met = set().union(*words)
         fresh = [w for w in met if w not in self.held]
         if len(self.held) + len(fresh) > self.most:
-            self.held, fresh = {}, list(met)
-        self.held.update(zip(fresh, map(tuple, self.sp.encode(fresh, num_threads=1)), strict=True))
-        if MARK in self.held:
-            self.held[MARK] = (self.sp.piece_to_id(MARK),)
-        return [list(chain.from_iterable(map(self.held.__getitem__, row))) for row in words]
+            self._clear()
+            fresh = list(met)
+        if fresh:
+            self._add(fresh)
+        ends = np.cumsum([0, *map(len, words)])
+        numbers = np.fromiter(map(self.held.__getitem__, chain.from_iterable(words)), np.int64, int(ends[-1]))
+        sizes = self.sizes[numbers]
+        behind = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.repeat(self.firsts[numbers] - behind[:-1], sizes) + np.arange(behind[-1])
+        return pa.ListArray.from_arrays(pa.array(behind[ends].astype(np.int32)), pa.array(self.flat[at]))
 
 
 def _lists(rows: list[list[int]]) -> pa.Array:
@@ -67,6 +86,13 @@ def _lists(rows: list[list[int]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(rows), np.int32, int(ends[-1]))))
 
 
+def _rows(lists: pa.ListArray) -> list[list[int]]:
+    """The lists as Python has them, a null one as an empty one: all numbers at once, which is faster than one at a time."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()
+    ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(lists), 0).to_pylist()]).tolist()
+    return [flat[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def encode(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids", most: int = 300_000) -> DataFrame:
     """docs with the column `into` (array of int): the ids of each whole text, as the library encodes it without begin or
     end ids. A null text is encoded as the empty one, without ids; its column stays null. A column of that name is replaced.
@@ -83,8 +109,8 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids",
             filled = whole.append_column(extra, whole.column(text))
             for batch in slices(iter([filled]), extra):
                 texts = batch.column(extra).to_pylist()
-                ids = table.ids(texts) if table is not None else sp.encode(texts, num_threads=1)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), _lists(ids)], [*names, into])
+                ids = table.ids(texts) if table is not None else _lists(sp.encode(texts, num_threads=1))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], [*names, into])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(into, ArrayType(IntegerType()))]))
 
@@ -100,7 +126,7 @@ def decode(docs: DataFrame, model: bytes, ids: str = "ids", into: str = "decoded
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [sp.decode(x) if x else "" for x in part.column(ids).to_pylist()]
+                texts = [sp.decode(x) if x else "" for x in _rows(part.column(ids))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, into])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(into, StringType())]))

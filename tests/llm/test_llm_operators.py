@@ -355,6 +355,34 @@ def test_hmm_recursions_equal_sums_over_paths():
     assert np.allclose(gamma.sum(axis=1), 1)
 
 
+def test_hmm_blocks_hold_each_text_once(monkeypatch):
+    monkeypatch.setattr(hmm, "BLOCK", 9)
+    rng = np.random.default_rng(6)
+    lengths = np.array([3, 1, 20, 5, 4, 1, 8])
+    tokens, ratio = rng.integers(0, 30, lengths.sum()), rng.random((30, hmm.STATES)) + 0.1
+    first, moves = np.full(hmm.STATES, 1 / hmm.STATES), hmm._sticky()
+    whole = hmm.Packed(tokens, lengths)
+    want = whole.expected(ratio, first, moves)
+    met, moved, begun, gain, sums = [], 0, 0, 0, np.zeros((30, hmm.STATES))
+    for mine, packed in hmm._blocks(tokens, lengths):
+        gamma, m, b = packed.expected(ratio, first, moves)
+        np.add.at(sums, packed.tokens, gamma)
+        met, moved, begun, gain = [*met, *mine], moved + m, begun + b, gain + packed.gain
+        assert len(mine) == 1 or len(packed.tokens) <= 9
+    one = np.zeros_like(sums)
+    np.add.at(one, whole.tokens, want[0])
+    assert sorted(met) == list(range(7)) and gain == pytest.approx(whole.gain)
+    assert np.allclose(moved, want[1]) and np.allclose(begun, want[2]) and np.allclose(sums, one)
+
+
+def test_hmm_texts_are_dealt_once(spark, docs):
+    scored = hmm.score(docs, F.col("doc_id") == 3)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # the ratios', not that of the texts
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(("slices_", "buckets_"))]
+    assert scored.count() == len(ROWS)
+
+
 def test_hmm_beats_the_base(spark):
     rng = np.random.default_rng(2)
     tongues = [[f"{c}{i}" for i in range(60)] for c in "ab"]

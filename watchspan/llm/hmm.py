@@ -1,13 +1,14 @@
 """Hidden Markov language model: Baum-Welch counts summed across partitions, sequence likelihood by the scaled forward recursion.
 
-1. Each task turns its texts into slices: ids into the slice's own sorted list of distinct words, and the training counts of
+1. Each task turns its texts into slices of about `SLICE_BYTES`: ids into the slice's own sorted list of distinct words, and the training counts of
    these. Words are 64-bit hashes. Ranges of the hash are buckets of about `ENTRIES` slice words. A bucket holds the words
    that fall into it with exact counts, without a cap, and where each slice has them. It is a table, not a driver object.
+   Slices and buckets are stored as they are dealt, so that a pass shuffles ratios and sums but neither texts nor buckets.
 2. Base: p(w) = (c + 0.5) / (N + 0.5 (V + 1)). The model's emission is the base times a ratio per state. Every word of the
    training texts has ratios of its own. Every unseen word is the same word; when scoring, a state gives it the weight of
    its words that occur once, which comes off all others.
 3. A pass of Baum-Welch sends each slice the ratios of its words from the buckets, runs the scaled forward and backward
-   recursions over all its training texts side by side, and sums the expected counts by word in the buckets. Each pass
+   recursions over all its training texts, those of like length side by side, and sums the expected counts by word in the buckets. Each pass
    sees all training texts. Passes end when the log-likelihood of these rises by `CLOSE` or less per token.
 4. Scoring runs the forward recursion on every text. The log10 probability is the base score plus the logs of the scales.
 
@@ -22,34 +23,43 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from watchspan.llm.common import discard, flat, mix, slices, stored, word_hashes
+from watchspan.llm.common import discard, flat, laid, mix, slices, stored, word_hashes
 
 STATES, PRIOR, CLOSE = 6, 0.02, 1e-3
 END = np.uint64(0x656E64656E64656E)
-SLICE_BYTES, ENTRIES = 8 << 20, 1 << 17
+SLICE_BYTES, ENTRIES, BLOCK = 16 << 20, 1 << 17, 1 << 20
 _SLICES = "slice long, doc_ids array<long>, held array<boolean>, lengths array<long>, n_words long, tokens binary, words binary, train binary"
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
-    for batch in slices(batches, most=SLICE_BYTES):
-        words, firsts = word_hashes(*flat(batch.column("text")))
-        lengths = np.diff(firsts)
-        words = np.insert(words, firsts[1:], END)  # one end behind each text's words
-        lengths = lengths + 1
-        held = np.array(batch.column("held"))
-        names, ids = np.unique(words, return_inverse=True)
-        train = np.bincount(ids[np.repeat(~held, lengths)], minlength=len(names))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([number]), pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([held]), pa.array([lengths]), pa.array([len(names)]),
-                pa.array([ids.astype(_kind(len(names))).tobytes()], pa.binary()), pa.array([names.tobytes()], pa.binary()), pa.array([train.astype(np.int64).tobytes()], pa.binary()),
-            ],
-            ["slice", "doc_ids", "held", "lengths", "n_words", "tokens", "words", "train"],
-        )
-        number += 1
+    parts, size = [], 0
+    for batch in slices(batches):
+        data, offsets = flat(batch.column("text"))
+        if parts and size + len(data) > SLICE_BYTES:
+            yield _slice(number, parts)
+            number, parts, size = number + 1, [], 0
+        words, firsts = word_hashes(data, offsets)
+        # one end behind each text's words
+        parts.append((np.insert(words, firsts[1:], END), np.diff(firsts) + 1, np.array(batch.column("held")), batch.column("doc_id").to_pylist()))
+        size += len(data)
+    if parts:
+        yield _slice(number, parts)
+
+
+def _slice(number: int, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, list]]) -> pa.RecordBatch:
+    words, lengths, held = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    names, ids = np.unique(words, return_inverse=True)
+    train = np.bincount(ids[np.repeat(~held, lengths)], minlength=len(names))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([number]), pa.array([[x for p in parts for x in p[3]]], pa.list_(pa.int64())), pa.array([held]), pa.array([lengths]), pa.array([len(names)]),
+            pa.array([ids.astype(_kind(len(names))).tobytes()], pa.binary()), pa.array([names.tobytes()], pa.binary()), pa.array([train.astype(np.int64).tobytes()], pa.binary()),
+        ],
+        ["slice", "doc_ids", "held", "lengths", "n_words", "tokens", "words", "train"],
+    )
 
 
 def _kind(n: int) -> type:
@@ -95,49 +105,60 @@ def _merged(group: pa.Table) -> pa.Table:
 
 
 class Packed:
-    """Texts of a slice side by side: tokens in the order of their place, longest text first."""
+    """Texts side by side: tokens in the order of their place, longest text first. States are rows, so that a place's numbers of
+    one state lie together."""
 
     def __init__(self, tokens: np.ndarray, lengths: np.ndarray):
         self.order = np.argsort(-lengths, kind="stable")
-        sizes = lengths[self.order]
-        starts = np.concatenate([[0], np.cumsum(lengths)])[:-1][self.order]
-        text = np.repeat(np.arange(len(sizes)), sizes)
-        place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        by = np.argsort(place, kind="stable")
-        self.text = text[by]
-        self.tokens = tokens[(np.repeat(starts, sizes) + place)[by]]
-        width = np.bincount(place) if len(place) else np.zeros(0, np.int64)
-        self.edges = np.concatenate([[0], np.cumsum(width)]).tolist()  # where each place begins
-        self.before = np.arange(self.edges[1] if len(width) else 0, len(tokens)) - np.repeat(width[:-1], width[1:])  # each later token's predecessor
+        sizes, starts = lengths[self.order], (np.cumsum(lengths) - lengths)[self.order]
+        places = np.arange(sizes[0] if len(sizes) else 0)
+        width = len(sizes) - np.searchsorted(sizes[::-1], places, "right")
+        edges = np.concatenate([[0], np.cumsum(width)])
+        self.text = np.arange(edges[-1]) - np.repeat(edges[:-1], width)
+        self.tokens = tokens[starts[self.text] + np.repeat(places, width)].astype(np.int64, copy=False)
+        self.edges = edges.tolist()  # where each place begins
 
     def forward(self, ratio: np.ndarray, first: np.ndarray, moves: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray | None]:
-        """Scales of all tokens, and their forward shares."""
+        """Scales of all tokens, and their forward shares by state."""
+        self.met = met = ratio.take(self.tokens, axis=0).T
         scale = np.empty(len(self.tokens))
-        shares = np.empty((len(self.tokens), len(first))) if keep else None
-        a = None
+        shares = np.empty(met.shape) if keep else None
+        a, moves = None, np.ascontiguousarray(moves.T)
         for lo, hi in zip(self.edges, self.edges[1:]):
-            a = (first if a is None else a[: hi - lo] @ moves) * ratio[self.tokens[lo:hi]]
-            s = a.sum(axis=1)
-            a /= s[:, None]
-            scale[lo:hi] = s
-            if keep:
-                shares[lo:hi] = a
+            a = np.multiply(first[:, None] if a is None else moves @ a[:, : hi - lo], met[:, lo:hi], out=shares[:, lo:hi] if keep else None)
+            a *= 1 / np.add.reduce(a, axis=0, out=scale[lo:hi])
         return scale, shares
 
     def expected(self, ratio: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """State shares of each token, expected moves, and expected first states; `gain` becomes the sum of the scales' logs."""
         scale, shares = self.forward(ratio, first, moves, True)
         self.gain = float(np.log(scale).sum())
-        after, gamma = np.empty_like(shares), np.empty_like(shares)  # after: what a token and all behind it say to the one before
-        edges, behind = self.edges, np.ones((0, len(first)))
+        met, edges, moved, scale = self.met, self.edges, np.zeros(moves.shape), 1 / scale
+        after = np.ones((len(first), 0))  # what a token and all behind it say to the one before
         for lo, hi in zip(edges[-2::-1], edges[:0:-1]):
-            beta = np.ones((hi - lo, len(first)))
-            beta[: len(behind)] = behind
-            gamma[lo:hi] = shares[lo:hi] * beta
-            after[lo:hi] = ratio[self.tokens[lo:hi]] * beta / scale[lo:hi, None]
-            behind = after[lo:hi] @ moves.T
-        starts = edges[1]
-        return gamma, moves * (shares[self.before].T @ after[starts:]), gamma[:starts].sum(axis=0)
+            own, known = np.multiply(met[:, lo:hi], scale[lo:hi], order="C"), after.shape[1]
+            gamma = shares[:, lo:hi]
+            if known:
+                moved += gamma[:, :known] @ after.T
+                beta = moves @ after
+                gamma[:, :known] *= beta  # the shares become those given the whole text
+                own[:, :known] *= beta
+            after = own
+        return shares.T, moves * moved, shares[:, : edges[1] if len(edges) > 1 else 0].sum(axis=1)
+
+
+def _blocks(tokens: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, Packed]]:
+    """All texts, those of like length side by side, about `BLOCK` tokens at a time; with each block the numbers of its texts."""
+    order, starts = np.argsort(-lengths, kind="stable"), np.cumsum(lengths) - lengths
+    ends = np.cumsum(lengths[order])
+    lo = 0
+    while lo < len(order):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BLOCK, "right")))
+        mine = order[lo:hi]
+        sizes = lengths[mine]
+        at = np.repeat(starts[mine] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        yield mine, Packed(tokens[at], sizes)
+        lo = hi
 
 
 def _drawn(words: np.ndarray) -> np.ndarray:
@@ -162,7 +183,7 @@ def _sent(state: dict | None, last: bool):
             for row in batch.to_pylist():
                 counts = np.frombuffer(row["counts"], np.int64)
                 if state is not None:
-                    ratio = _ratios(counts, np.frombuffer(row["sums"], np.float64).reshape(-1, STATES), state, last)
+                    ratio = _ratios(counts, np.frombuffer(row["sums"], np.float32).reshape(-1, STATES), state, last)
                 else:
                     ratio = np.ones((len(counts), STATES)) if last else _drawn(np.frombuffer(row["words"], np.uint64))
                 ratio, ids = ratio.astype(np.float32), np.frombuffer(row["ids"], np.uint32)
@@ -206,11 +227,11 @@ def _expect(state: dict | None):
         tokens, lengths, held = _texts(cut)
         tokens, lengths = tokens[np.repeat(~held, lengths)], lengths[~held]
         sums, states = np.zeros((len(ratio), STATES)), np.zeros(1 + STATES + STATES * STATES)
-        if len(lengths):
-            packed = Packed(tokens, lengths)
+        for _, packed in _blocks(tokens, lengths):
             gamma, moved, begun = packed.expected(ratio, first, moves)
-            sums = np.stack([np.bincount(packed.tokens, gamma[:, k], len(ratio)) for k in range(STATES)], axis=1)
-            states = np.concatenate([[packed.gain], begun, moved.ravel()])
+            for k in range(STATES):
+                sums[:, k] += np.bincount(packed.tokens, gamma[:, k], len(ratio))
+            states += np.concatenate([[packed.gain], begun, moved.ravel()])
         ends = np.cumsum(sizes).tolist()
         raw = [sums[a:b].astype(np.float32).tobytes() for a, b in zip([0, *ends], ends)]
         number = cut.column("slice")[0].as_py()
@@ -234,7 +255,7 @@ def _summed(bucket: pa.Table, parts: pa.Table) -> pa.Table:
         sums[ids[a:b]] += np.frombuffer(raw, np.float32).reshape(-1, STATES)  # a slice has each word once
         if own is not None:
             states += own
-    row["sums"] = sums.tobytes()
+    row["sums"] = sums.astype(np.float32).tobytes()
     row["states"] = np.concatenate([sums.sum(axis=0), sums[counts == 1].sum(axis=0), states]).tolist()
     return pa.table({k: [x] for k, x in row.items()})
 
@@ -272,10 +293,10 @@ def _score(state: dict | None, n: int, v: int):
         starts = np.cumsum(lengths) - lengths
         base = np.add.reduceat((np.log10(counts + 0.5) - low)[tokens], starts)
         known = np.add.reduceat((counts > 0).astype(np.int64)[tokens], starts)
-        packed = Packed(tokens, lengths)
-        scale, _ = packed.forward(ratio, first, moves, False)
         gain = np.empty(len(lengths))
-        gain[packed.order] = np.bincount(packed.text, np.log10(scale), len(lengths))
+        for mine, packed in _blocks(tokens, lengths):
+            scale, _ = packed.forward(ratio, first, moves, False)
+            gain[mine[packed.order]] = np.bincount(packed.text, np.log10(scale), len(mine))
         ids = pa.array(cut.column("doc_ids")[0].as_py(), pa.int64())
         return pa.table({
             "doc_id": ids, "held_out": pa.array(held), "n_tokens": pa.array(lengths), "n_known": pa.array(known),
@@ -294,12 +315,17 @@ def score(docs: DataFrame, held: Column, text: str = "text", key: str = "doc_id"
     """
     held = F.coalesce(held, F.lit(False))
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), held.alias("held"))
-    cut = stored(rows.mapInArrow(_encode, _SLICES), "slices")
-    buckets = -(-(cut.agg(F.sum("n_words")).first()[0] or 1) // ENTRIES)
-    dealt = cut.select("slice", "words", "train").mapInArrow(_dealt(buckets), "bucket long, slice long, words binary, train binary")
-    table = stored(dealt.groupBy("bucket").applyInArrow(_merged, _BUCKETS), "buckets")
+    spark = docs.sparkSession
+    whole = stored(rows.mapInArrow(_encode, _SLICES), "slices")
+    n_slices, n_words = whole.agg(F.count("slice"), F.sum("n_words")).first()
+    buckets = -(-(n_words or 1) // ENTRIES)
+    cut = laid(whole.drop("words", "train"), "slices", "slice", _parts(n_slices))
+    dealt = whole.select("slice", "words", "train").mapInArrow(_dealt(buckets), "bucket long, slice long, words binary, train binary")
+    table = laid(dealt.groupBy("bucket").applyInArrow(_merged, _BUCKETS), "buckets", "bucket", _parts(buckets))
+    discard(whole)
+    del dealt, whole
+    _let_go(spark)
     v, n, once = (x or 0 for x in table.agg(F.sum("v"), F.sum("n"), F.sum("once")).first())
-    cut = cut.drop("words", "train")
     state, expected, before = None, None, -np.inf
     while n:
         sent = (table if expected is None else expected).mapInArrow(_sent(state, False), _SENT)
@@ -308,10 +334,8 @@ def score(docs: DataFrame, held: Column, text: str = "text", key: str = "doc_id"
         if expected is not None:
             discard(expected)
         expected, (state, gain) = fresh, _maximised(fresh, n, v, once)
-        # shuffle files of the pass go when nothing on the driver refers to them
         del sent, parts, fresh
-        gc.collect()
-        docs.sparkSession.sparkContext._jvm.System.gc()
+        _let_go(spark)
         if gain - before <= CLOSE * n:
             break
         before = gain
@@ -320,5 +344,16 @@ def score(docs: DataFrame, held: Column, text: str = "text", key: str = "doc_id"
     return _by_slice(cut, sent, _score(state, n, v), found)
 
 
+def _parts(rows: int) -> int:
+    """Parts for rows that are dealt by a hash: twice as many, so that few parts get several rows."""
+    return min(max(2 * rows, 1), 2000)
+
+
+def _let_go(spark: SparkSession) -> None:
+    """Shuffle files go when nothing on the driver refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _by_slice(cut: DataFrame, sent: DataFrame, run, schema: str) -> DataFrame:
     return cut.groupBy("slice").cogroup(sent.groupBy("slice")).applyInArrow(run, schema)

@@ -36,7 +36,7 @@ _SLICES = "slice long, doc_ids array<long>, held array<boolean>, lengths array<l
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     parts, size = [], 0
-    for batch in slices(batches):
+    for batch in slices(batches, most=1 << 20):  # hashing needs some 50 bytes for each of text
         data, offsets = flat(batch.column("text"))
         if parts and size + len(data) > SLICE_BYTES:
             yield _slice(number, parts)

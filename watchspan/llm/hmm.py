@@ -29,7 +29,7 @@ from watchspan.llm.common import discard, flat, laid, mix, slices, stored, word_
 
 STATES, PRIOR, CLOSE = 6, 0.02, 1e-3
 END = np.uint64(0x656E64656E64656E)
-SLICE_BYTES, ENTRIES, BLOCK = 16 << 20, 1 << 17, 1 << 20
+SLICE_BYTES, ENTRIES, BLOCK = 16 << 20, 1 << 17, 1 << 19
 _SLICES = "slice long, doc_ids array<long>, held array<boolean>, lengths array<long>, n_words long, tokens binary, words binary, train binary"
 
 

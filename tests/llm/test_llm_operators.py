@@ -270,6 +270,19 @@ def test_sentencepiece_equals_library(spark, docs, empty):
     assert sentencepiece_codec.encode(empty, model).count() == 0
 
 
+def test_sentencepiece_takes_little_text_at_a_time(spark, monkeypatch):
+    model = sentencepiece_codec.read_model(PIECES)
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    texts = [f"word{i} of text " * 500 for i in range(400)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(400)), "text": texts})
+    got = list(sentencepiece_codec.encode(docs, model)(iter([batch])))
+    assert [x for b in got for x in b.column("doc_id").to_pylist()] == list(range(400))
+    assert all(ids == sp.encode(texts[i]) for b in got for i, ids in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()))
+    assert max(sum(map(len, b.column("text").to_pylist())) for b in got) <= 1 << 20
+
+
 def test_sentencepiece_ids_are_laid_as_arrays():
     sp = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_codec.read_model(PIECES))
     texts = ["a b  c", "", " lead and trail ", "b a", "   ", "▁ a▁b", "ünï\tcode\nlines"]

@@ -24,6 +24,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from watchspan.llm.common import slices, unused
 
 MARK = "▁"
+PIECE_BYTES = 1 << 20  # of text at a time: each of its words becomes a Python string
 _CHUNK = re.compile(" +[^ ]*")
 
 
@@ -107,7 +108,7 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids",
         table = WordTable(sp, most) if separable(sp) else None
         for whole in batches:
             filled = whole.append_column(extra, whole.column(text))
-            for batch in slices(iter([filled]), extra):
+            for batch in slices(iter([filled]), extra, PIECE_BYTES):
                 texts = batch.column(extra).to_pylist()
                 ids = table.ids(texts) if table is not None else _lists(sp.encode(texts, num_threads=1))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], [*names, into])
@@ -128,6 +129,7 @@ def decode(docs: DataFrame, model: bytes, ids: str = "ids", into: str = "decoded
                 part = batch.slice(at, 256)
                 texts = [sp.decode(x) if x else "" for x in _rows(part.column(ids))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, into])
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(into, StringType())]))
 

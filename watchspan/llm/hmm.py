@@ -30,7 +30,10 @@ from watchspan.llm.common import discard, flat, laid, mix, slices, stored, word_
 STATES, PRIOR, CLOSE = 6, 0.02, 1e-3
 END = np.uint64(0x656E64656E64656E)
 SLICE_BYTES, ENTRIES, BLOCK = 16 << 20, 1 << 17, 1 << 19
-_SLICES = "slice long, doc_ids array<long>, held array<boolean>, lengths array<long>, n_words long, tokens binary, words binary, train binary"
+RESCALE = 16  # places; PRIOR keeps ratios between PRIOR / STATES and its inverse, about, so that products stay far from the limits of a double
+_SLICES = (
+    "slice long, doc_ids array<long>, held array<boolean>, lengths array<long>, n_words long, learned binary, others binary, trained binary, words binary, train binary"
+)
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,16 +53,25 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _slice(number: int, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, list]]) -> pa.RecordBatch:
+    """One row: which of its words the training texts have, as bits; the training texts as ids into these words (`learned`) and the
+    others as ids into all of them, both in the order in which _blocks takes them."""
     words, lengths, held = (np.concatenate([p[i] for p in parts]) for i in range(3))
     names, ids = np.unique(words, return_inverse=True)
-    train = np.bincount(ids[np.repeat(~held, lengths)], minlength=len(names))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([number]), pa.array([[x for p in parts for x in p[3]]], pa.list_(pa.int64())), pa.array([held]), pa.array([lengths]), pa.array([len(names)]),
-            pa.array([ids.astype(_kind(len(names))).tobytes()], pa.binary()), pa.array([names.tobytes()], pa.binary()), pa.array([train.astype(np.int64).tobytes()], pa.binary()),
-        ],
-        ["slice", "doc_ids", "held", "lengths", "n_words", "tokens", "words", "train"],
-    )
+    out = np.repeat(held, lengths)
+    train = np.bincount(ids[~out], minlength=len(names))
+    trained, kind = train > 0, _kind(len(names))
+    learned = (np.cumsum(trained) - 1)[ids[~out]].astype(kind)
+    row = {
+        "slice": number, "doc_ids": [x for p in parts for x in p[3]], "held": held.tolist(), "lengths": lengths.tolist(), "n_words": len(names),
+        "learned": _ordered(learned, lengths[~held]), "others": _ordered(ids[out].astype(kind), lengths[held]),
+        "trained": np.packbits(trained).tobytes(), "words": names.tobytes(), "train": train.astype(np.int64).tobytes(),
+    }
+    kinds = {"doc_ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "lengths": pa.list_(pa.int64()), "slice": pa.int64(), "n_words": pa.int64()}
+    return pa.RecordBatch.from_arrays([pa.array([x], kinds.get(c, pa.binary())) for c, x in row.items()], list(row))
+
+
+def _ordered(tokens: np.ndarray, lengths: np.ndarray) -> bytes:
+    return b"".join(packed.tokens.astype(tokens.dtype).tobytes() for _, packed in _blocks(tokens, lengths))
 
 
 def _kind(n: int) -> type:
@@ -87,77 +99,127 @@ def _dealt(buckets: int):
     return run
 
 
-_BUCKETS = "bucket long, words binary, counts binary, slices array<long>, ends array<long>, ids binary, v long, n long, once long"
+_BUCKETS = "bucket long, words binary, counts binary, slices array<long>, ends array<long>, ids binary, trained binary, v long, n long, once long"
 
 
 def _merged(group: pa.Table) -> pa.Table:
-    """One row for a bucket: its distinct words, their training counts, and the places of each slice's words among them."""
+    """One row for a bucket: its distinct words, their training counts, the places of each slice's words among them, and as bits
+    which of these the slice's training texts have."""
     parts = [np.frombuffer(x, np.uint64) for x in group.column("words").to_pylist()]
     words, ids = np.unique(np.concatenate(parts), return_inverse=True)
     counts = np.zeros(len(words), np.int64)
-    np.add.at(counts, ids, np.concatenate([np.frombuffer(x, np.int64) for x in group.column("train").to_pylist()]))
+    train = np.concatenate([np.frombuffer(x, np.int64) for x in group.column("train").to_pylist()])
+    np.add.at(counts, ids, train)
     row = {
         "bucket": group.column("bucket")[0].as_py(), "words": words.tobytes(), "counts": counts.tobytes(), "slices": group.column("slice").to_pylist(),
-        "ends": np.cumsum([len(x) for x in parts]).tolist(), "ids": ids.astype(np.uint32).tobytes(),
+        "ends": np.cumsum([len(x) for x in parts]).tolist(), "ids": ids.astype(np.uint32).tobytes(), "trained": np.packbits(train > 0).tobytes(),
         "v": int((counts > 0).sum()), "n": int(counts.sum()), "once": int((counts == 1).sum()),
     }
     return pa.table({k: [x] for k, x in row.items()})
 
 
+class Room:
+    """Numbers that each block needs again, so that their memory is asked for once. Blocks that take turns may share a room."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        size = shape[0] * shape[1]
+        if name not in self.held or self.held[name].size < size:
+            self.held[name] = np.empty(size)
+        return self.held[name][:size].reshape(shape)
+
+
 class Packed:
-    """Texts side by side: tokens in the order of their place, longest text first. States are rows, so that a place's numbers of
-    one state lie together."""
+    """Texts side by side: tokens in the order of their place, longest text first, so that a place's numbers lie together."""
 
-    def __init__(self, tokens: np.ndarray, lengths: np.ndarray):
+    def __init__(self, tokens: np.ndarray, lengths: np.ndarray, ordered: bool = False, room: Room | None = None):
+        self.room = room or Room()
         self.order = np.argsort(-lengths, kind="stable")
         sizes, starts = lengths[self.order], (np.cumsum(lengths) - lengths)[self.order]
         places = np.arange(sizes[0] if len(sizes) else 0)
-        width = len(sizes) - np.searchsorted(sizes[::-1], places, "right")
-        edges = np.concatenate([[0], np.cumsum(width)])
-        self.text = np.arange(edges[-1]) - np.repeat(edges[:-1], width)
-        self.tokens = tokens[starts[self.text] + np.repeat(places, width)].astype(np.int64, copy=False)
+        self.width = len(sizes) - np.searchsorted(sizes[::-1], places, "right")
+        edges = np.concatenate([[0], np.cumsum(self.width)])
         self.edges = edges.tolist()  # where each place begins
+        self.last = edges[sizes - 1] + np.arange(len(sizes))  # where each text ends
+        tokens = tokens if ordered else tokens[starts[self.text] + np.repeat(places, self.width)]
+        self.tokens = tokens.astype(np.int64, copy=False)
+
+    @property
+    def text(self) -> np.ndarray:
+        """Of each token, the rank of its text."""
+        return np.arange(self.edges[-1]) - np.repeat(self.edges[:-1], self.width)
 
     def forward(self, ratio: np.ndarray, first: np.ndarray, moves: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray | None]:
-        """Scales of all tokens, and their forward shares by state."""
-        self.met = met = ratio.take(self.tokens, axis=0).T
-        scale = np.empty(len(self.tokens))
-        shares = np.empty(met.shape) if keep else None
-        a, moves = None, np.ascontiguousarray(moves.T)
-        for lo, hi in zip(self.edges, self.edges[1:]):
-            a = np.multiply(first[:, None] if a is None else moves @ a[:, : hi - lo], met[:, lo:hi], out=shares[:, lo:hi] if keep else None)
-            a *= 1 / np.add.reduce(a, axis=0, out=scale[lo:hi])
+        """Scales of all tokens, and their forward shares by state. Shares are scaled to one at each `RESCALE`th place and at each
+        text's end; the scale of other tokens is one."""
+        shape = len(self.tokens), len(first)
+        self.met = met = ratio.take(self.tokens, axis=0, out=self.room("met", *shape), mode="clip")
+        scale, ones, ends = np.ones(len(met)), np.ones(len(first)), np.ones(len(self.last))
+        shares = self.room("shares", *shape) if keep else None
+        a, room = None, np.empty((len(ends), len(first)))
+        for place, (lo, hi) in enumerate(zip(self.edges, self.edges[1:])):
+            if a is not None and not keep and hi - lo < len(a):
+                ends[hi - lo : len(a)] = a[hi - lo :] @ ones
+            come = first if a is None else np.matmul(a[: hi - lo], moves, out=room[: hi - lo])
+            a = np.multiply(come, met[lo:hi], out=shares[lo:hi] if keep else None)
+            if place % RESCALE == RESCALE - 1:
+                np.matmul(a, ones, out=scale[lo:hi])
+                a /= scale[lo:hi, None]
+        if keep:
+            ends = shares[self.last] @ ones
+            shares[self.last] /= ends[:, None]
+        elif a is not None:
+            ends[: len(a)] = a @ ones
+        scale[self.last] *= ends
         return scale, shares
 
     def expected(self, ratio: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """State shares of each token, expected moves, and expected first states; `gain` becomes the sum of the scales' logs."""
         scale, shares = self.forward(ratio, first, moves, True)
-        self.gain = float(np.log(scale).sum())
-        met, edges, moved, scale = self.met, self.edges, np.zeros(moves.shape), 1 / scale
-        after = np.ones((len(first), 0))  # what a token and all behind it say to the one before
-        for lo, hi in zip(edges[-2::-1], edges[:0:-1]):
-            own, known = np.multiply(met[:, lo:hi], scale[lo:hi], order="C"), after.shape[1]
-            gamma = shares[:, lo:hi]
+        self.gain = float(np.log(scale[scale != 1]).sum())
+        after, edges = self.met, self.edges  # becomes what a token and all behind it say to the one before
+        after[self.last] /= scale[self.last, None]
+        scale[self.last] = 1
+        back, room = np.ascontiguousarray(moves.T), np.empty((len(self.last), len(first)))
+        known = top = 0
+        for place in range(len(edges) - 2, -1, -1):
+            lo, hi = edges[place], edges[place + 1]
             if known:
-                moved += gamma[:, :known] @ after.T
-                beta = moves @ after
-                gamma[:, :known] *= beta  # the shares become those given the whole text
-                own[:, :known] *= beta
-            after = own
-        return shares.T, moves * moved, shares[:, : edges[1] if len(edges) > 1 else 0].sum(axis=1)
-
-
-def _blocks(tokens: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, Packed]]:
-    """All texts, those of like length side by side, about `BLOCK` tokens at a time; with each block the numbers of its texts."""
+                after[lo : lo + known] *= np.matmul(after[hi:top], back, out=room[:known])
+            if place % RESCALE == RESCALE - 1:
+                after[lo:hi] /= scale[lo:hi, None]
+            known, top = hi - lo, hi
+        # what comes from the token before, times `after`, is a token's share given the whole text
+        begun = edges[1] if len(edges) > 1 else 0
+        gamma, moved, width = self.room("gamma", len(first), len(after)), np.zeros(moves.shape), self.width
+        gamma[:, :begun] = (first * after[:begun]).T
+        before = np.arange(begun, len(after)) - np.repeat(width[:-1], width[1:])
+        for lo in range(begun, len(after), 1 << 13):
+            said = after[lo : lo + (1 << 13)]
+            come = shares.take(before[lo - begun : lo - begun + len(said)], axis=0)
+            moved += come.T @ said
+            gamma[:, lo : lo + len(said)] = (come @ moves * said).T
+        return gamma.T, moves * moved, gamma[:, :begun].sum(axis=1)
+
+
+def _blocks(tokens: np.ndarray, lengths: np.ndarray, ordered: bool = False) -> Iterator[tuple[np.ndarray, Packed]]:
+    """All texts, those of like length side by side, about `BLOCK` tokens at a time; with each block the numbers of its texts. The tokens
+    may be `ordered` as the blocks of an earlier call held them, end to end. What a block has worked out holds until the next one works."""
     order, starts = np.argsort(-lengths, kind="stable"), np.cumsum(lengths) - lengths
     ends = np.cumsum(lengths[order])
-    lo = 0
+    lo, room = 0, Room()
     while lo < len(order):
-        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BLOCK, "right")))
+        met = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, met + BLOCK, "right")))
         mine = order[lo:hi]
         sizes = lengths[mine]
-        at = np.repeat(starts[mine] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        yield mine, Packed(tokens[at], sizes)
+        if ordered:
+            yield mine, Packed(tokens[met : ends[hi - 1]], sizes, True, room)
+        else:
+            at = np.repeat(starts[mine] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            yield mine, Packed(tokens[at], sizes, False, room)
         lo = hi
 
 
@@ -175,8 +237,18 @@ def _ratios(counts: np.ndarray, sums: np.ndarray, state: dict, last: bool) -> np
     return ratio
 
 
+def _places(row: dict, trained: bool) -> list[tuple[int, np.ndarray]]:
+    """By slice, the places of its words among those of a bucket; `trained`: of the words that its training texts have."""
+    ids, ends = np.frombuffer(row["ids"], np.uint32), row["ends"]
+    if trained:
+        have = np.unpackbits(np.frombuffer(row["trained"], np.uint8), count=len(ids)).astype(bool)
+        ids, ends = ids[have], np.concatenate([[0], np.cumsum(have)])[ends].tolist()
+    return [(number, ids[a:b]) for number, a, b in zip(row["slices"], [0, *ends], ends)]
+
+
 def _sent(state: dict | None, last: bool):
-    """(slice, bucket, ratio, counts): what each slice needs to know of its words in each bucket; counts for scoring only."""
+    """(slice, bucket, ratio, counts): what each slice needs to know of its words in each bucket; in training, of those that its
+    training texts have; counts for scoring only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,13 +258,14 @@ def _sent(state: dict | None, last: bool):
                     ratio = _ratios(counts, np.frombuffer(row["sums"], np.float32).reshape(-1, STATES), state, last)
                 else:
                     ratio = np.ones((len(counts), STATES)) if last else _drawn(np.frombuffer(row["words"], np.uint64))
-                ratio, ids = ratio.astype(np.float32), np.frombuffer(row["ids"], np.uint32)
-                for number, a, b in zip(row["slices"], [0, *row["ends"]], row["ends"]):
-                    at = ids[a:b]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([number]), pa.array([row["bucket"]]), pa.array([ratio[at].tobytes()], pa.binary()), pa.array([counts[at].tobytes() if last else None], pa.binary())],
-                        ["slice", "bucket", "ratio", "counts"],
-                    )
+                ratio, places = ratio.astype(np.float32), _places(row, not last)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([number for number, _ in places]), pa.array([row["bucket"]] * len(places)),
+                        pa.array([ratio[at].tobytes() for _, at in places], pa.binary()), pa.array([counts[at].tobytes() if last else None for _, at in places], pa.binary()),
+                    ],
+                    ["slice", "bucket", "ratio", "counts"],
+                )
 
     return run
 
@@ -207,9 +280,11 @@ def _received(sent: pa.Table) -> tuple[list[int], list[int], np.ndarray, pa.Tabl
     return sent.column("bucket").to_pylist(), [len(x) for x in parts], np.concatenate(parts).astype(np.float64), sent
 
 
-def _texts(cut: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    row = {c: cut.column(c)[0].as_py() for c in ("tokens", "lengths", "held", "n_words")}
-    return np.frombuffer(row["tokens"], _kind(row["n_words"])), np.asarray(row["lengths"], np.int64), np.asarray(row["held"], bool)
+def _texts(cut: pa.Table, which: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of the training texts (`learned`) or of the `others`, the numbers of these texts, and their lengths."""
+    row = {c: cut.column(c)[0] for c in (which, "lengths", "held", "n_words")}
+    mine = np.flatnonzero(np.array(row["held"].values) == (which == "others"))
+    return np.frombuffer(row[which].as_py(), _kind(row["n_words"].as_py())), mine, np.array(row["lengths"].values)[mine]
 
 
 def _sticky() -> np.ndarray:
@@ -224,16 +299,15 @@ def _expect(state: dict | None):
 
     def run(cut: pa.Table, sent: pa.Table) -> pa.Table:
         buckets, sizes, ratio, _ = _received(sent)
-        tokens, lengths, held = _texts(cut)
-        tokens, lengths = tokens[np.repeat(~held, lengths)], lengths[~held]
-        sums, states = np.zeros((len(ratio), STATES)), np.zeros(1 + STATES + STATES * STATES)
-        for _, packed in _blocks(tokens, lengths):
+        tokens, _, lengths = _texts(cut, "learned")
+        sums, states = np.zeros((STATES, len(ratio))), np.zeros(1 + STATES + STATES * STATES)
+        for _, packed in _blocks(tokens, lengths, True):
             gamma, moved, begun = packed.expected(ratio, first, moves)
             for k in range(STATES):
-                sums[:, k] += np.bincount(packed.tokens, gamma[:, k], len(ratio))
+                sums[k] += np.bincount(packed.tokens, gamma[:, k], len(ratio))
             states += np.concatenate([[packed.gain], begun, moved.ravel()])
-        ends = np.cumsum(sizes).tolist()
-        raw = [sums[a:b].astype(np.float32).tobytes() for a, b in zip([0, *ends], ends)]
+        ends, sums = np.cumsum(sizes).tolist(), sums.T.astype(np.float32, order="C")
+        raw = [sums[a:b].tobytes() for a, b in zip([0, *ends], ends)]
         number = cut.column("slice")[0].as_py()
         return pa.table({
             "bucket": pa.array(buckets, pa.int64()), "slice": pa.array([number] * len(buckets), pa.int64()), "sums": pa.array(raw, pa.binary()),
@@ -246,13 +320,11 @@ def _expect(state: dict | None):
 def _summed(bucket: pa.Table, parts: pa.Table) -> pa.Table:
     """A bucket with the expected counts of its words over all slices, and with the sums over these and over the states' rows:
     totals by state, totals of words that occur once, then those of _expect."""
-    row = {c: bucket.column(c)[0].as_py() for c in ("bucket", "counts", "slices", "ends", "ids")}
-    counts, ids = np.frombuffer(row["counts"], np.int64), np.frombuffer(row["ids"], np.uint32)
-    where = {number: (a, b) for number, a, b in zip(row["slices"], [0, *row["ends"]], row["ends"])}
+    row = {c: bucket.column(c)[0].as_py() for c in ("bucket", "counts", "slices", "ends", "ids", "trained")}
+    counts, places = np.frombuffer(row["counts"], np.int64), dict(_places(row, True))
     sums, states = np.zeros((len(counts), STATES)), np.zeros(1 + STATES + STATES * STATES)
     for number, raw, own in zip(*(parts.column(c).to_pylist() for c in ("slice", "sums", "states")), strict=True):
-        a, b = where[number]
-        sums[ids[a:b]] += np.frombuffer(raw, np.float32).reshape(-1, STATES)  # a slice has each word once
+        sums[places[number]] += np.frombuffer(raw, np.float32).reshape(-1, STATES)  # a slice has each word once
         if own is not None:
             states += own
     row["sums"] = sums.astype(np.float32).tobytes()
@@ -260,7 +332,7 @@ def _summed(bucket: pa.Table, parts: pa.Table) -> pa.Table:
     return pa.table({k: [x] for k, x in row.items()})
 
 
-_SUMMED = "bucket long, counts binary, slices array<long>, ends array<long>, ids binary, sums binary, states array<double>"
+_SUMMED = "bucket long, counts binary, slices array<long>, ends array<long>, ids binary, trained binary, sums binary, states array<double>"
 
 
 def _maximised(expected: DataFrame, n: int, v: int, once: int) -> tuple[dict, float]:
@@ -289,14 +361,17 @@ def _score(state: dict | None, n: int, v: int):
     def run(cut: pa.Table, sent: pa.Table) -> pa.Table:
         _, _, ratio, sent = _received(sent)
         counts = np.concatenate([np.frombuffer(x, np.int64) for x in sent.column("counts").to_pylist()])
-        tokens, lengths, held = _texts(cut)
-        starts = np.cumsum(lengths) - lengths
-        base = np.add.reduceat((np.log10(counts + 0.5) - low)[tokens], starts)
-        known = np.add.reduceat((counts > 0).astype(np.int64)[tokens], starts)
-        gain = np.empty(len(lengths))
-        for mine, packed in _blocks(tokens, lengths):
-            scale, _ = packed.forward(ratio, first, moves, False)
-            gain[mine[packed.order]] = np.bincount(packed.text, np.log10(scale), len(mine))
+        weights, found = np.log10(counts + 0.5) - low, counts > 0
+        trained = np.unpackbits(np.frombuffer(cut.column("trained")[0].as_py(), np.uint8), count=len(counts))
+        held, lengths = (np.array(cut.column(c)[0].values) for c in ("held", "lengths"))
+        base, gain, known = np.empty(len(held)), np.empty(len(held)), np.empty(len(held), np.int64)
+        for which, places in (("learned", np.flatnonzero(trained)), ("others", None)):
+            tokens, texts, sizes = _texts(cut, which)
+            for mine, packed in _blocks(tokens if places is None else places[tokens], sizes, True):
+                at, text = texts[mine[packed.order]], packed.text
+                base[at], known[at] = (np.bincount(text, x[packed.tokens], len(at)) for x in (weights, found))
+                scale, _ = packed.forward(ratio, first, moves, False)
+                gain[at] = np.bincount(text, np.log10(scale), len(at))
         ids = pa.array(cut.column("doc_ids")[0].as_py(), pa.int64())
         return pa.table({
             "doc_id": ids, "held_out": pa.array(held), "n_tokens": pa.array(lengths), "n_known": pa.array(known),
@@ -326,11 +401,12 @@ def score(docs: DataFrame, held: Column, text: str = "text", key: str = "doc_id"
     del dealt, whole
     _let_go(spark)
     v, n, once = (x or 0 for x in table.agg(F.sum("v"), F.sum("n"), F.sum("once")).first())
+    learned, shared = cut.select("slice", "held", "lengths", "n_words", "learned"), table.drop("words", "v", "n", "once")
     state, expected, before = None, None, -np.inf
     while n:
         sent = (table if expected is None else expected).mapInArrow(_sent(state, False), _SENT)
-        parts = _by_slice(cut, sent, _expect(state), "bucket long, slice long, sums binary, states array<double>")
-        fresh = stored(table.groupBy("bucket").cogroup(parts.groupBy("bucket")).applyInArrow(_summed, _SUMMED), "expected")
+        parts = _by_slice(learned, sent, _expect(state), "bucket long, slice long, sums binary, states array<double>")
+        fresh = stored(shared.groupBy("bucket").cogroup(parts.groupBy("bucket")).applyInArrow(_summed, _SUMMED), "expected")
         if expected is not None:
             discard(expected)
         expected, (state, gain) = fresh, _maximised(fresh, n, v, once)

@@ -388,6 +388,50 @@ def test_hmm_blocks_hold_each_text_once(monkeypatch):
     assert np.allclose(moved, want[1]) and np.allclose(begun, want[2]) and np.allclose(sums, one)
 
 
+def test_hmm_long_texts_equal_recursions_scaled_at_each_place():
+    rng = np.random.default_rng(7)
+    k, lengths = hmm.STATES, np.array([70, 16, 17, 1, 33, 32, 48])
+    first, moves = rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k)
+    tokens, ratio = rng.integers(0, 9, lengths.sum()), rng.gamma(0.3, 2, (9, k)) + 0.003
+    packed = hmm.Packed(tokens, lengths)
+    gamma, moved, _ = packed.expected(ratio, first, moves)
+    scale, _ = packed.forward(ratio, first, moves, False)
+    assert (scale != 1).sum() <= sum(n // 16 + 1 for n in lengths)  # shares are scaled to one now and then, not at each token
+    want_moves, ends = np.zeros((k, k)), np.cumsum(lengths)
+    for rank, i in enumerate(packed.order):
+        met, shares, total = ratio[tokens[ends[i] - lengths[i] : ends[i]]], [], 0.0
+        for place, r in enumerate(met):
+            a = (shares[-1] @ moves if place else first) * r
+            total += math.log(a.sum())
+            shares.append(a / a.sum())
+        assert np.log(scale[packed.text == rank]).sum() == pytest.approx(total)
+        back, want = np.ones(k), []
+        for place in range(len(met) - 1, -1, -1):
+            want.append(shares[place] * back / (shares[place] @ back))
+            if place:
+                x = shares[place - 1][:, None] * moves * (met[place] * back)[None, :]
+                want_moves += x / x.sum()
+                back = moves @ (met[place] * back)
+                back /= back.sum()
+        assert np.allclose(gamma[packed.text == rank], want[::-1])
+    assert np.allclose(moved, want_moves)
+
+
+def test_hmm_slices_hold_texts_in_the_order_of_blocks(monkeypatch):
+    monkeypatch.setattr(hmm, "BLOCK", 9)
+    rng = np.random.default_rng(8)
+    lengths = np.array([3, 1, 20, 5, 4, 1, 8])
+    words, held = rng.integers(0, 12, lengths.sum()).astype(np.uint64), np.array([False, True, False, False, True, False, False])
+    row = hmm._slice(0, [(words, lengths, held, list(range(7)))]).to_pylist()[0]
+    out = np.repeat(held, lengths)
+    for which, names, mine in (("learned", np.unique(words[~out]), ~held), ("others", np.unique(words), held)):
+        tokens = np.frombuffer(row[which], np.uint16)
+        blocks = hmm._blocks(words[np.repeat(mine, lengths)], lengths[mine])
+        for (a, packed), (b, again) in zip(blocks, hmm._blocks(tokens, lengths[mine], True), strict=True):
+            assert a.tolist() == b.tolist() and packed.edges == again.edges
+            assert packed.tokens.tolist() == names[again.tokens].tolist()
+
+
 def test_hmm_texts_are_dealt_once(spark, docs):
     scored = hmm.score(docs, F.col("doc_id") == 3)
     plan = scored._jdf.queryExecution().executedPlan().toString()
